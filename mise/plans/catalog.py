@@ -58,4 +58,4 @@ def with_ctes(*ctes: str) -> str:
 
 
 # Importing the query modules fills the registries.
-from . import queries_load, queries_relational, queries_search  # noqa: E402,F401
+from . import queries_load, queries_relational, queries_search, queries_sources  # noqa: E402,F401
