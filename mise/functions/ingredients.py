@@ -52,10 +52,10 @@ def js_number_text(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(d, r"0+$", ""), r"\.$", "")
 
 
-def _unit_and_rest(text: Column):
-    raw = F.nullif(F.regexp_extract(text, UNIT_RE, 1), F.lit(""))
+def _unit_and_rest(text: Column, unit_re: str = UNIT_RE):
+    raw = F.nullif(F.regexp_extract(text, unit_re, 1), F.lit(""))
     unit = F.when(raw.rlike(r"^T\.?$"), F.lit("T")).otherwise(F.lower(F.regexp_replace(raw, r"\.$", "")))
-    rest = F.when(raw.isNotNull(), js_trim(F.regexp_replace(text, UNIT_RE, "$2"))).otherwise(text)
+    rest = F.when(raw.isNotNull(), js_trim(F.regexp_replace(text, unit_re, "$2"))).otherwise(text)
     return unit, rest
 
 
@@ -64,13 +64,15 @@ def _remove_first(text: Column, pattern: str) -> Column:
     return F.regexp_replace(text, "^(.*?)" + pattern, "$1")
 
 
-def parse_ingredient_line(line: Column, style: str = "line") -> Column:
+def parse_ingredient_line(line: Column, style: str = "line", units=None) -> Column:
     """struct<name, quantity, unit, notes> for one ingredient line.
 
     ``style='line'`` (structured rows): notes in parentheses first, then a leading range,
     fraction or number, then a unit.  ``style='post'`` (free posts): bullets and list numbers
-    are stripped, a range or fraction may appear anywhere, notes are taken last.
+    are stripped, a range or fraction may appear anywhere, notes are taken last.  ``units``
+    replaces the unit list.
     """
+    unit_re = UNIT_RE if units is None else unit_pattern(units)
     if style == "line":
         t0 = js_trim(line)
         notes = F.nullif(F.regexp_extract(t0, _NOTES, 1), F.lit(""))
@@ -86,7 +88,7 @@ def parse_ingredient_line(line: Column, style: str = "line") -> Column:
               .when(frac != "", js_trim(F.regexp_replace(t1, "^" + _FRACTION, "")))
               .when(num != "", js_trim(F.regexp_replace(t1, "^" + _NUMBER, "")))
               .otherwise(t1))
-        unit, rest = _unit_and_rest(t2)
+        unit, rest = _unit_and_rest(t2, unit_re)
         name = js_trim(rest)
         return F.struct(name.alias("name"), quantity.alias("quantity"), unit.alias("unit"), notes.alias("notes"))
 
@@ -104,7 +106,7 @@ def parse_ingredient_line(line: Column, style: str = "line") -> Column:
           .when(frac != "", js_trim(_remove_first(cleaned, _FRACTION)))
           .when(num != "", js_trim(F.regexp_replace(cleaned, "^" + _NUMBER_POST, "")))
           .otherwise(cleaned))
-    unit, t3 = _unit_and_rest(t2)
+    unit, t3 = _unit_and_rest(t2, unit_re)
     notes = F.nullif(F.regexp_extract(t3, _NOTES, 1), F.lit(""))
     t4 = F.when(notes.isNotNull(), js_trim(_remove_first(t3, _NOTES))).otherwise(t3)
     return F.struct(js_trim(t4).alias("name"), quantity.alias("quantity"), unit.alias("unit"), notes.alias("notes"))
@@ -113,20 +115,21 @@ def parse_ingredient_line(line: Column, style: str = "line") -> Column:
 _POST_SKIP = r"(?i)^(ingredient|instruction|direction|step|method|prep|cook)"
 
 
-def parse_ingredient_lines_col(lines: ColumnOrName, style: str = "line") -> Column:
+def parse_ingredient_lines_col(lines: ColumnOrName, style: str = "line", units=None) -> Column:
     """Parse every element of an array of lines.  Post style drops blank, short and header-like
     lines and entries whose name ends up empty."""
     lines = col(lines)
     if style == "line":
-        return F.transform(lines, lambda l: parse_ingredient_line(l, "line"))
+        return F.transform(lines, lambda l: parse_ingredient_line(l, "line", units))
     kept = F.filter(lines, lambda l: (F.length(js_trim(l)) >= 3) & ~js_trim(l).rlike(_POST_SKIP))
-    parsed = F.transform(kept, lambda l: parse_ingredient_line(l, "post"))
+    parsed = F.transform(kept, lambda l: parse_ingredient_line(l, "post", units))
     return F.filter(parsed, lambda s: s["name"] != "")
 
 
-def parse_ingredient_lines(df: DataFrame, lines: str, out: str = "ingredients", style: str = "line") -> DataFrame:
+def parse_ingredient_lines(df: DataFrame, lines: str, out: str = "ingredients", style: str = "line",
+                           units=None) -> DataFrame:
     """``df[lines]`` is array<string>; adds ``out`` as array<ingredient>."""
-    return df.withColumn(out, parse_ingredient_lines_col(lines, style))
+    return df.withColumn(out, parse_ingredient_lines_col(lines, style, units))
 
 
 # ------------------------------------------------------------------------------------------ B4
