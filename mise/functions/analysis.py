@@ -18,13 +18,23 @@ from .text import ColumnOrName, col
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
+def _ends(x: Column, *suffixes: str) -> Column:
+    out = None
+    for s in suffixes:
+        c = x.endswith(s)
+        out = c if out is None else (out | c)
+    return out
+
+
 def minimal_stem(x: Column) -> Column:
-    """Plural stripping: 'recipes' -> 'recipe', 'berries' -> 'berry'; 'glass', 'bus' unchanged."""
+    """Plural stripping: 'recipes' -> 'recipe', 'berries' -> 'berry'; 'glass', 'bus' unchanged.
+    Suffix tests only (no regex), so it stays cheap inside generated code."""
     n = F.length(x)
     return (F.when((n < 3) | ~x.endswith("s"), x)
-            .when(x.rlike("[us]s$"), x)
-            .when((n > 3) & x.rlike("[^ae]ies$"), F.concat(F.substring(x, 1, n - 3), F.lit("y")))
-            .when(x.rlike("[iaoe]es$"), x)
+            .when(_ends(x, "us", "ss"), x)
+            .when((n > 3) & x.endswith("ies") & ~_ends(x, "aies", "eies"),
+                  F.concat(F.substring(x, 1, n - 3), F.lit("y")))
+            .when(_ends(x, "ies", "aes", "oes", "ees"), x)
             .otherwise(F.substring(x, 1, n - 1)))
 
 
@@ -53,3 +63,11 @@ def english(text: ColumnOrName) -> Column:
 
 def ingredient_analyzer(text: ColumnOrName) -> Column:
     return tokens_col(text, lx.ENGLISH_STOPWORDS, stem=False)
+
+
+# Token-level form of the two analysers, used when tokens are exploded into rows: the
+# per-token work then runs as ordinary (code-generated) column expressions.
+english.stem = True
+english.stopwords = lx.ENGLISH_STOPWORDS
+ingredient_analyzer.stem = False
+ingredient_analyzer.stopwords = lx.ENGLISH_STOPWORDS

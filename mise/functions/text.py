@@ -20,9 +20,12 @@ def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+WHITESPACE = " \t\n\r\f\u000b"
+
+
 def js_trim(c: ColumnOrName) -> Column:
-    """Trim all surrounding whitespace (tabs and newlines too, unlike Spark's ``trim``)."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    """Trim all surrounding whitespace (tabs and newlines too, unlike Spark's one-argument ``trim``)."""
+    return F.trim(col(c), F.lit(WHITESPACE))
 
 
 def lines_of(c: ColumnOrName) -> Column:

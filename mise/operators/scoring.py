@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
-from ..functions.analysis import english
+from ..functions.analysis import english, minimal_stem, tokens_col
 
 Analyzer = Callable[[Column], Column]
 
@@ -47,16 +47,41 @@ def field_tokens(docs: DataFrame, fields: Mapping[str, Analyzer], key: Sequence[
     return out.withColumn("dl", F.size("tokens"))
 
 
-def build_postings(docs: DataFrame, fields: Mapping[str, Analyzer], key: Sequence[str] = ("id",)) -> DataFrame:
-    """(field, key..., term, tf, dl)."""
-    toks = field_tokens(docs, fields, key)
-    return (toks.select("field", *key, "dl", F.explode("tokens").alias("term"))
-                .groupBy("field", *key, "term", "dl").agg(F.count(F.lit(1)).alias("tf")))
+def _unstemmed(an: Analyzer) -> Analyzer:
+    if getattr(an, "stem", False):
+        return lambda c: tokens_col(c, an.stopwords, stem=False)
+    return an
+
+
+def build_postings(docs: DataFrame, fields: Mapping[str, Analyzer], key: Sequence[str] = ("id",),
+                   terms: DataFrame | None = None) -> DataFrame:
+    """(field, key..., term, tf, dl).
+
+    Stemming (when the analyser stems) is applied after the explode, as a plain column
+    expression.  With ``terms`` (analysed query terms) only those terms are aggregated: the
+    semi join with the broadcast term list runs before the shuffle.
+    """
+    parts = []
+    for f, an in fields.items():
+        t = docs.select(F.lit(f).alias("field"), *key, _unstemmed(an)(F.col(f)).alias("tokens"))
+        t = t.select("field", *key, F.size("tokens").alias("dl"), F.explode("tokens").alias("term"))
+        if getattr(an, "stem", False):
+            t = t.withColumn("term", minimal_stem(F.col("term")))
+        parts.append(t)
+    tok = parts[0]
+    for p in parts[1:]:
+        tok = tok.unionByName(p)
+    if terms is not None:
+        # bounded by the query text
+        tok = tok.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
+    return tok.groupBy("field", *key, "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def field_lengths(docs: DataFrame, fields: Mapping[str, Analyzer], key: Sequence[str] = ("id",)) -> DataFrame:
-    """(field, key..., dl) for documents with at least one token in the field."""
-    return field_tokens(docs, fields, key).filter(F.col("dl") > 0).drop("tokens")
+    """(field, key..., dl) for documents with at least one token in the field (stemming does
+    not change lengths, so it is skipped here)."""
+    return field_tokens(docs, {f: _unstemmed(a) for f, a in fields.items()}, key).filter(
+        F.col("dl") > 0).drop("tokens")
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
@@ -87,5 +112,6 @@ def bm25_frame(docs: DataFrame, text: str, field: str, analyzer: Analyzer = engl
                boost: float = 1.0) -> DataFrame:
     """BM25 of ``text`` on ``field``, computing postings from ``docs`` on the fly."""
     fields = {field: analyzer}
-    return bm25(build_postings(docs, fields, key), field_lengths(docs, fields, key),
-                query_terms(docs.sparkSession, text, analyzer), field, key, boost=boost)
+    terms = query_terms(docs.sparkSession, text, analyzer)
+    return bm25(build_postings(docs, fields, key, terms), field_lengths(docs, fields, key), terms, field, key,
+                boost=boost)

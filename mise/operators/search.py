@@ -46,8 +46,8 @@ def match_all(df: DataFrame, from_: int = 0, size: int = 10, order: Sequence = (
 def match(docs: DataFrame, field: str, text: str, analyzer: Analyzer = english, k: int = 10) -> DataFrame:
     """BM25 on one field, any term; top ``k`` documents with ``score``."""
     fields = {field: analyzer}
-    s = bm25(build_postings(docs, fields), field_lengths(docs, fields), query_terms(docs.sparkSession, text, analyzer),
-             field)
+    terms = query_terms(docs.sparkSession, text, analyzer)
+    s = bm25(build_postings(docs, fields, terms=terms), field_lengths(docs, fields), terms, field)
     return _attach(docs, s, k)
 
 
@@ -55,11 +55,11 @@ def field_scores(docs: DataFrame, text: str, fields: Mapping[str, float],
                  analyzers: Mapping[str, Analyzer] | None = None) -> DataFrame:
     """(id, field, score) for every field with a boost; one postings pass for all fields."""
     analyzers = {f: (analyzers or {}).get(f, english) for f in fields}
-    post = build_postings(docs, analyzers)
     lens = field_lengths(docs, analyzers)
     out = None
     for f, boost in fields.items():
         terms = query_terms(docs.sparkSession, text, analyzers[f])
+        post = build_postings(docs, {f: analyzers[f]}, terms=terms)
         s = bm25(post, lens, terms, f, boost=boost).withColumn("field", F.lit(f))
         out = s if out is None else out.unionByName(s)
     return out
@@ -170,8 +170,8 @@ def nested_scores(docs: DataFrame, text: str, score_mode: str = "sum", analyzer:
     nested = docs.select("id", F.posexplode(path).alias("pos", "_e")).select("id", "pos", F.col("_e")[field].alias(field))
     fields = {field: analyzer}
     key = ("id", "pos")
-    s = bm25(build_postings(nested, fields, key), field_lengths(nested, fields, key),
-             query_terms(docs.sparkSession, text, analyzer), field, key)
+    terms = query_terms(docs.sparkSession, text, analyzer)
+    s = bm25(build_postings(nested, fields, key, terms), field_lengths(nested, fields, key), terms, field, key)
     agg = {"sum": F.sum, "max": F.max, "avg": F.avg}[score_mode]
     return s.groupBy("id").agg(agg("score").alias("score"))
 
@@ -388,7 +388,8 @@ def fuzzy_scores(docs: DataFrame, text: str, fields: Mapping[str, float], prefix
         exp = fuzzy_expansions(docs, text, f, prefix_length, analyzer)
         fl = {f: analyzer}
         terms = exp.select("term").distinct().withColumn("qtf", F.lit(1).cast("bigint"))
-        per_term = bm25(build_postings(docs, fl), field_lengths(docs, fl), terms, f, boost=boost, per_term=True)
+        per_term = bm25(build_postings(docs, fl, terms=terms), field_lengths(docs, fl), terms, f, boost=boost,
+                        per_term=True)
         # ``exp`` holds expansions of the query terms only: bounded by the query, not the data.
         s = (per_term.join(F.broadcast(exp.select("term", "qterm")), "term")
                      .groupBy("id", "qterm").agg(F.max("score").alias("score"))
