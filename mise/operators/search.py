@@ -24,13 +24,15 @@ MISSING = object()
 
 # ----------------------------------------------------------------------------------- helpers
 def _top(df: DataFrame, k: int, score: str = "score", key: str = "id") -> DataFrame:
-    return df.orderBy(F.col(score).desc_nulls_last(), F.col(key).asc()).limit(k)
+    """Top ``k`` by score, then key.  Scores are compared at 6 decimals: sums of the same terms
+    added in a different order differ in the last bits, and ties must fall to the key."""
+    return df.orderBy(F.round(F.col(score), 6).desc_nulls_last(), F.col(key).asc()).limit(k)
 
 
 def _attach(docs: DataFrame, scores: DataFrame, k: int, key: str = "id") -> DataFrame:
     """Top ``k`` scores joined back to their documents (a broadcast of at most ``k`` rows)."""
     best = _top(scores, k, key=key)
-    return docs.join(F.broadcast(best), key).orderBy(F.col("score").desc(), F.col(key))
+    return docs.join(F.broadcast(best), key).orderBy(F.round(F.col("score"), 6).desc(), F.col(key))
 
 
 def lit_array(values: Sequence) -> Column:
