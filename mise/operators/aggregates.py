@@ -15,7 +15,14 @@ from pyspark.sql import functions as F
 
 
 def mentions(docs: DataFrame, cols: Sequence[str] = ("id",), field: str = "name") -> DataFrame:
-    """Flat (cols..., name) rows, one per nested ingredient (NULL names kept; aggs skip them)."""
+    """Flat (cols..., name) rows, one per ingredient mention (NULL names kept; aggs skip them).
+
+    ``docs`` is either nested documents (an ``ingredients`` array, exploded row-locally) or
+    already flat mentions (a ``name`` column, e.g. junction rows joined to names and recipe
+    columns), which is the form to use at scale: no per-recipe array is ever built.
+    """
+    if "ingredients" not in docs.columns and field in docs.columns:
+        return docs.select(*cols, field)
     return docs.select(*cols, F.explode("ingredients").alias("_e")).select(*cols, F.col("_e")[field].alias(field))
 
 
@@ -36,9 +43,9 @@ def top_terms(df: DataFrame, column: str, n: int = 10) -> DataFrame:
               .orderBy(F.desc("count"), F.asc(column)).limit(n))
 
 
-def ingredient_totals(docs: DataFrame, approx: bool = False) -> DataFrame:
+def ingredient_totals(docs: DataFrame, approx: bool = False, flat: DataFrame | None = None) -> DataFrame:
     """Documents, ingredient mentions and unique ingredient names."""
-    m = mentions(docs)
+    m = mentions(flat if flat is not None else docs)
     unique = F.approx_count_distinct("name") if approx else F.count_distinct("name")
     total_docs = docs.select(F.count("id")).scalar()
     return m.agg(F.count("name").alias("total_mentions"), unique.alias("unique_ingredients")) \
@@ -50,26 +57,29 @@ def top_ingredients(docs: DataFrame, n: int = 20) -> DataFrame:
     return top_terms(mentions(docs), "name", n)
 
 
-def ingredient_frequency(docs: DataFrame, n: int = 30) -> DataFrame:
+def ingredient_frequency(docs: DataFrame, n: int = 30, flat: DataFrame | None = None) -> DataFrame:
     """Mentions, distinct recipes and share of all recipes for the top ``n`` names.
 
     The total is a scalar subquery, not a cross join.
     """
     total = docs.select(F.count(F.lit(1))).scalar()
-    m = mentions(docs).filter(F.col("name").isNotNull())
+    m = mentions(flat if flat is not None else docs).filter(F.col("name").isNotNull())
     g = m.groupBy("name").agg(F.count(F.lit(1)).alias("mentions"), F.count_distinct("id").alias("recipes"))
     return (g.withColumn("percent", F.round(F.col("recipes") * 100.0 / total, 6))
              .orderBy(F.desc("mentions"), F.asc("name")).limit(n))
 
 
-def top_per_group(docs: DataFrame, group: str, n_groups: int = 10, n: int = 10, only: str | None = None) -> DataFrame:
+def top_per_group(docs: DataFrame, group: str, n_groups: int = 10, n: int = 10, only: str | None = None,
+                  flat: DataFrame | None = None) -> DataFrame:
     """Top ``n`` ingredients inside each of the top ``n_groups`` groups.
 
-    Group ranking counts documents; ingredient ranking counts mentions.  ``only`` keeps one
-    group (the filter sits below the explode).
+    Group ranking counts documents; ingredient ranking counts mentions (taken from ``flat``
+    (group, name) rows when given, else from the nested documents).  ``only`` keeps one group
+    (the filter sits below the explode).
     """
     top = top_terms(docs, group, n_groups).select(group, F.col("count").alias("group_count"))
-    base = docs.filter(F.col(group) == only) if only is not None else docs
+    src = flat if flat is not None else docs
+    base = src.filter(F.col(group) == only) if only is not None else src
     # ``top`` has at most ``n_groups`` rows, so the broadcast is bounded by the argument.
     m = mentions(base.join(F.broadcast(top.select(group)), group, "left_semi"), cols=(group,))
     counts = m.filter(F.col("name").isNotNull()).groupBy(group, "name").agg(F.count(F.lit(1)).alias("count"))
@@ -78,9 +88,11 @@ def top_per_group(docs: DataFrame, group: str, n_groups: int = 10, n: int = 10,
     return ranked.join(F.broadcast(top), group)
 
 
-def top_with_samples(docs: DataFrame, n: int = 50, k: int = 3, title: str = "title") -> DataFrame:
-    """Top ``n`` ingredients, each with the ``k`` most frequent recipe titles containing it."""
-    m = mentions(docs, cols=("id", title)).filter(F.col("name").isNotNull())
+def top_with_samples(docs: DataFrame, n: int = 50, k: int = 3, title: str = "title",
+                     flat: DataFrame | None = None) -> DataFrame:
+    """Top ``n`` ingredients, each with the ``k`` most frequent recipe titles containing it
+    (``flat``: (id, title, name) mention rows)."""
+    m = mentions(flat if flat is not None else docs, cols=("id", title)).filter(F.col("name").isNotNull())
     top = m.groupBy("name").agg(F.count(F.lit(1)).alias("mentions"),
                                 F.count_distinct("id").alias("recipes")).orderBy(F.desc("mentions"), "name").limit(n)
     per_title = (m.join(F.broadcast(top.select("name")), "name", "left_semi")
@@ -95,9 +107,17 @@ def top_with_samples(docs: DataFrame, n: int = 50, k: int = 3, title: str = "tit
                        F.coalesce(F.transform("_s", lambda s: s["t"]), F.array().cast("array<string>")).alias("titles")))
 
 
-def profile_by(docs: DataFrame, group: str = "difficulty") -> DataFrame:
+def _mention_counts(docs: DataFrame, flat: DataFrame | None) -> tuple[DataFrame, Column]:
+    """Documents with a per-document count of named ingredient mentions."""
+    if flat is None:
+        return docs, F.size(F.filter("ingredients", lambda e: e["name"].isNotNull()))
+    per = flat.filter(F.col("name").isNotNull()).groupBy("id").agg(F.count(F.lit(1)).alias("_mentions"))
+    return docs.join(per, "id", "left"), F.coalesce(F.col("_mentions"), F.lit(0))
+
+
+def profile_by(docs: DataFrame, group: str = "difficulty", flat: DataFrame | None = None) -> DataFrame:
     """Per group: documents, average total time, ingredient mentions, average score."""
-    names = F.size(F.filter("ingredients", lambda e: e["name"].isNotNull()))
+    docs, names = _mention_counts(docs, flat)
     return (docs.filter(F.col(group).isNotNull()).groupBy(group)
                 .agg(F.count(F.lit(1)).alias("count"),
                      F.round(F.avg("total_time_minutes"), 6).alias("avg_time"),
@@ -126,8 +146,8 @@ def sub_terms(docs: DataFrame, outer: str = "cuisine_type", inner: str = "diffic
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n_inner)
 
 
-def filtered_mentions(docs: DataFrame, pred: Column | None = None) -> DataFrame:
+def filtered_mentions(docs: DataFrame, pred: Column | None = None, flat: DataFrame | None = None) -> DataFrame:
     """Ingredient mentions (non-NULL names) over the documents matching ``pred``."""
     d = docs.filter(pred) if pred is not None else docs
-    return d.agg(F.coalesce(F.sum(F.size(F.filter("ingredients", lambda e: e["name"].isNotNull()))), F.lit(0))
-                  .alias("ingredient_mentions"), F.count(F.lit(1)).alias("hits"))
+    d, names = _mention_counts(d, flat)
+    return d.agg(F.coalesce(F.sum(names), F.lit(0)).alias("ingredient_mentions"), F.count(F.lit(1)).alias("hits"))

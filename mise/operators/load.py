@@ -43,11 +43,15 @@ def first_per_key(df: DataFrame, key: Sequence[str] | str, order: Sequence[str |
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def duplicates_of_first(df: DataFrame, key: Sequence[str] | str, order: Sequence[str | Column]) -> DataFrame:
-    """Rows that lose to an earlier row with the same key (reported as 'existing')."""
-    key = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*key).orderBy(*[F.col(o) if isinstance(o, str) else o for o in order])
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > 1).drop("_rn")
+def duplicates_of_first(df: DataFrame, key: Sequence[str] | str, order: Sequence[str]) -> DataFrame:
+    """Rows that lose to an earlier row with the same key (reported as 'existing').
+
+    ``order`` must identify a row (e.g. dataset, entry number).  The losers are an anti join
+    against the winners on that identity, so a key owning a third of the rows is spread over
+    all tasks instead of being sorted in one (``row_number() > 1`` cannot be limited map-side).
+    """
+    winners = first_per_key(df, key, order).select(*order)
+    return df.join(winners, list(order), "left_anti")
 
 
 # ---------------------------------------------------------------------------------- L4 / L5

@@ -98,6 +98,17 @@ def documents(spark: SparkSession, sf_dir: str, tags: bool = False) -> DataFrame
                            TIE_BREAK)
 
 
+def mentions(spark: SparkSession, sf_dir: str, recipe_cols=("cuisine_type",)) -> DataFrame:
+    """Flat ingredient mentions (id, recipe columns..., name): junction rows with a resolved
+    ingredient, joined to their recipe.  The form the aggregations use at scale."""
+    j = junction(spark, sf_dir).select(F.col("recipe_id").alias("id"), "ingredient_id")
+    i = ingredients(spark, sf_dir).select(F.col("id").alias("ingredient_id"), "name")
+    m = j.join(i, "ingredient_id")
+    if recipe_cols:
+        m = m.join(recipes(spark, sf_dir).select("id", *recipe_cols), "id")
+    return m.select("id", *recipe_cols, "name")
+
+
 def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as searchable records: title = first line, description = remaining text."""
     d = table(spark, sf_dir, "documents")

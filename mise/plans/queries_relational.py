@@ -29,7 +29,7 @@ ranked AS (
 SELECT k.cuisine_type, k.name, k.count, k.rank, g.group_count
 FROM ranked k JOIN top_groups g ON k.cuisine_type = g.cuisine_type WHERE k.rank <= 10""")
 def top_ingredients_per_cuisine(spark, d):
-    return G.top_per_group(B.documents(spark, d), "cuisine_type", 10, 10).select(
+    return G.top_per_group(B.recipes(spark, d), "cuisine_type", 10, 10, flat=B.mentions(spark, d)).select(
         "cuisine_type", "name", "count", "rank", "group_count")
 
 
@@ -45,8 +45,8 @@ ranked AS (
   FROM counts)""") + """
 SELECT cuisine_type, name, count, rank FROM ranked WHERE rank <= 10""")
 def one_cuisine_ingredients(spark, d):
-    return G.top_per_group(B.documents(spark, d), "cuisine_type", 10, 10, only="2-HIGH").select(
-        "cuisine_type", "name", "count", "rank")
+    return G.top_per_group(B.recipes(spark, d), "cuisine_type", 10, 10, only="2-HIGH",
+                           flat=B.mentions(spark, d)).select("cuisine_type", "name", "count", "rank")
 
 
 # ------------------------------------------------------------------------------------- R1 / R2
@@ -197,11 +197,11 @@ def cuisine_value_count(spark, d):
 @register("ingredient_cardinality", with_ctes(MENTIONS_CTE) + """
 SELECT count(DISTINCT name) AS cardinality FROM mentions""")
 def ingredient_cardinality(spark, d):
-    return G.cardinality(G.mentions(B.documents(spark, d)), "name", approx=False)
+    return G.cardinality(B.mentions(spark, d, ()), "name", approx=False)
 
 
 def ingredient_cardinality_approx(spark, d):
-    return G.cardinality(G.mentions(B.documents(spark, d)), "name", approx=True)
+    return G.cardinality(B.mentions(spark, d, ()), "name", approx=True)
 
 
 register("ingredient_cardinality_approx")(ingredient_cardinality_approx)
@@ -218,14 +218,14 @@ def top_cuisines(spark, d):
 SELECT (SELECT count(*) FROM orders) AS total_recipes, count(name) AS total_mentions,
        count(DISTINCT name) AS unique_ingredients FROM mentions""")
 def ingredient_totals(spark, d):
-    return G.ingredient_totals(B.documents(spark, d))
+    return G.ingredient_totals(B.recipes(spark, d), flat=B.mentions(spark, d, ()))
 
 
 @register("top_ingredients", with_ctes(MENTIONS_CTE) + """
 SELECT name, count(*) AS count FROM mentions WHERE name IS NOT NULL GROUP BY name
 ORDER BY count DESC, name LIMIT 20""")
 def top_ingredients(spark, d):
-    return G.top_ingredients(B.documents(spark, d), 20)
+    return G.top_ingredients(B.mentions(spark, d, ()), 20)
 
 
 @register("ingredient_frequency", with_ctes(MENTIONS_CTE) + """
@@ -233,7 +233,7 @@ SELECT name, count(*) AS mentions, count(DISTINCT id) AS recipes,
        round(count(DISTINCT id) * 100.0 / (SELECT count(*) FROM orders), 6) AS percent
 FROM mentions WHERE name IS NOT NULL GROUP BY name ORDER BY mentions DESC, name LIMIT 30""")
 def ingredient_frequency(spark, d):
-    return G.ingredient_frequency(B.documents(spark, d), 30)
+    return G.ingredient_frequency(B.recipes(spark, d), 30, flat=B.mentions(spark, d, ()))
 
 
 @register("top_ingredients_with_titles", with_ctes(RECIPES_CTE, MENTIONS_CTE, """
@@ -248,7 +248,7 @@ SELECT t.name, t.mentions, t.recipes,
          AS titles
 FROM top t""")
 def top_ingredients_with_titles(spark, d):
-    out = G.top_with_samples(B.documents(spark, d), 50, 3)
+    out = G.top_with_samples(B.recipes(spark, d), 50, 3, flat=B.mentions(spark, d, ("title",)))
     return out.select("name", "mentions", "recipes", F.array_join("titles", "|").alias("titles"))
 
 
@@ -258,7 +258,7 @@ SELECT r.difficulty, count(*) AS count, round(avg(r.total_time_minutes), 6) AS a
 FROM recipes r LEFT JOIN (SELECT id, count(name) AS n FROM mentions GROUP BY id) c ON r.id = c.id
 WHERE r.difficulty IS NOT NULL GROUP BY r.difficulty""")
 def difficulty_profile(spark, d):
-    return G.profile_by(B.documents(spark, d), "difficulty")
+    return G.profile_by(B.recipes(spark, d), "difficulty", flat=B.mentions(spark, d, ()))
 
 
 @register("cuisine_top_hits", with_ctes(RECIPES_CTE, _TOP_GROUPS.format(n=20), """
@@ -286,4 +286,4 @@ SELECT coalesce(sum(coalesce(c.n, 0)), 0) AS ingredient_mentions, count(*) AS hi
 FROM recipes r LEFT JOIN (SELECT id, count(name) AS n FROM mentions GROUP BY id) c ON r.id = c.id
 WHERE r.difficulty = 'F'""")
 def filtered_mentions(spark, d):
-    return G.filtered_mentions(B.documents(spark, d), F.col("difficulty") == "F")
+    return G.filtered_mentions(B.recipes(spark, d), F.col("difficulty") == "F", flat=B.mentions(spark, d, ()))
