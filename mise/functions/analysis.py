@@ -43,8 +43,8 @@ def tokens_col(text: ColumnOrName, stopwords: Sequence[str] | None = lx.ENGLISH_
     """array<string> of analysed tokens, in text order (duplicates kept: they are term frequency)."""
     toks = F.filter(F.split(F.lower(col(text)), TOKEN_SPLIT), lambda t: t != "")
     if stopwords:
-        stop = F.array(*[F.lit(w) for w in stopwords])
-        toks = F.filter(toks, lambda t: ~F.array_contains(stop, t))
+        stop = list(stopwords)   # ``isin`` on a literal list becomes a hash-set lookup
+        toks = F.filter(toks, lambda t: ~t.isin(stop))
     if stem:
         toks = F.transform(toks, minimal_stem)
     return toks

@@ -52,11 +52,86 @@ def js_number_text(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(d, r"0+$", ""), r"\.$", "")
 
 
-def _unit_and_rest(text: Column, unit_re: str = UNIT_RE):
-    raw = F.nullif(F.regexp_extract(text, unit_re, 1), F.lit(""))
-    unit = F.when(raw.rlike(r"^T\.?$"), F.lit("T")).otherwise(F.lower(F.regexp_replace(raw, r"\.$", "")))
-    rest = F.when(raw.isNotNull(), js_trim(F.regexp_replace(text, unit_re, "$2"))).otherwise(text)
-    return unit, rest
+SEP = "\u0001"
+# One pass for the leading quantity: groups 1-2 range, 3 fraction, 4 number, 5 the rest.
+_QTY_LEAD = r"(?s)^(?:" + _RANGE + "|" + _FRACTION + "|" + _NUMBER + r")?(.*)$"
+_RANGE_ANY = r"(?s)^(.*?)" + _RANGE + r"(.*)$"
+_FRACTION_ANY = r"(?s)^(.*?)" + _FRACTION + r"(.*)$"
+_NOTES_FIRST = r"(?s)^(.*?)" + _NOTES + r"(.*)$"
+
+
+def _groups(text: Column, pattern: str, n: int) -> Column:
+    """All ``n`` groups of one match in a single regex pass (array; no SEP when no match)."""
+    return F.split(F.regexp_replace(text, pattern, SEP.join(f"${i}" for i in range(1, n + 1))), SEP, -1)
+
+
+def _stage(arr: Column, **fields) -> Column:
+    """One ``transform`` stage: every field is computed once per element from the previous
+    stage's struct ``s`` (fields are ``lambda s: Column``)."""
+    return F.transform(arr, lambda s: F.struct(*[f(s).alias(k) for k, f in fields.items()]))
+
+
+def _keep(*names):
+    return {n: (lambda s, n=n: s[n]) for n in names}
+
+
+def _unit_stages(arr: Column, unit_re: str, text: str, keep: tuple) -> Column:
+    """Adds ``unit`` and replaces ``text`` by what follows the unit."""
+    arr = _stage(arr, **_keep(*keep, text), _u=lambda s: F.regexp_extract(s[text], unit_re, 1))
+    return _stage(arr, **_keep(*keep),
+                  unit=lambda s: (F.when(s["_u"] == "", F.lit(None).cast("string"))
+                                  .when(s["_u"].isin("T", "T."), F.lit("T"))
+                                  .otherwise(F.lower(F.rtrim(s["_u"], F.lit("."))))),
+                  **{text: lambda s: F.when(s["_u"] == "", s[text])
+                                      .otherwise(js_trim(s[text].substr(F.length(s["_u"]) + 1, F.length(s[text]))))})
+
+
+def _parse_array(lines: Column, style: str, unit_re: str) -> Column:
+    """Parse an array of lines into array<struct<name, quantity, unit, notes>>.
+
+    Each step is its own ``transform`` so every regular expression runs once per line (Spark
+    does not share sub-expressions across CASE branches or lambda references)."""
+    if style == "line":
+        a = F.transform(lines, lambda l: F.struct(js_trim(l).alias("t0")))
+        a = _stage(a, t0=lambda s: s["t0"], notes=lambda s: F.nullif(F.regexp_extract(s["t0"], _NOTES, 1), F.lit("")))
+        a = _stage(a, notes=lambda s: s["notes"],
+                   t1=lambda s: F.when(s["notes"].isNotNull(), js_trim(_remove_first(s["t0"], _NOTES)))
+                                 .otherwise(s["t0"]))
+        a = _stage(a, notes=lambda s: s["notes"], p=lambda s: _groups(s["t1"], _QTY_LEAD, 5))
+        a = _stage(a, notes=lambda s: s["notes"],
+                   quantity=lambda s: (F.when(s["p"][0] != "", F.concat(s["p"][0], F.lit("-"), s["p"][1]))
+                                       .when(s["p"][2] != "", js_trim(s["p"][2]))
+                                       .when(s["p"][3] != "", js_number_text(s["p"][3]))),
+                   t2=lambda s: js_trim(s["p"][4]))
+        a = _unit_stages(a, unit_re, "t2", ("notes", "quantity"))
+        return F.transform(a, lambda s: F.struct(js_trim(s["t2"]).alias("name"), s["quantity"].alias("quantity"),
+                                                 s["unit"].alias("unit"), s["notes"].alias("notes")))
+
+    a = F.transform(lines, lambda l: F.struct(
+        F.regexp_replace(js_trim(l), r"^(?:[*\-•◦→]+\.?\s*|\d+[.)](?:\s+|$))", "").alias("c")))
+    a = _stage(a, c=lambda s: s["c"], r=lambda s: _groups(s["c"], _RANGE_ANY, 4))
+    a = _stage(a, c=lambda s: s["c"], r=lambda s: s["r"],
+               f=lambda s: F.when(F.size(s["r"]) == 1, _groups(s["c"], _FRACTION_ANY, 3)))
+    a = _stage(a, c=lambda s: s["c"], r=lambda s: s["r"], f=lambda s: s["f"],
+               n=lambda s: F.when((F.size(s["r"]) == 1) & (F.size(s["f"]) == 1),
+                                  F.regexp_extract(s["c"], "^" + _NUMBER_POST, 0)))
+    rng = lambda s: F.size(s["r"]) > 1
+    frac = lambda s: F.size(s["f"]) > 1
+    num = lambda s: F.coalesce(s["n"], F.lit("")) != ""
+    a = _stage(a,
+               quantity=lambda s: (F.when(rng(s), F.concat(s["r"][1], F.lit("-"), s["r"][2]))
+                                   .when(frac(s), js_trim(s["f"][1]))
+                                   .when(num(s), js_number_text(s["n"]))),
+               t2=lambda s: (F.when(rng(s), js_trim(F.concat(s["r"][0], s["r"][3])))
+                             .when(frac(s), js_trim(F.concat(s["f"][0], s["f"][2])))
+                             .when(num(s), js_trim(s["c"].substr(F.length(s["n"]) + 1, F.length(s["c"]))))
+                             .otherwise(s["c"])))
+    a = _unit_stages(a, unit_re, "t2", ("quantity",))
+    a = _stage(a, **_keep("quantity", "unit", "t2"), nt=lambda s: _groups(s["t2"], _NOTES_FIRST, 3))
+    return F.transform(a, lambda s: F.struct(
+        js_trim(F.when(F.size(s["nt"]) > 1, js_trim(F.concat(s["nt"][0], s["nt"][2]))).otherwise(s["t2"])).alias("name"),
+        s["quantity"].alias("quantity"), s["unit"].alias("unit"),
+        F.when(F.size(s["nt"]) > 1, s["nt"][1]).alias("notes")))
 
 
 def _remove_first(text: Column, pattern: str) -> Column:
@@ -73,43 +148,7 @@ def parse_ingredient_line(line: Column, style: str = "line", units=None) -> Colu
     replaces the unit list.
     """
     unit_re = UNIT_RE if units is None else unit_pattern(units)
-    if style == "line":
-        t0 = js_trim(line)
-        notes = F.nullif(F.regexp_extract(t0, _NOTES, 1), F.lit(""))
-        t1 = F.when(notes.isNotNull(), js_trim(_remove_first(t0, _NOTES))).otherwise(t0)
-        rng = F.regexp_extract(t1, "^" + _RANGE, 0)
-        frac = F.regexp_extract(t1, "^" + _FRACTION, 0)
-        num = F.regexp_extract(t1, "^" + _NUMBER, 0)
-        quantity = (F.when(rng != "", F.concat(F.regexp_extract(t1, "^" + _RANGE, 1), F.lit("-"),
-                                               F.regexp_extract(t1, "^" + _RANGE, 2)))
-                    .when(frac != "", js_trim(frac))
-                    .when(num != "", js_number_text(num)))
-        t2 = (F.when(rng != "", js_trim(F.regexp_replace(t1, "^" + _RANGE, "")))
-              .when(frac != "", js_trim(F.regexp_replace(t1, "^" + _FRACTION, "")))
-              .when(num != "", js_trim(F.regexp_replace(t1, "^" + _NUMBER, "")))
-              .otherwise(t1))
-        unit, rest = _unit_and_rest(t2, unit_re)
-        name = js_trim(rest)
-        return F.struct(name.alias("name"), quantity.alias("quantity"), unit.alias("unit"), notes.alias("notes"))
-
-    # post style
-    t0 = js_trim(line)
-    cleaned = F.regexp_replace(t0, r"^(?:[*\-•◦→]+\.?\s*|\d+[.)](?:\s+|$))", "")
-    rng = F.regexp_extract(cleaned, _RANGE, 0)
-    frac = F.regexp_extract(cleaned, _FRACTION, 0)
-    num = F.regexp_extract(cleaned, "^" + _NUMBER_POST, 0)
-    quantity = (F.when(rng != "", F.concat(F.regexp_extract(cleaned, _RANGE, 1), F.lit("-"),
-                                           F.regexp_extract(cleaned, _RANGE, 2)))
-                .when(frac != "", js_trim(frac))
-                .when(num != "", js_number_text(num)))
-    t2 = (F.when(rng != "", js_trim(_remove_first(cleaned, _RANGE)))
-          .when(frac != "", js_trim(_remove_first(cleaned, _FRACTION)))
-          .when(num != "", js_trim(F.regexp_replace(cleaned, "^" + _NUMBER_POST, "")))
-          .otherwise(cleaned))
-    unit, t3 = _unit_and_rest(t2, unit_re)
-    notes = F.nullif(F.regexp_extract(t3, _NOTES, 1), F.lit(""))
-    t4 = F.when(notes.isNotNull(), js_trim(_remove_first(t3, _NOTES))).otherwise(t3)
-    return F.struct(js_trim(t4).alias("name"), quantity.alias("quantity"), unit.alias("unit"), notes.alias("notes"))
+    return F.get(_parse_array(F.array(line), style, unit_re), 0)
 
 
 _POST_SKIP = r"(?i)^(ingredient|instruction|direction|step|method|prep|cook)"
@@ -119,11 +158,11 @@ def parse_ingredient_lines_col(lines: ColumnOrName, style: str = "line", units=N
     """Parse every element of an array of lines.  Post style drops blank, short and header-like
     lines and entries whose name ends up empty."""
     lines = col(lines)
+    unit_re = UNIT_RE if units is None else unit_pattern(units)
     if style == "line":
-        return F.transform(lines, lambda l: parse_ingredient_line(l, "line", units))
+        return _parse_array(lines, "line", unit_re)
     kept = F.filter(lines, lambda l: (F.length(js_trim(l)) >= 3) & ~js_trim(l).rlike(_POST_SKIP))
-    parsed = F.transform(kept, lambda l: parse_ingredient_line(l, "post", units))
-    return F.filter(parsed, lambda s: s["name"] != "")
+    return F.filter(_parse_array(kept, "post", unit_re), lambda s: s["name"] != "")
 
 
 def parse_ingredient_lines(df: DataFrame, lines: str, out: str = "ingredients", style: str = "line",

@@ -78,10 +78,17 @@ def build_postings(docs: DataFrame, fields: Mapping[str, Analyzer], key: Sequenc
 
 
 def field_lengths(docs: DataFrame, fields: Mapping[str, Analyzer], key: Sequence[str] = ("id",)) -> DataFrame:
-    """(field, key..., dl) for documents with at least one token in the field (stemming does
-    not change lengths, so it is skipped here)."""
-    return field_tokens(docs, {f: _unstemmed(a) for f, a in fields.items()}, key).filter(
-        F.col("dl") > 0).drop("tokens")
+    """(field, key..., dl) per document (stemming does not change lengths, so it is skipped).
+    Documents with an empty field keep dl = 0; statistics count only dl > 0, inside the
+    aggregate, so the analyser is not pushed into a filter and evaluated twice."""
+    return field_tokens(docs, {f: _unstemmed(a) for f, a in fields.items()}, key).drop("tokens")
+
+
+def field_stats(lengths: DataFrame, field: str) -> tuple[Column, Column]:
+    """(documents with the field, average length) as scalar subqueries over one aggregate."""
+    st = lengths.filter(F.col("field") == field).agg(
+        F.count_if(F.col("dl") > 0).cast("double").alias("n"), F.avg(F.when(F.col("dl") > 0, F.col("dl"))).alias("a"))
+    return st.select("n").scalar(), st.select("a").scalar()
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
@@ -94,9 +101,7 @@ def bm25(postings: DataFrame, lengths: DataFrame, terms: DataFrame, field: str,
     """S3: (key..., score) for documents with at least one query term in ``field``
     (``per_term=True``: (key..., term, score))."""
     key = list(key)
-    lens = lengths.filter(F.col("field") == field)
-    n_docs = lens.select(F.count(F.lit(1)).cast("double")).scalar()
-    avgdl = lens.select(F.avg("dl")).scalar()
+    n_docs, avgdl = field_stats(lengths, field)
     # ``terms`` comes from the query text: its size is bounded by the query, not by the data.
     p = postings.filter(F.col("field") == field).join(F.broadcast(terms), "term")
     dfs = p.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

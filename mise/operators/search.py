@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.analysis import english, ingredient_analyzer, tokens_col
 from .relational import _order, page
-from .scoring import Analyzer, bm25, build_postings, field_lengths, query_terms
+from .scoring import Analyzer, bm25, build_postings, field_lengths, field_stats, query_terms
 
 MISSING = object()
 
@@ -339,7 +339,7 @@ def more_like(docs: DataFrame, seed_id, field: str = "title", max_terms: int = 1
     fields = {field: analyzer}
     post = build_postings(docs, fields)
     lens = field_lengths(docs, fields)
-    n_docs = lens.select(F.count(F.lit(1)).cast("double")).scalar()
+    n_docs, _ = field_stats(lens, field)
     seed = post.filter(F.col("id") == F.lit(seed_id)).filter(F.col("tf") >= min_term_freq).select("term", "tf")
     dfs = post.join(F.broadcast(seed.select("term")), "term", "left_semi").groupBy("term").agg(
         F.count(F.lit(1)).alias("df"))

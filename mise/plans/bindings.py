@@ -23,13 +23,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.relational import build_documents
+from ..session import spread
 
 # Junction columns that make the ingredient order total ((order, line) is not unique in lineitem).
 TIE_BREAK = ("ingredient_id", "measurement_id", "amount", "price")
 
 
+# Tables whose rows carry long texts: parsed row by row, so spread over all cores when small.
+TEXT_TABLES = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
 def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:

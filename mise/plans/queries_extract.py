@@ -12,6 +12,7 @@ from ..functions import numbers as NB
 from ..functions import records as RC
 from ..functions import text as TX
 from ..functions.ingredients import parse_ingredient_line
+from ..session import spread
 from . import bindings as B
 from .catalog import MENTIONS_CTE, RECIPES_CTE, register, with_ctes
 from .queries_search import TDOCS_CTE, sql_lit
@@ -30,7 +31,7 @@ def _synth_lines(spark, d):
                             F.col("l_returnflag"), F.lit(")")))
              .when(F.col("l_linenumber") == 2, F.concat(F.lit("1/"), q, F.lit(" "), t, F.lit(". "), F.col("p_name")))
              .otherwise(F.concat(q, F.lit(" "), t, F.lit(" "), F.col("p_name"))))
-    return li.join(p, li["l_partkey"] == p["p_partkey"]).select(line.alias("line"))
+    return spread(li.join(p, li["l_partkey"] == p["p_partkey"]), "l_orderkey").select(line.alias("line"))
 
 
 @register("parse_ingredient_lines", """

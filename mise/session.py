@@ -13,6 +13,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -56,3 +57,14 @@ def table_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "tables", name)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition on ``keys`` only when ``df`` has fewer partitions than the cluster has
+    task slots (an input stored as one large row group); row-local CPU work such as text
+    parsing then uses every core.  Inputs with enough splits are returned unchanged, so at
+    scale this adds no shuffle.  Hashing on a key keeps the result deterministic on retry."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys) if keys else df.repartition(slots)
