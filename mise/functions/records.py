@@ -170,8 +170,13 @@ def validation_errors_col(json_text: ColumnOrName) -> Column:
     """Names of the strict-schema rules a JSON record breaks (empty array when valid)."""
     v = F.try_parse_json(col(json_text))
 
+    # Every check is NULL-safe: ``forall`` returns NULL when a predicate is NULL (a missing
+    # field), and a NULL must count as a violation, not as a pass.
     def is_str(x):
-        return _vtype(x) == "STRING"
+        return F.coalesce(_vtype(x) == "STRING", F.lit(False))
+
+    def is_num(x):
+        return F.coalesce(_vtype(x).rlike(_NUMBER_TYPE), F.lit(False))
 
     def opt_str(x):  # optional: may be absent, but when present must be a string
         return x.isNull() | is_str(x)
@@ -191,8 +196,7 @@ def validation_errors_col(json_text: ColumnOrName) -> Column:
         ("ingredients.notes", F.coalesce(F.forall(ing_arr, lambda e: opt_str(_field(e, "notes"))), F.lit(True))),
         ("instructions.type", _vtype(steps).startswith("ARRAY")),
         ("instructions.min", F.coalesce(F.size(step_arr) >= 1, F.lit(False))),
-        ("instructions.step", F.coalesce(F.forall(step_arr, lambda e: _vtype(_field(e, "step")).rlike(_NUMBER_TYPE)),
-                                         F.lit(True))),
+        ("instructions.step", F.coalesce(F.forall(step_arr, lambda e: is_num(_field(e, "step"))), F.lit(True))),
         ("instructions.title", F.coalesce(F.forall(step_arr, lambda e: is_str(_field(e, "title"))), F.lit(True))),
         ("instructions.description", F.coalesce(F.forall(step_arr, lambda e: is_str(_field(e, "description"))),
                                                 F.lit(True))),

@@ -287,7 +287,7 @@ register("extraction_counts_by_lang")(extraction_counts_by_lang)
 
 
 def coerce_event_props(spark, d):
-    """B24 / B25 over the JSON cells of ``events``."""
+    """B24 / B25 over the JSON cells of ``events`` (objects without recipe fields)."""
     e = B.table(spark, d, "events")
     return e.select("event_id", RC.coerce_records_col("props").alias("r"),
                     F.array_join(RC.validation_errors_col("props"), ",").alias("errors")).select(
@@ -295,3 +295,57 @@ def coerce_event_props(spark, d):
 
 
 register("coerce_event_props")(coerce_event_props)
+
+
+def _json_records(spark, d):
+    """One JSON record per order: well typed (status F), wrongly typed (O) or strict-shaped (P)."""
+    docs = B.documents(spark, d)
+    ings_f = F.to_json(F.transform("ingredients", lambda e: F.struct(e["name"].alias("name"),
+                                                                      e["quantity"].alias("quantity"))))
+    ings_p = F.to_json(F.transform("ingredients", lambda e: F.struct(
+        e["name"].alias("item"), F.concat(e["quantity"].cast("int").cast("string"), F.lit(" cup")).alias("amount"))))
+    idc = F.col("id").cast("string")
+    rec = (F.when(F.col("difficulty") == "F",
+                  F.concat(F.lit('{"title":"order '), idc, F.lit('","ingredients":'), ings_f,
+                           F.lit(',"instructions":["Mix well"],"prepTime":'),
+                           F.col("total_time_minutes").cast("string"), F.lit("}")))
+            .when(F.col("difficulty") == "O",
+                  F.concat(F.lit('{"title":'), idc, F.lit(',"ingredients":"none","instructions":[1,2],'
+                                                          '"servings":"2-4"}')))
+            .otherwise(F.concat(F.lit('{"title":"t'), idc, F.lit('","ingredients":'), ings_p,
+                                F.lit(',"instructions":[{"step":1,"title":"Mix","description":"Mix it"}]}'))))
+    return docs.select("id", rec.alias("json"))
+
+
+_ERR_F = "'instructions.step,instructions.title,instructions.description,prepTime'"
+
+
+@register("coerce_json_records", with_ctes(RECIPES_CTE, MENTIONS_CTE, """
+per AS (SELECT id, count(*) AS n,
+               string_agg(CASE WHEN l_quantity = floor(l_quantity) THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
+                               ELSE CAST(l_quantity AS VARCHAR) END, '|'
+                          ORDER BY order_index, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS q
+        FROM mentions GROUP BY id)""") + f"""
+SELECT r.id,
+       CASE r.difficulty WHEN 'F' THEN 'order ' || CAST(r.id AS VARCHAR) WHEN 'O' THEN 'Untitled Recipe'
+            ELSE 't' || CAST(r.id AS VARCHAR) END AS title,
+       CASE WHEN r.difficulty = 'O' THEN 0 ELSE coalesce(p.n, 0) END AS n_ingredients,
+       CASE WHEN r.difficulty = 'F' THEN coalesce(p.q, '') ELSE '' END AS quantities,
+       CASE WHEN r.difficulty = 'F' THEN 1 ELSE 0 END AS n_instructions,
+       CASE WHEN r.difficulty = 'F' THEN CAST(r.total_time_minutes AS VARCHAR) END AS prep_time,
+       CASE WHEN r.difficulty = 'O' THEN '2-4' END AS servings,
+       CASE WHEN r.difficulty = 'F' THEN
+              CASE WHEN p.n IS NULL THEN 'ingredients.min,' || {_ERR_F}
+                   ELSE 'ingredients.item,ingredients.amount,' || {_ERR_F} END
+            WHEN r.difficulty = 'O' THEN
+              'title,ingredients.type,ingredients.min,instructions.step,instructions.title,instructions.description'
+            ELSE CASE WHEN p.n IS NULL THEN 'ingredients.min' ELSE '' END END AS errors
+FROM recipes r LEFT JOIN per p ON r.id = p.id""")
+def coerce_json_records(spark, d):
+    j = _json_records(spark, d)
+    r = j.select("id", RC.coerce_records_col("json").alias("r"),
+                 F.array_join(RC.validation_errors_col("json"), ",").alias("errors"))
+    return r.select("id", F.col("r.title").alias("title"), F.size("r.ingredients").cast("bigint").alias("n_ingredients"),
+                    F.array_join(F.transform("r.ingredients", lambda e: e["quantity"]), "|").alias("quantities"),
+                    F.size("r.instructions").alias("n_instructions"), F.col("r.prepTime").alias("prep_time"),
+                    F.col("r.servings").alias("servings"), "errors")
