@@ -249,16 +249,75 @@ def clean_document_lines(spark, d):
     return c.select("id", F.size("c").alias("n_steps"), F.md5(F.array_join("c", "\n")).alias("steps_md5"))
 
 
+def _post_sql() -> str:
+    """DuckDB form of the post pipeline's scalar fields and step count (default headers)."""
+    low = "lower(text)"
+    servings_found = _cascade_sql(low, lx.SERVINGS_PATTERNS)
+    hints = []
+    for words, value in lx.SERVINGS_HINTS:
+        cond = " OR ".join(f"contains({low}, '{w}')" for w in words)
+        if value == "pieces":
+            v = (f"CAST(TRY_CAST(nullif(regexp_extract({low}, {sql_lit(lx.PIECES_PATTERN)}, 1), '') AS BIGINT) "
+                 f"AS VARCHAR)")
+        else:
+            v = f"'{value}'"
+        hints.append(f"WHEN {cond} THEN {v}")
+    servings = (f"CASE WHEN {servings_found} IS NOT NULL THEN CASE WHEN contains({servings_found}, '-') THEN "
+                f"{servings_found} ELSE CAST(TRY_CAST({servings_found} AS BIGINT) AS VARCHAR) END "
+                + " ".join(hints) + " END")
+    prep_guess = "CASE " + " ".join(
+        "WHEN " + " OR ".join(f"contains({low}, '{w}')" for w in words) + f" THEN '{v}'"
+        for words, v in lx.PREP_HINTS) + " END"
+    labelled = f"lower({_cascade_sql(low, lx.DIFFICULTY_PATTERNS)})"
+    hint = ("CASE WHEN " + " OR ".join(f"contains({low}, '{w}')" for w in lx.EASY_HINTS) + " THEN 'easy' WHEN "
+            + " OR ".join(f"contains({low}, '{w}')" for w in lx.HARD_HINTS) + " THEN 'hard' END")
+    override = " OR ".join(f"contains({low}, '{w}')" for w in lx.MEDIUM_OVERRIDES)
+    difficulty = f"CASE WHEN {override} THEN 'medium' ELSE coalesce({labelled}, {hint}) END"
+    dietary = f"list_filter({[k for k in lx.DIETARY]}, lambda k: contains({low}, k))"
+    excl = " AND ".join(f"NOT contains(lower(t), '{w}')" for w in lx.DESCRIPTION_EXCLUDES)
+    return "WITH " + _sections_sql(TX.DEFAULT_HEADERS) + f""",
+tl AS (SELECT id, pos, regexp_replace(line, '^\s+|\s+$', '', 'g') AS t FROM ln),
+d1 AS (SELECT id, arg_min(t, pos) AS d FROM tl
+       WHERE length(t) > 30 AND {excl} AND NOT regexp_matches(t, '^\d+\.')
+         AND NOT starts_with(t, '**') AND NOT starts_with(t, '-') GROUP BY id),
+gen AS (SELECT id, nullif(substr(regexp_replace(string_agg(line, ' ' ORDER BY pos), '^\s+|\s+$', '', 'g'), 1, 500), '')
+               AS g
+        FROM (SELECT id, pos, line, row_number() OVER (PARTITION BY id ORDER BY pos) AS k FROM tg WHERE tag = 'general')
+        WHERE k <= 3 GROUP BY id),
+steps AS (SELECT t.id, count(*) FILTER (WHERE length(regexp_replace({_CLEAN.replace('(x,', '(t.line,')},
+                                                             '^\s+|\s+$', '', 'g')) > 10) AS n
+          FROM tg t JOIN cnt c ON t.id = c.id
+          WHERE CASE WHEN c.i = 0 AND c.s = 0 THEN NOT regexp_matches(regexp_replace(t.line, '^\s+|\s+$', '', 'g'),
+                                                                      {sql_lit(lx.MEASURE_LINE)})
+                                                 AND regexp_matches(regexp_replace(t.line, '^\s+|\s+$', '', 'g'),
+                                                                    {sql_lit(lx.VERB_LINE)})
+                     ELSE t.tag = 'instructions' END
+          GROUP BY t.id)
+SELECT doc.doc_id AS id, doc.lang, coalesce(d1.d, gen.g) AS description,
+       CAST(coalesce(steps.n, 0) AS INTEGER) AS n_steps,
+       {servings} AS servings,
+       coalesce({_cascade_sql(low, lx.PREP_PATTERNS)}, {prep_guess}) AS prep_time,
+       {_cascade_sql(low, lx.COOK_PATTERNS)} AS cook_time,
+       {_cascade_sql(low, lx.TOTAL_PATTERNS)} AS total_time,
+       {difficulty} AS difficulty,
+       {_first_kw_sql(low, lx.CUISINES)} AS cuisine,
+       {_first_kw_sql(low, lx.COURSES)} AS course,
+       coalesce({_first_kw_sql(low, lx.MEALS)}, {_case_contains(low, lx.MEAL_GROUPS)}) AS meal_type,
+       nullif(array_to_string({dietary}, '|'), '') AS dietary_tags
+FROM documents doc LEFT JOIN d1 ON doc.doc_id = d1.id LEFT JOIN gen ON doc.doc_id = gen.id
+LEFT JOIN steps ON doc.doc_id = steps.id"""
+
+
+@register("extract_posts_documents", _post_sql())
 def extract_posts_documents(spark, d):
     """B17 over whole documents (text as the post, first line as the title)."""
-    t = B.text_documents(spark, d)
-    out = RC.extract_posts(t, "text", "title")
-    return out.select("id", "lang", F.size("recipe.ingredients").alias("n_ingredients"),
-                      F.size("recipe.instructions").alias("n_steps"), "recipe.description", "recipe.difficulty",
-                      "recipe.mealType", "recipe.course")
-
-
-register("extract_posts_documents")(extract_posts_documents)
+    t = B.table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", "text",
+                                              F.substring_index("text", "\n", 1).alias("title"))
+    r = RC.extract_posts(t, "text", "title").select("id", "lang", "recipe.*")
+    return r.select("id", "lang", "description", F.size("instructions").alias("n_steps"), "servings",
+                    F.col("prepTime").alias("prep_time"), F.col("cookTime").alias("cook_time"),
+                    F.col("totalTime").alias("total_time"), "difficulty", "cuisine", "course",
+                    F.col("mealType").alias("meal_type"), F.array_join("dietaryTags", "|").alias("dietary_tags"))
 
 
 def extract_structured_orders(spark, d):
@@ -349,3 +408,19 @@ def coerce_json_records(spark, d):
                     F.array_join(F.transform("r.ingredients", lambda e: e["quantity"]), "|").alias("quantities"),
                     F.size("r.instructions").alias("n_instructions"), F.col("r.prepTime").alias("prep_time"),
                     F.col("r.servings").alias("servings"), "errors")
+
+
+@register("extraction_counts_json", with_ctes(RECIPES_CTE, MENTIONS_CTE, """
+per AS (SELECT id, count(*) AS n FROM mentions GROUP BY id),
+x AS (SELECT r.difficulty AS dataset,
+             CASE WHEN r.difficulty = 'O' THEN 0 ELSE coalesce(p.n, 0) END AS n_ing,
+             CASE WHEN r.difficulty = 'F' THEN 1 ELSE 0 END AS n_ins
+      FROM recipes r LEFT JOIN per p ON r.id = p.id)""") + """
+SELECT dataset, count(*) AS entries, sum(n_ing) AS ingredients_found, sum(n_ins) AS steps_found,
+       round(avg(n_ing), 6) AS avg_ingredients, round(avg(n_ins), 6) AS avg_steps,
+       count(*) FILTER (WHERE n_ing = 0) AS without_ingredients, count(*) FILTER (WHERE n_ins = 0) AS without_steps
+FROM x GROUP BY dataset""")
+def extraction_counts_json(spark, d):
+    """B31 over records coerced from per-order JSON (dataset = order status)."""
+    j = _json_records(spark, d).join(B.recipes(spark, d).select("id", F.col("difficulty").alias("dataset")), "id")
+    return RC.extraction_counts(j.select("dataset", RC.coerce_records_col("json").alias("recipeData")), "dataset")
