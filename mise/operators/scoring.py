@@ -120,3 +120,33 @@ def bm25_frame(docs: DataFrame, text: str, field: str, analyzer: Analyzer = engl
     terms = query_terms(docs.sparkSession, text, analyzer)
     return bm25(build_postings(docs, fields, key, terms), field_lengths(docs, fields, key), terms, field, key,
                 boost=boost)
+
+
+# ---------------------------------------------------------------------- persisted postings
+def term_bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def write_postings(postings: DataFrame, lengths: DataFrame, path: str, buckets: int = 64) -> None:
+    """Persist the index once: postings partitioned by field and term bucket, lengths by field.
+    Queries then read only the buckets of their terms (see :func:`read_postings`)."""
+    (postings.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
+             .write.mode("overwrite").partitionBy("field", "term_bucket").parquet(f"{path}/postings"))
+    lengths.write.mode("overwrite").partitionBy("field").parquet(f"{path}/lengths")
+
+
+def read_postings(spark: SparkSession, path: str, terms: DataFrame, field: str, buckets: int = 64) -> DataFrame:
+    """Postings of ``field`` for the query ``terms`` only.
+
+    The bucket ids of the query terms (at most one per query term, computed by the same Spark
+    hash) become a static partition filter, so only those directories are listed and read;
+    the semi join with the broadcast terms then keeps the exact terms."""
+    q = terms.select("term").distinct().withColumn("term_bucket", term_bucket(F.col("term"), buckets))
+    wanted = sorted({r[0] for r in q.select("term_bucket").collect()})   # bounded by the query text
+    post = (spark.read.parquet(f"{path}/postings")
+                 .filter((F.col("field") == field) & F.col("term_bucket").isin(wanted)))
+    return post.join(F.broadcast(q), ["term_bucket", "term"], "left_semi").drop("term_bucket")
+
+
+def read_lengths(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/lengths")
