@@ -62,3 +62,57 @@ def test_recent_counts_batch_form(spark):
                                "ts string").select(F.col("ts").cast("timestamp").alias("ts"))
     got = sorted((str(r.window_start), r["count"]) for r in INC.recent_counts(df).collect())
     assert got == [("2024-01-01 00:00:00", 2), ("2024-01-01 01:00:00", 1)]
+
+
+def test_stream_extract_posts(spark, tmp_path):
+    src, out, ck = tmp_path / "csv", str(tmp_path / "out"), str(tmp_path / "ck2")
+    src.mkdir()
+    (src / "posts1.csv").write_text("date,num_comments,title,user,comment,n_char\n"
+                                    '2020-01-01,3,Cake,u,"Ingredients:\n2 cups flour\nSteps:\nMix the flour well.",5\n')
+    INC.stream_extract(spark, str(src), out, ck).awaitTermination()
+    (src / "posts2.csv").write_text("date,num_comments,title,user,comment,n_char\n"
+                                    '2020-01-02,1,Soup,v,"Serves 4\nBoil the water for the soup.",5\n')
+    INC.stream_extract(spark, str(src), out, ck).awaitTermination()
+    got = {r.title: r for r in spark.read.parquet(out).select("title", "recipe.*").collect()}
+    assert set(got) == {"Cake", "Soup"}
+    assert got["Cake"].ingredients[0].name == "flour" and got["Soup"].servings == "4"
+
+
+def test_refresh_documents(spark):
+    from mise.operators.relational import build_documents
+    rec = spark.createDataFrame([(1, "Old", "2024-01-01 00:00:00"), (2, "Keep", "2024-01-01 00:00:00")],
+                                "id long, title string, updated_at string").withColumn(
+        "updated_at", F.col("updated_at").cast("timestamp"))
+    j = spark.createDataFrame([(1, 10, None, None, None, 1)], "recipe_id long, ingredient_id long, measurement_id long, "
+                                                            "amount decimal(10,3), notes string, order_index int")
+    ing = spark.createDataFrame([(10, "salt")], "id long, name string")
+    meas = spark.createDataFrame([], "id long, name string")
+    t = L.Tables(rec, j, ing, meas)
+    docs = build_documents(rec, j, ing, meas)
+    rec2 = rec.withColumn("title", F.when(F.col("id") == 1, "New").otherwise(F.col("title"))) \
+              .withColumn("updated_at", F.when(F.col("id") == 1, F.lit("2024-02-01").cast("timestamp"))
+                          .otherwise(F.col("updated_at")))
+    out = INC.refresh_documents(docs, L.Tables(rec2, j, ing, meas), "2024-01-15")
+    got = {r.id: (r.title, [i.name for i in r.ingredients]) for r in out.collect()}
+    assert got == {1: ("New", ["salt"]), 2: ("Keep", [])}
+    assert t.recipes.count() == 2
+
+
+def test_stream_windows_and_dedupe(spark, tmp_path):
+    src = tmp_path / "ev"
+    src.mkdir()
+    schema = "ts timestamp, dataset string, entryNumber long"
+    rows = [("2024-01-01 00:10:00", "d", 1), ("2024-01-01 00:50:00", "d", 2), ("2024-01-01 00:55:00", "d", 2),
+            ("2024-01-01 02:30:00", "d", 3)]
+    spark.createDataFrame(rows, "ts string, dataset string, entryNumber long") \
+         .withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(str(src / "drop1"))
+    q = INC.stream_recent(spark, str(src / "drop1"), schema, "recent_counts_t5", str(tmp_path / "ck5"), "ts",
+                          "1 hour", "10 minutes")
+    q.awaitTermination()
+    got = {str(r.window_start): r["count"] for r in spark.sql("SELECT * FROM recent_counts_t5").collect()}
+    assert got.get("2024-01-01 00:00:00") == 3
+    stream = spark.readStream.schema(schema).parquet(str(src / "drop1"))
+    dq = (INC.dedupe_stream(stream, "ts", "1 hour").writeStream.format("memory").queryName("dedup_t4")
+             .option("checkpointLocation", str(tmp_path / "ck4")).trigger(availableNow=True).start())
+    dq.awaitTermination()
+    assert sorted(r.entryNumber for r in spark.sql("SELECT * FROM dedup_t4").collect()) == [1, 2, 3]
