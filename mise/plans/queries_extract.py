@@ -320,22 +320,26 @@ def extract_posts_documents(spark, d):
                     F.col("mealType").alias("meal_type"), F.array_join("dietaryTags", "|").alias("dietary_tags"))
 
 
+@register("extract_structured_orders", with_ctes(RECIPES_CTE, MENTIONS_CTE, """
+per AS (SELECT id, count(*) AS n FROM mentions GROUP BY id)""") + """
+SELECT r.id, coalesce(p.n, 0) AS n_ingredients, CAST(r.total_time_minutes AS VARCHAR) || ' min' AS cook_time,
+       CAST((r.id % 6) + 1 AS VARCHAR) AS servings, 2 AS n_steps
+FROM recipes r LEFT JOIN per p ON r.id = p.id""")
 def extract_structured_orders(spark, d):
-    """B18 over JSON-array cells built per order: ingredient lines and direction-like lines."""
+    """B18 over JSON-array cells built per order: ingredient lines and two directions."""
     docs = B.documents(spark, d)
     ing = F.to_json(F.transform("ingredients", lambda e: F.concat(e["quantity"].cast("string"), F.lit(" "),
                                                                    e["unit"], F.lit(" "), e["name"])))
-    dirs = F.to_json(F.array(F.concat(F.lit("Bake for "), F.col("total_time_minutes").cast("string"),
-                                      F.lit(" minutes until done."))))
+    dirs = F.to_json(F.array(
+        F.concat(F.lit("Cook time: "), F.col("total_time_minutes").cast("string"), F.lit(" minutes, until done.")),
+        F.concat(F.lit("Serves "), ((F.col("id") % 6) + 1).cast("string"), F.lit(" as a main dish."))))
     rows = docs.select("id", "title", ing.alias("ingredients"), dirs.alias("directions"))
     out = RC.extract_structured(rows)
-    return out.select("id", F.size("recipe.ingredients").alias("n_ingredients"), "recipe.cookTime",
+    return out.select("id", F.size("recipe.ingredients").cast("bigint").alias("n_ingredients"),
+                      F.col("recipe.cookTime").alias("cook_time"), F.col("recipe.servings").alias("servings"),
                       F.size("recipe.instructions").alias("n_steps"))
 
 
-register("extract_structured_orders")(extract_structured_orders)
-
-
 def extraction_counts_by_lang(spark, d):
     """B31 over the B17 output of ``documents``."""
     t = B.text_documents(spark, d).withColumnRenamed("lang", "dataset")
@@ -353,7 +357,10 @@ def coerce_event_props(spark, d):
         "event_id", "r.title", "r.ingredients", "errors")
 
 
-register("coerce_event_props")(coerce_event_props)
+register("coerce_event_props", """
+SELECT event_id, NULL AS title, NULL AS ingredients,
+       'title,ingredients.type,ingredients.min,instructions.type,instructions.min' AS errors
+FROM events""")(coerce_event_props)
 
 
 def _json_records(spark, d):
