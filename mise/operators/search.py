@@ -178,15 +178,46 @@ def nested_scores(docs: DataFrame, text: str, score_mode: str = "sum", analyzer:
     return s.groupBy("id").agg(agg("score").alias("score"))
 
 
+def nested_scores_flat(mentions: DataFrame, text: str, score_mode: str = "sum",
+                       analyzer: Analyzer = ingredient_analyzer, k1: float = 1.2, b: float = 0.75) -> DataFrame:
+    """(id, score) from flat (id, name) mentions, equal to :func:`nested_scores`.
+
+    An entry's BM25 depends only on its name, so names are scored once: mentions are counted
+    per distinct name (partially aggregated, so a name in a third of all recipes costs one row
+    per task), document frequencies are sums of those counts, and the per-name scores are
+    joined back to the mentions (AQE broadcasts the scored names when small and splits a hot
+    name otherwise)."""
+    terms = query_terms(mentions.sparkSession, text, analyzer)
+    names = mentions.groupBy("name").agg(F.count(F.lit(1)).alias("cnt"))
+    toks = names.select("name", "cnt", analyzer(F.col("name")).alias("tokens")).withColumn("dl", F.size("tokens"))
+    st = toks.agg(F.sum(F.when(F.col("dl") > 0, F.col("cnt"))).cast("double").alias("n"),
+                  (F.sum(F.col("cnt") * F.col("dl")) / F.sum(F.when(F.col("dl") > 0, F.col("cnt")))).alias("a"))
+    n_docs, avgdl = st.select("n").scalar(), st.select("a").scalar()
+    post = (toks.select("name", "cnt", "dl", F.explode("tokens").alias("term"))
+                .join(F.broadcast(terms), "term")
+                .groupBy("name", "cnt", "dl", "term", "qtf").agg(F.count(F.lit(1)).alias("tf")))
+    dfs = post.groupBy("term").agg(F.sum("cnt").alias("df"))
+    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    tf = F.col("tf").cast("double")
+    norm = tf / (tf + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / avgdl))
+    per_name = (post.join(F.broadcast(dfs), "term")   # one row per query term
+                    .groupBy("name").agg(F.sum(F.col("qtf") * idf * norm).alias("_s")))
+    agg = {"sum": F.sum, "max": F.max, "avg": F.avg}[score_mode]
+    return mentions.join(per_name, "name").groupBy("id").agg(agg("_s").alias("score"))
+
+
 def nested_match(docs: DataFrame, text: str, score_mode: str = "sum", k: int = 10,
-                 analyzer: Analyzer = ingredient_analyzer) -> DataFrame:
-    """Documents with an ingredient matching any analysed term, scored by nested BM25."""
-    return _attach(docs, nested_scores(docs, text, score_mode, analyzer), k)
+                 analyzer: Analyzer = ingredient_analyzer, flat: DataFrame | None = None) -> DataFrame:
+    """Documents with an ingredient matching any analysed term, scored by nested BM25
+    (from flat (id, name) mentions when ``flat`` is given)."""
+    scores = (nested_scores_flat(flat, text, score_mode, analyzer) if flat is not None
+              else nested_scores(docs, text, score_mode, analyzer))
+    return _attach(docs, scores, k)
 
 
-def any_of_ingredients(docs: DataFrame, terms: Sequence[str], k: int = 10) -> DataFrame:
+def any_of_ingredients(docs: DataFrame, terms: Sequence[str], k: int = 10, flat: DataFrame | None = None) -> DataFrame:
     """At least one of the terms, nested scores summed."""
-    return nested_match(docs, " ".join(terms), "sum", k)
+    return nested_match(docs, " ".join(terms), "sum", k, flat=flat)
 
 
 def nested_match_pred(text: str, analyzer: Analyzer = ingredient_analyzer, path: str = "ingredients") -> Column:

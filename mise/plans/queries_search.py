@@ -168,7 +168,7 @@ def _nested_sql(query: str, k: int) -> str:
 
 @register("nested_ingredient_match", _nested_sql("widget hot", 10))
 def nested_ingredient_match(spark, d):
-    return _scores(S.nested_match(B.documents(spark, d), "widget hot", "sum", k=10))
+    return _scores(S.nested_match(B.recipes(spark, d), "widget hot", "sum", k=10, flat=B.mentions(spark, d, ())))
 
 
 @register("seasonal_ingredients", _nested_sql("anvil gizmo", 10))
@@ -176,6 +176,12 @@ def seasonal_ingredients(spark, d):
     return _scores(S.any_of_ingredients(B.documents(spark, d), ["anvil", "gizmo"], k=10))
 
 
+@register("nested_match_documents", _nested_sql("widget hot", 10))
+def nested_match_documents(spark, d):
+    """The nested-document form of S11 (posexplode of the ingredient arrays)."""
+    return _scores(S.nested_match(B.documents(spark, d), "widget hot", "sum", k=10))
+
+
 @register("recommend_recipes", with_ctes(MENTIONS_CTE) + """
 SELECT id, count(*) AS matched FROM mentions WHERE name IN ('red widget', 'hot plate', 'small gear')
 GROUP BY id ORDER BY matched DESC, id LIMIT 10""")
