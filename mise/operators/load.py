@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .keys import dense_ids, max_id
 
 
@@ -199,15 +200,22 @@ class Tables:
     measurements: DataFrame
 
 
-def load_stage(rows: DataFrame, tables: Tables, now: Column | None = None) -> tuple[Tables, DataFrame]:
+def load_stage(rows: DataFrame, tables: Tables, now: Column | None = None,
+               materialize: bool = True) -> tuple[Tables, DataFrame]:
     """Full load of recipe rows (the output of ``to_recipe_rows``) into the four tables.
 
     Order: dedupe titles inside the batch (first entry wins), skip titles already present,
     number new recipes after the current max id, get-or-create ingredients and measurements,
     then build junction rows.  Returns the new table states and one outcome row per entry
     (``inserted`` or ``existing``).  Loading the same batch twice inserts nothing the second time.
+
+    With ``materialize`` the batch is checkpointed once (into the shared checkpoint folder):
+    it feeds several branches (winners, losers, numbering, dimensions), which then read the
+    same rows instead of recomputing the batch's upstream plan for each.
     """
     now = now if now is not None else F.current_timestamp()
+    if materialize:
+        rows = cut_lineage(rows)
     order = [c for c in ("dataset", "entryNumber") if c in rows.columns] or ["title"]
     first = first_per_key(rows, "title", order)
     dup = duplicates_of_first(rows, "title", order)
