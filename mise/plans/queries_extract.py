@@ -431,3 +431,17 @@ def extraction_counts_json(spark, d):
     """B31 over records coerced from per-order JSON (dataset = order status)."""
     j = _json_records(spark, d).join(B.recipes(spark, d).select("id", F.col("difficulty").alias("dataset")), "id")
     return RC.extraction_counts(j.select("dataset", RC.coerce_records_col("json").alias("recipeData")), "dataset")
+
+
+@register("separator_lines", """
+SELECT p.p_name AS amount, CAST(CAST(floor(l.l_quantity) AS BIGINT) AS VARCHAR) || ' pcs' AS name, count(*) AS count
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY ALL""")
+def separator_lines(spark, d):
+    """B4 (separator style) on synthesised 'name - quantity pcs' lines."""
+    from ..functions.ingredients import amount_name
+    li = spread(B.table(spark, d, "lineitem"), "l_orderkey")
+    p = B.table(spark, d, "part").select("p_partkey", "p_name")
+    line = F.concat(F.lit("- "), F.col("p_name"), F.lit(" - "), F.floor("l_quantity").cast("string"), F.lit(" pcs"))
+    parsed = li.join(p, li["l_partkey"] == p["p_partkey"]).select(amount_name(line).alias("a"))
+    return parsed.groupBy(F.col("a.amount").alias("amount"), F.col("a.name").alias("name")).agg(
+        F.count(F.lit(1)).alias("count"))

@@ -387,3 +387,17 @@ best AS (SELECT id, max(score) AS score FROM allsc GROUP BY id)""") + """
 SELECT id, round(score, 6) AS score FROM best ORDER BY score DESC, id LIMIT 10""")
 def any_field_search(spark, d):
     return _scores(S.any_field(B.text_documents(spark, d), "fr des", ("title", "description"), ("lang", "source"), 10))
+
+
+_QT = sql_tokens(sql_lit("der und"))
+
+
+@register("text_search_documents", with_ctes(TDOCS_CTE, f"""
+tk AS (SELECT id, {sql_tokens("concat_ws(' ', coalesce(title, ''), coalesce(description, ''))")} AS toks FROM tdocs)""")
+          + f"""
+SELECT id, CAST(len(list_filter(toks, lambda x: list_contains({_QT}, x))) AS DOUBLE) AS rank FROM tk
+WHERE len({_QT}) > 0 AND list_has_all(toks, {_QT})
+ORDER BY rank DESC, id LIMIT 50""")
+def text_search_documents(spark, d):
+    from ..operators.relational import text_search
+    return text_search(B.text_documents(spark, d), "der und", ("title", "description"), 50).select("id", "rank")
