@@ -276,20 +276,20 @@ def _post_sql() -> str:
     dietary = f"list_filter({[k for k in lx.DIETARY]}, lambda k: contains({low}, k))"
     excl = " AND ".join(f"NOT contains(lower(t), '{w}')" for w in lx.DESCRIPTION_EXCLUDES)
     return "WITH " + _sections_sql(TX.DEFAULT_HEADERS) + f""",
-tl AS (SELECT id, pos, regexp_replace(line, '^\s+|\s+$', '', 'g') AS t FROM ln),
+tl AS (SELECT id, pos, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS t FROM ln),
 d1 AS (SELECT id, arg_min(t, pos) AS d FROM tl
-       WHERE length(t) > 30 AND {excl} AND NOT regexp_matches(t, '^\d+\.')
+       WHERE length(t) > 30 AND {excl} AND NOT regexp_matches(t, '^\\d+\\.')
          AND NOT starts_with(t, '**') AND NOT starts_with(t, '-') GROUP BY id),
-gen AS (SELECT id, nullif(substr(regexp_replace(string_agg(line, ' ' ORDER BY pos), '^\s+|\s+$', '', 'g'), 1, 500), '')
+gen AS (SELECT id, nullif(substr(regexp_replace(string_agg(line, ' ' ORDER BY pos), '^\\s+|\\s+$', '', 'g'), 1, 500), '')
                AS g
         FROM (SELECT id, pos, line, row_number() OVER (PARTITION BY id ORDER BY pos) AS k FROM tg WHERE tag = 'general')
         WHERE k <= 3 GROUP BY id),
 steps AS (SELECT t.id, count(*) FILTER (WHERE length(regexp_replace({_CLEAN.replace('(x,', '(t.line,')},
-                                                             '^\s+|\s+$', '', 'g')) > 10) AS n
+                                                             '^\\s+|\\s+$', '', 'g')) > 10) AS n
           FROM tg t JOIN cnt c ON t.id = c.id
-          WHERE CASE WHEN c.i = 0 AND c.s = 0 THEN NOT regexp_matches(regexp_replace(t.line, '^\s+|\s+$', '', 'g'),
+          WHERE CASE WHEN c.i = 0 AND c.s = 0 THEN NOT regexp_matches(regexp_replace(t.line, '^\\s+|\\s+$', '', 'g'),
                                                                       {sql_lit(lx.MEASURE_LINE)})
-                                                 AND regexp_matches(regexp_replace(t.line, '^\s+|\s+$', '', 'g'),
+                                                 AND regexp_matches(regexp_replace(t.line, '^\\s+|\\s+$', '', 'g'),
                                                                     {sql_lit(lx.VERB_LINE)})
                      ELSE t.tag = 'instructions' END
           GROUP BY t.id)
