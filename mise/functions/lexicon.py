@@ -111,6 +111,10 @@ EASY_HINTS_STRUCTURED = ["simple", "quick"]
 HARD_HINTS_STRUCTURED = ["complex", "advanced"]
 MEDIUM_OVERRIDES = ["tiramisu", "layered", "multiple steps", "whip", "fold", "temper"]
 
+# Source routing: a file whose name contains this marker holds structured rows (ingredients and
+# directions as JSON-array cells); every other file holds free-text posts.
+STRUCTURED_FILE_MARKER = "stromberg"
+
 # Description filters: a description line must not contain these words.
 DESCRIPTION_EXCLUDES = ["ingredients", "directions", "instructions", "method"]
 

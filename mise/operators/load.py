@@ -8,7 +8,6 @@ Dimensions are built set-wise before facts, so parallel loads cannot race on che
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 

@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from mise.functions import lexicon as lx
 from mise.functions.records import extract_posts
 from mise.operators.relational import text_search
 from mise.sources import readers as RD
@@ -14,7 +15,7 @@ HEADER = "date,num_comments,title,user,comment,n_char\n"
 
 
 def test_posts_csv_multiline_and_numbering(spark, tmp_path):
-    p = tmp_path / "reddit_posts.csv"
+    p = tmp_path / "posts.csv"
     p.write_text(HEADER + '2020-01-01,3,"A ""q"" t",u,"line1\nline2, x",5\n'
                  + '2020-01-02,4,second,v,"one line",8\n' + '2020-01-03,0,third,w,"x\ny\nz",9\n')
     df = RD.read_posts_csv(spark, str(p))
@@ -29,14 +30,15 @@ def test_numbering_per_file_with_split_blocks(spark, tmp_path):
     d = tmp_path / "many"
     d.mkdir()
     head = "title,ingredients,directions,link,source,NER,site\n"
-    for name, n in (("stromberg_a.csv", 3000), ("b.csv", 5)):
+    big = f"{lx.STRUCTURED_FILE_MARKER}_a.csv"
+    for name, n in ((big, 3000), ("b.csv", 5)):
         with open(d / name, "w") as fh:
             fh.write(head)
             for i in range(1, n + 1):
                 fh.write(f't{i},"[""{i} cup sugar""]","[""Mix well for {i} minutes.""]",l,s,n,x\n')
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")      # force several blocks per file
     try:
-        df = RD.read_many(spark, [str(d / "stromberg_a.csv"), str(d / "b.csv")], kind="structured")
+        df = RD.read_many(spark, [str(d / big), str(d / "b.csv")], kind="structured")
         got = df.select("dataset", "entry_number", "title").collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
