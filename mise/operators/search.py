@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.analysis import english, ingredient_analyzer
 from .relational import _order, page
-from .scoring import Analyzer, bm25, build_postings, field_lengths, field_stats, query_terms
+from .scoring import (Analyzer, bm25, build_postings, field_lengths, field_stats, query_terms, read_lengths,
+                      read_postings)
 
 
 
@@ -44,23 +45,35 @@ def match_all(df: DataFrame, from_: int = 0, size: int = 10, order: Sequence = (
 
 
 # ------------------------------------------------------------------------------ S5 - S7, S33
-def match(docs: DataFrame, field: str, text: str, analyzer: Analyzer = english, k: int = 10) -> DataFrame:
-    """BM25 on one field, any term; top ``k`` documents with ``score``."""
+def _postings_and_lengths(docs: DataFrame, field: str, analyzer: Analyzer, terms: DataFrame,
+                          index: str | None, buckets: int):
+    """From a persisted index (only the buckets of the query terms are read) or, without one,
+    built from ``docs`` with the query terms filtered before the shuffle."""
+    if index is not None:
+        spark = docs.sparkSession
+        return read_postings(spark, index, terms, field, buckets), read_lengths(spark, index)
     fields = {field: analyzer}
+    return build_postings(docs, fields, terms=terms), field_lengths(docs, fields)
+
+
+def match(docs: DataFrame, field: str, text: str, analyzer: Analyzer = english, k: int = 10,
+          index: str | None = None, buckets: int = 64) -> DataFrame:
+    """BM25 on one field, any term; top ``k`` documents with ``score``.  ``index`` is the
+    path of a persisted index (:func:`mise.operators.scoring.write_postings`)."""
     terms = query_terms(docs.sparkSession, text, analyzer)
-    s = bm25(build_postings(docs, fields, terms=terms), field_lengths(docs, fields), terms, field)
-    return _attach(docs, s, k)
+    post, lens = _postings_and_lengths(docs, field, analyzer, terms, index, buckets)
+    return _attach(docs, bm25(post, lens, terms, field), k)
 
 
 def field_scores(docs: DataFrame, text: str, fields: Mapping[str, float],
-                 analyzers: Mapping[str, Analyzer] | None = None) -> DataFrame:
-    """(id, field, score) for every field with a boost; one postings pass for all fields."""
+                 analyzers: Mapping[str, Analyzer] | None = None, index: str | None = None,
+                 buckets: int = 64) -> DataFrame:
+    """(id, field, score) for every field with a boost."""
     analyzers = {f: (analyzers or {}).get(f, english) for f in fields}
-    lens = field_lengths(docs, analyzers)
     out = None
     for f, boost in fields.items():
         terms = query_terms(docs.sparkSession, text, analyzers[f])
-        post = build_postings(docs, {f: analyzers[f]}, terms=terms)
+        post, lens = _postings_and_lengths(docs, f, analyzers[f], terms, index, buckets)
         s = bm25(post, lens, terms, f, boost=boost).withColumn("field", F.lit(f))
         out = s if out is None else out.unionByName(s)
     return out
@@ -73,13 +86,13 @@ def combine_fields(scores: DataFrame, tie_breaker: float = 0.0) -> DataFrame:
 
 
 def multi_match(docs: DataFrame, text: str, fields: Mapping[str, float], tie_breaker: float = 0.0,
-                analyzers: Mapping[str, Analyzer] | None = None, k: int = 10) -> DataFrame:
+                analyzers: Mapping[str, Analyzer] | None = None, k: int = 10, index: str | None = None) -> DataFrame:
     """``{'title': 2, 'description': 1}`` boosts; best field plus tie breaker."""
-    return _attach(docs, combine_fields(field_scores(docs, text, fields, analyzers), tie_breaker), k)
+    return _attach(docs, combine_fields(field_scores(docs, text, fields, analyzers, index), tie_breaker), k)
 
 
 def search(docs: DataFrame, text: str, filters: Mapping[str, object] | None = None, size: int = 20,
-           fields: Mapping[str, float] | None = None) -> DataFrame:
+           fields: Mapping[str, float] | None = None, index: str | None = None) -> DataFrame:
     """Multi-match (title^2, description by default) with exact-value filters, e.g.
     ``{'cuisine_type': 'Italian', 'difficulty': 'easy'}``; filters do not score."""
     fields = fields or {"title": 2.0, "description": 1.0}
@@ -89,7 +102,7 @@ def search(docs: DataFrame, text: str, filters: Mapping[str, object] | None = No
             cond = cond & term(c, v)
     base = docs.filter(cond)
     # Term statistics come from the whole collection; only the hits are filtered.
-    scores = combine_fields(field_scores(docs, text, fields)).join(base.select("id"), "id", "left_semi")
+    scores = combine_fields(field_scores(docs, text, fields, index=index)).join(base.select("id"), "id", "left_semi")
     return _attach(base, scores, size)
 
 
