@@ -116,3 +116,10 @@ def test_constraints_and_deletes(spark):
     m = spark.createDataFrame([(100, "cup")], "id long, name string")
     _, j2 = L.delete_measurements(m, j, spark.createDataFrame([(100,)], "id long"))
     assert sorted((x.ingredient_id, x.measurement_id) for x in j2.collect()) == [(10, None), (11, 101)]
+
+
+def test_dense_ids_follow_global_order(spark):
+    from mise.operators.keys import dense_ids
+    names = spark.createDataFrame([(f"n{i:05d}",) for i in range(3000)][::-1], "name string")
+    got = {r.name: r.id for r in dense_ids(names.repartition(7), ["name"], start=10, partitions=5).collect()}
+    assert got == {f"n{i:05d}": 11 + i for i in range(3000)}
