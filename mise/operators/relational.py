@@ -207,8 +207,9 @@ def recent(df: DataFrame, n: int = 10, ts: str = "created_at", key: str = "id")
 
 
 def count_since(df: DataFrame, ts: str, now: _dt.datetime | str, interval: str = "1 hour") -> DataFrame:
-    """Rows with ``ts`` within ``interval`` before ``now`` (``now`` is explicit for determinism)."""
-    start = F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {interval}")
+    """Rows with ``ts`` within ``interval`` before ``now`` (``now`` is explicit for determinism;
+    it takes the column's own timestamp type, so the session time zone plays no part)."""
+    start = F.lit(now).cast(df.schema[ts].dataType) - F.expr(f"INTERVAL {interval}")
     return df.filter(F.col(ts) >= start).agg(F.count(F.lit(1)).alias("count"))
 
 
