@@ -378,14 +378,18 @@ def discover(docs: DataFrame, ingredients: Sequence[str], cuisines: Sequence[str
 # ---------------------------------------------------------------------------------- S26
 def more_like(docs: DataFrame, seed_id, field: str = "title", max_terms: int = 12, min_term_freq: int = 1,
               min_doc_freq: int = 5, k: int = 10, analyzer: Analyzer = english) -> DataFrame:
-    """The seed's ``max_terms`` best terms by tf-idf (classic idf), then BM25, seed excluded."""
+    """The seed's ``max_terms`` best terms by tf-idf (classic idf), then BM25, seed excluded.
+
+    The seed document is analysed first; corpus postings are then built for the seed's terms
+    only (filtered before the shuffle), so the cost does not grow with the vocabulary."""
     fields = {field: analyzer}
-    post = build_postings(docs, fields)
+    seed_post = build_postings(docs.filter(F.col("id") == F.lit(seed_id)), fields)
+    seed_terms = seed_post.select("term")          # one document's vocabulary
+    post = build_postings(docs, fields, terms=seed_terms)
     lens = field_lengths(docs, fields)
     n_docs, _ = field_stats(lens, field)
-    seed = post.filter(F.col("id") == F.lit(seed_id)).filter(F.col("tf") >= min_term_freq).select("term", "tf")
-    dfs = post.join(F.broadcast(seed.select("term")), "term", "left_semi").groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"))
+    seed = seed_post.filter(F.col("tf") >= min_term_freq).select("term", "tf")
+    dfs = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     ranked = (seed.join(dfs, "term").filter(F.col("df") >= min_doc_freq)
                   .withColumn("tfidf", F.col("tf") * (F.lit(1.0) + F.log(n_docs / (F.col("df") + 1))))
                   .orderBy(F.desc("tfidf"), F.asc("term")).limit(max_terms)
