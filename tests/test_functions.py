@@ -114,3 +114,31 @@ def test_validation_and_coercion(spark):
     rows = df.select(RC.coerce_records_col("j").alias("r")).select("r.title", "r.ingredients").collect()
     assert rows[0][0] == "Untitled Recipe" and [i.quantity for i in rows[0][1]] == ["2", None]
     assert rows[1][0] is None and rows[1][1] == []
+
+
+def test_direction_scope(spark):
+    from mise.functions.metadata import direction_servings_col, direction_times_col
+    df = spark.createDataFrame([(["Preheat the oven.", "Bake 20 min. Makes about 24 cookies.", "Serves 4-6"],)],
+                               "d array<string>")
+    r = df.select(direction_servings_col("d").alias("s"), direction_times_col("d").alias("t")).first()
+    assert r.s == "24" and r.t.cookTime == "20 min" and r.t.prepTime is None
+
+
+def test_recipe_rows_mapping(spark):
+    from mise import schemas as SCH
+    rec = {"title": None, "description": "", "ingredients": [
+        {"name": None, "quantity": "1/2", "unit": "cup", "notes": None},
+        {"name": "salt", "quantity": "2-4", "unit": None, "notes": "to taste"}],
+        "instructions": ["Mix", None], "prepTime": "30", "cookTime": "0", "totalTime": None, "servings": "1.5",
+        "difficulty": "Super easy", "cuisineType": None, "cuisine": "italian", "course": None,
+        "mealType": "Dinner or lunch", "dietaryTags": [None]}
+    meta = {"title": "Meta title", "user": "u1", "num_comments": "0"}
+    df = spark.createDataFrame([("posts", 7, meta, rec)], SCH.STAGED)
+    r = RC.to_recipe_rows(df).first()
+    assert r.title == "Meta title" and r.description is None
+    assert r.instructions == ["Mix"] and r.dietary_tags is None
+    assert (r.prep_time_minutes, r.cook_time_minutes, r.total_time_minutes) == (30, 0, None)
+    assert float(r.servings) == 2.0 and r.difficulty == "easy" and r.meal_type == "lunch"
+    assert r.cuisine_type == "italian" and r.reddit_score is None and r.reddit_author == "u1"
+    assert [(i.name, i.amount, i.order_index) for i in r.ingredients] == [("Unknown ingredient", 1.0, 1),
+                                                                         ("salt", 2.0, 2)]
