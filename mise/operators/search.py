@@ -461,13 +461,25 @@ def random_rows(df: DataFrame, n: int = 1, seed: int = 0, key: str = "id") -> Da
     return df.withColumn("_r", F.xxhash64(F.col(key), F.lit(seed))).orderBy("_r", key).limit(n).drop("_r")
 
 
+WORD_RUNS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"
+
+
+def highlight_col(c: Column, terms: Sequence[str], pre: str = "<em>", post: str = "</em>") -> Column:
+    """Wrap whole-word, case-insensitive occurrences of ``terms``.  The text is cut into runs of
+    word characters (Unicode letters, digits, underscore) and of other characters, so a word
+    boundary means the same thing whatever the regex engine's ``\\b`` does."""
+    t = [x.lower() for x in terms]
+    runs = F.regexp_extract_all(c, F.lit(WORD_RUNS), 0)
+    return F.array_join(F.transform(runs, lambda r: F.when(F.lower(r).isin(t), F.concat(F.lit(pre), r, F.lit(post)))
+                                    .otherwise(r)), "")
+
+
 def highlight(df: DataFrame, cols: Sequence[str], terms: Sequence[str], pre: str = "<em>", post: str = "</em>") -> DataFrame:
-    """Wrap whole-word, case-insensitive occurrences of ``terms`` in tags."""
+    """Adds ``<col>_highlight`` with matched terms wrapped in tags."""
     if not terms:
         return df
-    rx = r"(?i)\b(" + "|".join(re.escape(t) for t in terms) + r")\b"
     for c in cols:
-        df = df.withColumn(f"{c}_highlight", F.regexp_replace(F.col(c), rx, pre.replace("$", r"\$") + "$1" + post))
+        df = df.withColumn(f"{c}_highlight", highlight_col(F.col(c), terms, pre, post))
     return df
 
 

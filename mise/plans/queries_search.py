@@ -340,13 +340,15 @@ def random_recipe(spark, d):
 register("random_recipe")(random_recipe)
 
 
+@register("highlight_titles", with_ctes(TDOCS_CTE) + """
+SELECT id, array_to_string(list_transform(regexp_extract_all(title, '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_]+', 0),
+                                          lambda r: CASE WHEN lower(r) IN ('der', 'les') THEN '<em>' || r || '</em>'
+                                                         ELSE r END), '') AS title_highlight
+FROM tdocs""")
 def highlight_titles(spark, d):
     return S.highlight(B.text_documents(spark, d), ["title"], ["der", "les"]).select("id", "title_highlight")
 
 
-register("highlight_titles")(highlight_titles)
-
-
 @register("post_filter_hits", with_ctes(RECIPES_CTE, MENTIONS_CTE) + """
 SELECT r.id FROM recipes r WHERE r.difficulty = 'F'
   AND EXISTS (SELECT 1 FROM mentions m WHERE m.id = r.id AND m.name >= '' AND m.name <= 'zzzzzzzzz')""")
