@@ -34,7 +34,10 @@ def resolve_titles(spark, d):
 @register("dedupe_documents", """
 SELECT min(doc_id) AS id FROM documents GROUP BY text""")
 def dedupe_documents(spark, d):
-    return L.first_per_key(B.text_documents(spark, d), "text", ["id"]).select("id")
+    # A SHA-256 of the text stands in for the text as the grouping key, so only (key, id) is
+    # shuffled and sorted, never the documents themselves.
+    docs = B.text_documents(spark, d).select("id", F.sha2("text", 256).alias("text_key"))
+    return L.first_per_key(docs, "text_key", ["id"]).select("id")
 
 
 @register("insert_absent_titles", with_ctes(TDOCS_CTE) + """
