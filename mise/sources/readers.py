@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as SCH
 from ..functions import lexicon as lx
@@ -37,20 +38,33 @@ def number_entries(df: DataFrame, out: str = "entry_number", dataset: str = "dat
              .drop("_block", "_mono", "_n", "_m0", "_off"))
 
 
-def read_posts_csv(spark: SparkSession, path: str | Sequence[str], number: bool = True) -> DataFrame:
+CORRUPT = "_corrupt_record"
+
+
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def read_posts_csv(spark: SparkSession, path: str | Sequence[str], number: bool = True,
+                   keep_corrupt: bool = False) -> DataFrame:
     """A1: quoted CSV whose cells hold newlines.  ``multiLine`` files are not split, so convert
-    them once to parquet (with entry numbers) and run everything else on the parquet copy."""
-    df = (spark.read.schema(SCH.POST_CSV).option("header", True).option("multiLine", True)
-               .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE").csv(path))
+    them once to parquet (with entry numbers) and run everything else on the parquet copy.
+    ``keep_corrupt`` keeps malformed rows, with their raw text in ``_corrupt_record`` (A12)."""
+    schema = _with_corrupt(SCH.POST_CSV) if keep_corrupt else SCH.POST_CSV
+    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
+               .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
     return number_entries(df) if number else df
 
 
 def read_structured_csv(spark: SparkSession, path: str | Sequence[str], multiline: bool = False,
-                        number: bool = True) -> DataFrame:
+                        number: bool = True, keep_corrupt: bool = False) -> DataFrame:
     """A2: structured rows; JSON-array cells stay strings until :func:`decode_json_array`.
     Without embedded newlines the file is read split (in parallel)."""
-    df = (spark.read.schema(SCH.STRUCTURED_CSV).option("header", True).option("multiLine", multiline)
-               .option("quote", '"').option("escape", '"').csv(path))
+    schema = _with_corrupt(SCH.STRUCTURED_CSV) if keep_corrupt else SCH.STRUCTURED_CSV
+    df = (spark.read.schema(schema).option("header", True).option("multiLine", multiline)
+               .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
     return number_entries(df) if number else df
 
 

@@ -93,3 +93,16 @@ def test_text_search_all_terms(spark):
                                "id long, title string, description string")
     got = [(r.id, r["rank"]) for r in text_search(df, "chocolate cookies", limit=10).collect()]
     assert got == [(1, 4.0), (3, 2.0)]
+
+
+def test_corrupt_rows_become_failed_outcomes(spark, tmp_path):
+    p = tmp_path / "rows.csv"
+    p.write_text("title,ingredients,directions,link,source,NER,site\n"
+                 't1,"[""1 cup sugar""]","[""Mix well together.""]",l,s,n,x\n'
+                 't2,"[""2 eggs""]"\n'                                  # too few fields
+                 't3,"[""salt""]","[""Season to taste, then serve.""]",l,s,n,x,extra\n')   # too many
+    df = RD.read_structured_csv(spark, str(p), keep_corrupt=True).cache()
+    st = STS.with_status(df, F.lit(True), F.lit("malformed row"))
+    got = {r.title: (r.status, r.error) for r in st.collect()}
+    assert got["t1"] == ("success", None)
+    assert got["t2"][0] == "failed" and got["t3"][0] == "failed"
