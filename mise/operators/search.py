@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.analysis import english, ingredient_analyzer
+from ..functions.distance import osa_distance
 from .relational import _order, page
 from .scoring import (Analyzer, bm25, build_postings, field_lengths, field_stats, query_terms, read_lengths,
                       read_postings)
@@ -406,20 +407,25 @@ def auto_fuzziness(term_col: Column) -> Column:
 
 
 def fuzzy_expansions(docs: DataFrame, text: str, field: str, prefix_length: int = 2,
-                     analyzer: Analyzer = english) -> DataFrame:
+                     analyzer: Analyzer = english, transpositions: bool = True) -> DataFrame:
     """(qterm, term, distance): vocabulary terms within AUTO distance sharing the first
     ``prefix_length`` characters.  The prefix is an equi-join key, so no term pairs outside a
-    prefix group are ever compared."""
+    prefix group are ever compared.  With ``transpositions`` an adjacent swap is one edit (as in
+    the search engine); built-in ``levenshtein`` pre-filters the pairs, then a pandas UDF
+    scores the survivors."""
     vocab = (docs.select(F.explode(analyzer(F.col(field))).alias("term")).distinct()
                  .withColumn("_p", F.substring("term", 1, prefix_length)))
     q = (query_terms(docs.sparkSession, text, analyzer).select(F.col("term").alias("qterm"))
          .withColumn("_p", F.substring("qterm", 1, prefix_length)))
-    pairs = vocab.join(F.broadcast(q), "_p")
-    dist = F.levenshtein("term", "qterm")
-    return (pairs.withColumn("distance", dist)
-                 .filter((F.col("distance") <= auto_fuzziness(F.col("qterm")))
-                         & (F.abs(F.length("term") - F.length("qterm")) <= 2))
-                 .select("qterm", "term", "distance"))
+    limit = auto_fuzziness(F.col("qterm"))
+    pairs = (vocab.join(F.broadcast(q), "_p")
+                  .filter(F.abs(F.length("term") - F.length("qterm")) <= 2)
+                  .withColumn("_lev", F.levenshtein("term", "qterm")))
+    if transpositions:
+        pairs = pairs.filter(F.col("_lev") <= limit * 2).withColumn("distance", osa_distance("term", "qterm"))
+    else:
+        pairs = pairs.withColumn("distance", F.col("_lev"))
+    return pairs.filter(F.col("distance") <= limit).select("qterm", "term", "distance")
 
 
 def fuzzy_match(docs: DataFrame, text: str, fields: Mapping[str, float], prefix_length: int = 2, k: int = 10,

@@ -306,7 +306,7 @@ def more_like_document(spark, d):
 vocab AS (SELECT DISTINCT unnest({sql_tokens('title')}) AS term FROM tdocs),
 q AS (SELECT DISTINCT unnest({sql_tokens(sql_lit('dier unnd lees'))}) AS qterm),
 exp AS (SELECT q.qterm, v.term FROM vocab v JOIN q ON substr(v.term, 1, 2) = substr(q.qterm, 1, 2)
-        WHERE levenshtein(v.term, q.qterm) <= CASE WHEN length(q.qterm) <= 2 THEN 0
+        WHERE damerau_levenshtein(v.term, q.qterm) <= CASE WHEN length(q.qterm) <= 2 THEN 0
                                                    WHEN length(q.qterm) <= 5 THEN 1 ELSE 2 END
           AND abs(length(v.term) - length(q.qterm)) <= 2),
 eterms AS (SELECT DISTINCT term, 1 AS qtf FROM exp)""",

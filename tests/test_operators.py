@@ -123,3 +123,13 @@ def test_dense_ids_follow_global_order(spark):
     names = spark.createDataFrame([(f"n{i:05d}",) for i in range(3000)][::-1], "name string")
     got = {r.name: r.id for r in dense_ids(names.repartition(7), ["name"], start=10, partitions=5).collect()}
     assert got == {f"n{i:05d}": 11 + i for i in range(3000)}
+
+
+def test_fuzzy_counts_a_transposition_as_one_edit(spark):
+    from mise.functions.distance import osa
+    assert osa("spaghetti", "spahgetti") == 1 and osa("ca", "abc") == 3 and osa("", "abc") == 3
+    d = spark.createDataFrame([(1, "Thai curry"), (2, "Spaghetti carbonara")], "id long, title string")
+    exp = {(r.qterm, r.term): r.distance for r in S.fuzzy_expansions(d, "thia spahgetti", "title").collect()}
+    assert exp == {("thia", "thai"): 1, ("spahgetti", "spaghetti"): 1}
+    plain = S.fuzzy_expansions(d, "thia", "title", transpositions=False).collect()
+    assert plain == []          # plain Levenshtein: 2 edits, over the AUTO limit of 1 for 4 letters
