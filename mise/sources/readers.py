@@ -20,12 +20,13 @@ from ..functions import lexicon as lx
 
 
 def _with_file(df: DataFrame) -> DataFrame:
-    return df.select("*", F.col("_metadata.file_name").alias("_file"),
+    return df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_name").alias("_name"),
                      F.col("_metadata.file_block_start").alias("_block"))
 
 
 def number_entries(df: DataFrame, out: str = "entry_number", dataset: str = "dataset") -> DataFrame:
-    """A4: ``dataset`` = file name, ``entry_number`` = 1-based row position in the file.
+    """A4: ``dataset`` = file name, ``entry_number`` = 1-based row position in the file
+    (positions are per file path, so equal names in different folders are numbered apart).
 
     ``df`` must come straight from a file read (it uses the ``_metadata`` column)."""
     d = _with_file(df).withColumn("_mono", F.monotonically_increasing_id())
@@ -34,8 +35,8 @@ def number_entries(df: DataFrame, out: str = "entry_number", dataset: str = "dat
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     return (d.join(blocks, ["_file", "_block"])
              .withColumn(out, (F.col("_off") + F.col("_mono") - F.col("_m0") + 1).cast("bigint"))
-             .withColumnRenamed("_file", dataset)
-             .drop("_block", "_mono", "_n", "_m0", "_off"))
+             .withColumnRenamed("_name", dataset)
+             .drop("_file", "_block", "_mono", "_n", "_m0", "_off"))
 
 
 CORRUPT = "_corrupt_record"

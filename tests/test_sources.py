@@ -106,3 +106,11 @@ def test_corrupt_rows_become_failed_outcomes(spark, tmp_path):
     got = {r.title: (r.status, r.error) for r in st.collect()}
     assert got["t1"] == ("success", None)
     assert got["t2"][0] == "failed" and got["t3"][0] == "failed"
+
+
+def test_same_file_name_in_two_folders(spark, tmp_path):
+    for sub in ("a", "b"):
+        (tmp_path / sub).mkdir()
+        (tmp_path / sub / "posts.csv").write_text(HEADER + f'2020-01-01,1,{sub}1,u,"x",1\n2020-01-01,1,{sub}2,u,"y",1\n')
+    df = RD.read_posts_csv(spark, [str(tmp_path / "a" / "posts.csv"), str(tmp_path / "b" / "posts.csv")])
+    assert sorted((r.title, r.entry_number) for r in df.collect()) == [("a1", 1), ("a2", 2), ("b1", 1), ("b2", 2)]
