@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,7 +29,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.option("pathGlobFilter", "*.json").json(path).limit(0).collect()
         return True
-    except Exception:
+    except AnalysisException:
         return False
 
 
@@ -62,7 +63,7 @@ def load_stage_dir(spark: SparkSession, stage_dir: str, tables_dir: str) -> Data
     done = INC.read_outcomes(spark, tables_dir)
     try:
         last = spark.read.parquet(batches).agg(F.max("batch")).first()[0]
-    except Exception:
+    except AnalysisException:
         last = None
     batch_id = 0 if last is None else int(last) + 1
     INC.load_batch(ST.read_stage(spark, stage_dir), batch_id, tables_dir)

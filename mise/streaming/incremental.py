@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +33,7 @@ def read_tables(spark: SparkSession, base: str) -> L.Tables:
         path = os.path.join(base, name)
         try:
             out[name] = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-        except Exception:  # no batch written yet
+        except AnalysisException:  # no batch written yet
             out[name] = spark.createDataFrame([], schema)
     return L.Tables(**out)
 
@@ -42,7 +43,7 @@ def read_outcomes(spark: SparkSession, base: str) -> DataFrame:
     schema = "dataset string, entryNumber bigint, title string, recipe_id bigint, status string"
     try:
         return spark.read.schema(schema).parquet(path).select("dataset", "entryNumber", "title", "recipe_id", "status")
-    except Exception:
+    except AnalysisException:
         return spark.createDataFrame([], schema)
 
 
