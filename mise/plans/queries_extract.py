@@ -11,7 +11,7 @@ from ..functions import metadata as MD
 from ..functions import numbers as NB
 from ..functions import records as RC
 from ..functions import text as TX
-from ..functions.ingredients import parse_ingredient_line
+from ..functions.ingredients import _POST_SKIP, parse_ingredient_line
 from ..session import spread
 from . import bindings as B
 from .catalog import MENTIONS_CTE, RECIPES_CTE, register, with_ctes
@@ -249,8 +249,9 @@ def clean_document_lines(spark, d):
     return c.select("id", F.size("c").alias("n_steps"), F.md5(F.array_join("c", "\n")).alias("steps_md5"))
 
 
-def _post_sql() -> str:
-    """DuckDB form of the post pipeline's scalar fields and step count (default headers)."""
+def _post_sql(counts: bool = False) -> str:
+    """DuckDB form of the post pipeline's scalar fields and step count (default headers); with
+    ``counts`` the per-language extraction counts (B31) instead."""
     low = "lower(text)"
     servings_found = _cascade_sql(low, lx.SERVINGS_PATTERNS)
     hints = []
@@ -275,7 +276,7 @@ def _post_sql() -> str:
     difficulty = f"CASE WHEN {override} THEN 'medium' ELSE coalesce({labelled}, {hint}) END"
     dietary = f"list_filter({[k for k in lx.DIETARY]}, lambda k: contains({low}, k))"
     excl = " AND ".join(f"NOT contains(lower(t), '{w}')" for w in lx.DESCRIPTION_EXCLUDES)
-    return "WITH " + _sections_sql(TX.DEFAULT_HEADERS) + f""",
+    ctes = "WITH " + _sections_sql(TX.DEFAULT_HEADERS) + f""",
 tl AS (SELECT id, pos, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS t FROM ln),
 d1 AS (SELECT id, arg_min(t, pos) AS d FROM tl
        WHERE length(t) > 30 AND {excl} AND NOT regexp_matches(t, '^\\d+\\.')
@@ -292,7 +293,23 @@ steps AS (SELECT t.id, count(*) FILTER (WHERE length(regexp_replace({_CLEAN.repl
                                                  AND regexp_matches(regexp_replace(t.line, '^\\s+|\\s+$', '', 'g'),
                                                                     {sql_lit(lx.VERB_LINE)})
                      ELSE t.tag = 'instructions' END
-          GROUP BY t.id)
+          GROUP BY t.id)"""
+    if counts:
+        return ctes + f""",
+ing AS (SELECT t.id, count(*) FILTER (WHERE length(t.tl) >= 3 AND NOT regexp_matches(t.tl, {sql_lit(_POST_SKIP)}))
+               AS n
+        FROM (SELECT id, tag, line, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS tl FROM tg) t
+        JOIN cnt c ON t.id = c.id
+        WHERE CASE WHEN c.i = 0 AND c.s = 0 THEN regexp_matches(t.tl, {sql_lit(lx.MEASURE_LINE)})
+                   ELSE t.tag = 'ingredients' END
+        GROUP BY t.id),
+per AS (SELECT doc.lang AS dataset, coalesce(ing.n, 0) AS n_ing, coalesce(steps.n, 0) AS n_ins
+        FROM documents doc LEFT JOIN ing ON doc.doc_id = ing.id LEFT JOIN steps ON doc.doc_id = steps.id)
+SELECT dataset, count(*) AS entries, sum(n_ing) AS ingredients_found, sum(n_ins) AS steps_found,
+       round(avg(n_ing), 6) AS avg_ingredients, round(avg(n_ins), 6) AS avg_steps,
+       count(*) FILTER (WHERE n_ing = 0) AS without_ingredients, count(*) FILTER (WHERE n_ins = 0) AS without_steps
+FROM per GROUP BY dataset"""
+    return ctes + f"""
 SELECT doc.doc_id AS id, doc.lang, coalesce(d1.d, gen.g) AS description,
        CAST(coalesce(steps.n, 0) AS INTEGER) AS n_steps,
        {servings} AS servings,
@@ -346,7 +363,7 @@ def extraction_counts_by_lang(spark, d):
     return RC.extraction_counts(RC.extract_posts(t, "text", "title", out="recipeData"), "dataset")
 
 
-register("extraction_counts_by_lang")(extraction_counts_by_lang)
+register("extraction_counts_by_lang", _post_sql(counts=True))(extraction_counts_by_lang)
 
 
 def coerce_event_props(spark, d):
