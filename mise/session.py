@@ -34,15 +34,15 @@ def get_session(app: str = "mise", master: str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (tests) choose a scratch one."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    """The checkpoint folder in use: the context's, else the cluster's ``spark.checkpoint.dir``;
+    only when neither is set (tests) a scratch folder.  ``spark.checkpoint.dir`` is a static
+    config, so it is read, never modified."""
     sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(current)
         return current
-    path = fallback or tempfile.mkdtemp(prefix="mise-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    path = configured or fallback or tempfile.mkdtemp(prefix="mise-ckpt-")
     sc.setCheckpointDir(path)
     return path
 
