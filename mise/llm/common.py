@@ -64,6 +64,19 @@ def running_sums(lengths: Column) -> Column:
     return let(lengths, lambda xs: F.when(F.size(xs) > 0, of(xs)).otherwise(F.array().cast("array<int>")))
 
 
+def without_spans(text: Column, spans: Column, mask: str = "") -> Column:
+    """The text with ascending, disjoint spans (structs of s and e, code points) replaced by ``mask``."""
+    def end_before(xs: Column, i: Column) -> Column:
+        return F.when(i > 0, xs[F.greatest(i - 1, F.lit(0))]["e"]).otherwise(0)
+
+    def of(xs: Column) -> Column:
+        pieces = F.transform(xs, lambda x, i: F.concat(
+            text.substr(end_before(xs, i) + 1, x["s"] - end_before(xs, i)), F.lit(mask)))
+        return F.concat(F.array_join(pieces, ""), text.substr(F.element_at(xs, -1)["e"] + 1, F.length(text)))
+
+    return F.when(F.size(spans) == 0, text).otherwise(let(spans, of))
+
+
 def arrow_rows(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The batches cut at about ``most_bytes`` each, so that one Arrow batch of long texts isn't
     worked on at once.  A single row is never cut here."""

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, running_sums, whole_text
+from .common import let, running_sums, whole_text, without_spans
 
 
 @dataclass(frozen=True)
@@ -218,16 +218,8 @@ def _merged(spans: Column) -> Column:
 
 def redacted(text: Column) -> Column:
     """The text with every span found replaced by MASK; null stays null."""
-    def cut(t: Column, spans: Column) -> Column:
-        # What lies before each span, MASK after it, and the rest.
-        pieces = F.transform(spans, lambda x, i: F.concat(t.substr(
-            F.when(i > 0, spans[F.greatest(i - 1, F.lit(0))]["e"]).otherwise(F.lit(0)) + 1,
-            x["s"] - F.when(i > 0, spans[F.greatest(i - 1, F.lit(0))]["e"]).otherwise(F.lit(0))), F.lit(MASK)))
-        end = F.element_at(spans, -1)["e"]
-        return F.concat(F.array_join(pieces, ""), t.substr(end + 1, F.length(t) - end))
-
-    return F.when(text.isNotNull(), let(text, lambda t: let(all_spans(t), lambda found: F.when(
-        F.size(found) == 0, t).otherwise(let(_merged(found), lambda spans: cut(t, spans))))))
+    return F.when(text.isNotNull(), let(text, lambda t: let(
+        _merged(all_spans(t)), lambda spans: without_spans(t, spans, MASK))))
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
