@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, secret_scan
+from . import dart_minhash, decontaminate, packing, quality, secret_scan, tokens, unit_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,22 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """The path of a public vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+SEQUENCE_TOKENS = 1024
+
+
+# ---------------------------------------------------------------------------- 2: decontamination
+@_query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 # ------------------------------------------------------------------------------------ 3: secrets
 def _span_sql(form: secret_scan.Form) -> str:
     found = f"regexp_extract_all(t, $${form.pattern}$$)"
@@ -109,3 +125,43 @@ FROM f"""
 @_query("op5_quality_rules", QUALITY_SQL)
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------------- 4, 10: tokens, packing
+@_query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE_TOKENS)
+
+
+@_query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE_TOKENS)
+
+
+# ------------------------------------------------------------------------------ 7: substring dedup
+_NORM = "trim(regexp_replace(lower(unit), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
+# A private-use character marks the sentence ends; the space it replaces has the same length.
+UNITS_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+l AS (SELECT doc_id, t, unnest(string_split(t, chr(10))) AS line, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS i FROM d),
+lo AS (SELECT doc_id, t, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id, t ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s, i FROM l),
+p AS (SELECT doc_id, t, s, i, string_split(regexp_replace(line, '([.!?]) ', '\\1' || chr(57344), 'g'), chr(57344)) AS parts FROM lo),
+u AS (SELECT doc_id, t, s, i, unnest(parts) AS unit, unnest(range(1, len(parts) + 1)) AS j FROM p),
+o AS (SELECT doc_id, t, unit, s + coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id, t, i ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM u),
+n AS (SELECT doc_id, CAST(s AS BIGINT) AS s, CAST(s + length(unit) AS BIGINT) AS e, {_NORM} AS norm FROM o),
+k AS (SELECT * FROM n WHERE norm <> '' AND length(norm) - length(replace(norm, ' ', '')) >= {unit_dedup.MIN_WORDS - 1}),
+r AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, s) AS nth,
+             first_value(doc_id) OVER (PARTITION BY norm ORDER BY doc_id, s) AS first_doc_id,
+             first_value(s) OVER (PARTITION BY norm ORDER BY doc_id, s) AS first_start FROM k)
+SELECT doc_id, s AS "start", e AS "end", first_doc_id, first_start FROM r WHERE nth > 1"""
+
+
+@_query("op7_substring_dedup", UNITS_SQL)
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unit_dedup.repeated_units(table(spark, sf_dir, "documents"), "sentence").drop("text_hash")
+
+
+# ------------------------------------------------------------------------------- 8: near duplicates
+@_query("op8_dart_minhash")
+def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
