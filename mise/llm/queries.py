@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dart_minhash, decontaminate, packing, quality, secret_scan, tokens, unit_dedup
+from . import dart_minhash, decontaminate, license_scan, packing, quality, secret_scan, tokens, toxicity, unit_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,38 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 SEQUENCE_TOKENS = 1024
 
 
+# ----------------------------------------------------------------------------------- 1: licences
+def _license_sql() -> str:
+    known = license_scan.templates()
+    bounds = [license_scan.size_bounds(len(t.bigrams), license_scan.LEAST_DICE) for t in known]
+    values = ",\n".join(f"({i}, '{t.license_id}', {lo}, {hi}, {list(t.bigrams)!r})"
+                        for i, (t, (lo, hi)) in enumerate(zip(known, bounds)))
+
+    def units(kind: int, pattern: str) -> str:
+        return f"""
+  SELECT doc_row, {kind} AS kind, unnest(list_transform(range(1, len(p) + 1), lambda i: {{
+           's': CAST(coalesce(list_sum(list_transform(p[1:i-1], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(g[1:i-1], lambda x: length(x))), 0) AS BIGINT),
+           't': p[i]}})) AS u
+  FROM (SELECT doc_row, string_split_regex(t, '{pattern}') AS p, regexp_extract_all(t, '{pattern}') AS g FROM d)"""
+
+    return f"""
+WITH templates(place, license_id, low, high, bigrams) AS (VALUES {values}),
+d AS (SELECT row_number() OVER () AS doc_row, doc_id, text AS t FROM documents WHERE text IS NOT NULL),
+u AS ({units(0, chr(92) + "n")} UNION ALL {units(1, chr(92) + "n[ " + chr(92) + "t" + chr(92) + "r]*" + chr(92) + "n")} UNION ALL SELECT doc_row, 2 AS kind, {{'s': CAST(0 AS BIGINT), 't': t}} AS u FROM d),
+o AS (SELECT doc_row, u.s AS s, u.s + length(u.t) AS e, u.t AS t FROM u QUALIFY row_number() OVER (PARTITION BY doc_row, u.s, u.s + length(u.t) ORDER BY kind) = 1),
+w AS (SELECT doc_row, s, e, string_split(trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM o),
+b AS (SELECT doc_row, s, e, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM w WHERE len(w) > 1),
+m AS (SELECT doc_row, s, e, place, license_id, 2 * len(list_intersect(b, bigrams)) AS x, len(b) + len(bigrams) AS y
+      FROM b JOIN templates ON len(b) BETWEEN low AND high)
+SELECT doc_id, s AS "start", e AS "end", license_id, x / y AS dice FROM m JOIN d USING (doc_row)
+WHERE 100 * x >= {license_scan.LEAST_DICE} * y QUALIFY row_number() OVER (PARTITION BY doc_row, s, e ORDER BY x / y DESC, place) = 1"""
+
+
+@_query("op1_license_scan", _license_sql())
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_spans(table(spark, sf_dir, "documents"))
+
+
 # ---------------------------------------------------------------------------- 2: decontamination
 @_query("op2_decontamination")
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +170,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), SEQUENCE_TOKENS)
 
 
+# ------------------------------------------------------------------------------------ 6: toxicity
+@_query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity_scores(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 # ------------------------------------------------------------------------------ 7: substring dedup
 _NORM = "trim(regexp_replace(lower(unit), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
 # A private-use character marks the sentence ends; the space it replaces has the same length.
