@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import dart_minhash, decontaminate, license_scan, packing, quality, secret_scan, tokens, toxicity, unit_dedup
+from . import dart_minhash, decontaminate, license_scan, packing, quality, secret_scan, suffix_dedup, tokens, toxicity, unit_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +204,9 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op8_dart_minhash")
 def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dart_minhash.near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+# ----------------------------------------------------------------------------- 9: suffix arrays
+@_query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_bytes(table(spark, sf_dir, "documents"))
