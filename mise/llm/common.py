@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 #: Words of the pipeline's contracts: runs without space, tab, line feed, vertical tab, form feed, return.
 BLANK = r"[\x20\x09-\x0D]"
 NOT_BLANK = r"[^\x20\x09-\x0D]"
@@ -40,6 +43,32 @@ def text_words(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(text, OTHER_BLANKS, " "), " ", -1), lambda w: w != "")
 
 
+class Scratch:
+    """Tables written to the shared checkpoint folder, which cut lineage: a lost executor costs no
+    more than the work since the last one.  Unlike a checkpoint, what is read back is known by its
+    real size, where estimates would be multiplied from join to join.  Tables that nothing will
+    read again can be dropped."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._folder = f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+        self._count = 0
+
+    def table(self, df: DataFrame) -> DataFrame:
+        path = f"{self._folder}/{self._count}"
+        self._count += 1
+        df.write.parquet(path)
+        out = self._spark.read.schema(df.schema).parquet(path)
+        out._scratch_path = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        jvm, conf = self._spark._jvm, self._spark._jsc.hadoopConfiguration()
+        for t in tables:
+            path = jvm.org.apache.hadoop.fs.Path(t._scratch_path)
+            path.getFileSystem(conf).delete(path, True)
+
+
 #: Lengths are summed in blocks of this many, so that offsets cost about the same for each element.
 SUM_BLOCK = 256
 

@@ -13,10 +13,12 @@ Coordinates are joined to bands.  Documents with a band in common are candidates
 is linked if its exact similarity reaches the threshold; classes are the components of the links.
 
 Copies (the same words) are one node from the start.  Comparing all candidates of a large bucket is
-not needed to find its classes: in rounds, nodes are compared to leaders of their buckets, which
-joins a large group of near copies into one class.  What remains in a bucket in several classes is
-then compared completely: each node outside the bucket's largest class to every node in another
-class.  So no candidate pair of different classes goes unverified, and no link is lost.
+not needed to find its classes: in rounds, nodes are compared to a few leaders of their buckets,
+which joins most near copies.  Then what is left in several classes is compared completely: in
+buckets of up to SMALL nodes pair by pair, and in larger ones by blocks of nodes.  A block meets
+another in one task, which returns the links it finds and not the pairs; blocks within the largest
+class of a group of large buckets don't meet.  So no candidate pair of different classes goes
+unverified, no link is lost, and no row is written for each pair of a group.
 
 Defined results: a null text is empty; all texts without words are copies of each other; the class
 id is the least document id of the class (null if it has none but null); repeated rows get a row
@@ -30,14 +32,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
-from .common import arrow_rows, whole_text
+from .common import Scratch, arrow_rows, whole_text
 from .components import connected_components
 
 BATCH_BYTES = 8_000_000
@@ -57,8 +59,10 @@ class Settings:
     size: int = 256
     rows: int = 8
     bands: int = 64
-    rounds: int = 4
+    rounds: int = 3
     partners: int = 4
+    small: int = 16
+    block: int = 256
 
 
 # ----------------------------------------------------------------------------- shingles and darts
@@ -239,50 +243,66 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             .where(both >= threshold * (F.size("sa") + F.size("sb") - both) - 1e-9).select("a", "b"))
 
 
-def _with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+def _with_links(labels: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
     """Labels (node, label) after joining the classes of linked nodes."""
     of = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
     to = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    classes = connected_components(links.join(of, "a").join(to, "b").select("la", "lb").distinct(), "la", "lb")
+    classes = connected_components(links.join(of, "a").join(to, "b").select("la", "lb").distinct(), scratch, "la", "lb")
     new = classes.select(F.col("node").alias("label"), F.col("label").alias("new"))
-    return cut_lineage(labels.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label")))
+    out = scratch.table(labels.join(new, "label", "left").select("node", F.coalesce("new", "label").alias("label")))
+    scratch.drop(labels, links, classes)
+    return out
+
 
+def _some(df: DataFrame) -> bool:
+    return df.limit(1).count() > 0
 
-def duplicate_classes(docs: DataFrame, rows: DataFrame, settings: Settings, id_col: str, text_col: str) -> DataFrame:
+
+def duplicate_classes(docs: DataFrame, rows: DataFrame, settings: Settings, id_col: str, text_col: str,
+                      scratch: Scratch) -> DataFrame:
     """(node, class_node) for the nodes that are in a class with others; ``rows``: signed docs."""
     # One row per node, with a document that has its text.
-    nodes = cut_lineage(rows.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash", "bands")).alias("x"))
-                        .select("node", "x.doc_id", "x.text_hash", "x.bands"))
+    nodes = scratch.table(rows.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash", "bands")).alias("x"))
+                          .select("node", "x.doc_id", "x.text_hash", "x.bands"))
     entries = nodes.select("node", F.explode("bands").alias("key"))
-    shared = cut_lineage(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
-    members = cut_lineage(entries.join(shared, "key"))
-    labels = cut_lineage(members.select("node").distinct().withColumn("label", F.col("node")))
+    shared = scratch.table(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    members = scratch.table(entries.join(shared, "key"))
+    labels = scratch.table(members.select("node").distinct().withColumn("label", F.col("node")))
 
     # The shingles of candidates alone, by one document of each.
     wanted = nodes.join(labels, "node", "left_semi").select(F.col("doc_id").alias("w1"), F.col("text_hash").alias("w2"))
     text = whole_text(docs[text_col])
     found = docs.join(wanted, docs[id_col].eqNullSafe(wanted["w1"]) & (F.xxhash64(text) == wanted["w2"]), "left_semi")
     kind = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
-    sets = found.select(whole_text(text_col).alias("t")).mapInArrow(_shingler(settings), kind)
-    sets = cut_lineage(sets.dropDuplicates(["node"]))
+    sets = scratch.table(found.select(whole_text(text_col).alias("t")).mapInArrow(_shingler(settings), kind).dropDuplicates(["node"]))
+    scratch.drop(nodes, shared)
+
+    def joined(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
+        links = scratch.table(links)
+        return (_with_links(labels, links, scratch), True) if _some(links) else (labels, False)
 
     for turn in range(settings.rounds):
-        pairs = cut_lineage(_leader_pairs(members, labels, turn, settings.partners))
-        links = cut_lineage(_verified(pairs, sets, settings.threshold))
-        if not links.limit(1).count():
+        pairs = scratch.table(_leader_pairs(members, labels, turn, settings.partners, scratch))
+        labels, more = joined(labels, _verified(pairs, sets, settings.threshold))
+        scratch.drop(pairs)
+        if not more:
             break
-        labels = _with_links(labels, links)
-    links = cut_lineage(_verified(_remaining_pairs(members, labels), sets, settings.threshold))
-    return (_with_links(labels, links) if links.limit(1).count() else labels).withColumnRenamed("label", "class_node")
+    dense = _dense_groups(members, labels, settings, scratch)
+    groups = dense.withColumnRenamed("label", "group")
+    if _some(groups):
+        labels, _ = joined(labels, _block_links(groups, labels, sets, settings))
+    labels, _ = joined(labels, _verified(_small_pairs(members, labels, groups, settings), sets, settings.threshold))
+    scratch.drop(members, sets, dense)
+    return labels.withColumnRenamed("label", "class_node")
 
 
-def _leader_pairs(members: DataFrame, labels: DataFrame, turn: int, partners: int) -> DataFrame:
+def _leader_pairs(members: DataFrame, labels: DataFrame, turn: int, partners: int, scratch: Scratch) -> DataFrame:
     """Each node with leaders of its buckets in other classes: in the first turn the least of them,
-    later those that a hash of the turn puts first.  Later rounds and the last step cover the rest."""
+    later those that a hash of the turn puts first.  The last steps cover all others."""
     placed = members.join(labels, "node")
     order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-    leaders = placed.groupBy("key").agg(F.min(F.struct(order.alias("o"), F.col("node").alias("b"), F.col("label").alias("lb"))).alias("x"))
-    leaders = cut_lineage(leaders.select("key", "x.b", "x.lb", "x.o"))
+    leaders = scratch.table(placed.groupBy("key").agg(F.min(F.struct(order.alias("o"), F.col("node").alias("b"), F.col("label").alias("lb"))).alias("x"))
+                            .select("key", "x.b", "x.lb", "x.o"))
     pairs = placed.join(leaders, "key").where("label != lb").select(F.col("node").alias("a"), "b", "o").distinct()
     if turn == 0:
         return pairs.groupBy("a").agg(F.min("b").alias("b"))
@@ -291,44 +311,110 @@ def _leader_pairs(members: DataFrame, labels: DataFrame, turn: int, partners: in
     return best.select("a", F.explode("x.b").alias("b"))
 
 
-def _remaining_pairs(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs within a bucket of a node outside its largest class and a node of another class."""
-    placed = members.join(labels, "node")
-    sizes = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("x"), F.count(F.lit(1)).alias("classes"))
-    open_keys = cut_lineage(largest.where("classes > 1").select("key", F.col("x.label").alias("largest")))
-    placed = cut_lineage(placed.join(open_keys, "key"))
-    few = placed.where("label != largest").select("key", F.col("node").alias("a"), F.col("label").alias("la"))
-    every = placed.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), (F.col("label") == F.col("largest")).alias("most"))
-    # A pair of two nodes outside the largest class is met from both sides: take it once.
-    pairs = few.join(every, "key").where("la != lb and (most or a < b)")
-    return pairs.select("a", "b").distinct()
+def _dense_groups(members: DataFrame, labels: DataFrame, settings: Settings, scratch: Scratch) -> DataFrame:
+    """(node, label) of nodes in large buckets with several classes, by group: buckets with a
+    node in common are one."""
+    placed = members.where(F.col("n") > settings.small).join(labels, "node")
+    open_ = scratch.table(placed.groupBy("key").agg(F.min("node").alias("b"), F.min("label").alias("l1"), F.max("label").alias("l2"))
+                          .where("l1 != l2").select("key", "b"))
+    edges = members.where(F.col("n") > settings.small).join(open_, "key").select(F.col("node").alias("a"), "b")
+    return connected_components(edges, scratch)
+
+
+def _block_links(groups: DataFrame, labels: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) between classes within each group, found block by block."""
+    placed = groups.join(labels, "node")
+    sizes = placed.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("group").agg(F.max(F.struct("n", "label")).alias("x"), F.sum("n").alias("all"))
+
+    def blocks(n):
+        return F.ceil(n / settings.block).cast("int")
+
+    # The largest class has blocks 0 .. core - 1, the others core .. total - 1.
+    sizes = sizes.select("group", F.col("x.label").alias("largest"), blocks(F.col("x.n")).alias("core"),
+                         (blocks(F.col("x.n")) + blocks(F.col("all") - F.col("x.n"))).alias("total"))
+    placed = placed.join(sizes, "group").withColumn("most", F.col("label") == F.col("largest"))
+    spread = F.xxhash64("node", F.lit(3))
+    placed = placed.withColumn("own", F.when(F.col("most"), F.pmod(spread, "core")).otherwise(
+        F.col("core") + F.pmod(spread, F.greatest(F.lit(1), F.col("total") - F.col("core")))).cast("int"))
+    # A node goes to each meeting of its block with another: with every block of other classes.
+    others = F.sequence(F.col("core"), F.col("total") - 1)
+    met = F.when(F.col("core") == F.col("total"), F.array().cast("array<int>")).when(F.col("most"), others).otherwise(
+        F.sequence(F.lit(0), F.col("total") - 1))
+    meets = placed.select("group", "node", "label", "own", F.explode(met).alias("other"))
+    meets = meets.select("group", "node", "label", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    return meets.join(sets, "node").groupBy("group", "x", "y").applyInPandas(_meet(settings.threshold), "a binary, b binary")
+
+
+def _meet(threshold: float):
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        sets = [np.asarray(x, np.int64) for x in block["shingles"]]
+        sizes = np.array([len(x) for x in sets])
+        # Bits of the shingles that two nodes have, by node.
+        _, place, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        row, met = np.repeat(np.arange(len(sets)), sizes), counts[place] > 1
+        number = np.cumsum(counts > 1) - 1
+        width = -(-int((counts > 1).sum()) // 64) or 1
+        bits = np.zeros((len(sets), width), np.uint64)
+        bit = number[place[met]]
+        np.bitwise_or.at(bits, (row[met], bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
+        _, label = np.unique(block["label"].map(bytes).to_numpy(), return_inverse=True)
+        nodes, own, links = block["node"].tolist(), block["own"].to_numpy(), []
+        itself = block["x"].iloc[0] == block["y"].iloc[0]
+        for i in range(len(sets) - 1):
+            # Two blocks that meet have each met themselves elsewhere.
+            later = np.flatnonzero((label[i + 1:] != label[i]) & (itself | (own[i + 1:] != own[i]))) + i + 1
+            both = np.bitwise_count(bits[later] & bits[i]).sum(axis=1)
+            for j in later[both >= threshold * (sizes[later] + sizes[i] - both) - 1e-9]:
+                if label[i] != label[j]:
+                    links.append((nodes[i], nodes[j]))
+                    label[label == label[j]] = label[i]
+        return pd.DataFrame(links, columns=["a", "b"])
 
+    return run
 
-def near_duplicates(docs: DataFrame, settings: Settings | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, text_hash, class_id, and whether it is the class's ``first``."""
-    settings = settings or Settings()
-    rows = cut_lineage(signed(docs, settings, id_col, text_col))
-    classes = duplicate_classes(docs, rows, settings, id_col, text_col)
+
+def _small_pairs(members: DataFrame, labels: DataFrame, groups: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs of different classes within a bucket of at most ``small`` nodes, unless their
+    group has compared them."""
+    placed = members.where(F.col("n") <= settings.small).join(labels, "node").join(groups, "node", "left")
+    mine = placed.select("key", F.col("node").alias("a"), F.col("label").alias("la"), F.col("group").alias("ga"))
+    other = placed.select("key", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("group").alias("gb"))
+    return mine.join(other, "key").where("a < b and la != lb and (ga is null or gb is null or ga != gb)").select("a", "b").distinct()
+
+
+def _classified(docs: DataFrame, settings: Settings, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
+    """doc_id, text_hash, class_node and class_id of each row."""
+    rows = scratch.table(signed(docs, settings, id_col, text_col))
+    classes = duplicate_classes(docs, rows, settings, id_col, text_col, scratch)
     own = rows.select("doc_id", "text_hash", "node")
     least = own.groupBy("node").agg(F.min("doc_id").alias("least"))
     of_node = least.join(classes, "node", "left").select("node", "least", F.coalesce("class_node", "node").alias("class_node"))
     of_class = of_node.groupBy("class_node").agg(F.min("least").alias("class_id"))
-    ids = cut_lineage(of_node.join(of_class, "class_node").select("node", "class_id"))
-    return own.join(ids, "node").select("doc_id", "text_hash", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("first"))
+    ids = scratch.table(of_node.join(of_class, "class_node").select("node", "class_node", "class_id"))
+    return own.join(ids, "node").drop("node")
+
+
+def near_duplicates(docs: DataFrame, settings: Settings | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, text_hash, class_id, and whether it is the class's ``first``."""
+    found = _classified(docs, settings or Settings(), id_col, text_col, Scratch(docs.sparkSession))
+    return found.select("doc_id", "text_hash", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("first"))
 
 
 def drop_near_duplicates(docs: DataFrame, settings: Settings | None = None, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """One row of each class, columns as given."""
-    firsts = cut_lineage(near_duplicates(docs, settings, id_col, text_col).where("first"))
+    scratch = Scratch(docs.sparkSession)
+    found = _classified(docs, settings or Settings(), id_col, text_col, scratch)
+    firsts = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     # A class may have several rows with its id: other texts (the least stays), or the row repeated.
-    kept = cut_lineage(firsts.groupBy("class_id").agg(F.min("text_hash").alias("h"), F.count(F.lit(1)).alias("n")))
+    kept = scratch.table(firsts.groupBy("class_node").agg(
+        F.min("class_id").alias("i"), F.min("text_hash").alias("h"), F.count(F.lit(1)).alias("n")))
 
     def rows_of(keys: DataFrame) -> DataFrame:
-        return docs.join(keys, docs[id_col].eqNullSafe(keys["class_id"]) & (F.xxhash64(whole_text(docs[text_col])) == keys["h"]), "left_semi")
+        return docs.join(keys, docs[id_col].eqNullSafe(keys["i"]) & (F.xxhash64(whole_text(docs[text_col])) == keys["h"]), "left_semi")
 
     once = rows_of(kept.where("n = 1"))
-    if not kept.where("n > 1").limit(1).count():
+    if not _some(kept.where("n > 1")):
         return once
     return once.unionByName(rows_of(kept.where("n > 1")).dropDuplicates([id_col, text_col]))

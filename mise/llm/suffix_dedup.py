@@ -36,8 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .common import arrow_rows, whole_text
+from .common import Scratch, arrow_rows, whole_text
 from .suffix_sort import repeated_strings
 
 SIZE = 400
@@ -160,14 +159,14 @@ def _single_strings(size: int):
     return run
 
 
-def covered_items(docs: DataFrame, located: DataFrame, size: int, shard_bytes: int, most_items: int) -> DataFrame:
+def covered_items(docs: DataFrame, located: DataFrame, size: int, shard_bytes: int, most_items: int, scratch: Scratch) -> DataFrame:
     """(h, c, ranges) of items with covered bytes; null ranges: the whole item.  ``docs``: (key,
     text), each text once; ``located``: (key, h, c, p1, p2, place, n, m) of items to be looked at,
     n times in all, of m different ones with their anchor."""
     whole = located.where("n > 1").select("h", "c").distinct().withColumn("ranges", F.lit(None).cast("array<struct<s:int,e:int>>"))
     one = located.where("open").groupBy("h", "c").agg(F.min(F.struct("key", "p1", "p2", "place", "n", "m")).alias("x")).select("h", "c", "x.*")
     data = F.expr(f"substring(cast(text as binary), p1 + 1, p2 - p1 + {size})")
-    fetched = cut_lineage(one.join(docs, "key").select("h", "c", "n", "m", "place", data.alias("bytes")))
+    fetched = scratch.table(one.join(docs, "key").select("h", "c", "n", "m", "place", data.alias("bytes")))
     shards = -(-(fetched.where(F.col("m") <= most_items).agg(F.sum(F.length("bytes"))).first()[0] or 0) // shard_bytes)
     small = fetched.where(F.col("m") <= most_items).select("h", "c", "n", "bytes", F.pmod(F.xxhash64("h"), F.lit(max(1, shards))).alias("shard"))
     sorted_ = small.groupBy("shard").applyInPandas(_sort_shard(size, CHUNK_BYTES), "h long, c long, ranges array<struct<s:int,e:int>>")
@@ -208,6 +207,7 @@ def removed_bytes(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", tex
     """One row per input row: doc_id, n_bytes, n_removed, n_spans and kept_sha256."""
     if gram > size:
         raise ValueError("an anchor must fit in a string")
+    scratch = Scratch(docs.sparkSession)
     text = whole_text(text_col)
     key = F.unhex(F.md5(text))
     keyed = docs.select(F.col(id_col).alias("doc_id"), key.alias("key"), text.alias("text"))
@@ -217,21 +217,21 @@ def removed_bytes(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", tex
     # 1. How often each item occurs, and how many different ones its anchor has.
     counts = rows.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"))
     met = counts.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"), F.min("n").alias("fewest")).where("total > 1")
-    status = cut_lineage(counts.join(met, "h").select("h", "c", "n", "m", ((F.col("m") > 1) & (F.col("fewest") == 1)).alias("open")).where("n > 1 or open"))
-    located = cut_lineage(rows.join(status, ["h", "c"]))
+    status = scratch.table(counts.join(met, "h").select("h", "c", "n", "m", ((F.col("m") > 1) & (F.col("fewest") == 1)).alias("open")).where("n > 1 or open"))
+    located = scratch.table(rows.join(status, ["h", "c"]))
 
     # 2, 3. One row for each text that holds such an item, and what of the items is covered.
     texts = keyed.groupBy("key").agg(F.min("doc_id").alias("one"))
     wanted = texts.join(located.select("key").distinct(), "key").select(F.col("key").alias("k"), "one")
-    once = cut_lineage(keyed.join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("one")), "left_semi").select("key", "text"))
-    covered = cut_lineage(covered_items(once, located, size, shard_bytes, most_items))
+    once = scratch.table(keyed.join(wanted, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("one")), "left_semi").select("key", "text"))
+    covered = scratch.table(covered_items(once, located, size, shard_bytes, most_items, scratch))
 
     # Back to the texts: at most the items of one text in a group.
     shifted = F.transform(F.coalesce("ranges", F.array(F.struct(F.lit(0).alias("s"), (F.col("p2") - F.col("p1") + size).cast("int").alias("e")))),
                           lambda x: F.struct((x["s"] + F.col("p1")).alias("s"), (x["e"] + F.col("p1")).alias("e")))
     spans = located.select("key", "h", "c", "p1", "p2").join(covered, ["h", "c"]).select("key", F.explode(shifted).alias("x"))
     spans = spans.groupBy("key").agg(F.collect_set("x").alias("spans"))
-    stripped = cut_lineage(once.dropDuplicates(["key"]).join(spans, "key").select("key", "text", "spans").mapInArrow(
+    stripped = scratch.table(once.dropDuplicates(["key"]).join(spans, "key").select("key", "text", "spans").mapInArrow(
         _strip, "key binary, n_removed long, n_spans long, kept_sha256 string"))
     light = keyed.select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("own"))
     return light.join(stripped, "key", "left").select(

@@ -28,8 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
-from .common import arrow_rows
+from .common import Scratch, arrow_rows
 
 SIZES = (3, 4, 5)
 DIMENSIONS = 1 << 20
@@ -157,13 +156,14 @@ def _picker(wanted):
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
     """(y, t) of at most about ``most`` labelled rows that aren't held out."""
     known = labels.select(F.col(id_col).alias("k"), F.col("toxic").alias("y")).where("k is not null and y is not null")
-    known = cut_lineage(known.where(~held_out("k")).groupBy("k").agg(F.max("y").cast("int").alias("y")))
+    scratch = Scratch(docs.sparkSession)
+    known = scratch.table(known.where(~held_out("k")).groupBy("k").agg(F.max("y").cast("int").alias("y")))
     sizes = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     scale = 1_000_000
     share = F.lit(0)
     for y, n in sizes.items():
         share = F.when(F.col("y") == y, int(scale * min(1.0, most / 2 / n))).otherwise(share)
-    chosen = cut_lineage(known.where(F.pmod(F.xxhash64("k", F.lit(6)), F.lit(scale)) < share))
+    chosen = scratch.table(known.where(F.pmod(F.xxhash64("k", F.lit(6)), F.lit(scale)) < share))
     # At most about ``most`` pairs of id and label: small enough to send to every executor.
     rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["k"])
     return rows.select("y", F.coalesce(docs[text_col], F.lit("")).alias("t"), "k")
@@ -175,7 +175,7 @@ def held_out(column: str) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_ROWS) -> Model:
     spark = docs.sparkSession
-    rows = cut_lineage(training_rows(docs, labels, id_col, text_col, most).repartition(TRAIN_PARTS, "k", "t").select("y", "t"))
+    rows = Scratch(spark).table(training_rows(docs, labels, id_col, text_col, most).repartition(TRAIN_PARTS, "k", "t").select("y", "t"))
     vectors = rows.mapInArrow(_counter, "other binary, toxic binary, n_other long, n_toxic long").collect()
     counts = {c: sum((np.frombuffer(v[c], np.int32).astype(float) for v in vectors), np.zeros(DIMENSIONS)) for c in ("other", "toxic")}
     n_other, n_toxic = (sum(v[c] for v in vectors) for c in ("n_other", "n_toxic"))
