@@ -74,8 +74,9 @@ def test_all_pairs(spark, make, planted):
 
 def test_filter(spark, clashing, planted):
     rows, items = planted
+    rows = [(10_000 + d, t) for d, t in rows]  # EDGE_ROWS have the low ids
     bench = spark.createDataFrame(items, "item_id long, text string")
-    docs = clashing([*rows, *((d, t) for d, t in EDGE_ROWS)])
+    docs = clashing([*rows, *EDGE_ROWS])
     out = D.drop_contaminated(docs, bench)
     assert out.schema == docs.schema
     dirty = {r["doc_id"] for r in D.find_passages(docs, bench).collect()}
