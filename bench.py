@@ -14,7 +14,7 @@ from mise.plans import catalog  # noqa: E402
 from mise.session import get_session  # noqa: E402
 
 HEADLINE = [
-    "top_ingredients_per_cuisine", "nested_recipes", "recipe_rows", "ingredient_frequency",
+    "top_ingredients_per_cuisine", "nested_dishes", "dish_rows", "ingredient_frequency",
     "top_ingredients_with_titles", "cuisine_top_hits", "boolean_ingredients", "nested_ingredient_match",
     "bm25_match", "multi_match_documents", "fuzzy_documents", "more_like_document", "analyze_documents",
     "parse_ingredient_lines", "split_document_sections", "clean_document_lines", "extract_posts_documents",
@@ -27,7 +27,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = get_session(app="mise-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
-                        conf={"spark.driver.memory": "16g"})
+                        conf={"spark.driver.memory": "16g", "spark.mise.spread": cpus})
     spark.sparkContext.setLogLevel("ERROR")
     # Untimed warm-up: JVM class loading and JIT, not query work.
     spark.read.parquet(f"{sf_dir}/region.parquet").write.format("noop").mode("overwrite").save()

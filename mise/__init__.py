@@ -1,4 +1,4 @@
-"""mise: Spark-native extraction, loading and search over semi-structured recipe data.
+"""mise: Spark-native extraction, loading and search over semi-structured dish data.
 
 Every operator is a function from DataFrame(s) to a DataFrame built from the public
 DataFrame / SQL / Structured Streaming API.  Sub-packages:

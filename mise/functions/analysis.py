@@ -27,7 +27,7 @@ def _ends(x: Column, *suffixes: str) -> Column:
 
 
 def minimal_stem(x: Column) -> Column:
-    """Plural stripping: 'recipes' -> 'recipe', 'berries' -> 'berry'; 'glass', 'bus' unchanged.
+    """Plural stripping: 'cookies' -> 'cookie', 'berries' -> 'berry'; 'glass', 'bus' unchanged.
     Suffix tests only (no regex), so it stays cheap inside generated code."""
     n = F.length(x)
     return (F.when((n < 3) | ~x.endswith("s"), x)

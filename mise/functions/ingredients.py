@@ -1,7 +1,7 @@
 """Ingredient line parsing (B4, B5, B6) as column expressions.
 
 ``parse_ingredient_line`` returns struct<name, quantity, unit, notes>; ``amount_name`` returns
-struct<amount, name>.  Both are applied to arrays with ``transform``, so a whole recipe is parsed
+struct<amount, name>.  Both are applied to arrays with ``transform``, so a whole dish is parsed
 inside one projection, in the JVM.
 """
 
@@ -48,8 +48,9 @@ UNIT_RE = unit_pattern()
 
 def js_number_text(c: Column) -> Column:
     """Text of a parsed number the way a JSON writer prints it: '2.' -> '2', '1.50' -> '1.5'."""
-    d = c.try_cast("decimal(38,10)").cast("string")
-    return F.regexp_replace(F.regexp_replace(d, r"0+$", ""), r"\.$", "")
+    # On the text, so that no digits are lost: leading zeros, then zeros after the point, then the point.
+    t = F.regexp_replace(F.regexp_replace(c, r"^0+(?=\d)", ""), r"^\.", "0.")
+    return F.when(t.contains("."), F.regexp_replace(F.regexp_replace(t, r"0+$", ""), r"\.$", "")).otherwise(t)
 
 
 SEP = "\u0001"
@@ -61,8 +62,11 @@ _NOTES_FIRST = r"(?s)^(.*?)" + _NOTES + r"(.*)$"
 
 
 def _groups(text: Column, pattern: str, n: int) -> Column:
-    """All ``n`` groups of one match in a single regex pass (array; no SEP when no match)."""
-    return F.split(F.regexp_replace(text, pattern, SEP.join(f"${i}" for i in range(1, n + 1))), SEP, -1)
+    """All ``n`` groups of one match in a single regex pass (array of one when there is no match).
+    A text that holds SEP itself has its groups extracted one by one."""
+    one_pass = F.split(F.regexp_replace(text, pattern, SEP.join(f"${i}" for i in range(1, n + 1))), SEP, -1)
+    each = F.when(text.rlike(pattern), F.array(*[F.regexp_extract(text, pattern, i) for i in range(1, n + 1)])).otherwise(F.array(text))
+    return F.when(text.contains(SEP), each).otherwise(one_pass)
 
 
 def _stage(arr: Column, **fields) -> Column:

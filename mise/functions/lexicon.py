@@ -1,6 +1,6 @@
 """Word lists and patterns used by the text-to-structure functions.
 
-FIXED VALUES: the lists and regular expressions in this module must equal the recipe
+FIXED VALUES: the lists and regular expressions in this module must equal the dish
 conventions they reproduce (keyword order matters: the first keyword found wins).  They are
 data, not logic; the functions in ``mise.functions`` turn them into Spark column expressions.
 Lists used for structured rows are the leading parts of the post lists, stated as slices.
@@ -104,17 +104,12 @@ PREP_HINTS = [
 ]
 
 # Difficulty words.
-DIFFICULTY_WORDS = ["easy", "medium", "hard", "beginner", "intermediate", "advanced"]
 EASY_HINTS = ["simple", "quick", "basic"]
 HARD_HINTS = ["complex", "advanced", "challenging"]
 EASY_HINTS_STRUCTURED = ["simple", "quick"]
 HARD_HINTS_STRUCTURED = ["complex", "advanced"]
 MEDIUM_OVERRIDES = ["tiramisu", "layered", "multiple steps", "whip", "fold", "temper"]
 
-# Source routing: a file whose name contains this marker holds structured rows (ingredients and
-# directions as JSON-array cells); every other file holds free-text posts.
-STRUCTURED_FILE_MARKER = "stromberg"
-
 # Description filters: a description line must not contain these words.
 DESCRIPTION_EXCLUDES = ["ingredients", "directions", "instructions", "method"]
 

@@ -1,4 +1,4 @@
-"""Recipe metadata from text: servings, times, difficulty, keywords.
+"""Dish metadata from text: servings, times, difficulty, keywords.
 
 Each ``*_col`` takes the lower-cased text column and returns a column; ordered regex cascades
 are ``coalesce`` of ``regexp_extract`` and keyword lists are literal arrays filtered by

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from . import lexicon as lx
 from .text import ColumnOrName, col, contains_any, js_trim
 
-_RANGE_FIRST = r"^(\d+\.?\d*)\s*[-–—to]\s*\d+"
 _FIRST_NUMBER = r"\d+\.?\d*"
 
 
@@ -21,9 +20,7 @@ def to_number_col(c: ColumnOrName, fractions: bool = False, hours: bool = False)
     convention does); ``hours=True`` turns a value stated in hours into minutes.
     """
     s = js_trim(col(c).cast("string"))
-    rng = F.nullif(F.regexp_extract(s, _RANGE_FIRST, 1), F.lit(""))
-    first = F.nullif(F.regexp_extract(s, _FIRST_NUMBER, 0), F.lit(""))
-    v = F.coalesce(rng, first).try_cast("double")
+    v = F.nullif(F.regexp_extract(s, _FIRST_NUMBER, 0), F.lit("")).try_cast("double")
     if fractions:
         mixed = r"^(\d+)\s+(\d+)/(\d+)"
         frac = r"^(\d+)/(\d+)"
@@ -37,8 +34,9 @@ def to_number_col(c: ColumnOrName, fractions: bool = False, hours: bool = False)
 
 
 def to_integer_col(c: ColumnOrName, fractions: bool = False, hours: bool = False) -> Column:
-    """Rounded (half up, as the loader does) integer of :func:`to_number_col`."""
-    return F.floor(to_number_col(c, fractions, hours) + F.lit(0.5)).cast("int")
+    """Rounded (half up, as the loader does) integer of :func:`to_number_col`; NULL beyond the
+    integers."""
+    return F.floor(to_number_col(c, fractions, hours) + F.lit(0.5)).try_cast("int")
 
 
 def to_number(df: DataFrame, column: str, out: str | None = None, **kw) -> DataFrame:

@@ -14,7 +14,7 @@ from .text import ColumnOrName, clean_instructions_col, col, decode_json_array_c
 
 
 # ---------------------------------------------------------------------------------------- B17
-def extract_posts(df: DataFrame, comment: str = "comment", title: str = "title", out: str = "recipe",
+def extract_posts(df: DataFrame, comment: str = "comment", title: str = "title", out: str = "dish",
                   ingredient_style: str = "post") -> DataFrame:
     """Free-text post -> record struct (sections, ingredients, steps, metadata).
 
@@ -48,7 +48,7 @@ def extract_posts(df: DataFrame, comment: str = "comment", title: str = "title",
 
 # ---------------------------------------------------------------------------------------- B18
 def extract_structured(df: DataFrame, ingredients: str = "ingredients", directions: str = "directions",
-                       title: str = "title", out: str = "recipe", ingredient_style: str = "line",
+                       title: str = "title", out: str = "dish", ingredient_style: str = "line",
                        scope: str = "all") -> DataFrame:
     """Structured row (JSON-array cells of ingredients and directions) -> record struct.
 
@@ -215,9 +215,9 @@ def validate_records(df: DataFrame, json_col: str) -> tuple[DataFrame, DataFrame
 
 
 # ---------------------------------------------------------------------------------- B26 / B27
-def to_recipe_rows(stage: DataFrame, record: str = "recipeData", metadata: str = "metadata",
+def to_dish_rows(stage: DataFrame, record: str = "recipeData", metadata: str = "metadata",
                    hours: bool = False, fractions: bool = False) -> DataFrame:
-    """Staged records -> recipe rows with a nested, positioned ingredient list.
+    """Staged records -> dish rows with a nested, positioned ingredient list.
 
     Keeps ``dataset`` / ``entryNumber`` when present so outcomes can be traced to entries.
     """
@@ -225,6 +225,13 @@ def to_recipe_rows(stage: DataFrame, record: str = "recipeData", metadata: str =
     prep = to_integer_col(r["prepTime"], hours=hours)
     cook = to_integer_col(r["cookTime"], hours=hours)
     comments = F.nullif(leading_int_col(m["num_comments"]), F.lit(0))
+    servings = to_integer_col(r["servings"]).try_cast("decimal(10,2)")
+    # A number that its column can't hold makes the row an error, not the job.
+    numbers = [("prep_time_minutes", to_number_col(r["prepTime"], hours=hours), prep),
+               ("cook_time_minutes", to_number_col(r["cookTime"], hours=hours), cook),
+               ("servings", to_number_col(r["servings"]), servings)]
+    error = F.coalesce(*[F.when(n.isNotNull() & v.isNull(), F.lit(f"{c} out of range")) for c, n, v in numbers],
+                       F.lit(None).cast("string"))
     tags = F.array_compact(r["dietaryTags"])
     ingredients = F.transform(r["ingredients"], lambda e, i: F.struct(
         F.coalesce(F.nullif(e["name"], F.lit("")), F.lit("Unknown ingredient")).alias("name"),
@@ -240,18 +247,19 @@ def to_recipe_rows(stage: DataFrame, record: str = "recipeData", metadata: str =
         F.nullif(r["description"], F.lit("")).alias("description"),
         F.coalesce(F.array_compact(r["instructions"]), F.array().cast("array<string>")).alias("instructions"),
         prep.alias("prep_time_minutes"), cook.alias("cook_time_minutes"),
-        F.when((F.coalesce(prep, F.lit(0)) != 0) & (F.coalesce(cook, F.lit(0)) != 0), prep + cook)
-         .alias("total_time_minutes"),
-        to_integer_col(r["servings"]).cast("decimal(10,2)").alias("servings"),
+        F.when((F.coalesce(prep, F.lit(0)) != 0) & (F.coalesce(cook, F.lit(0)) != 0),
+               (prep.cast("bigint") + cook).try_cast("int")).alias("total_time_minutes"),
+        servings.alias("servings"),
         normalize_by_synonyms_col(r["difficulty"], lx.DIFFICULTY_SYNONYMS).alias("difficulty"),
         F.nullif(F.coalesce(r["cuisineType"], r["cuisine"]), F.lit("")).alias("cuisine_type"),
         normalize_by_synonyms_col(r["mealType"], lx.MEAL_SYNONYMS).alias("meal_type"),
         F.when(F.size(tags) > 0, tags).alias("dietary_tags"),
         m["link"].alias("source_url"),
-        m["user"].alias("reddit_author"),
-        comments.alias("reddit_score"), comments.alias("reddit_comments_count"),
+        m["user"].alias("post_author"),
+        comments.alias("post_score"), comments.alias("post_comments"),
         F.coalesce(ingredients, F.array().cast(
             "array<struct<name:string,unit:string,amount:double,notes:string,order_index:int>>")).alias("ingredients"),
+        error.alias("error"),
     )
 
 

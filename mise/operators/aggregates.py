@@ -18,8 +18,8 @@ def mentions(docs: DataFrame, cols: Sequence[str] = ("id",), field: str = "name"
     """Flat (cols..., name) rows, one per ingredient mention (NULL names kept; aggs skip them).
 
     ``docs`` is either nested documents (an ``ingredients`` array, exploded row-locally) or
-    already flat mentions (a ``name`` column, e.g. junction rows joined to names and recipe
-    columns), which is the form to use at scale: no per-recipe array is ever built.
+    already flat mentions (a ``name`` column, e.g. junction rows joined to names and dish
+    columns), which is the form to use at scale: no per-dish array is ever built.
     """
     if "ingredients" not in docs.columns and field in docs.columns:
         return docs.select(*cols, field)
@@ -49,7 +49,7 @@ def ingredient_totals(docs: DataFrame, approx: bool = False, flat: DataFrame | N
     unique = F.approx_count_distinct("name") if approx else F.count_distinct("name")
     total_docs = docs.select(F.count("id")).scalar()
     return m.agg(F.count("name").alias("total_mentions"), unique.alias("unique_ingredients")) \
-            .select(total_docs.alias("total_recipes"), "total_mentions", "unique_ingredients")
+            .select(total_docs.alias("total_dishes"), "total_mentions", "unique_ingredients")
 
 
 def top_ingredients(docs: DataFrame, n: int = 20) -> DataFrame:
@@ -58,14 +58,14 @@ def top_ingredients(docs: DataFrame, n: int = 20) -> DataFrame:
 
 
 def ingredient_frequency(docs: DataFrame, n: int = 30, flat: DataFrame | None = None) -> DataFrame:
-    """Mentions, distinct recipes and share of all recipes for the top ``n`` names.
+    """Mentions, distinct dishes and share of all dishes for the top ``n`` names.
 
     The total is a scalar subquery, not a cross join.
     """
     total = docs.select(F.count(F.lit(1))).scalar()
     m = mentions(flat if flat is not None else docs).filter(F.col("name").isNotNull())
-    g = m.groupBy("name").agg(F.count(F.lit(1)).alias("mentions"), F.count_distinct("id").alias("recipes"))
-    return (g.withColumn("percent", F.round(F.col("recipes") * 100.0 / total, 6))
+    g = m.groupBy("name").agg(F.count(F.lit(1)).alias("mentions"), F.count_distinct("id").alias("dishes"))
+    return (g.withColumn("percent", F.round(F.col("dishes") * 100.0 / total, 6))
              .orderBy(F.desc("mentions"), F.asc("name")).limit(n))
 
 
@@ -90,11 +90,11 @@ def top_per_group(docs: DataFrame, group: str, n_groups: int = 10, n: int = 10,
 
 def top_with_samples(docs: DataFrame, n: int = 50, k: int = 3, title: str = "title",
                      flat: DataFrame | None = None) -> DataFrame:
-    """Top ``n`` ingredients, each with the ``k`` most frequent recipe titles containing it
+    """Top ``n`` ingredients, each with the ``k`` most frequent dish titles containing it
     (``flat``: (id, title, name) mention rows)."""
     m = mentions(flat if flat is not None else docs, cols=("id", title)).filter(F.col("name").isNotNull())
     top = m.groupBy("name").agg(F.count(F.lit(1)).alias("mentions"),
-                                F.count_distinct("id").alias("recipes")).orderBy(F.desc("mentions"), "name").limit(n)
+                                F.count_distinct("id").alias("dishes")).orderBy(F.desc("mentions"), "name").limit(n)
     per_title = (m.join(F.broadcast(top.select("name")), "name", "left_semi")
                   .filter(F.col(title).isNotNull())
                   .groupBy("name", title).agg(F.count_distinct("id").alias("title_count")))
@@ -103,7 +103,7 @@ def top_with_samples(docs: DataFrame, n: int = 50, k: int = 3, title: str = "tit
     samples = best.groupBy("name").agg(
         F.array_sort(F.collect_list(F.struct("_r", F.col(title).alias("t")))).alias("_s"))
     return (top.join(samples, "name", "left")
-               .select("name", "mentions", "recipes",
+               .select("name", "mentions", "dishes",
                        F.coalesce(F.transform("_s", lambda s: s["t"]), F.array().cast("array<string>")).alias("titles")))
 
 
@@ -122,11 +122,11 @@ def profile_by(docs: DataFrame, group: str = "difficulty", flat: DataFrame | Non
                 .agg(F.count(F.lit(1)).alias("count"),
                      F.round(F.avg("total_time_minutes"), 6).alias("avg_time"),
                      F.sum(names).alias("ingredient_mentions"),
-                     F.round(F.avg("reddit_score"), 6).alias("avg_score"))
+                     F.round(F.avg("post_score"), 6).alias("avg_score"))
                 .orderBy(F.desc("count"), group))
 
 
-def top_hits(docs: DataFrame, group: str = "cuisine_type", order: str = "reddit_score", k: int = 3,
+def top_hits(docs: DataFrame, group: str = "cuisine_type", order: str = "post_score", k: int = 3,
              n_groups: int = 20, cols: Sequence[str] = ("title", "difficulty", "total_time_minutes")) -> DataFrame:
     """For each of the top groups, the ``k`` best documents by ``order`` (missing last)."""
     top = top_terms(docs, group, n_groups).select(group, F.col("count").alias("group_count"))

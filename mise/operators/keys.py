@@ -43,6 +43,22 @@ def max_id(df: DataFrame, id_col: str = "id") -> Column:
     return df.select(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint")).scalar()
 
 
-def hash_bucket(cols: Sequence[str | Column], buckets: int) -> Column:
-    """Stable bucket of a key, independent of partitioning (used to salt hot keys)."""
-    return F.pmod(F.xxhash64(*[F.col(c) if isinstance(c, str) else c for c in cols]), F.lit(buckets))
+def running_sum(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, out: str,
+                partitions: int | None = None) -> DataFrame:
+    """Sum of ``value`` up to and including each row, in ``order`` within ``by``.
+
+    Like :func:`dense_ids`: rows are range-partitioned on the order, summed inside each partition,
+    and offset by the sums of the earlier partitions, so that no task gets a whole group.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by, order = list(by), list(order)
+    ranged = df.repartitionByRange(n, *by, *order).withColumn("_b", F.spark_partition_id()).checkpoint(eager=True)
+    inside = Window.partitionBy("_b", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # One row per partition and group that it holds.
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy(*by, "_b").agg(F.sum(value).alias("_part"))
+    offsets = offsets.select(*by, "_b", F.coalesce(F.sum("_part").over(before), F.lit(0)).alias("_off"))
+    return (ranged.withColumn("_in", F.sum(value).over(inside)).join(offsets, [*by, "_b"])
+                  .withColumn(out, F.col("_off") + F.col("_in")).drop("_b", "_in", "_off"))

@@ -1,7 +1,7 @@
 """Relational operators over the normalised tables.
 
-Tables use the canonical column names of ``mise.schemas``: ``recipes(id, title, ...)``,
-``recipe_ingredients(recipe_id, ingredient_id, measurement_id, amount, notes, order_index)``,
+Tables use the canonical column names of ``mise.schemas``: ``dishes(id, title, ...)``,
+``dish_ingredients(dish_id, ingredient_id, measurement_id, amount, notes, order_index)``,
 ``ingredients(id, name, category)``, ``measurements(id, name, unit_type)``.
 
 Joins are declared, not hinted: dimension tables are broadcast by AQE only when their runtime
@@ -43,17 +43,17 @@ def ingredient_lines(junction: DataFrame, ingredients: DataFrame, measurements:
     m = measurements.select(F.col("id").alias("measurement_id"), F.col("name").alias("unit_name"),
                             F.col("id").alias("_mid"))
     extra = [c for c in tie_break if c in junction.columns]
-    j = junction.select("recipe_id", "ingredient_id", "measurement_id", "amount", "notes", "order_index", *extra)
+    j = junction.select("dish_id", "ingredient_id", "measurement_id", "amount", "notes", "order_index", *extra)
     return (j.join(i, "ingredient_id", "left").join(m, "measurement_id", "left"))
 
 
-def recipe_rows(recipes: DataFrame, junction: DataFrame, ingredients: DataFrame, measurements: DataFrame,
-                recipe_cols: Sequence[str] = ("id", "title")) -> DataFrame:
-    """One row per (recipe, ingredient line); recipes without ingredients keep one row of NULLs."""
+def dish_rows(dishes: DataFrame, junction: DataFrame, ingredients: DataFrame, measurements: DataFrame,
+                dish_cols: Sequence[str] = ("id", "title")) -> DataFrame:
+    """One row per (dish, ingredient line); dishes without ingredients keep one row of NULLs."""
     lines = ingredient_lines(junction, ingredients, measurements)
-    r = recipes.select(*recipe_cols)
-    return (r.join(lines, r["id"] == lines["recipe_id"], "left")
-             .select(*[r[c] for c in recipe_cols], "order_index", "ingredient_name", "unit_name", "amount", "notes"))
+    r = dishes.select(*dish_cols)
+    return (r.join(lines, r["id"] == lines["dish_id"], "left")
+             .select(*[r[c] for c in dish_cols], "order_index", "ingredient_name", "unit_name", "amount", "notes"))
 
 
 def _ingredient_struct(tie_break: Sequence[str]) -> Column:
@@ -64,38 +64,38 @@ def _ingredient_struct(tie_break: Sequence[str]) -> Column:
 
 def nested_ingredients(junction: DataFrame, ingredients: DataFrame, measurements: DataFrame,
                        tie_break: Sequence[str] = ()) -> DataFrame:
-    """(recipe_id, ingredients) with ingredients ordered by order_index (then ``tie_break``).
+    """(dish_id, ingredients) with ingredients ordered by order_index (then ``tie_break``).
 
     Lines whose ingredient id does not resolve are left out (aggregate FILTER semantics).  The
-    grouping is by recipe only, and the list of a recipe is bounded by that recipe's lines.
+    grouping is by dish only, and the list of a dish is bounded by that dish's lines.
     """
     lines = ingredient_lines(junction, ingredients, measurements, tie_break).filter(F.col("_iid").isNotNull())
-    agg = lines.groupBy("recipe_id").agg(F.array_sort(F.collect_list(_ingredient_struct(tie_break))).alias("_l"))
-    return agg.select("recipe_id", F.transform("_l", lambda s: F.struct(
+    agg = lines.groupBy("dish_id").agg(F.array_sort(F.collect_list(_ingredient_struct(tie_break))).alias("_l"))
+    return agg.select("dish_id", F.transform("_l", lambda s: F.struct(
         s["name"].alias("name"), s["quantity"].alias("quantity"), s["unit"].alias("unit"),
         s["notes"].alias("notes"))).alias("ingredients"))
 
 
-def nest_recipes(recipes: DataFrame, junction: DataFrame, ingredients: DataFrame, measurements: DataFrame,
+def nest_dishes(dishes: DataFrame, junction: DataFrame, ingredients: DataFrame, measurements: DataFrame,
                  tie_break: Sequence[str] = ()) -> DataFrame:
-    """R2: recipes with a nested, ordered ingredient array; a recipe without lines gets ``[]``."""
+    """R2: dishes with a nested, ordered ingredient array; a dish without lines gets ``[]``."""
     nested = nested_ingredients(junction, ingredients, measurements, tie_break)
     empty = F.array().cast("array<struct<name:string,quantity:double,unit:string,notes:string>>")
-    return (recipes.join(nested, recipes["id"] == nested["recipe_id"], "left")
+    return (dishes.join(nested, dishes["id"] == nested["dish_id"], "left")
                    .withColumn("ingredients", F.coalesce(F.col("ingredients"), empty))
-                   .drop("recipe_id"))
+                   .drop("dish_id"))
 
 
 DOCUMENT_COLUMNS = ["id", "title", "description", "ingredients", "instructions", "prep_time_minutes",
                     "cook_time_minutes", "total_time_minutes", "servings", "difficulty", "cuisine_type", "meal_type",
-                    "dietary_tags", "reddit_author", "reddit_score", "reddit_comments_count", "created_at",
+                    "dietary_tags", "post_author", "post_score", "post_comments", "created_at",
                     "updated_at"]
 
 
-def build_documents(recipes: DataFrame, junction: DataFrame, ingredients: DataFrame, measurements: DataFrame,
+def build_documents(dishes: DataFrame, junction: DataFrame, ingredients: DataFrame, measurements: DataFrame,
                     tie_break: Sequence[str] = ()) -> DataFrame:
-    """Search documents, one per recipe, servings as double, missing columns as NULL."""
-    docs = nest_recipes(recipes, junction, ingredients, measurements, tie_break)
+    """Search documents, one per dish, servings as double, missing columns as NULL."""
+    docs = nest_dishes(dishes, junction, ingredients, measurements, tie_break)
     cols = []
     for c in DOCUMENT_COLUMNS:
         if c in docs.columns:
@@ -119,7 +119,7 @@ def by_name(df: DataFrame, name: str, column: str = "name") -> DataFrame:
     return df.filter(F.col(column) == F.lit(name))
 
 
-def filter_recipes(df: DataFrame, cuisine_type=None, meal_type=None, difficulty=None, dietary_tags=None,
+def filter_dishes(df: DataFrame, cuisine_type=None, meal_type=None, difficulty=None, dietary_tags=None,
                    max_prep_time=None, max_cook_time=None, min_servings=None) -> DataFrame:
     """Optional conjunctive filters; NULL values never pass a bound (SQL semantics)."""
     cond = F.lit(True)
@@ -181,10 +181,10 @@ def text_search(df: DataFrame, term: str, cols: Sequence[str] = ("title", "descr
 
 
 # ------------------------------------------------------------------------------------ R12 - R17
-def recipe_stats(df: DataFrame) -> DataFrame:
+def dish_stats(df: DataFrame) -> DataFrame:
     """One aggregate row."""
     return df.agg(
-        F.count(F.lit(1)).alias("total_recipes"),
+        F.count(F.lit(1)).alias("total_dishes"),
         F.count_distinct("cuisine_type").alias("unique_cuisines"),
         F.count_distinct("meal_type").alias("unique_meal_types"),
         F.round(F.avg("prep_time_minutes"), 6).alias("avg_prep_time"),
@@ -220,15 +220,15 @@ def count_by(df: DataFrame, column: str, like: str | None = None) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), column)
 
 
-def avg_children(recipes: DataFrame, junction: DataFrame, as_zero: bool = False, fk: str = "recipe_id") -> DataFrame:
-    """Recipes, distinct cuisines and average ingredient lines per recipe.
+def avg_children(dishes: DataFrame, junction: DataFrame, as_zero: bool = False, fk: str = "dish_id") -> DataFrame:
+    """Dishes, distinct cuisines and average ingredient lines per dish.
 
-    Lines are counted per recipe first (partial aggregation), then left-joined; recipes without
+    Lines are counted per dish first (partial aggregation), then left-joined; dishes without
     lines are excluded from the average unless ``as_zero``.
     """
     counts = junction.groupBy(fk).agg(F.count(F.lit(1)).alias("_n"))
-    j = recipes.select("id", "cuisine_type").join(counts, recipes["id"] == counts[fk], "left")
+    j = dishes.select("id", "cuisine_type").join(counts, dishes["id"] == counts[fk], "left")
     n = F.coalesce(F.col("_n"), F.lit(0)) if as_zero else F.col("_n")
-    return j.agg(F.count(F.lit(1)).alias("total_recipes"),
+    return j.agg(F.count(F.lit(1)).alias("total_dishes"),
                  F.count_distinct("cuisine_type").alias("unique_cuisines"),
-                 F.round(F.avg(n), 6).alias("avg_ingredients_per_recipe"))
+                 F.round(F.avg(n), 6).alias("avg_ingredients_per_dish"))

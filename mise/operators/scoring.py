@@ -32,12 +32,6 @@ def query_terms(spark: SparkSession, text: str, analyzer: Analyzer = english) ->
     return one.groupBy("term").agg(F.count(F.lit(1)).alias("qtf"))
 
 
-def terms_frame(spark: SparkSession, terms: Sequence[str]) -> DataFrame:
-    """(term, qtf) from already analysed terms."""
-    return spark.createDataFrame([(t,) for t in terms], "term string").groupBy("term").agg(
-        F.count(F.lit(1)).alias("qtf"))
-
-
 def field_tokens(docs: DataFrame, fields: Mapping[str, Analyzer], key: Sequence[str] = ("id",)) -> DataFrame:
     """(field, key..., dl, tokens) with one row per document and field."""
     parts = [docs.select(F.lit(f).alias("field"), *key, an(F.col(f)).alias("tokens")) for f, an in fields.items()]
@@ -128,19 +122,21 @@ def term_bucket(term: Column, buckets: int) -> Column:
 
 
 def write_postings(postings: DataFrame, lengths: DataFrame, path: str, buckets: int = 64) -> None:
-    """Persist the index once: postings partitioned by field and term bucket, lengths by field.
-    Queries then read only the buckets of their terms (see :func:`read_postings`)."""
+    """Persist the index once: postings partitioned by field and term bucket, lengths by field, and
+    the bucket count.  Queries then read only the buckets of their terms (see :func:`read_postings`)."""
+    postings.sparkSession.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
     (postings.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
              .write.mode("overwrite").partitionBy("field", "term_bucket").parquet(f"{path}/postings"))
     lengths.write.mode("overwrite").partitionBy("field").parquet(f"{path}/lengths")
 
 
-def read_postings(spark: SparkSession, path: str, terms: DataFrame, field: str, buckets: int = 64) -> DataFrame:
+def read_postings(spark: SparkSession, path: str, terms: DataFrame, field: str) -> DataFrame:
     """Postings of ``field`` for the query ``terms`` only.
 
     The bucket ids of the query terms (at most one per query term, computed by the same Spark
     hash) become a static partition filter, so only those directories are listed and read;
     the semi join with the broadcast terms then keeps the exact terms."""
+    buckets = spark.read.parquet(f"{path}/layout").first()["buckets"]
     q = terms.select("term").distinct().withColumn("term_bucket", term_bucket(F.col("term"), buckets))
     wanted = sorted({r[0] for r in q.select("term_bucket").collect()})   # bounded by the query text
     post = (spark.read.parquet(f"{path}/postings")

@@ -47,34 +47,33 @@ def match_all(df: DataFrame, from_: int = 0, size: int = 10, order: Sequence = (
 
 # ------------------------------------------------------------------------------ S5 - S7, S33
 def _postings_and_lengths(docs: DataFrame, field: str, analyzer: Analyzer, terms: DataFrame,
-                          index: str | None, buckets: int):
+                          index: str | None):
     """From a persisted index (only the buckets of the query terms are read) or, without one,
     built from ``docs`` with the query terms filtered before the shuffle."""
     if index is not None:
         spark = docs.sparkSession
-        return read_postings(spark, index, terms, field, buckets), read_lengths(spark, index)
+        return read_postings(spark, index, terms, field), read_lengths(spark, index)
     fields = {field: analyzer}
     return build_postings(docs, fields, terms=terms), field_lengths(docs, fields)
 
 
 def match(docs: DataFrame, field: str, text: str, analyzer: Analyzer = english, k: int = 10,
-          index: str | None = None, buckets: int = 64) -> DataFrame:
+          index: str | None = None) -> DataFrame:
     """BM25 on one field, any term; top ``k`` documents with ``score``.  ``index`` is the
     path of a persisted index (:func:`mise.operators.scoring.write_postings`)."""
     terms = query_terms(docs.sparkSession, text, analyzer)
-    post, lens = _postings_and_lengths(docs, field, analyzer, terms, index, buckets)
+    post, lens = _postings_and_lengths(docs, field, analyzer, terms, index)
     return _attach(docs, bm25(post, lens, terms, field), k)
 
 
 def field_scores(docs: DataFrame, text: str, fields: Mapping[str, float],
-                 analyzers: Mapping[str, Analyzer] | None = None, index: str | None = None,
-                 buckets: int = 64) -> DataFrame:
+                 analyzers: Mapping[str, Analyzer] | None = None, index: str | None = None) -> DataFrame:
     """(id, field, score) for every field with a boost."""
     analyzers = {f: (analyzers or {}).get(f, english) for f in fields}
     out = None
     for f, boost in fields.items():
         terms = query_terms(docs.sparkSession, text, analyzers[f])
-        post, lens = _postings_and_lengths(docs, f, analyzers[f], terms, index, buckets)
+        post, lens = _postings_and_lengths(docs, f, analyzers[f], terms, index)
         s = bm25(post, lens, terms, f, boost=boost).withColumn("field", F.lit(f))
         out = s if out is None else out.unionByName(s)
     return out
@@ -196,7 +195,7 @@ def nested_scores_flat(mentions: DataFrame, text: str, score_mode: str = "sum",
     """(id, score) from flat (id, name) mentions, equal to :func:`nested_scores`.
 
     An entry's BM25 depends only on its name, so names are scored once: mentions are counted
-    per distinct name (partially aggregated, so a name in a third of all recipes costs one row
+    per distinct name (partially aggregated, so a name in a third of all dishes costs one row
     per task), document frequencies are sums of those counts, and the per-name scores are
     joined back to the mentions (AQE broadcasts the scored names when small and splits a hot
     name otherwise)."""
@@ -333,7 +332,7 @@ def quick(docs: DataFrame, max_minutes: int = 30, by: str = "time", difficulty:
     """Easy and quick; ``by='time'`` (ascending) or ``by='score'`` (score, then time)."""
     hits = docs.filter(term("difficulty", difficulty) & range_filter("total_time_minutes", lte=max_minutes))
     order = ([("total_time_minutes", "asc"), "id"] if by == "time"
-             else [("reddit_score", "desc"), ("total_time_minutes", "asc"), "id"])
+             else [("post_score", "desc"), ("total_time_minutes", "asc"), "id"])
     return page(hits, order, size, from_)
 
 
@@ -352,12 +351,12 @@ def diet_search(docs: DataFrame, meal_type: str | None = None, cuisine: str | No
     return docs.filter(cond)
 
 
-def project_recipes(docs: DataFrame, difficulties: Sequence[str] = ("medium", "hard"), min_comments: int = 50,
-                    min_time: int = 120, comments: str = "reddit_comments_count") -> DataFrame:
-    """Long, engaged recipes, best scored first."""
+def project_dishes(docs: DataFrame, difficulties: Sequence[str] = ("medium", "hard"), min_comments: int = 50,
+                    min_time: int = 120, comments: str = "post_comments") -> DataFrame:
+    """Long, engaged dishes, best scored first."""
     hits = docs.filter(term("difficulty", list(difficulties)) & range_filter(comments, gte=min_comments)
                        & range_filter("total_time_minutes", gte=min_time))
-    return sort_by(hits, [("reddit_score", "desc"), "id"])
+    return sort_by(hits, [("post_score", "desc"), "id"])
 
 
 # ---------------------------------------------------------------------------------- S24

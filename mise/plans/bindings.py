@@ -1,11 +1,11 @@
-"""Bindings of the recipe model to the driver's generated tables.
+"""Bindings of the dish model to the driver's generated tables.
 
-The generated tables hold no recipes, so each canonical table is a projection of one of them:
+The generated tables hold no dishes, so each canonical table is a projection of one of them:
 
 =================  ===================================================================
-recipes            orders: id = o_orderkey, cuisine_type = o_orderpriority, difficulty =
+dishes            orders: id = o_orderkey, cuisine_type = o_orderpriority, difficulty =
                    o_orderstatus, created_at = o_orderdate, times and scores from o_totalprice
-recipe_ingredients lineitem: recipe_id = l_orderkey, ingredient_id = l_partkey, measurement_id =
+dish_ingredients lineitem: dish_id = l_orderkey, ingredient_id = l_partkey, measurement_id =
                    l_suppkey, amount = l_quantity, order_index = l_linenumber
 ingredients        part: id = p_partkey, name = p_name, category = p_type
 measurements       supplier: id = s_suppkey, name = s_name, unit_type = s_nationkey
@@ -38,7 +38,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df, TEXT_TABLES[name]) if name in TEXT_TABLES else df
 
 
-def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dishes(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     total = F.floor(F.col("o_totalprice") / 2000).cast("int")
     prep = F.floor(F.col("o_totalprice") / 5000).cast("int")
@@ -52,29 +52,29 @@ def recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("o_orderkey") % 12) + 1).cast("decimal(10,2)").alias("servings"),
         F.col("o_orderstatus").alias("difficulty"),
         F.col("o_orderpriority").alias("cuisine_type"),
-        F.lower(F.substring("o_orderpriority", 3, 100)).alias("meal_type"),
-        F.concat(F.lit("user"), F.col("o_custkey").cast("string")).alias("reddit_author"),
-        (F.col("o_custkey") % 100).cast("int").alias("reddit_score"),
-        (F.floor(F.col("o_totalprice") / 1000) % 100).cast("int").alias("reddit_comments_count"),
+        F.lower(F.expr("substring(o_orderpriority, 3)")).alias("meal_type"),
+        F.concat(F.lit("user"), F.col("o_custkey").cast("string")).alias("post_author"),
+        (F.col("o_custkey") % 100).cast("int").alias("post_score"),
+        (F.floor(F.col("o_totalprice") / 1000) % 100).cast("int").alias("post_comments"),
         F.col("o_orderdate").alias("created_at"),
         F.col("o_orderdate").alias("updated_at"),
     )
 
 
-def recipe_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dish_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, dietary_tags): sorted distinct return flags of the order's lines."""
     li = table(spark, sf_dir, "lineitem")
     return li.groupBy(F.col("l_orderkey").alias("id")).agg(F.array_sort(F.collect_set("l_returnflag")).alias("dietary_tags"))
 
 
-def recipes_with_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recipes(spark, sf_dir).join(recipe_tags(spark, sf_dir), "id", "left")
+def dishes_with_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dishes(spark, sf_dir).join(dish_tags(spark, sf_dir), "id", "left")
 
 
 def junction(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        F.col("l_orderkey").alias("recipe_id"),
+        F.col("l_orderkey").alias("dish_id"),
         F.col("l_partkey").alias("ingredient_id"),
         F.col("l_suppkey").alias("measurement_id"),
         F.col("l_quantity").cast("decimal(10,3)").alias("amount"),
@@ -99,20 +99,20 @@ def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str, tags: bool = False) -> DataFrame:
     """Search documents built from the star tables."""
-    r = recipes_with_tags(spark, sf_dir) if tags else recipes(spark, sf_dir)
+    r = dishes_with_tags(spark, sf_dir) if tags else dishes(spark, sf_dir)
     return build_documents(r, junction(spark, sf_dir), ingredients(spark, sf_dir), measurements(spark, sf_dir),
                            TIE_BREAK)
 
 
-def mentions(spark: SparkSession, sf_dir: str, recipe_cols=("cuisine_type",)) -> DataFrame:
-    """Flat ingredient mentions (id, recipe columns..., name): junction rows with a resolved
-    ingredient, joined to their recipe.  The form the aggregations use at scale."""
-    j = junction(spark, sf_dir).select(F.col("recipe_id").alias("id"), "ingredient_id")
+def mentions(spark: SparkSession, sf_dir: str, dish_cols=("cuisine_type",)) -> DataFrame:
+    """Flat ingredient mentions (id, dish columns..., name): junction rows with a resolved
+    ingredient, joined to their dish.  The form the aggregations use at scale."""
+    j = junction(spark, sf_dir).select(F.col("dish_id").alias("id"), "ingredient_id")
     i = ingredients(spark, sf_dir).select(F.col("id").alias("ingredient_id"), "name")
     m = j.join(i, "ingredient_id")
-    if recipe_cols:
-        m = m.join(recipes(spark, sf_dir).select("id", *recipe_cols), "id")
-    return m.select("id", *recipe_cols, "name")
+    if dish_cols:
+        m = m.join(dishes(spark, sf_dir).select("id", *dish_cols), "id")
+    return m.select("id", *dish_cols, "name")
 
 
 def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,8 +28,8 @@ def register(name: str, sql: str | None = None):
 
 
 # --------------------------------------------------------------------------- SQL of the bindings
-RECIPES_CTE = """
-recipes AS (
+DISHES_CTE = """
+dishes AS (
   SELECT o_orderkey AS id,
          'order ' || CAST(o_orderkey AS VARCHAR) AS title,
          CAST(floor(o_totalprice / 5000) AS INTEGER) AS prep_time_minutes,
@@ -38,14 +38,14 @@ recipes AS (
          CAST((o_orderkey % 12) + 1 AS DECIMAL(10,2)) AS servings,
          o_orderstatus AS difficulty,
          o_orderpriority AS cuisine_type,
-         lower(substr(o_orderpriority, 3, 100)) AS meal_type,
-         'user' || CAST(o_custkey AS VARCHAR) AS reddit_author,
-         CAST(o_custkey % 100 AS INTEGER) AS reddit_score,
-         CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) % 100 AS INTEGER) AS reddit_comments_count,
+         lower(substr(o_orderpriority, 3)) AS meal_type,
+         'user' || CAST(o_custkey AS VARCHAR) AS post_author,
+         CAST(o_custkey % 100 AS INTEGER) AS post_score,
+         CAST(CAST(floor(o_totalprice / 1000) AS BIGINT) % 100 AS INTEGER) AS post_comments,
          o_orderdate AS created_at
   FROM orders)"""
 
-# One row per resolved ingredient line of a recipe document (inner join = FILTER (i.id IS NOT NULL)).
+# One row per resolved ingredient line of a dish document (inner join = FILTER (i.id IS NOT NULL)).
 MENTIONS_CTE = """
 mentions AS (
   SELECT l.l_orderkey AS id, p.p_name AS name, l.l_linenumber AS order_index, l.l_partkey, l.l_suppkey,

@@ -1,15 +1,13 @@
 """End-to-end jobs: the reference's CSV -> staged JSON -> tables -> search documents flow as Spark jobs.
 
-Tables live in the same layout as the streaming loader (append-only parquet partitioned by
-``batch``), so batch and streaming loads can be mixed over one state.
+Tables live in the same layout as the streaming loader (parquet partitioned by source and batch),
+so batch and streaming loads can take turns over one state.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,11 +24,8 @@ STRUCTURED_META = {"title": "title", "link": "link", "source": "source", "site":
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.option("pathGlobFilter", "*.json").json(path).limit(0).collect()
-        return True
-    except AnalysisException:
-        return False
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def extract_to_stage(spark: SparkSession, paths: Sequence[str], stage_dir: str, kind: str = "posts",
@@ -44,7 +39,7 @@ def extract_to_stage(spark: SparkSession, paths: Sequence[str], stage_dir: str,
         raw = ST.skip_existing(raw, ST.read_stage(spark, stage_dir))
     rec = (extract_posts(raw, "comment", "title") if kind == "posts"
            else extract_structured(raw, "ingredients", "directions", "title"))
-    empty = (F.size("recipe.ingredients") == 0) & (F.size("recipe.instructions") == 0)
+    empty = (F.size("dish.ingredients") == 0) & (F.size("dish.instructions") == 0)
     rec = STS.with_status(rec, ~empty, F.when(empty, F.lit("no ingredients or steps found")).otherwise(
         F.lit("malformed row")))
     rec = RD.with_chunk(rec, chunk_size)
@@ -59,21 +54,15 @@ def extract_to_stage(spark: SparkSession, paths: Sequence[str], stage_dir: str,
 def load_stage_dir(spark: SparkSession, stage_dir: str, tables_dir: str) -> DataFrame:
     """Load every staged entry not loaded yet into the four tables (the batch form of T1).
     Returns the outcomes of this load."""
-    batches = os.path.join(tables_dir, "outcomes")
-    done = INC.read_outcomes(spark, tables_dir)
-    try:
-        last = spark.read.parquet(batches).agg(F.max("batch")).first()[0]
-    except AnalysisException:
-        last = None
+    last = INC.read_commits(spark, tables_dir).where("source = 'batch'").agg(F.max("batch")).first()[0]
     batch_id = 0 if last is None else int(last) + 1
     INC.load_batch(ST.read_stage(spark, stage_dir), batch_id, tables_dir)
-    return INC.read_outcomes(spark, tables_dir).join(done.select("dataset", "entryNumber"),
-                                                      ["dataset", "entryNumber"], "left_anti")
+    return spark.read.schema(INC.OUTCOMES).parquet(f"{tables_dir}/outcomes/source=batch/batch={batch_id}")
 
 
 def export_documents(spark: SparkSession, tables_dir: str, out: str) -> DataFrame:
     """Build the nested search documents from the current tables and write them."""
     t = INC.read_tables(spark, tables_dir)
-    docs = build_documents(t.recipes, t.recipe_ingredients, t.ingredients, t.measurements, ("ingredient_id",))
+    docs = build_documents(t.dishes, t.dish_ingredients, t.ingredients, t.measurements, ("ingredient_id",))
     ST.write_documents(docs, out)
     return spark.read.parquet(out)

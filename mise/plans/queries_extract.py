@@ -14,7 +14,7 @@ from ..functions import text as TX
 from ..functions.ingredients import _POST_SKIP, parse_ingredient_line
 from ..session import spread
 from . import bindings as B
-from .catalog import MENTIONS_CTE, RECIPES_CTE, register, with_ctes
+from .catalog import MENTIONS_CTE, DISHES_CTE, register, with_ctes
 from .queries_search import TDOCS_CTE, sql_lit
 
 _PTYPES = ["standard", "economy", "promo", "small", "large", "medium"]
@@ -84,7 +84,7 @@ def _case_contains(x: str, table) -> str:
 
 _DIFF_IN = ("lower(o_orderpriority) || ' ' || lower(CASE o_orderstatus WHEN 'F' THEN 'Super Easy' "
             "WHEN 'O' THEN 'Moderate' ELSE 'challenging' END)")
-_MEAL_IN = ("lower(lower(substr(o_orderpriority, 3, 100)) || ' ' || CASE o_orderstatus WHEN 'F' THEN 'Dinner or lunch' "
+_MEAL_IN = ("lower(lower(substr(o_orderpriority, 3)) || ' ' || CASE o_orderstatus WHEN 'F' THEN 'Dinner or lunch' "
             "WHEN 'O' THEN 'brunch' ELSE 'main' END)")
 
 
@@ -96,7 +96,7 @@ def normalize_categories(spark, d):
     diff = F.concat(F.col("o_orderpriority"), F.lit(" "),
                     F.when(F.col("o_orderstatus") == "F", "Super Easy").when(F.col("o_orderstatus") == "O", "Moderate")
                      .otherwise("challenging"))
-    meal = F.concat(F.lower(F.substring("o_orderpriority", 3, 100)), F.lit(" "),
+    meal = F.concat(F.lower(F.expr("substring(o_orderpriority, 3)")), F.lit(" "),
                     F.when(F.col("o_orderstatus") == "F", "Dinner or lunch").when(F.col("o_orderstatus") == "O", "brunch")
                      .otherwise("main"))
     return o.select(F.col("o_orderkey").alias("id"),
@@ -104,11 +104,11 @@ def normalize_categories(spark, d):
                     NB.normalize_by_synonyms_col(meal, lx.MEAL_SYNONYMS).alias("meal_type"))
 
 
-_RENDER_SQL = with_ctes(RECIPES_CTE, MENTIONS_CTE, """
+_RENDER_SQL = with_ctes(DISHES_CTE, MENTIONS_CTE, """
 pos AS (SELECT id, name, row_number() OVER (PARTITION BY id ORDER BY order_index, l_partkey, l_suppkey, l_quantity,
                                                                    l_extendedprice) AS k FROM mentions)""") + """
 SELECT r.id, md5(coalesce(string_agg(CAST(p.k AS VARCHAR) || '. ' || p.name, chr(10) ORDER BY p.k), '')) AS text_md5
-FROM recipes r LEFT JOIN pos p ON r.id = p.id GROUP BY r.id"""
+FROM dishes r LEFT JOIN pos p ON r.id = p.id GROUP BY r.id"""
 
 
 @register("render_ingredient_text", _RENDER_SQL)
@@ -117,25 +117,25 @@ def render_ingredient_text(spark, d):
     return docs.select("id", F.md5(TX.render_text_col(F.transform("ingredients", lambda e: e["name"]))).alias("text_md5"))
 
 
-@register("ingredient_labels", with_ctes(RECIPES_CTE, MENTIONS_CTE, """
+@register("ingredient_labels", with_ctes(DISHES_CTE, MENTIONS_CTE, """
 lab AS (SELECT m.id, m.order_index, m.l_partkey, m.l_suppkey, m.l_quantity, m.l_extendedprice,
                trim(concat_ws(' ', CAST(m.l_quantity AS VARCHAR), s.s_name, m.name)) AS label
         FROM mentions m JOIN supplier s ON m.l_suppkey = s.s_suppkey)""") + """
 SELECT r.id, md5(coalesce(string_agg(label, '|' ORDER BY order_index, l_partkey, l_suppkey, l_quantity,
                                      l_extendedprice), '')) AS labels_md5
-FROM recipes r LEFT JOIN lab ON r.id = lab.id GROUP BY r.id""")
+FROM dishes r LEFT JOIN lab ON r.id = lab.id GROUP BY r.id""")
 def ingredient_labels(spark, d):
     docs = TX.ingredient_labels(B.documents(spark, d))
     return docs.select("id", F.md5(F.array_join("labels", "|")).alias("labels_md5"))
 
 
-@register("decode_json_cells", with_ctes(RECIPES_CTE, MENTIONS_CTE) + """
+@register("decode_json_cells", with_ctes(DISHES_CTE, MENTIONS_CTE) + """
 SELECT r.id,
        CASE WHEN o.o_orderstatus = 'P' THEN 1 ELSE count(m.name) END AS n,
        CASE WHEN o.o_orderstatus = 'P' THEN 'not json ' || CAST(r.id AS VARCHAR)
             ELSE coalesce(string_agg(m.name, '|' ORDER BY m.order_index, m.l_partkey, m.l_suppkey, m.l_quantity,
                                      m.l_extendedprice), '') END AS joined
-FROM recipes r JOIN orders o ON r.id = o.o_orderkey LEFT JOIN mentions m ON r.id = m.id
+FROM dishes r JOIN orders o ON r.id = o.o_orderkey LEFT JOIN mentions m ON r.id = m.id
 GROUP BY r.id, o.o_orderstatus""")
 def decode_json_cells(spark, d):
     docs = B.documents(spark, d)
@@ -330,18 +330,18 @@ def extract_posts_documents(spark, d):
     """B17 over whole documents (text as the post, first line as the title)."""
     t = B.table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", "text",
                                               F.substring_index("text", "\n", 1).alias("title"))
-    r = RC.extract_posts(t, "text", "title").select("id", "lang", "recipe.*")
+    r = RC.extract_posts(t, "text", "title").select("id", "lang", "dish.*")
     return r.select("id", "lang", "description", F.size("instructions").alias("n_steps"), "servings",
                     F.col("prepTime").alias("prep_time"), F.col("cookTime").alias("cook_time"),
                     F.col("totalTime").alias("total_time"), "difficulty", "cuisine", "course",
                     F.col("mealType").alias("meal_type"), F.array_join("dietaryTags", "|").alias("dietary_tags"))
 
 
-@register("extract_structured_orders", with_ctes(RECIPES_CTE, MENTIONS_CTE, """
+@register("extract_structured_orders", with_ctes(DISHES_CTE, MENTIONS_CTE, """
 per AS (SELECT id, count(*) AS n FROM mentions GROUP BY id)""") + """
 SELECT r.id, coalesce(p.n, 0) AS n_ingredients, CAST(r.total_time_minutes AS VARCHAR) || ' min' AS cook_time,
        CAST((r.id % 6) + 1 AS VARCHAR) AS servings, 2 AS n_steps
-FROM recipes r LEFT JOIN per p ON r.id = p.id""")
+FROM dishes r LEFT JOIN per p ON r.id = p.id""")
 def extract_structured_orders(spark, d):
     """B18 over JSON-array cells built per order: ingredient lines and two directions."""
     docs = B.documents(spark, d)
@@ -352,9 +352,9 @@ def extract_structured_orders(spark, d):
         F.concat(F.lit("Serves "), ((F.col("id") % 6) + 1).cast("string"), F.lit(" as a main dish."))))
     rows = docs.select("id", "title", ing.alias("ingredients"), dirs.alias("directions"))
     out = RC.extract_structured(rows)
-    return out.select("id", F.size("recipe.ingredients").cast("bigint").alias("n_ingredients"),
-                      F.col("recipe.cookTime").alias("cook_time"), F.col("recipe.servings").alias("servings"),
-                      F.size("recipe.instructions").alias("n_steps"))
+    return out.select("id", F.size("dish.ingredients").cast("bigint").alias("n_ingredients"),
+                      F.col("dish.cookTime").alias("cook_time"), F.col("dish.servings").alias("servings"),
+                      F.size("dish.instructions").alias("n_steps"))
 
 
 def extraction_counts_by_lang(spark, d):
@@ -367,7 +367,7 @@ register("extraction_counts_by_lang", _post_sql(counts=True))(extraction_counts_
 
 
 def coerce_event_props(spark, d):
-    """B24 / B25 over the JSON cells of ``events`` (objects without recipe fields)."""
+    """B24 / B25 over the JSON cells of ``events`` (objects without dish fields)."""
     e = B.table(spark, d, "events")
     return e.select("event_id", RC.coerce_records_col("props").alias("r"),
                     F.array_join(RC.validation_errors_col("props"), ",").alias("errors")).select(
@@ -403,7 +403,7 @@ def _json_records(spark, d):
 _ERR_F = "'instructions.step,instructions.title,instructions.description,prepTime'"
 
 
-@register("coerce_json_records", with_ctes(RECIPES_CTE, MENTIONS_CTE, """
+@register("coerce_json_records", with_ctes(DISHES_CTE, MENTIONS_CTE, """
 per AS (SELECT id, count(*) AS n,
                string_agg(CASE WHEN l_quantity = floor(l_quantity) THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)
                                ELSE CAST(l_quantity AS VARCHAR) END, '|'
@@ -423,7 +423,7 @@ SELECT r.id,
             WHEN r.difficulty = 'O' THEN
               'title,ingredients.type,ingredients.min,instructions.step,instructions.title,instructions.description'
             ELSE CASE WHEN p.n IS NULL THEN 'ingredients.min' ELSE '' END END AS errors
-FROM recipes r LEFT JOIN per p ON r.id = p.id""")
+FROM dishes r LEFT JOIN per p ON r.id = p.id""")
 def coerce_json_records(spark, d):
     j = _json_records(spark, d)
     r = j.select("id", RC.coerce_records_col("json").alias("r"),
@@ -434,19 +434,19 @@ def coerce_json_records(spark, d):
                     F.col("r.servings").alias("servings"), "errors")
 
 
-@register("extraction_counts_json", with_ctes(RECIPES_CTE, MENTIONS_CTE, """
+@register("extraction_counts_json", with_ctes(DISHES_CTE, MENTIONS_CTE, """
 per AS (SELECT id, count(*) AS n FROM mentions GROUP BY id),
 x AS (SELECT r.difficulty AS dataset,
              CASE WHEN r.difficulty = 'O' THEN 0 ELSE coalesce(p.n, 0) END AS n_ing,
              CASE WHEN r.difficulty = 'F' THEN 1 ELSE 0 END AS n_ins
-      FROM recipes r LEFT JOIN per p ON r.id = p.id)""") + """
+      FROM dishes r LEFT JOIN per p ON r.id = p.id)""") + """
 SELECT dataset, count(*) AS entries, sum(n_ing) AS ingredients_found, sum(n_ins) AS steps_found,
        round(avg(n_ing), 6) AS avg_ingredients, round(avg(n_ins), 6) AS avg_steps,
        count(*) FILTER (WHERE n_ing = 0) AS without_ingredients, count(*) FILTER (WHERE n_ins = 0) AS without_steps
 FROM x GROUP BY dataset""")
 def extraction_counts_json(spark, d):
     """B31 over records coerced from per-order JSON (dataset = order status)."""
-    j = _json_records(spark, d).join(B.recipes(spark, d).select("id", F.col("difficulty").alias("dataset")), "id")
+    j = _json_records(spark, d).join(B.dishes(spark, d).select("id", F.col("difficulty").alias("dataset")), "id")
     return RC.extraction_counts(j.select("dataset", RC.coerce_records_col("json").alias("recipeData")), "dataset")
 
 

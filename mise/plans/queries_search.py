@@ -11,7 +11,7 @@ from ..operators import aggregates as G
 from ..operators import scoring as SC
 from ..operators import search as S
 from . import bindings as B
-from .catalog import MENTIONS_CTE, RECIPES_CTE, register, with_ctes
+from .catalog import MENTIONS_CTE, DISHES_CTE, register, with_ctes
 
 # ------------------------------------------------------------------------------ SQL helpers
 _STOP = "[" + ", ".join(f"'{w}'" for w in lx.ENGLISH_STOPWORDS) + "]"
@@ -128,32 +128,32 @@ def match_all_page(spark, d):
 
 
 # ---------------------------------------------------------------------------- S8 - S10, S25
-@register("bool_recipes", with_ctes(RECIPES_CTE) + """
+@register("bool_dishes", with_ctes(DISHES_CTE) + """
 SELECT id, (1.0 + CASE WHEN cuisine_type IN ('1-URGENT', '2-HIGH') THEN 2.0 ELSE 0.0 END
-           + CASE WHEN reddit_score >= 50 THEN 1.0 ELSE 0.0 END) AS score
-FROM recipes
+           + CASE WHEN post_score >= 50 THEN 1.0 ELSE 0.0 END) AS score
+FROM dishes
 WHERE difficulty = 'F' AND total_time_minutes IS NOT NULL AND total_time_minutes <= 60
-  AND NOT (meal_type = 'low') AND (cuisine_type IN ('1-URGENT', '2-HIGH') OR reddit_score >= 50)""")
-def bool_recipes(spark, d):
+  AND NOT (meal_type = 'low') AND (cuisine_type IN ('1-URGENT', '2-HIGH') OR post_score >= 50)""")
+def bool_dishes(spark, d):
     docs = B.documents(spark, d)
     out = S.bool_query(docs, must=[S.term("difficulty", "F")],
                        should=[S.Clause(S.term("cuisine_type", ["1-URGENT", "2-HIGH"]), boost=2.0),
-                               S.range_filter("reddit_score", gte=50)],
+                               S.range_filter("post_score", gte=50)],
                        must_not=[S.term("meal_type", "low")], filter=[S.range_filter("total_time_minutes", lte=60)],
                        minimum_should_match=1)
     return out.select("id", "score")
 
 
-@register("discover_recipes", with_ctes(RECIPES_CTE, MENTIONS_CTE, """
+@register("discover_dishes", with_ctes(DISHES_CTE, MENTIONS_CTE, """
 n AS (SELECT id, count(*) AS n FROM mentions WHERE name IN ('red widget', 'hot plate') GROUP BY id),
 sc AS (SELECT r.id, coalesce(n.n, 0) * 1.0
                + CASE WHEN r.cuisine_type IN ('1-URGENT', '2-HIGH') THEN 2.0 ELSE 0.0 END
                + CASE WHEN r.total_time_minutes BETWEEN 15 AND 45 THEN 1.5 ELSE 0.0 END AS score,
               coalesce(n.n, 0) > 0 OR r.cuisine_type IN ('1-URGENT', '2-HIGH')
                OR coalesce(r.total_time_minutes BETWEEN 15 AND 45, false) AS any_hit
-       FROM recipes r LEFT JOIN n ON r.id = n.id)""") + """
+       FROM dishes r LEFT JOIN n ON r.id = n.id)""") + """
 SELECT id, score FROM sc WHERE any_hit AND score >= 2""")
-def discover_recipes(spark, d):
+def discover_dishes(spark, d):
     out = S.discover(B.documents(spark, d), ["red widget", "hot plate"], ["1-URGENT", "2-HIGH"], 15, 45)
     return out.select("id", "score")
 
@@ -168,7 +168,7 @@ def _nested_sql(query: str, k: int) -> str:
 
 @register("nested_ingredient_match", _nested_sql("widget hot", 10))
 def nested_ingredient_match(spark, d):
-    return _scores(S.nested_match(B.recipes(spark, d), "widget hot", "sum", k=10, flat=B.mentions(spark, d, ())))
+    return _scores(S.nested_match(B.dishes(spark, d), "widget hot", "sum", k=10, flat=B.mentions(spark, d, ())))
 
 
 @register("seasonal_ingredients", _nested_sql("anvil gizmo", 10))
@@ -182,10 +182,10 @@ def nested_match_documents(spark, d):
     return _scores(S.nested_match(B.documents(spark, d), "widget hot", "sum", k=10))
 
 
-@register("recommend_recipes", with_ctes(MENTIONS_CTE) + """
+@register("recommend_dishes", with_ctes(MENTIONS_CTE) + """
 SELECT id, count(*) AS matched FROM mentions WHERE name IN ('red widget', 'hot plate', 'small gear')
 GROUP BY id ORDER BY matched DESC, id LIMIT 10""")
-def recommend_recipes(spark, d):
+def recommend_dishes(spark, d):
     out = S.recommend(B.documents(spark, d), ["red widget", "hot plate", "small gear"], k=10)
     return out.select("id", F.col("matched").cast("bigint").alias("matched"))
 
@@ -200,20 +200,20 @@ def title_wildcard(spark, d):
 _HAS = "EXISTS (SELECT 1 FROM mentions m WHERE m.id = r.id AND m.name ILIKE '%{t}%')"
 
 
-@register("nested_wildcard_recipes", with_ctes(RECIPES_CTE, MENTIONS_CTE) + f"""
-SELECT id FROM recipes r WHERE {_HAS.format(t='red w')}""")
-def nested_wildcard_recipes(spark, d):
+@register("nested_wildcard_dishes", with_ctes(DISHES_CTE, MENTIONS_CTE) + f"""
+SELECT id FROM dishes r WHERE {_HAS.format(t='red w')}""")
+def nested_wildcard_dishes(spark, d):
     return B.documents(spark, d).filter(S.nested_wildcard("*RED W*")).select("id")
 
 
-@register("count_widget_recipes", with_ctes(RECIPES_CTE, MENTIONS_CTE) + f"""
-SELECT count(*) AS count FROM recipes r WHERE {_HAS.format(t='widget')}""")
-def count_widget_recipes(spark, d):
+@register("count_widget_dishes", with_ctes(DISHES_CTE, MENTIONS_CTE) + f"""
+SELECT count(*) AS count FROM dishes r WHERE {_HAS.format(t='widget')}""")
+def count_widget_dishes(spark, d):
     return S.count_matches(B.documents(spark, d), S.nested_wildcard("*widget*"))
 
 
-@register("has_all_ingredients", with_ctes(RECIPES_CTE, MENTIONS_CTE) + f"""
-SELECT id FROM recipes r WHERE {_HAS.format(t='widget')} AND {_HAS.format(t='gear')}""")
+@register("has_all_ingredients", with_ctes(DISHES_CTE, MENTIONS_CTE) + f"""
+SELECT id FROM dishes r WHERE {_HAS.format(t='widget')} AND {_HAS.format(t='gear')}""")
 def has_all_ingredients(spark, d):
     return B.documents(spark, d).filter(S.has_all(["widget", "gear"])).select("id")
 
@@ -223,18 +223,18 @@ _SPEC_SQL = (f"{_HAS.format(t='widget')} AND ({_HAS.format(t='hot')} OR {_HAS.fo
              f"AND NOT {_HAS.format(t='anvil')}")
 
 
-@register("boolean_ingredients", with_ctes(RECIPES_CTE, MENTIONS_CTE) + f"""
-SELECT id FROM recipes r WHERE {_SPEC_SQL}""")
+@register("boolean_ingredients", with_ctes(DISHES_CTE, MENTIONS_CTE) + f"""
+SELECT id FROM dishes r WHERE {_SPEC_SQL}""")
 def boolean_ingredients(spark, d):
     return B.documents(spark, d).filter(S.ingredient_filter(_SPEC)).select("id")
 
 
-@register("boolean_ingredients_sets", with_ctes(RECIPES_CTE, MENTIONS_CTE) + f"""
-SELECT id FROM recipes r WHERE {_SPEC_SQL}""")
+@register("boolean_ingredients_sets", with_ctes(DISHES_CTE, MENTIONS_CTE) + f"""
+SELECT id FROM dishes r WHERE {_SPEC_SQL}""")
 def boolean_ingredients_sets(spark, d):
     m = B.junction(spark, d).join(B.ingredients(spark, d).select(F.col("id").alias("ingredient_id"), "name"),
-                                  "ingredient_id").select(F.col("recipe_id").alias("id"), "name")
-    return S.ingredient_filter_sets(B.recipes(spark, d).select("id"), m, _SPEC)
+                                  "ingredient_id").select(F.col("dish_id").alias("id"), "name")
+    return S.ingredient_filter_sets(B.dishes(spark, d).select("id"), m, _SPEC)
 
 
 # ---------------------------------------------------------------------------- S17 - S21
@@ -247,30 +247,30 @@ def page_with_total(spark, d):
     return S.page_with_total(docs, 3, 10).select("id", "total_hits", "total_pages")
 
 
-@register("quick_recipes", with_ctes(RECIPES_CTE) + """
-SELECT id, total_time_minutes FROM recipes WHERE difficulty = 'F' AND total_time_minutes <= 30
+@register("quick_dishes", with_ctes(DISHES_CTE) + """
+SELECT id, total_time_minutes FROM dishes WHERE difficulty = 'F' AND total_time_minutes <= 30
 ORDER BY total_time_minutes, id LIMIT 10""")
-def quick_recipes(spark, d):
+def quick_dishes(spark, d):
     return S.quick(B.documents(spark, d), 30, by="time", difficulty="F").select("id", "total_time_minutes")
 
 
-@register("quick_recipes_by_score", with_ctes(RECIPES_CTE) + """
-SELECT id, reddit_score, total_time_minutes FROM recipes WHERE difficulty = 'F' AND total_time_minutes <= 30
-ORDER BY reddit_score DESC NULLS LAST, total_time_minutes, id LIMIT 10""")
-def quick_recipes_by_score(spark, d):
+@register("quick_dishes_by_score", with_ctes(DISHES_CTE) + """
+SELECT id, post_score, total_time_minutes FROM dishes WHERE difficulty = 'F' AND total_time_minutes <= 30
+ORDER BY post_score DESC NULLS LAST, total_time_minutes, id LIMIT 10""")
+def quick_dishes_by_score(spark, d):
     return S.quick(B.documents(spark, d), 30, by="score", difficulty="F").select(
-        "id", "reddit_score", "total_time_minutes")
+        "id", "post_score", "total_time_minutes")
 
 
-@register("sorted_recipes", with_ctes(RECIPES_CTE) + """
-SELECT id, reddit_score, total_time_minutes FROM recipes""")
-def sorted_recipes(spark, d):
-    return S.sort_by(B.documents(spark, d), [("reddit_score", "desc"), ("total_time_minutes", "asc"), "id"]).select(
-        "id", "reddit_score", "total_time_minutes")
+@register("sorted_dishes", with_ctes(DISHES_CTE) + """
+SELECT id, post_score, total_time_minutes FROM dishes""")
+def sorted_dishes(spark, d):
+    return S.sort_by(B.documents(spark, d), [("post_score", "desc"), ("total_time_minutes", "asc"), "id"]).select(
+        "id", "post_score", "total_time_minutes")
 
 
-@register("diet_search", with_ctes(RECIPES_CTE, MENTIONS_CTE) + """
-SELECT r.id FROM recipes r
+@register("diet_search", with_ctes(DISHES_CTE, MENTIONS_CTE) + """
+SELECT r.id FROM dishes r
 WHERE r.meal_type = 'urgent' AND r.cuisine_type = '1-URGENT'
   AND EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = r.id AND l.l_returnflag IN ('R'))
   AND NOT EXISTS (SELECT 1 FROM mentions m WHERE m.id = r.id
@@ -280,11 +280,11 @@ def diet_search(spark, d):
     return S.diet_search(docs, "urgent", "1-URGENT", ["R"], ["anvil", "gizmo"]).select("id")
 
 
-@register("project_recipes", with_ctes(RECIPES_CTE) + """
-SELECT id, reddit_score FROM recipes
-WHERE difficulty IN ('O', 'P') AND reddit_comments_count >= 50 AND total_time_minutes >= 120""")
-def project_recipes(spark, d):
-    return S.project_recipes(B.documents(spark, d), ["O", "P"], 50, 120).select("id", "reddit_score")
+@register("project_dishes", with_ctes(DISHES_CTE) + """
+SELECT id, post_score FROM dishes
+WHERE difficulty IN ('O', 'P') AND post_comments >= 50 AND total_time_minutes >= 120""")
+def project_dishes(spark, d):
+    return S.project_dishes(B.documents(spark, d), ["O", "P"], 50, 120).select("id", "post_score")
 
 
 # ---------------------------------------------------------------------------- S26 - S35
@@ -324,20 +324,20 @@ def fuzzy_documents(spark, d):
     return _scores(S.fuzzy_match(B.text_documents(spark, d), "dier unnd lees", {"title": 3.0}, 2, k=10))
 
 
-@register("popular_recipes", with_ctes(RECIPES_CTE) + """
-SELECT id, round(1.0 + log10(1 + 0.5 * coalesce(reddit_score, 0)) + log10(1 + 0.3 * coalesce(reddit_comments_count, 0)),
+@register("popular_dishes", with_ctes(DISHES_CTE) + """
+SELECT id, round(1.0 + log10(1 + 0.5 * coalesce(post_score, 0)) + log10(1 + 0.3 * coalesce(post_comments, 0)),
                  6) AS score
-FROM recipes ORDER BY score DESC, id LIMIT 10""")
-def popular_recipes(spark, d):
-    out = S.popularity(B.documents(spark, d), {"reddit_score": 0.5, "reddit_comments_count": 0.3})
+FROM dishes ORDER BY score DESC, id LIMIT 10""")
+def popular_dishes(spark, d):
+    out = S.popularity(B.documents(spark, d), {"post_score": 0.5, "post_comments": 0.3})
     return out.select("id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "id").limit(10)
 
 
-def random_recipe(spark, d):
+def random_dish(spark, d):
     return S.random_rows(B.documents(spark, d), 1, seed=7).select("id", "title")
 
 
-register("random_recipe")(random_recipe)
+register("random_dish")(random_dish)
 
 
 @register("highlight_titles", with_ctes(TDOCS_CTE) + """
@@ -349,8 +349,8 @@ def highlight_titles(spark, d):
     return S.highlight(B.text_documents(spark, d), ["title"], ["der", "les"]).select("id", "title_highlight")
 
 
-@register("post_filter_hits", with_ctes(RECIPES_CTE, MENTIONS_CTE) + """
-SELECT r.id FROM recipes r WHERE r.difficulty = 'F'
+@register("post_filter_hits", with_ctes(DISHES_CTE, MENTIONS_CTE) + """
+SELECT r.id FROM dishes r WHERE r.difficulty = 'F'
   AND EXISTS (SELECT 1 FROM mentions m WHERE m.id = r.id AND m.name >= '' AND m.name <= 'zzzzzzzzz')""")
 def post_filter_hits(spark, d):
     docs = B.documents(spark, d).filter(S.term("difficulty", "F"))
@@ -359,17 +359,17 @@ def post_filter_hits(spark, d):
     return hits.select("id")
 
 
-@register("post_filter_aggs", with_ctes(RECIPES_CTE, MENTIONS_CTE) + """
+@register("post_filter_aggs", with_ctes(DISHES_CTE, MENTIONS_CTE) + """
 SELECT count(m.name) AS ingredient_mentions, count(DISTINCT r.id) AS hits
-FROM recipes r LEFT JOIN mentions m ON m.id = r.id WHERE r.difficulty = 'F'""")
+FROM dishes r LEFT JOIN mentions m ON m.id = r.id WHERE r.difficulty = 'F'""")
 def post_filter_aggs(spark, d):
     docs = B.documents(spark, d).filter(S.term("difficulty", "F"))
     _, aggs = S.with_post_filter(docs, lambda x: G.filtered_mentions(x), F.lit(True))
     return aggs
 
 
-@register("project_fields", with_ctes(RECIPES_CTE) + """
-SELECT id, title, difficulty FROM recipes""")
+@register("project_fields", with_ctes(DISHES_CTE) + """
+SELECT id, title, difficulty FROM dishes""")
 def project_fields(spark, d):
     return S.project(B.documents(spark, d), ["id", "title", "difficulty"])
 

@@ -74,14 +74,15 @@ def staged_counts(spark, d):
 
 
 @register("missing_entries", """
-SELECT CAST(r AS BIGINT) AS entry_number
-FROM range(0, (SELECT max(event_id) FROM events) + 1) t(r)
-WHERE r NOT IN (SELECT event_id FROM events WHERE event_type <> 'error')""")
+WITH staged AS (SELECT 'user ' || CAST(user_id % 3 AS VARCHAR) AS dataset, event_id FROM events WHERE event_type <> 'error'),
+ends AS (SELECT dataset, max(event_id) AS hi FROM staged GROUP BY dataset)
+SELECT dataset, CAST(r AS BIGINT) AS entry_number
+FROM range(1, (SELECT max(event_id) FROM events) + 1) t(r) JOIN ends ON r <= hi
+WHERE NOT EXISTS (SELECT 1 FROM staged s WHERE s.dataset = ends.dataset AND s.event_id = r)""")
 def missing_entries(spark, d):
-    e = B.table(spark, d, "events")
-    staged = e.filter(F.col("event_type") != "error").select(F.col("event_id").alias("entryNumber"))
-    hi = e.agg(F.max("event_id")).first()[0]  # one scalar bounds the distributed range
-    return ST.missing_entries(spark, staged, 0, int(hi))
+    e = B.table(spark, d, "events").filter(F.col("event_type") != "error")
+    dataset = F.concat(F.lit("user "), (F.col("user_id") % 3).cast("string"))
+    return ST.missing_entries(e.select(dataset.alias("dataset"), F.col("event_id").alias("entryNumber")), 1)
 
 
 @register("stage_entry_range", """
@@ -126,7 +127,7 @@ def chunk_report(spark, d):
 
 
 @register("retry_entries", with_ctes(EVENTS_STATUS_CTE, """
-last AS (SELECT user_id, arg_max(status, ts) AS last_status FROM st GROUP BY user_id)""") + """
+last AS (SELECT user_id, (max({'t': ts, 's': status})).s AS last_status FROM st GROUP BY user_id)""") + """
 SELECT DISTINCT c_custkey AS user_id FROM customer
 WHERE c_custkey IN (SELECT user_id FROM last WHERE last_status = 'failed')""")
 def retry_entries(spark, d):

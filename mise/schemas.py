@@ -32,11 +32,6 @@ STAGED = T.StructType([
     T.StructField("recipeData", RECORD),
 ])
 
-RUN_STATUS = T.StructType([
-    T.StructField("dataset", S), T.StructField("entry_number", T.LongType()), T.StructField("chunk", T.LongType()),
-    T.StructField("status", S), T.StructField("error", S), T.StructField("ts", T.TimestampType()),
-])
-
 TS = T.TimestampType()
 INGREDIENTS_TABLE = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("name", S), T.StructField("category", S),
@@ -46,19 +41,19 @@ MEASUREMENTS_TABLE = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("name", S), T.StructField("abbreviation", S),
     T.StructField("unit_type", S), T.StructField("created_at", TS), T.StructField("updated_at", TS),
 ])
-RECIPES_TABLE = T.StructType([
+DISHES_TABLE = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("title", S), T.StructField("description", S),
     T.StructField("instructions", T.ArrayType(S)),
     T.StructField("prep_time_minutes", T.IntegerType()), T.StructField("cook_time_minutes", T.IntegerType()),
     T.StructField("total_time_minutes", T.IntegerType()), T.StructField("servings", T.DecimalType(10, 2)),
     T.StructField("difficulty", S), T.StructField("cuisine_type", S), T.StructField("meal_type", S),
     T.StructField("dietary_tags", T.ArrayType(S)), T.StructField("source_url", S),
-    T.StructField("reddit_post_id", S), T.StructField("reddit_author", S),
-    T.StructField("reddit_score", T.IntegerType()), T.StructField("reddit_comments_count", T.IntegerType()),
+    T.StructField("post_id", S), T.StructField("post_author", S),
+    T.StructField("post_score", T.IntegerType()), T.StructField("post_comments", T.IntegerType()),
     T.StructField("created_at", TS), T.StructField("updated_at", TS),
 ])
-RECIPE_INGREDIENTS_TABLE = T.StructType([
-    T.StructField("id", T.LongType()), T.StructField("recipe_id", T.LongType()),
+DISH_INGREDIENTS_TABLE = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("dish_id", T.LongType()),
     T.StructField("ingredient_id", T.LongType()), T.StructField("measurement_id", T.LongType()),
     T.StructField("amount", T.DecimalType(10, 3)), T.StructField("notes", S),
     T.StructField("order_index", T.IntegerType()), T.StructField("created_at", TS),

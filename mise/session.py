@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+SPREAD = "spark.mise.spread"
+
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -35,14 +36,18 @@ def get_session(app: str = "mise", master: str | None = None,
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The checkpoint folder in use: the context's, else the cluster's ``spark.checkpoint.dir``;
-    only when neither is set (tests) a scratch folder.  ``spark.checkpoint.dir`` is a static
+    only when neither is set a scratch folder, and that in local mode alone.  ``spark.checkpoint.dir`` is a static
     config, so it is read, never modified."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    path = configured or fallback or tempfile.mkdtemp(prefix="mise-ckpt-")
+    path = configured or fallback
+    if not path:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        path = tempfile.mkdtemp(prefix="mise-ckpt-")  # one machine: its own folder is shared
     sc.setCheckpointDir(path)
     return path
 
@@ -53,18 +58,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def table_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table inside the shared checkpoint folder."""
-    root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "tables", name)
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition on ``keys`` only when ``df`` has fewer partitions than the cluster has
-    task slots (an input stored as one large row group); row-local CPU work such as text
-    parsing then uses every core.  Inputs with enough splits are returned unchanged, so at
-    scale this adds no shuffle.  Hashing on a key keeps the result deterministic on retry."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots, *keys) if keys else df.repartition(slots)
+    """Hash-repartition on ``keys`` into ``spark.mise.spread`` partitions if that is set, for
+    row-local work on an input stored as one row group.  By default rows stay where they are read."""
+    n = df.sparkSession.conf.get(SPREAD, "")
+    return df.repartition(int(n), *keys) if n else df

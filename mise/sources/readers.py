@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as SCH
-from ..functions import lexicon as lx
 
 
 def _with_file(df: DataFrame) -> DataFrame:
@@ -75,7 +74,7 @@ def read_many(spark: SparkSession, paths: Sequence[str], kind: str = "posts") ->
     return reader(spark, list(paths))
 
 
-def route_by_source(df: DataFrame, dataset: str = "dataset", marker: str = lx.STRUCTURED_FILE_MARKER) -> DataFrame:
+def route_by_source(df: DataFrame, marker: str, dataset: str = "dataset") -> DataFrame:
     """A3: ``format`` = 'structured' when the file name contains the marker, else 'posts'."""
     return df.withColumn("format", F.when(F.lower(F.col(dataset)).contains(marker), F.lit("structured"))
                                     .otherwise(F.lit("posts")))

@@ -12,7 +12,7 @@ from .readers import entry_from_file_name
 STAGE_FILE_SCHEMA = T.StructType([f for f in SCH.STAGED.fields if f.name != "dataset"])
 
 
-def to_stage(df: DataFrame, metadata: dict[str, str], record: str = "recipe", entry: str = "entry_number",
+def to_stage(df: DataFrame, metadata: dict[str, str], record: str = "dish", entry: str = "entry_number",
              dataset: str = "dataset", chunk_size: int = 1000) -> DataFrame:
     """Shape extracted rows as staged records {dataset, entryNumber, metadata{...}, recipeData, chunk};
     ``metadata`` maps metadata fields to source columns (missing fields are NULL)."""
@@ -57,14 +57,29 @@ def staged_entries(staged: DataFrame, entry: str = "entryNumber") -> DataFrame:
                                          F.max(entry).alias("last_entry"))
 
 
-def missing_entries(spark: SparkSession, staged: DataFrame, lo: int, hi: int, entry: str = "entryNumber") -> DataFrame:
-    """Numbers in [lo, hi] with no staged record (``spark.range`` is distributed)."""
-    have = staged.select(F.col(entry).alias("id"))
-    return spark.range(lo, hi + 1).join(have, "id", "left_anti").withColumnRenamed("id", "entry_number")
+#: Numbers of a range are made in blocks of this many.
+RANGE_BLOCK = 10_000
 
 
-def stage_range(staged: DataFrame, lo: int, hi: int, entry: str = "entryNumber") -> DataFrame:
-    """A10: staged records with ``lo <= entry <= hi`` (prunes chunk partitions when present)."""
+def missing_entries(staged: DataFrame, lo: int, hi: int | None = None, entry: str = "entryNumber") -> DataFrame:
+    """(dataset, entry_number) for each dataset's numbers from ``lo`` to ``hi`` (by default its
+    own last entry) without a staged record."""
+    last = F.lit(hi).cast("bigint") if hi is not None else F.max(F.col(entry).cast("bigint"))
+    ends = staged.groupBy("dataset").agg(last.alias("hi")).where(F.col("hi") >= lo)
+    step = F.lit(RANGE_BLOCK).cast("bigint")
+    blocks = ends.select("dataset", "hi", F.explode(F.sequence(F.lit(lo).cast("bigint"), F.col("hi"), step)).alias("b"))
+    # Blocks are spread, so that one dataset's numbers aren't made in one task.
+    blocks = blocks.repartition("dataset", "b")
+    numbers = blocks.select("dataset", F.explode(F.sequence(F.col("b"), F.least(F.col("b") + step - 1, F.col("hi")))).alias("entry_number"))
+    have = staged.select("dataset", F.col(entry).cast("bigint").alias("entry_number"))
+    return numbers.join(have, ["dataset", "entry_number"], "left_anti")
+
+
+def stage_range(staged: DataFrame, lo: int, hi: int, entry: str = "entryNumber", chunk_size: int = 1000) -> DataFrame:
+    """A10: staged records with ``lo <= entry <= hi``.  Where the stage is partitioned by chunk
+    (of ``chunk_size`` entries), only the chunks of that range are read."""
+    if "chunk" in staged.columns:
+        staged = staged.filter(F.col("chunk").between((lo - 1) // chunk_size, (hi - 1) // chunk_size))
     return staged.filter(F.col(entry).between(lo, hi))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import running_sum
+
 
 def with_status(df: DataFrame, ok: Column, error: Column | None = None, corrupt: str = "_corrupt_record") -> DataFrame:
     """A ``status`` ('success' / 'failed') and ``error`` column per row; a bad row is an
@@ -41,16 +43,16 @@ def chunk_report(status: DataFrame, ts: str = "ts") -> DataFrame:
     per = status.groupBy("dataset", "chunk").agg(
         F.count(F.lit(1)).alias("entries"), F.count_if(F.col("status") == "success").alias("successful"),
         F.count_if(F.col("status") == "failed").alias("failed"), F.min(ts).alias("started"), F.max(ts).alias("ended"))
-    w = Window.partitionBy("dataset").orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)
     secs = F.unix_timestamp("ended") - F.unix_timestamp("started")
-    return (per.withColumn("processed_so_far", F.sum("entries").over(w))
-               .withColumn("success_rate", F.round(F.col("successful") / F.col("entries"), 6))
+    per = running_sum(per, ["dataset"], ["chunk"], "entries", "processed_so_far")
+    return (per.withColumn("success_rate", F.round(F.col("successful") / F.col("entries"), 6))
                .withColumn("seconds", secs)
                .withColumn("entries_per_second", F.when(secs > 0, F.round(F.col("entries") / secs, 6))))
 
 
 def retry_set(raw: DataFrame, status: DataFrame, keys=("dataset", "entry_number"), ts: str = "ts") -> DataFrame:
-    """Raw entries whose most recent outcome is 'failed' (``max_by`` per entry, then semi join)."""
+    """Raw entries whose most recent outcome is 'failed' (the greatest pair
+    of time and status per entry, then semi join), so of outcomes at one time the last by name counts."""
     keys = list(keys)
-    last = status.groupBy(*keys).agg(F.max_by("status", ts).alias("_last"))
-    return raw.join(last.filter(F.col("_last") == "failed").select(*keys), keys, "left_semi")
+    last = status.groupBy(*keys).agg(F.max(F.struct(ts, "status")).alias("_last"))
+    return raw.join(last.filter(F.col("_last.status") == "failed").select(*keys), keys, "left_semi")

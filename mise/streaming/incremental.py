@@ -1,13 +1,16 @@
 """Incremental loading with Structured Streaming.
 
 The stage directory is a file source; each micro-batch goes through the same batch operators.
-Tables are stored as append-only parquet partitioned by ``batch``: a micro-batch writes only its
-own partition with dynamic partition overwrite, so a batch replayed after a failure replaces
-exactly what it wrote (idempotent), and the checkpoint records which files were consumed.
+Tables are parquet partitioned by ``source`` (one stream's checkpoint, or the batch loads) and
+``batch``.  A load removes what an earlier attempt at the same source and batch left, reads the
+state of all committed loads, writes its rows, and last a row in ``commits``.  A load that failed
+half way is in no one's state, and replaying it gives what a clean load gives.  Streams and batch
+loads may take turns over one state; two at the same time may not.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.errors import AnalysisException
@@ -17,74 +20,100 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as SCH
-from ..functions.records import extract_posts, to_recipe_rows
+from ..functions.records import extract_posts, to_dish_rows
 from ..operators import load as L
 from ..operators.relational import build_documents
 from ..sources.staging import STAGE_FILE_SCHEMA
 
-TABLES = {"recipes": SCH.RECIPES_TABLE, "recipe_ingredients": SCH.RECIPE_INGREDIENTS_TABLE,
+TABLES = {"dishes": SCH.DISHES_TABLE, "dish_ingredients": SCH.DISH_INGREDIENTS_TABLE,
           "ingredients": SCH.INGREDIENTS_TABLE, "measurements": SCH.MEASUREMENTS_TABLE}
 
 
-def read_tables(spark: SparkSession, base: str) -> L.Tables:
-    """Current state: every batch partition of every table (empty tables before the first batch)."""
-    out = {}
-    for name, schema in TABLES.items():
-        path = os.path.join(base, name)
-        try:
-            out[name] = spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-        except AnalysisException:  # no batch written yet
-            out[name] = spark.createDataFrame([], schema)
-    return L.Tables(**out)
+COMMITS = T.StructType([T.StructField("source", T.StringType()), T.StructField("batch", T.LongType())])
 
 
-def read_outcomes(spark: SparkSession, base: str) -> DataFrame:
-    path = os.path.join(base, "outcomes")
-    schema = "dataset string, entryNumber bigint, title string, recipe_id bigint, status string"
+def read_commits(spark: SparkSession, base: str) -> DataFrame:
+    """(source, batch) of every load that was completed."""
+    return _read(spark, os.path.join(base, "commits"), COMMITS)
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    # With the schema given, nothing is read to find out whether the path is there.
     try:
-        return spark.read.schema(schema).parquet(path).select("dataset", "entryNumber", "title", "recipe_id", "status")
-    except AnalysisException:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:  # nothing written yet
         return spark.createDataFrame([], schema)
 
 
-def _write_delta(df: DataFrame, path: str, batch_id: int) -> None:
-    (df.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path))
+def _committed(spark: SparkSession, base: str, name: str, schema: T.StructType) -> DataFrame:
+    placed = T.StructType([*schema.fields, *COMMITS.fields])
+    rows = _read(spark, os.path.join(base, name), placed)
+    # One row per load: the join prunes the partitions of loads that weren't completed.
+    return rows.join(read_commits(spark, base), ["source", "batch"], "left_semi").select(*schema.fieldNames())
+
+
+def read_tables(spark: SparkSession, base: str) -> L.Tables:
+    """Current state: the rows of every committed load (empty tables before the first)."""
+    return L.Tables(**{name: _committed(spark, base, name, schema) for name, schema in TABLES.items()})
+
+
+OUTCOMES = T.StructType([T.StructField(n, T.LongType() if n in ("entryNumber", "dish_id") else T.StringType())
+                         for n in ("dataset", "entryNumber", "title", "dish_id", "status", "error")])
+
+
+def read_outcomes(spark: SparkSession, base: str) -> DataFrame:
+    return _committed(spark, base, "outcomes", OUTCOMES)
+
+
+def _place(base: str, name: str, source: str, batch_id: int) -> str:
+    return os.path.join(base, name, f"source={source}", f"batch={batch_id}")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def load_batch(batch: DataFrame, batch_id: int, base: str) -> None:
-    """One micro-batch: drop entries seen before (key = dataset, entryNumber), then the
-    full load (L12) against the current tables, writing only this batch's new rows."""
+def load_batch(batch: DataFrame, batch_id: int, base: str, source: str = "batch") -> None:
+    """One micro-batch: drop entries loaded before (key = dataset, entryNumber; failed ones
+    may come again), then the full load (L12) against the committed state, writing only new rows."""
     spark = batch.sparkSession
-    done = read_outcomes(spark, base)
+    names = [*TABLES, "outcomes"]
+    # The commit goes first, so that what is half removed isn't state either.
+    for name in ("commits", *names):
+        _remove(spark, _place(base, name, source, batch_id))
+    done = read_outcomes(spark, base).where("status != 'failed'")
     tables = read_tables(spark, base)
-    fresh = (batch.dropDuplicates(["dataset", "entryNumber"])
-                  .join(done.select("dataset", "entryNumber"), ["dataset", "entryNumber"], "left_anti"))
-    rows = to_recipe_rows(fresh)
-    new_tables, outcome = L.load_stage(rows, tables)
-    # Keep only this batch's rows: ids above the previous maxima, junction rows of new recipes.
-    prev = {n: getattr(tables, n).select(F.coalesce(F.max("id"), F.lit(0))).scalar()
-            for n in ("recipes", "ingredients", "measurements")}
-    new_recipes = new_tables.recipes.filter(F.col("id") > prev["recipes"])
-    _write_delta(new_recipes, os.path.join(base, "recipes"), batch_id)
-    _write_delta(new_tables.ingredients.filter(F.col("id") > prev["ingredients"]), os.path.join(base, "ingredients"),
-                 batch_id)
-    _write_delta(new_tables.measurements.filter(F.col("id") > prev["measurements"]),
-                 os.path.join(base, "measurements"), batch_id)
-    _write_delta(new_tables.recipe_ingredients.filter(F.col("recipe_id") > prev["recipes"]),
-                 os.path.join(base, "recipe_ingredients"), batch_id)
-    _write_delta(outcome.select("dataset", "entryNumber", "title", "recipe_id", "status"),
-                 os.path.join(base, "outcomes"), batch_id)
+    once = L.first_per_key(batch, ["dataset", "entryNumber"], [F.to_json(F.struct("metadata", "recipeData"))])
+    fresh = once.join(done.select("dataset", "entryNumber"), ["dataset", "entryNumber"], "left_anti")
+    new_tables, outcome = L.load_stage(to_dish_rows(fresh), tables)
+    # Keep only this batch's rows: ids above the previous maxima, junction rows of new dishes.
+    prev = {n: L.max_id(getattr(tables, n)) for n in ("dishes", "ingredients", "measurements")}
+    new = {"dishes": new_tables.dishes.filter(F.col("id") > prev["dishes"]),
+           "ingredients": new_tables.ingredients.filter(F.col("id") > prev["ingredients"]),
+           "measurements": new_tables.measurements.filter(F.col("id") > prev["measurements"]),
+           "dish_ingredients": new_tables.dish_ingredients.filter(F.col("dish_id") > prev["dishes"]),
+           "outcomes": outcome.select(*OUTCOMES.fieldNames())}
+    for name in names:
+        write_rows(new[name], _place(base, name, source, batch_id))
+    commit = spark.createDataFrame([(True,)], "done boolean").coalesce(1)
+    write_rows(commit, _place(base, "commits", source, batch_id))
+
+
+def write_rows(df: DataFrame, path: str) -> None:
+    df.write.parquet(path)
 
 
 def stream_stage(spark: SparkSession, stage_dir: str, base: str, checkpoint: str,
                  available_now: bool = True) -> StreamingQuery:
-    """Load staged JSON files as they appear (non-JSON files are ignored)."""
+    """Load staged JSON files as they appear (non-JSON files are ignored).  Batches are numbered
+    by the stream's checkpoint, so its path names their source."""
+    source = "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     # dataset / chunk come back from the partition directories written by ``write_stage``.
     schema = T.StructType([*STAGE_FILE_SCHEMA.fields, T.StructField("dataset", T.StringType()),
                            T.StructField("chunk", T.LongType())])
     src = spark.readStream.schema(schema).option("pathGlobFilter", "*.json").json(stage_dir)
-    w = src.writeStream.foreachBatch(lambda df, bid: load_batch(df, bid, base)).option("checkpointLocation", checkpoint)
+    w = src.writeStream.foreachBatch(lambda df, bid: load_batch(df, bid, base, source)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
@@ -102,9 +131,21 @@ def stream_extract(spark: SparkSession, csv_dir: str, out: str, checkpoint: str,
 
 
 def refresh_documents(docs: DataFrame, tables: L.Tables, since, tie_break=()) -> DataFrame:
-    """Rebuild only documents of recipes changed after ``since``; keep the others."""
-    changed = tables.recipes.filter(F.col("updated_at") > F.lit(since).cast("timestamp")).select("id")
-    rebuilt = build_documents(tables.recipes.join(changed, "id", "left_semi"), tables.recipe_ingredients,
+    """Rebuild only documents of dishes that changed after ``since``: themselves, by their lines,
+    or by an ingredient or measurement they use.  Documents of deleted dishes go, the others stay."""
+    after = F.lit(since).cast("timestamp")
+
+    def newer(df: DataFrame, column: str) -> DataFrame:
+        return df.filter(F.col(column) > after) if column in df.columns else df.limit(0)
+
+    lines = tables.dish_ingredients
+    changed = newer(tables.dishes, "updated_at").select("id").unionByName(newer(lines, "created_at").select(F.col("dish_id").alias("id")))
+    for dim, key in ((tables.ingredients, "ingredient_id"), (tables.measurements, "measurement_id")):
+        renamed = newer(dim, "updated_at").select(F.col("id").alias(key))
+        changed = changed.unionByName(lines.join(renamed, key, "left_semi").select(F.col("dish_id").alias("id")))
+    changed = changed.distinct()
+    docs = docs.join(tables.dishes.select("id"), "id", "left_semi")
+    rebuilt = build_documents(tables.dishes.join(changed, "id", "left_semi"), tables.dish_ingredients,
                               tables.ingredients, tables.measurements, tie_break)
     return docs.join(changed, "id", "left_anti").unionByName(rebuilt.select(*docs.columns))
 
@@ -123,10 +164,11 @@ def recent_counts(df: DataFrame, ts: str = "ts", window: str = "1 hour", waterma
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "count")
 
 
-def stream_recent(spark: SparkSession, path: str, schema, out_table: str, checkpoint: str, ts: str = "ts",
+def stream_recent(spark: SparkSession, path: str, schema, out: str, checkpoint: str, ts: str = "ts",
                   window: str = "1 hour", watermark: str = "10 minutes") -> StreamingQuery:
-    """T5 as a running query over a parquet drop directory, appended once windows close."""
+    """T5 as a running query over a parquet drop directory: windows are appended as parquet to
+    ``out`` once they close."""
     src = spark.readStream.schema(schema).parquet(path)
     agg = recent_counts(src, ts, window, watermark)
-    return (agg.writeStream.outputMode("append").format("memory").queryName(out_table)
+    return (agg.writeStream.outputMode("append").format("parquet").option("path", out)
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

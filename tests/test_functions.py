@@ -76,7 +76,7 @@ Prep time: 30 minutes
 
 def test_extract_post(spark):
     df = spark.createDataFrame([(POST, "t")], "comment string, title string")
-    r = RC.extract_posts(df, "comment", "title").select("recipe.*").first()
+    r = RC.extract_posts(df, "comment", "title").select("dish.*").first()
     assert [i.name for i in r.ingredients] == ["cream", "sugar", "cocoa powder"]
     assert [i.quantity for i in r.ingredients] == ["2", "1/2", "3"]
     assert r.ingredients[2].notes == "sifted"
@@ -124,7 +124,7 @@ def test_direction_scope(spark):
     assert r.s == "24" and r.t.cookTime == "20 min" and r.t.prepTime is None
 
 
-def test_recipe_rows_mapping(spark):
+def test_dish_rows_mapping(spark):
     from mise import schemas as SCH
     rec = {"title": None, "description": "", "ingredients": [
         {"name": None, "quantity": "1/2", "unit": "cup", "notes": None},
@@ -134,11 +134,19 @@ def test_recipe_rows_mapping(spark):
         "mealType": "Dinner or lunch", "dietaryTags": [None]}
     meta = {"title": "Meta title", "user": "u1", "num_comments": "0"}
     df = spark.createDataFrame([("posts", 7, meta, rec)], SCH.STAGED)
-    r = RC.to_recipe_rows(df).first()
+    r = RC.to_dish_rows(df).first()
     assert r.title == "Meta title" and r.description is None
     assert r.instructions == ["Mix"] and r.dietary_tags is None
     assert (r.prep_time_minutes, r.cook_time_minutes, r.total_time_minutes) == (30, 0, None)
     assert float(r.servings) == 2.0 and r.difficulty == "easy" and r.meal_type == "lunch"
-    assert r.cuisine_type == "italian" and r.reddit_score is None and r.reddit_author == "u1"
+    assert r.cuisine_type == "italian" and r.post_score is None and r.post_author == "u1"
     assert [(i.name, i.amount, i.order_index) for i in r.ingredients] == [("Unknown ingredient", 1.0, 1),
                                                                          ("salt", 2.0, 2)]
+
+
+def test_numbers_keep_their_digits(spark):
+    from mise.functions.ingredients import parse_ingredient_line
+    lines = ["12345678901234567890123456789 g x", "0.00000000001 g salt", "1.50 cups a\u0001b", "2. cups milk", "007 eggs"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string").select(parse_ingredient_line(F.col("line")).alias("p"))
+    got = [(r.p.quantity, r.p.name) for r in df.collect()]
+    assert got == [("12345678901234567890123456789", "x"), ("0.00000000001", "salt"), ("1.5", "a\u0001b"), ("2", "milk"), ("7", "eggs")]

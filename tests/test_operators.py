@@ -19,11 +19,11 @@ DOCS = [
 
 
 def docs(spark):
-    rows = [(i, f"recipe {i}", [(n, None, None, None) for n in ings], d, t, s, s, c, tags)
+    rows = [(i, f"dish {i}", [(n, None, None, None) for n in ings], d, t, s, s, c, tags)
             for i, ings, d, t, s, c, tags in DOCS]
     return spark.createDataFrame(rows, "id long, title string, ingredients array<struct<name:string,quantity:double,"
                                       "unit:string,notes:string>>, difficulty string, total_time_minutes int, "
-                                      "reddit_score int, reddit_comments_count int, cuisine_type string, "
+                                      "post_score int, post_comments int, cuisine_type string, "
                                       "dietary_tags array<string>")
 
 
@@ -52,7 +52,7 @@ def test_ordering_and_pages(spark):
     d = docs(spark)
     assert [r.id for r in S.quick(d, 30, by="score").collect()] == [1, 4]
     assert [r.id for r in S.quick(d, 30, by="time").collect()] == [1, 4]
-    assert [r.id for r in S.project_recipes(d, ["medium", "hard"], 50, 120).collect()] == [2, 3]
+    assert [r.id for r in S.project_dishes(d, ["medium", "hard"], 50, 120).collect()] == [2, 3]
     p = S.page_with_total(d, 3, 2).collect()
     assert [r.id for r in p] == [5] and p[0].total_hits == 5 and p[0].total_pages == 3
     rec = S.recommend(d, ["chicken breast", "garlic", "rice"]).collect()
@@ -65,14 +65,14 @@ def test_aggregations(spark):
                                                                                ("Italian", 1)]
     assert [tuple(r) for r in G.top_ingredients(d, 1).collect()] == [("rice", 2)]
     f = {r.name: r for r in G.ingredient_frequency(d, 30).collect()}
-    assert f["rice"].mentions == 2 and f["rice"].recipes == 2 and f["rice"].percent == 40.0
-    hits = {(r.cuisine_type, r.id) for r in G.top_hits(d, "cuisine_type", "reddit_score", 1).collect()}
+    assert f["rice"].mentions == 2 and f["rice"].dishes == 2 and f["rice"].percent == 40.0
+    hits = {(r.cuisine_type, r.id) for r in G.top_hits(d, "cuisine_type", "post_score", 1).collect()}
     assert hits == {("Asian", 1), ("American", 2), ("Italian", 5)}
 
 
 def test_scores(spark):
     d = docs(spark)
-    p = S.popularity(d, {"reddit_score": 0.5}, base=0.0).filter("id = 2").first().score
+    p = S.popularity(d, {"post_score": 0.5}, base=0.0).filter("id = 2").first().score
     assert math.isclose(p, math.log10(46))
     exp = S.fuzzy_expansions(spark.createDataFrame([(1, "spaghetti carbonara")], "id long, title string"),
                              "spagetti", "title").collect()
@@ -85,7 +85,7 @@ def _stage(spark, rows):
 
 
 def _empty(spark):
-    return L.Tables(spark.createDataFrame([], SCH.RECIPES_TABLE), spark.createDataFrame([], SCH.RECIPE_INGREDIENTS_TABLE),
+    return L.Tables(spark.createDataFrame([], SCH.DISHES_TABLE), spark.createDataFrame([], SCH.DISH_INGREDIENTS_TABLE),
                     spark.createDataFrame([], SCH.INGREDIENTS_TABLE), spark.createDataFrame([], SCH.MEASUREMENTS_TABLE))
 
 
@@ -96,15 +96,15 @@ def test_load_dedupes_and_is_idempotent(spark):
     t1, out = L.load_stage(_stage(spark, rows), _empty(spark))
     status = {(r.entryNumber, r.status) for r in out.collect()}
     assert status == {(3, "inserted"), (4, "inserted"), (7, "existing")}
-    j = t1.recipe_ingredients.join(t1.ingredients.select(F.col("id").alias("ingredient_id"), "name"), "ingredient_id")
+    j = t1.dish_ingredients.join(t1.ingredients.select(F.col("id").alias("ingredient_id"), "name"), "ingredient_id")
     got = sorted((r.name, r.measurement_id is None, r.order_index) for r in j.collect())
     assert got == [("Unknown Ingredient", True, 1), ("flour", False, 1), ("salt", False, 2)]
     t1 = L.Tables(*(x.cache() for x in
-                    (t1.recipes, t1.recipe_ingredients, t1.ingredients, t1.measurements)))
+                    (t1.dishes, t1.dish_ingredients, t1.ingredients, t1.measurements)))
     t2, out2 = L.load_stage(_stage(spark, rows), t1)
     assert {r.status for r in out2.collect()} == {"existing"}
-    assert (t2.recipes.count(), t2.recipe_ingredients.count(), t2.ingredients.count(), t2.measurements.count()) == \
-           (t1.recipes.count(), t1.recipe_ingredients.count(), t1.ingredients.count(), t1.measurements.count())
+    assert (t2.dishes.count(), t2.dish_ingredients.count(), t2.ingredients.count(), t2.measurements.count()) == \
+           (t1.dishes.count(), t1.dish_ingredients.count(), t1.ingredients.count(), t1.measurements.count())
 
 
 def test_constraints_and_deletes(spark):
@@ -112,7 +112,7 @@ def test_constraints_and_deletes(spark):
     v = L.check_constraints(r, [L.Rule("len", "max_length", "title", 500),
                                 L.Rule("diff", "in_list", "difficulty", ["easy", "medium", "hard"])])
     assert sorted((x.rule, x.key) for x in v.collect()) == [("diff", "1"), ("len", "1")]
-    j = spark.createDataFrame([(1, 10, 100), (1, 11, 101)], "recipe_id long, ingredient_id long, measurement_id long")
+    j = spark.createDataFrame([(1, 10, 100), (1, 11, 101)], "dish_id long, ingredient_id long, measurement_id long")
     m = spark.createDataFrame([(100, "cup")], "id long, name string")
     _, j2 = L.delete_measurements(m, j, spark.createDataFrame([(100,)], "id long"))
     assert sorted((x.ingredient_id, x.measurement_id) for x in j2.collect()) == [(10, None), (11, 101)]

@@ -13,7 +13,7 @@ def test_persisted_postings_match_on_the_fly(spark, tmp_path):
     fields = {"description": english}
     SC.write_postings(SC.build_postings(docs, fields), SC.field_lengths(docs, fields), str(tmp_path / "idx"), 16)
     terms = SC.query_terms(spark, "chocolate rice", english)
-    stored = SC.read_postings(spark, str(tmp_path / "idx"), terms, "description", 16)
+    stored = SC.read_postings(spark, str(tmp_path / "idx"), terms, "description")
     got = SC.bm25(stored, SC.read_lengths(spark, str(tmp_path / "idx")), terms, "description")
     want = SC.bm25_frame(docs, "chocolate rice", "description")
     g = {r.id: round(r.score, 9) for r in got.collect()}
@@ -30,7 +30,7 @@ def test_search_operators_on_persisted_index(spark, tmp_path):
         "id long, title string, description string")
     fields = {"title": english, "description": english}
     idx = str(tmp_path / "idx2")
-    SC.write_postings(SC.build_postings(docs, fields), SC.field_lengths(docs, fields), idx, 64)
+    SC.write_postings(SC.build_postings(docs, fields), SC.field_lengths(docs, fields), idx, 16)
     a = S.multi_match(docs, "rice cookies", {"title": 2.0, "description": 1.0}, 0.3).collect()
     b = S.multi_match(docs, "rice cookies", {"title": 2.0, "description": 1.0}, 0.3, index=idx).collect()
     assert [(r.id, round(r.score, 9)) for r in a] == [(r.id, round(r.score, 9)) for r in b]

@@ -19,21 +19,21 @@ def skewed(spark):
     names = ["salt", "red pepper", "green pepper", "rice", "olive oil", "garlic", "onion", "sugar"]
     rows = []
     for i in range(6000):
-        recipe = i // 4
+        dish = i // 4
         name = "salt" if i % 3 == 0 else rnd.choice(names[1:])
-        rows.append((recipe, name))
+        rows.append((dish, name))
     mentions = pd.DataFrame(rows, columns=["id", "name"])
-    recipes = pd.DataFrame({"id": range(1500)})
-    recipes["cuisine_type"] = ["hot" if k % 3 == 0 else f"c{k % 7}" for k in recipes.id]
-    recipes["title"] = ["same" if k % 3 == 0 else f"t{k}" for k in recipes.id]
-    m = mentions.merge(recipes, on="id")
-    return (spark.createDataFrame(m[["id", "cuisine_type", "name"]]), spark.createDataFrame(recipes), m, recipes)
+    dishes = pd.DataFrame({"id": range(1500)})
+    dishes["cuisine_type"] = ["hot" if k % 3 == 0 else f"c{k % 7}" for k in dishes.id]
+    dishes["title"] = ["same" if k % 3 == 0 else f"t{k}" for k in dishes.id]
+    m = mentions.merge(dishes, on="id")
+    return (spark.createDataFrame(m[["id", "cuisine_type", "name"]]), spark.createDataFrame(dishes), m, dishes)
 
 
 def test_top_per_group_under_skew(skewed):
-    flat, recipes, m, _ = skewed
+    flat, dishes, m, _ = skewed
     got = {(r.cuisine_type, r.name): (r["count"], r["rank"])
-           for r in G.top_per_group(recipes, "cuisine_type", 3, 2, flat=flat).collect()}
+           for r in G.top_per_group(dishes, "cuisine_type", 3, 2, flat=flat).collect()}
     groups = (skewed[3].groupby("cuisine_type").size().reset_index(name="n")
               .sort_values(["n", "cuisine_type"], ascending=[False, True]).head(3).cuisine_type)
     want = {}
@@ -46,17 +46,17 @@ def test_top_per_group_under_skew(skewed):
 
 
 def test_dedupe_under_skew(spark, skewed):
-    recipes = skewed[1].withColumnRenamed("id", "entryNumber").withColumn("dataset", F.lit("d"))
-    first = L.first_per_key(recipes, "title", ["dataset", "entryNumber"])
-    dups = L.duplicates_of_first(recipes, "title", ["dataset", "entryNumber"])
+    dishes = skewed[1].withColumnRenamed("id", "entryNumber").withColumn("dataset", F.lit("d"))
+    first = L.first_per_key(dishes, "title", ["dataset", "entryNumber"])
+    dups = L.duplicates_of_first(dishes, "title", ["dataset", "entryNumber"])
     r = skewed[3]
     assert first.count() == r.title.nunique() and dups.count() == len(r) - r.title.nunique()
     assert first.filter("title = 'same'").first().entryNumber == 0
 
 
 def test_frequency_and_nested_scores_under_skew(skewed):
-    flat, recipes, m, _ = skewed
-    f = {r.name: (r.mentions, r.recipes) for r in G.ingredient_frequency(recipes, 10, flat=flat).collect()}
+    flat, dishes, m, _ = skewed
+    f = {r.name: (r.mentions, r.dishes) for r in G.ingredient_frequency(dishes, 10, flat=flat).collect()}
     assert f["salt"] == (int((m.name == "salt").sum()), int(m[m.name == "salt"].id.nunique()))
     scores = {r.id: r.score for r in S.nested_scores_flat(flat.select("id", "name"), "pepper").collect()}
     # brute force BM25 over entries: every entry is one name

@@ -4,7 +4,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from mise.functions import lexicon as lx
 from mise.functions.records import extract_posts
 from mise.operators.relational import text_search
 from mise.sources import readers as RD
@@ -23,14 +22,14 @@ def test_posts_csv_multiline_and_numbering(spark, tmp_path):
     assert [r.title for r in rows] == ['A "q" t', "second", "third"]
     assert rows[0].comment == "line1\nline2, x"
     assert [r.entry_number for r in rows] == [1, 2, 3]
-    assert RD.route_by_source(df).select("format").distinct().first()[0] == "posts"
+    assert RD.route_by_source(df, "arrays").select("format").distinct().first()[0] == "posts"
 
 
 def test_numbering_per_file_with_split_blocks(spark, tmp_path):
     d = tmp_path / "many"
     d.mkdir()
     head = "title,ingredients,directions,link,source,NER,site\n"
-    big = f"{lx.STRUCTURED_FILE_MARKER}_a.csv"
+    big = "arrays_a.csv"
     for name, n in ((big, 3000), ("b.csv", 5)):
         with open(d / name, "w") as fh:
             fh.write(head)
@@ -45,7 +44,7 @@ def test_numbering_per_file_with_split_blocks(spark, tmp_path):
     assert all(r.title == f"t{r.entry_number}" for r in got)
     assert sorted(r.entry_number for r in got if r.dataset == "b.csv") == [1, 2, 3, 4, 5]
     assert len(got) == 3005
-    routed = RD.route_by_source(df).groupBy("format").count().collect()
+    routed = RD.route_by_source(df, "arrays").groupBy("format").count().collect()
     assert {r["format"]: r["count"] for r in routed} == {"structured": 3000, "posts": 5}
     assert RD.select_entries(df, 3, 12).count() == 10 + 3   # entries 3..12 of each file (b.csv has 3..5)
 
@@ -65,7 +64,12 @@ def test_stage_round_trip_and_skip(spark, tmp_path):
     cake = back.filter("entryNumber = 1").first()
     assert cake.recipeData.ingredients[0].name == "flour" and cake.dataset == "posts.csv"
     assert ST.skip_existing(raw, back).count() == 0
-    assert [r.entry_number for r in ST.missing_entries(spark, back, 1, 4).collect()] == [3, 4]
+    assert sorted(r.entry_number for r in ST.missing_entries(back, 1, 4).collect()) == [3, 4]
+    two = spark.createDataFrame([("a", 1), ("a", 3), ("b", 2)], "dataset string, entryNumber long")
+    assert sorted(map(tuple, ST.missing_entries(two, 1, 3).collect())) == [("a", 2), ("b", 1), ("b", 3)]
+    assert sorted(map(tuple, ST.missing_entries(two, 1).collect())) == [("a", 2), ("b", 1)]
+    plan = ST.stage_range(back, 2, 2)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(chunk" in plan
     assert ST.stage_range(back, 2, 2).first().metadata.title == "Soup"
     ST.write_documents(back.select("entryNumber", "recipeData"), str(tmp_path / "docs"))
     assert spark.read.parquet(str(tmp_path / "docs")).count() == 2
