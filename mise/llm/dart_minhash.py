@@ -42,9 +42,9 @@ from pyspark.sql import types as T
 from .common import Scratch, arrow_rows, whole_text
 from .components import connected_components
 
-BATCH_BYTES = 8_000_000
+BATCH_BYTES = 2_000_000
 #: Words whose hash a worker remembers at most.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 300_000
 
 
 @dataclass(frozen=True)
