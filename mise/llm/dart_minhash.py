@@ -290,7 +290,7 @@ def duplicate_classes(docs: DataFrame, rows: DataFrame, settings: Settings, id_c
     dense = _dense_groups(members, labels, settings, scratch)
     groups = dense.withColumnRenamed("label", "group")
     if _some(groups):
-        labels, _ = joined(labels, _block_links(groups, labels, sets, settings))
+        labels, _ = joined(labels, _block_links(groups, labels, sets, settings, scratch))
     labels, _ = joined(labels, _verified(_small_pairs(members, labels, groups, settings), sets, settings.threshold))
     scratch.drop(members, sets, dense)
     return labels.withColumnRenamed("label", "class_node")
@@ -321,7 +321,7 @@ def _dense_groups(members: DataFrame, labels: DataFrame, settings: Settings, scr
     return connected_components(edges, scratch)
 
 
-def _block_links(groups: DataFrame, labels: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+def _block_links(groups: DataFrame, labels: DataFrame, sets: DataFrame, settings: Settings, scratch: Scratch) -> DataFrame:
     """Links (a, b) between classes within each group, found block by block."""
     placed = groups.join(labels, "node")
     sizes = placed.groupBy("group", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -331,8 +331,9 @@ def _block_links(groups: DataFrame, labels: DataFrame, sets: DataFrame, settings
         return F.ceil(n / settings.block).cast("int")
 
     # The largest class has blocks 0 .. core - 1, the others core .. total - 1.
-    sizes = sizes.select("group", F.col("x.label").alias("largest"), blocks(F.col("x.n")).alias("core"),
-                         (blocks(F.col("x.n")) + blocks(F.col("all") - F.col("x.n"))).alias("total"))
+    # Written, so that the join to it is one that Spark can split at a large group.
+    sizes = scratch.table(sizes.select("group", F.col("x.label").alias("largest"), blocks(F.col("x.n")).alias("core"),
+                                       (blocks(F.col("x.n")) + blocks(F.col("all") - F.col("x.n"))).alias("total")))
     placed = placed.join(sizes, "group").withColumn("most", F.col("label") == F.col("largest"))
     spread = F.xxhash64("node", F.lit(3))
     placed = placed.withColumn("own", F.when(F.col("most"), F.pmod(spread, "core")).otherwise(
