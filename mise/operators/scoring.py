@@ -66,8 +66,8 @@ def build_postings(docs: DataFrame, fields: Mapping[str, Analyzer], key: Sequenc
     for p in parts[1:]:
         tok = tok.unionByName(p)
     if terms is not None:
-        # bounded by the query text
-        tok = tok.join(F.broadcast(terms.select("term").distinct()), "term", "left_semi")
+        # A query's own terms are few and Spark sends them to all; fuzzy expansions may be many.
+        tok = tok.join(terms.select("term").distinct(), "term", "left_semi")
     return tok.groupBy("field", *key, "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
 
 
@@ -96,10 +96,9 @@ def bm25(postings: DataFrame, lengths: DataFrame, terms: DataFrame, field: str,
     (``per_term=True``: (key..., term, score))."""
     key = list(key)
     n_docs, avgdl = field_stats(lengths, field)
-    # ``terms`` comes from the query text: its size is bounded by the query, not by the data.
-    p = postings.filter(F.col("field") == field).join(F.broadcast(terms), "term")
+    p = postings.filter(F.col("field") == field).join(terms, "term")
     dfs = p.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    s = p.join(F.broadcast(dfs), "term")
+    s = p.join(dfs, "term")
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf").cast("double")
     norm = tf / (tf + F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("dl") / avgdl))

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.analysis import english, ingredient_analyzer
-from ..functions.distance import osa_distance
 from .relational import _order, page
 from .scoring import (Analyzer, bm25, build_postings, field_lengths, field_stats, query_terms, read_lengths,
                       read_postings)
@@ -405,26 +404,46 @@ def auto_fuzziness(term_col: Column) -> Column:
     return F.when(n <= 2, 0).when(n <= 5, 1).otherwise(2)
 
 
+def _swapped(t: Column) -> Column:
+    """All texts with one pair of neighbouring characters swapped."""
+    return F.when(F.length(t) > 1, F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.concat(
+        t.substr(F.lit(1), i - 1), t.substr(i + 1, F.lit(1)), t.substr(i, F.lit(1)), t.substr(i + 2, F.length(t))))
+    ).otherwise(F.array().cast("array<string>"))
+
+
+def _deleted(t: Column) -> Column:
+    """All texts with one character left out."""
+    return F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(t.substr(F.lit(1), i - 1), t.substr(i + 1, F.length(t))))
+
+
 def fuzzy_expansions(docs: DataFrame, text: str, field: str, prefix_length: int = 2,
                      analyzer: Analyzer = english, transpositions: bool = True) -> DataFrame:
     """(qterm, term, distance): vocabulary terms within AUTO distance sharing the first
     ``prefix_length`` characters.  The prefix is an equi-join key, so no term pairs outside a
-    prefix group are ever compared.  With ``transpositions`` an adjacent swap is one edit (as in
-    the search engine); built-in ``levenshtein`` pre-filters the pairs, then a pandas UDF
-    scores the survivors."""
+    prefix group are ever compared.
+
+    With ``transpositions`` a swap of neighbours is one edit (as in the search engine; characters
+    between the two may be edited as well, so "ca" is 2 from "abc").  The swaps are made on the
+    query's side before the join: a term is within d of the query if ``levenshtein`` puts it within
+    d - 1 of the query with one swap, or if it equals the query after two swaps or a deletion and a swap."""
     vocab = (docs.select(F.explode(analyzer(F.col(field))).alias("term")).distinct()
                  .withColumn("_p", F.substring("term", 1, prefix_length)))
-    q = (query_terms(docs.sparkSession, text, analyzer).select(F.col("term").alias("qterm"))
-         .withColumn("_p", F.substring("qterm", 1, prefix_length)))
-    limit = auto_fuzziness(F.col("qterm"))
-    pairs = (vocab.join(F.broadcast(q), "_p")
-                  .filter(F.abs(F.length("term") - F.length("qterm")) <= 2)
-                  .withColumn("_lev", F.levenshtein("term", "qterm")))
+    q = query_terms(docs.sparkSession, text, analyzer).select(F.col("term").alias("qterm"))
+    q = q.withColumn("_p", F.substring("qterm", 1, prefix_length)).withColumn("_limit", auto_fuzziness(F.col("qterm")))
+    # Variants of the query's own terms: their number grows with the query, not with the data.
+    near = q.withColumn("_v", F.col("qterm")).withColumn("_cost", F.lit(0))
+    if transpositions:
+        one = q.where("_limit >= 1").withColumn("_v", F.explode(_swapped(F.col("qterm")))).withColumn("_cost", F.lit(1))
+        two = q.where("_limit = 2").withColumn("_v", F.explode(F.flatten(F.transform(
+            F.concat(_swapped(F.col("qterm")), _deleted(F.col("qterm"))), _swapped))))
+        near = near.unionByName(one)
+    pairs = (vocab.join(F.broadcast(near), "_p").where(F.abs(F.length("term") - F.length("qterm")) <= 2)
+                  .withColumn("distance", F.levenshtein("term", "_v") + F.col("_cost")).where("distance <= _limit")
+                  .select("qterm", "term", "distance"))
     if transpositions:
-        pairs = pairs.filter(F.col("_lev") <= limit * 2).withColumn("distance", osa_distance("term", "qterm"))
-    else:
-        pairs = pairs.withColumn("distance", F.col("_lev"))
-    return pairs.filter(F.col("distance") <= limit).select("qterm", "term", "distance")
+        equal = vocab.withColumnRenamed("term", "_v").join(F.broadcast(two.distinct()), ["_p", "_v"])
+        pairs = pairs.unionByName(equal.select("qterm", F.col("_v").alias("term"), F.lit(2).alias("distance")))
+    return pairs.groupBy("qterm", "term").agg(F.min("distance").alias("distance"))
 
 
 def fuzzy_match(docs: DataFrame, text: str, fields: Mapping[str, float], prefix_length: int = 2, k: int = 10,
@@ -444,8 +463,8 @@ def fuzzy_scores(docs: DataFrame, text: str, fields: Mapping[str, float], prefix
         terms = exp.select("term").distinct().withColumn("qtf", F.lit(1).cast("bigint"))
         per_term = bm25(build_postings(docs, fl, terms=terms), field_lengths(docs, fl), terms, f, boost=boost,
                         per_term=True)
-        # ``exp`` holds expansions of the query terms only: bounded by the query, not the data.
-        s = (per_term.join(F.broadcast(exp.select("term", "qterm")), "term")
+        # Expansions grow with the vocabulary: no broadcast is asked for.
+        s = (per_term.join(exp.select("term", "qterm"), "term")
                      .groupBy("id", "qterm").agg(F.max("score").alias("score"))
                      .groupBy("id").agg(F.sum("score").alias("score")))
         out = s if out is None else out.unionByName(s)

@@ -126,10 +126,40 @@ def test_dense_ids_follow_global_order(spark):
 
 
 def test_fuzzy_counts_a_transposition_as_one_edit(spark):
-    from mise.functions.distance import osa
-    assert osa("spaghetti", "spahgetti") == 1 and osa("ca", "abc") == 3 and osa("", "abc") == 3
     d = spark.createDataFrame([(1, "Thai curry"), (2, "Spaghetti carbonara")], "id long, title string")
     exp = {(r.qterm, r.term): r.distance for r in S.fuzzy_expansions(d, "thia spahgetti", "title").collect()}
     assert exp == {("thia", "thai"): 1, ("spahgetti", "spaghetti"): 1}
     plain = S.fuzzy_expansions(d, "thia", "title", transpositions=False).collect()
     assert plain == []          # plain Levenshtein: 2 edits, over the AUTO limit of 1 for 4 letters
+
+
+def _edits(a, b):
+    """Edit distance with swaps of neighbours, between which characters may be edited as well."""
+    last, d = {}, {(-1, -1): len(a) + len(b)}
+    for i in range(len(a) + 1):
+        d[i, -1], d[i, 0] = len(a) + len(b), i
+    for j in range(len(b) + 1):
+        d[-1, j], d[0, j] = len(a) + len(b), j
+    for i in range(1, len(a) + 1):
+        match = 0
+        for j in range(1, len(b) + 1):
+            p, q, same = last.get(b[j - 1], 0), match, a[i - 1] == b[j - 1]
+            if same:
+                match = j
+            d[i, j] = min(d[i - 1, j - 1] + (not same), d[i, j - 1] + 1, d[i - 1, j] + 1,
+                          d[p - 1, q - 1] + (i - p - 1) + 1 + (j - q - 1))
+        last[a[i - 1]] = i
+    return d[len(a), len(b)]
+
+
+def test_fuzzy_expansions_are_all_within_distance(spark):
+    import random
+    rng = random.Random(1)
+    words = sorted({"".join(rng.choice("xyz") for _ in range(rng.randint(3, 7))) for _ in range(250)})
+    query = ["xyzxyz", "xyx", "zyxzy", "xzyyxz", "yxzzxyx"]
+    docs = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "id long, title string")
+    for prefix in (0, 2):
+        got = {(r.qterm, r.term): r.distance for r in S.fuzzy_expansions(docs, " ".join(query), "title", prefix).collect()}
+        limit = {q: 0 if len(q) <= 2 else 1 if len(q) <= 5 else 2 for q in query}
+        want = {(q, w): _edits(q, w) for q in query for w in words if w[:prefix] == q[:prefix] and _edits(q, w) <= limit[q]}
+        assert got == want

@@ -25,4 +25,4 @@ def test_query(spark, con, name):
 
 
 def test_entry(spark):
-    assert E.entry(spark).count() >= 0
+    assert E.entry(spark).count() == 50
