@@ -72,43 +72,45 @@ def _header_tag(line: Column, headers: Sequence[tuple[str, str]], marks: str) ->
 DEFAULT_HEADERS = (("ingredients", lx.INGREDIENT_HEADER), ("instructions", lx.INSTRUCTION_HEADER))
 
 
-def section_tags_col(text: ColumnOrName, headers: Sequence[tuple[str, str]] = DEFAULT_HEADERS,
-                     marks: str = lx.HEADER_MARKS) -> Column:
-    """Per line, the section it belongs to ('general' before any header) or 'header'.
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once per row: a lambda variable keeps its value, where
+    a column used several times may be computed as often."""
+    return F.get(F.transform(F.array(value), body), 0)
 
-    A left fold (``aggregate``) over the lines carries the current section: a header line
-    switches the state and is itself dropped, every other line goes to the current section.
-    """
-    lines = lines_of(text)
-    tagged = F.transform(lines, lambda l: F.struct(l.alias("line"),
-                                                   _header_tag(l, headers, marks).alias("hdr")))
-    zero = F.struct(F.lit("general").alias("cur"), F.array().cast("array<string>").alias("tags"))
 
-    def step(acc, x):
-        cur = F.coalesce(x["hdr"], acc["cur"])
-        tag = F.when(x["hdr"].isNull(), cur).otherwise(F.lit("header"))
-        return F.struct(cur.alias("cur"), F.concat(acc["tags"], F.array(tag)).alias("tags"))
+def _segments(lines: Column, headers: Sequence[tuple[str, str]], marks: str) -> Column:
+    """Runs of lines between headers as array of (name, start, len); 'general' before the first."""
+    found = F.filter(F.transform(lines, lambda l, i: F.struct(i.alias("pos"), _header_tag(l, headers, marks).alias("name"))),
+                     lambda h: h["name"].isNotNull())
+
+    def end(hs: Column, k) -> Column:
+        return F.coalesce(F.get(hs, k)["pos"], F.size(lines))
 
-    return F.aggregate(tagged, zero, step, lambda acc: acc["tags"])
+    def segment(name: Column, start: Column, stop: Column) -> Column:
+        return F.struct(name.alias("name"), start.alias("start"), (stop - start).alias("len"))
 
+    return _let(found, lambda hs: F.concat(F.array(segment(F.lit("general"), F.lit(0), end(hs, F.lit(0)))),
+                                           F.transform(hs, lambda h, k: segment(h["name"], h["pos"] + 1, end(hs, k + 1)))))
 
-def _lines_in(lines: Column, tags: Column, name: str) -> Column:
-    pairs = F.zip_with(lines, tags, lambda l, t: F.struct(l.alias("line"), t.alias("tag")))
-    return F.transform(F.filter(pairs, lambda p: p["tag"] == name), lambda p: p["line"])
+
+def _lines_in(lines: Column, segments: Column, name: str) -> Column:
+    return F.flatten(F.transform(F.filter(segments, lambda s: (s["name"] == name) & (s["len"] > 0)),
+                                 lambda s: F.slice(lines, s["start"] + 1, s["len"])))
 
 
 def split_sections_col(text: ColumnOrName, headers: Sequence[tuple[str, str]] = DEFAULT_HEADERS,
-                       detect: bool = True) -> Column:
-    """struct<general, ingredients, instructions> of line arrays (B2, with B3 when ``detect``)."""
-    lines = lines_of(text)
-    tags = section_tags_col(text, headers)
-    general = _lines_in(lines, tags, "general")
-    ingredients = _lines_in(lines, tags, "ingredients")
-    instructions = _lines_in(lines, tags, "instructions")
-    if detect:
-        ingredients, instructions = detect_sections_cols(lines, ingredients, instructions)
-    return F.struct(general.alias("general"), ingredients.alias("ingredients"),
-                    instructions.alias("instructions"))
+                       detect: bool = True, marks: str = lx.HEADER_MARKS) -> Column:
+    """struct<general, ingredients, instructions> of line arrays (B2, with B3 when ``detect``).
+
+    A header line switches the section and is itself dropped.  Headers are found in one pass, and
+    each section is cut out between them, so the work grows with the lines."""
+    def of(lines: Column, segments: Column) -> Column:
+        general, ingredients, instructions = (_lines_in(lines, segments, n) for n in ("general", "ingredients", "instructions"))
+        if detect:
+            ingredients, instructions = detect_sections_cols(lines, ingredients, instructions)
+        return F.struct(general.alias("general"), ingredients.alias("ingredients"), instructions.alias("instructions"))
+
+    return _let(lines_of(text), lambda lines: _let(_segments(lines, headers, marks), lambda segments: of(lines, segments)))
 
 
 def detect_sections_cols(lines: Column, ingredients: Column, instructions: Column):

@@ -150,3 +150,18 @@ def test_numbers_keep_their_digits(spark):
     df = spark.createDataFrame([(x,) for x in lines], "line string").select(parse_ingredient_line(F.col("line")).alias("p"))
     got = [(r.p.quantity, r.p.name) for r in df.collect()]
     assert got == [("12345678901234567890123456789", "x"), ("0.00000000001", "salt"), ("1.5", "a\u0001b"), ("2", "milk"), ("7", "eggs")]
+
+
+def test_sections_of_many_lines(spark):
+    """Against a plain loop, on a text whose fold line by line would take half a minute."""
+    lines = ["Ingredients:" if i % 500 == 0 and i else "Directions:" if i % 500 == 250 else f"line {i}" for i in range(20_000)]
+    want, now = {"general": [], "ingredients": [], "instructions": []}, "general"
+    for line in lines:
+        if line in ("Ingredients:", "Directions:"):
+            now = "ingredients" if line[0] == "I" else "instructions"
+        else:
+            want[now].append(line)
+    rows = [("\n".join(lines),), (None,), ("",)]
+    got = spark.createDataFrame(rows, "t string").select(TX.split_sections_col("t").alias("s")).select("s.*").collect()
+    assert got[0].asDict() == want
+    assert tuple(got[1]) == (None, None, None) and tuple(got[2]) == ([""], [], [])
