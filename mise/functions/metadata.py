@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import lexicon as lx
-from .text import ColumnOrName, col, contains_any, first_match
+from .text import ColumnOrName, col, contains_any, first_match, let
 
 
 def _lower(text: ColumnOrName) -> Column:
@@ -66,12 +66,14 @@ def extract_times(df: DataFrame, text: str, out: str = "times", infer: bool = Tr
 # ---------------------------------------------------------------------------------------- B13
 def difficulty_col(text: ColumnOrName, patterns=lx.DIFFICULTY_PATTERNS, easy=lx.EASY_HINTS, hard=lx.HARD_HINTS,
                    overrides: Sequence[str] | None = lx.MEDIUM_OVERRIDES) -> Column:
-    t = _lower(text)
-    labelled = F.lower(first_match(t, patterns))
-    d = F.coalesce(labelled, F.when(contains_any(t, easy), F.lit("easy")).when(contains_any(t, hard), F.lit("hard")))
-    if overrides:
-        d = F.when(contains_any(t, overrides), F.lit("medium")).otherwise(d)
-    return d
+    def of(t: Column) -> Column:
+        labelled = F.lower(first_match(t, patterns))
+        d = F.coalesce(labelled, F.when(contains_any(t, easy), F.lit("easy")).when(contains_any(t, hard), F.lit("hard")))
+        if overrides:
+            d = F.when(contains_any(t, overrides), F.lit("medium")).otherwise(d)
+        return d
+
+    return let(_lower(text), of)
 
 
 def extract_difficulty(df: DataFrame, text: str, out: str = "difficulty") -> DataFrame:
@@ -87,11 +89,13 @@ def _word_match(t: Column, k: Column) -> Column:
     return t.rlike(F.concat(F.lit(r"\b"), k, F.lit(r"\b")))
 
 
+def _found(t: Column, whole_word: bool):
+    return (lambda k: _word_match(t, k)) if whole_word else (lambda k: t.contains(k))
+
+
 def first_keyword_col(text: ColumnOrName, keywords: Sequence[str], whole_word: bool = False) -> Column:
     """First keyword, in list order, found in the lower-cased text (substring unless whole_word)."""
-    t = _lower(text)
-    pred = (lambda k: _word_match(t, k)) if whole_word else (lambda k: t.contains(k))
-    return F.get(F.filter(_kw_array(keywords), pred), 0)
+    return let(_lower(text), lambda t: F.get(F.filter(_kw_array(keywords), _found(t, whole_word)), 0))
 
 
 def first_keyword(df: DataFrame, text: str, keywords: Sequence[str], out: str, whole_word: bool = False) -> DataFrame:
@@ -100,10 +104,8 @@ def first_keyword(df: DataFrame, text: str, keywords: Sequence[str], out: str, w
 
 def all_keywords_col(text: ColumnOrName, keywords: Sequence[str], whole_word: bool = False) -> Column:
     """All keywords found, in list order; NULL when none."""
-    t = _lower(text)
-    pred = (lambda k: _word_match(t, k)) if whole_word else (lambda k: t.contains(k))
-    found = F.filter(_kw_array(keywords), pred)
-    return F.when(F.size(found) > 0, found)
+    found = let(_lower(text), lambda t: F.filter(_kw_array(keywords), _found(t, whole_word)))
+    return let(found, lambda xs: F.when(F.size(xs) > 0, xs))
 
 
 def all_keywords(df: DataFrame, text: str, keywords: Sequence[str], out: str, whole_word: bool = False) -> DataFrame:
@@ -112,12 +114,14 @@ def all_keywords(df: DataFrame, text: str, keywords: Sequence[str], out: str, wh
 
 def classify_by_groups_col(text: ColumnOrName, groups=lx.MEAL_GROUPS) -> Column:
     """Label of the first group that has a word contained in the text."""
-    t = _lower(text)
-    out = None
-    for label, words in groups:
-        cond = contains_any(t, words)
-        out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
-    return out
+    def of(t: Column) -> Column:
+        out = None
+        for label, words in groups:
+            cond = contains_any(t, words)
+            out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
+        return out
+
+    return let(_lower(text), of)
 
 
 def classify_by_groups(df: DataFrame, text: str, out: str, groups=lx.MEAL_GROUPS) -> DataFrame:

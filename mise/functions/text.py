@@ -72,7 +72,7 @@ def _header_tag(line: Column, headers: Sequence[tuple[str, str]], marks: str) ->
 DEFAULT_HEADERS = (("ingredients", lx.INGREDIENT_HEADER), ("instructions", lx.INSTRUCTION_HEADER))
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row: a lambda variable keeps its value, where
     a column used several times may be computed as often."""
     return F.get(F.transform(F.array(value), body), 0)
@@ -89,7 +89,7 @@ def _segments(lines: Column, headers: Sequence[tuple[str, str]], marks: str) ->
     def segment(name: Column, start: Column, stop: Column) -> Column:
         return F.struct(name.alias("name"), start.alias("start"), (stop - start).alias("len"))
 
-    return _let(found, lambda hs: F.concat(F.array(segment(F.lit("general"), F.lit(0), end(hs, F.lit(0)))),
+    return let(found, lambda hs: F.concat(F.array(segment(F.lit("general"), F.lit(0), end(hs, F.lit(0)))),
                                            F.transform(hs, lambda h, k: segment(h["name"], h["pos"] + 1, end(hs, k + 1)))))
 
 
@@ -110,7 +110,7 @@ def split_sections_col(text: ColumnOrName, headers: Sequence[tuple[str, str]] =
             ingredients, instructions = detect_sections_cols(lines, ingredients, instructions)
         return F.struct(general.alias("general"), ingredients.alias("ingredients"), instructions.alias("instructions"))
 
-    return _let(lines_of(text), lambda lines: _let(_segments(lines, headers, marks), lambda segments: of(lines, segments)))
+    return let(lines_of(text), lambda lines: let(_segments(lines, headers, marks), lambda segments: of(lines, segments)))
 
 
 def detect_sections_cols(lines: Column, ingredients: Column, instructions: Column):
