@@ -481,8 +481,8 @@ def popularity(df: DataFrame, factors: Mapping[str, float], base: float = 1.0) -
 
 
 def random_rows(df: DataFrame, n: int = 1, seed: int = 0, key: str = "id") -> DataFrame:
-    """A seeded pick that does not depend on partitioning (hash of key and seed)."""
-    return df.withColumn("_r", F.xxhash64(F.col(key), F.lit(seed))).orderBy("_r", key).limit(n).drop("_r")
+    """A seeded pick that does not depend on partitioning (digest of seed and key)."""
+    return df.withColumn("_r", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))).orderBy("_r", key).limit(n).drop("_r")
 
 
 WORD_RUNS = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+"

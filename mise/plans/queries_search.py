@@ -333,13 +333,12 @@ def popular_dishes(spark, d):
     return out.select("id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "id").limit(10)
 
 
+@register("random_dish", with_ctes(DISHES_CTE) + """
+SELECT id, title FROM dishes ORDER BY md5('7:' || CAST(id AS VARCHAR)), id LIMIT 1""")
 def random_dish(spark, d):
     return S.random_rows(B.documents(spark, d), 1, seed=7).select("id", "title")
 
 
-register("random_dish")(random_dish)
-
-
 @register("highlight_titles", with_ctes(TDOCS_CTE) + """
 SELECT id, array_to_string(list_transform(regexp_extract_all(title, '[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_]+', 0),
                                           lambda r: CASE WHEN lower(r) IN ('der', 'les') THEN '<em>' || r || '</em>'
@@ -351,10 +350,10 @@ def highlight_titles(spark, d):
 
 @register("post_filter_hits", with_ctes(DISHES_CTE, MENTIONS_CTE) + """
 SELECT r.id FROM dishes r WHERE r.difficulty = 'F'
-  AND EXISTS (SELECT 1 FROM mentions m WHERE m.id = r.id AND m.name >= '' AND m.name <= 'zzzzzzzzz')""")
+  AND EXISTS (SELECT 1 FROM mentions m WHERE m.id = r.id AND m.name >= 'b' AND m.name <= 'gz')""")
 def post_filter_hits(spark, d):
     docs = B.documents(spark, d).filter(S.term("difficulty", "F"))
-    in_range = F.exists("ingredients", lambda e: (e["name"] >= "") & (e["name"] <= "zzzzzzzzz"))
+    in_range = F.exists("ingredients", lambda e: (e["name"] >= "b") & (e["name"] <= "gz"))
     hits, _ = S.with_post_filter(docs, lambda x: G.filtered_mentions(x), F.coalesce(in_range, F.lit(False)))
     return hits.select("id")
 
