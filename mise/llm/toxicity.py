@@ -7,7 +7,7 @@ furthest from zero, in standard errors, are kept, and a logistic regression is f
 the ratios as values.  Both classes weigh the same.
 
 Training takes at most TRAIN_ROWS labelled rows, half of each class at most, chosen by a hash of
-the id.  Counts come back from the executors as one vector per partition, and the regression is
+the id.  Counts are one vector per partition, joined in one task, and the regression is
 fitted on the driver to the kept features of those rows: both are bounded.  Scoring reads every
 whole text, in Arrow batches of bounded size, with the weights as a broadcast vector.
 
@@ -142,6 +142,22 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                      names=["other", "toxic", "n_other", "n_toxic"])
 
 
+def _select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of each class, and the features kept with their ratios, from the partitions' vectors."""
+    counts, rows = np.zeros((2, DIMENSIONS)), np.zeros(2, np.int64)
+    for batch in batches:
+        for i in range(batch.num_rows):
+            for k in (0, 1):
+                counts[k] += np.frombuffer(batch.column(k)[i].as_py(), np.int32)
+                rows[k] += batch.column(2 + k)[i].as_py()
+    ratio, errors = log_ratios(counts[1], counts[0], rows[1], rows[0])
+    best = np.argsort(-np.abs(errors), kind="stable")[:MOST_FEATURES]
+    best = np.sort(best[np.abs(errors[best]) >= LEAST_ERRORS])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(rows[:1]), pa.array(rows[1:]), pa.array([best.astype(np.int32)], pa.list_(pa.int32())),
+         pa.array([ratio[best]], pa.list_(pa.float64()))], names=["n_other", "n_toxic", "feature", "ratio"])
+
+
 def _picker(wanted):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrow_rows(batches, BATCH_BYTES):
@@ -176,23 +192,22 @@ def held_out(column: str) -> Column:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_ROWS) -> Model:
     spark = docs.sparkSession
     rows = Scratch(spark).table(training_rows(docs, labels, id_col, text_col, most).repartition(TRAIN_PARTS, "k", "t").select("y", "t"))
-    vectors = rows.mapInArrow(_counter, "other binary, toxic binary, n_other long, n_toxic long").collect()
-    counts = {c: sum((np.frombuffer(v[c], np.int32).astype(float) for v in vectors), np.zeros(DIMENSIONS)) for c in ("other", "toxic")}
-    n_other, n_toxic = (sum(v[c] for v in vectors) for c in ("n_other", "n_toxic"))
-    if not n_other or not n_toxic:
-        share = n_toxic / max(1, n_other + n_toxic)
-        return Model(np.zeros(DIMENSIONS), 500.0 if share else -500.0)
-    ratio, errors = log_ratios(counts["toxic"], counts["other"], n_toxic, n_other)
-    best = np.argsort(-np.abs(errors), kind="stable")[:MOST_FEATURES]
-    wanted = np.zeros(DIMENSIONS, bool)
-    wanted[best[np.abs(errors[best]) >= LEAST_ERRORS]] = True
+    # One vector for each of TRAIN_PARTS partitions meets in one task, which returns what it keeps.
+    vectors = rows.mapInArrow(_counter, "other binary, toxic binary, n_other long, n_toxic long")
+    best = vectors.repartition(1).mapInArrow(_select, "n_other long, n_toxic long, feature array<int>, ratio array<double>").first()
+    if best is None or not best["n_other"] or not best["n_toxic"]:
+        return Model(np.zeros(DIMENSIONS), 500.0 if best and best["n_toxic"] else -500.0)
+    wanted, ratio = np.zeros(DIMENSIONS, bool), np.zeros(DIMENSIONS, np.float32)
+    wanted[best["feature"]] = True
+    ratio[best["feature"]] = best["ratio"]
     picked = rows.mapInArrow(_picker(spark.sparkContext.broadcast(wanted)), "y int, found array<int>").toArrow()
     y = picked.column("y").to_numpy().astype(float)
     lists = picked.column("found").combine_chunks()
-    row = np.repeat(np.arange(len(y)), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-    found = lists.flatten().to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), lists.value_lengths().to_numpy(zero_copy_only=False))
+    found = lists.flatten().to_numpy()
+    del picked, lists
     kept = np.flatnonzero(wanted)
-    place = np.zeros(DIMENSIONS, np.int64)
+    place = np.zeros(DIMENSIONS, np.int32)
     place[kept] = np.arange(len(kept))
     w = fit_logistic(row, place[found], ratio[found], y, len(kept))
     weights = np.zeros(DIMENSIONS)
