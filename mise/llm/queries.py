@@ -197,7 +197,7 @@ SELECT doc_id, s AS "start", e AS "end", first_doc_id, first_start FROM r WHERE
 
 @_query("op7_substring_dedup", UNITS_SQL)
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unit_dedup.repeated_units(table(spark, sf_dir, "documents"), "sentence").drop("text_hash")
+    return unit_dedup.repeated_units(table(spark, sf_dir, "documents"), "sentence", None).drop("text_hash")
 
 
 # ------------------------------------------------------------------------------- 8: near duplicates

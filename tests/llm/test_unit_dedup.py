@@ -59,3 +59,25 @@ def test_same_id_with_other_texts(make):
     rows = [(1, LONG), (1, LONG + " and more of it")]
     assert U.repeated_units(make(rows)).count() == 0
     assert U.repeated_units(make([(1, LONG), (1, "x\n" + LONG)])).count() == 1
+
+
+def test_short_units(make):
+    """Short lines, short sentences in repeated runs and texts without spaces go; a chance repeat inside a line stays."""
+    run = f"{LONG}. Not so. And another sentence of more than six words here."
+    han = "这是第一句很长的话，它在两个文档里都出现。短句。这是第二句同样很长的话，也出现两次。"
+    rows = [(1, f"Table of contents\nTo begin with this: {run} Yes. Ends one way."), (2, f"Table of contents\n{run} Yes. Ends another way."),
+            (3, "I said yes. Not so. He left us."), (4, han), (5, "前言。" + han), (6, "No. No. No.")]
+    removed = {d: [] for d, _ in rows}
+    for r in U.repeated_units(make(rows), "sentence", None).orderBy("doc_id", "start").collect():
+        text, first = dict(rows)[r["doc_id"]], dict(rows)[r["first_doc_id"]]
+        unit = text[r["start"]:r["end"]]
+        assert re.sub(r"\W", "", first[r["first_start"]:].lower()).startswith(re.sub(r"\W", "", unit.lower()))
+        removed[r["doc_id"]].append(unit)
+    assert removed[1] == removed[3] == removed[4] == [] and removed[6] == ["No.", "No."]
+    assert removed[2] == ["Table of contents", "Not so.", "And another sentence of more than six words here.", "Yes."]
+    assert removed[5] == ["这是第一句很长的话，它在两个文档里都出现。", "短句。", "这是第二句同样很长的话，也出现两次。"]
+
+
+def test_short_units_of_edge_rows(clashing):
+    found = U.repeated_units(clashing([*EDGE_ROWS, (9, "x")]), "sentence", None).collect()
+    assert [(r["doc_id"], r["start"], r["end"], r["first_doc_id"]) for r in found] == [(9, 0, 1, 5)]
