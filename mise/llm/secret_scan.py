@@ -4,7 +4,8 @@ Known forms are found by pattern, leftmost and non-overlapping for each kind, an
 short.  The method then adds spans: candidate strings (runs of one character class) are read by a
 sliding window whose character counts, and from them its Shannon entropy, change by the character
 that enters and the one that leaves.  A candidate's span goes from its first window over the limit
-to the end of its last one.  Candidates on the allow-list are dropped; it never drops known forms.
+to the end of its last one.  What the allow-list matches is left out of a candidate: the window reads
+the characters on both sides of it, which must be secret enough without.  It never drops known forms.
 
 Entropy is compared in whole numbers: H = log2(W) - sum(c log2 c) / W over the counts c of a window
 of W characters, so H >= limit means that the sum of rounded(c log2 c x 1e6) is at most a constant.
@@ -63,11 +64,18 @@ CLASSES = (
     CharClass("hexrun", "[0-9A-Fa-f]", "0123456789abcdefABCDEF", 20, 3.0, "(?=.*[0-9])(?=.*[A-Fa-f])"),
     CharClass("base64", "[A-Za-z0-9+/]", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 24, 3.9,
               "(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])"),
+    # Without hexadecimal runs, and with digits in two places, as words and names may end in a number.
+    CharClass("lowrun", "[0-9a-z]", "0123456789abcdefghijklmnopqrstuvwxyz", 24, 3.6, "(?=.*[g-z])(?=.*[0-9].*[a-z].*[0-9])"),
+    # Only with a sign that base64 doesn't have; words joined by hyphens stay under the limit.
+    CharClass("urlsafe", "[A-Za-z0-9_-]", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-", 24, 4.1,
+              "(?=.*[_-])(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])"),
 )
 KINDS = tuple(f.kind for f in FORMS) + tuple(c.kind for c in CLASSES)
 
-#: Candidates that match are not secrets: documentation keys and placeholders.
+#: Parts of candidates that are not secret: of documentation keys and placeholders.
 ALLOW = r"(?i)example|sample|placeholder|changeme|dummy|0123456789|abcdefghij|(.)\1{7}"
+#: The same with all of a run of equal characters.
+ALLOWED = ALLOW + r"\1*"
 
 
 def scaled(c: int) -> int:
@@ -107,15 +115,25 @@ def form_spans(text: Column, form: Form) -> Column:
     return F.when(text.rlike(form.hint), found).otherwise(_no_spans())
 
 
+def unallowed(run: Column, cls: CharClass) -> Column:
+    """The characters of a run outside the allow-list's matches, as structs of place in the alphabet and in the run."""
+    def chars(piece: Column, start: Column) -> Column:
+        return F.transform(F.filter(F.split(piece, "", -1), lambda c: c != ""), lambda c, i: F.struct(
+            (F.instr(F.lit(cls.alphabet), c) - 1).alias("c"), (start + i).alias("at")))
+
+    def between(hits: Column) -> Column:
+        starts = F.concat(F.array(F.lit(0)), F.transform(hits, lambda x: x["e"]))
+        return let(starts, lambda at: F.flatten(F.transform(F.split(run, ALLOWED, -1), lambda p, i: chars(p, at[i]))))
+
+    return F.when(run.rlike(ALLOW), let(pattern_matches(run, ALLOWED, 0, 0), between)).otherwise(chars(run, F.lit(0)))
+
+
 def entropy_range(run: Column, cls: CharClass) -> Column:
     """Struct of the first start and the last end, within a run, of windows at or over the limit; -1 if none."""
     w, size = cls.window, len(cls.alphabet)
     table = F.array(*[F.lit(scaled(c)) for c in range(w + 2)])
     most = F.lit(most_scaled(cls))
 
-    def place(c: Column) -> Column:
-        return F.instr(F.lit(cls.alphabet), c) - 1
-
     def counts_of(codes: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.lit(size - 1)),
                            lambda j: F.size(F.filter(F.slice(codes, 1, w), lambda c: c == j)))
@@ -146,17 +164,20 @@ def entropy_range(run: Column, cls: CharClass) -> Column:
             later, start(n), lambda acc, i: step(codes, acc, i),
             lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last"))))
 
-    chars = F.filter(F.split(run, "", -1), lambda c: c != "")
-    return let(F.transform(chars, place), of)
+    def in_run(xs: Column) -> Column:
+        none = F.struct(F.lit(-1).alias("first"), F.lit(-1).alias("last"))
+        return F.when(F.size(xs) >= w, let(of(F.transform(xs, lambda x: x["c"])), lambda r: F.when(r["last"] > 0, F.struct(
+            xs[r["first"]]["at"].alias("first"), (xs[r["last"] - 1]["at"] + 1).alias("last"))).otherwise(none))).otherwise(none)
+
+    return let(unallowed(run, cls), in_run)
 
 
 def entropy_spans(text: Column, cls: CharClass) -> Column:
-    """Spans the sliding window finds in candidate strings of one class, without those allowed."""
+    """Spans the sliding window finds in candidate strings of one class."""
     kind = KINDS.index(cls.kind)
     runs = f"{cls.chars}{{{cls.window},}}"
     hint = f"{cls.chars}{{{cls.window}}}"
-    candidates = F.filter(pattern_matches(text, runs, 0, kind),
-                          lambda x: x["m"].rlike(cls.mixed) & ~x["m"].rlike(ALLOW))
+    candidates = F.filter(pattern_matches(text, runs, 0, kind), lambda x: x["m"].rlike(cls.mixed))
     ranged = F.transform(candidates, lambda x: F.struct(x.alias("x"), entropy_range(x["m"], cls).alias("r")))
     spans = F.transform(F.filter(ranged, lambda y: y["r"]["last"] > 0), lambda y: F.struct(
         (y["x"]["s"] + y["r"]["first"]).alias("s"), (y["x"]["s"] + y["r"]["last"]).alias("e"),
