@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import dart_minhash, decontaminate, license_scan, packing, quality, secret_scan, suffix_dedup, tokens, toxicity, unit_dedup
+from . import dart_minhash, decontaminate, filter_audit, license_scan, merkle, packing, quality, secret_scan, suffix_dedup, tokens, toxicity, unit_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +211,110 @@ def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_suffix_dedup")
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed_bytes(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------------- 11: filter interaction
+_FLAGS = "SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id"
+_LETTERS = "(VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16))"
+AUDIT_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, {_WORDS}) AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+m AS (SELECT doc_id, part, CASE WHEN len(w) < {filter_audit.MIN_WORDS} THEN 1 ELSE 0 END
+             + CASE WHEN 100 * len(list_distinct(w)) < {filter_audit.MIN_DISTINCT_PERCENT} * len(w) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > {filter_audit.MAX_UPPER_PERCENT} * length(t) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(t, '{filter_audit.SIGNS}') THEN 8 ELSE 0 END + CASE WHEN doc_id > first THEN 16 ELSE 0 END AS mask FROM w),
+c AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+      FROM m LEFT JOIN ({_FLAGS}) USING (doc_id) GROUP BY part, mask),
+o AS (SELECT concat(a.f, b.f, c.f, d.f, e.f) AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+      FROM {_LETTERS} a(f, b), {_LETTERS} b(f, b), {_LETTERS} c(f, b), {_LETTERS} d(f, b), {_LETTERS} e(f, b)
+      WHERE a.b | b.b | c.b | d.b | e.b = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS before
+      FROM (SELECT filter_order, bits, unnest(range(1, 6)) AS step FROM o)),
+x AS (SELECT part, filter_order, step, bit, sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN mask & before <> 0 AND mask & bit <> 0 THEN n ELSE 0 END) AS redundant,
+             sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN mask & before = 0 AND mask & bit <> 0 THEN toxic ELSE 0 END) AS toxic_lost
+      FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INT) AS step, {", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in filter_audit.FIGURES[:-1])},
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM x"""
+
+
+@_query("op11_filter_audit", AUDIT_SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("filter")
+
+
+# ------------------------------------------------------------------------------ 12: Merkle manifest
+_MANIFEST_FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def _crc32_sql(text: str) -> str:
+    """CRC-32 of ASCII text, by the table of its polynomial."""
+    entries = []
+    for i in range(256):
+        for _ in range(8):
+            i = (i >> 1) ^ (0xEDB88320 if i & 1 else 0)
+        entries.append(i)
+    step = f"xor(c >> 8, (CAST({entries} AS BIGINT[]))[CAST((xor(c, b) & 255) + 1 AS INT)])"
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, b: {step}), CAST(4294967295 AS BIGINT))"
+
+
+def _merkle_levels_sql(name: str, key: str, levels: int) -> list[str]:
+    """CTEs of the levels over ``name``0 (key, pos, h, cnt): nodes ``name``i and their runs ``name``i_runs."""
+    out = []
+    for i in range(levels):
+        out.append(f"{name}{i}_runs AS (SELECT {key}, pos // 16 AS run, list(h ORDER BY pos) AS hs, any_value(cnt) AS cnt "
+                   f"FROM {name}{i} GROUP BY {key}, pos // 16)")
+        out.append(f"{name}{i + 1} AS (SELECT {key}, run AS pos, CASE WHEN cnt > 1 THEN sha256(array_to_string(hs, '')) ELSE hs[1] END AS h, "
+                   f"(cnt + 15) // 16 AS cnt FROM {name}{i}_runs)")
+    return out
+
+
+def _merkle_path_sql(source: str, name: str, key: str, levels: int, result: str) -> list[str]:
+    """CTEs that follow ``source`` (key, pos, folded, sibs) up the levels: folded and sibs grow by each."""
+    out, at = [], source
+    for i in range(levels):
+        k = "x.pos % 16"
+        left, right = f"array_to_string(r.hs[1:{k}], '')", f"array_to_string(r.hs[{k} + 2:], '')"
+        out.append(f"{result}{i} AS (SELECT x.* EXCLUDE (pos, folded, sibs), x.pos // 16 AS pos, "
+                   f"CASE WHEN r.cnt > 1 THEN sha256({left} || x.folded || {right}) ELSE x.folded END AS folded, "
+                   f"CASE WHEN r.cnt > 1 THEN x.sibs || {left} || {right} ELSE x.sibs END AS sibs "
+                   f"FROM {at} x JOIN {name}{i}_runs r ON x.{key} IS NOT DISTINCT FROM r.{key} AND x.pos // 16 = r.run)")
+        at = f"{result}{i}"
+    return out
+
+
+def _manifest_sql(leaf_levels: int = 6, root_levels: int = 4) -> str:
+    """Levels are written out: enough for 16 ** leaf_levels rows of a source and 16 ** root_levels sources."""
+    def field(value: str) -> str:
+        return f"CASE WHEN {value} IS NULL THEN '-' ELSE octet_length(encode(CAST({value} AS VARCHAR))) || ':' || {value} END"
+
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    leaf = "sha256(" + " || ".join(field(f) for f in _MANIFEST_FIELDS) + ")"
+    changed = "sha256(" + " || ".join(field(f if f != "text" else f"translate(text, '{upper}', '{lower}')") for f in _MANIFEST_FIELDS) + ")"
+    crc = _crc32_sql("CAST(doc_id AS VARCHAR)")
+    ctes = [f"d AS (SELECT doc_id, source, {leaf} AS leaf, CASE WHEN doc_id IS NOT NULL AND {crc} % 5 = 0 THEN {changed} ELSE {leaf} END AS told FROM documents)",
+            "p AS (SELECT *, row_number() OVER w - 1 AS pos, count(*) OVER (PARTITION BY source) AS cnt FROM d WINDOW w AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf))",
+            "s0 AS (SELECT source, pos, leaf AS h, cnt FROM p)", *_merkle_levels_sql("s", "source", leaf_levels),
+            f"subs AS (SELECT source, 0 AS one, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS cnt FROM s{leaf_levels})",
+            "r0 AS (SELECT one, pos, subroot AS h, cnt FROM subs)", *_merkle_levels_sql("r", "one", root_levels),
+            "a AS (SELECT doc_id, source, leaf, pos, told AS folded, '' AS sibs FROM p)", *_merkle_path_sql("a", "s", "source", leaf_levels, "sp"),
+            f"b AS (SELECT y.doc_id, y.leaf, t.one, t.subroot, t.pos, y.folded, y.sibs FROM sp{leaf_levels - 1} y JOIN subs t ON y.source IS NOT DISTINCT FROM t.source)",
+            *_merkle_path_sql("b", "r", "one", root_levels, "rp")]
+    return ("WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, leaf, subroot, h AS root, sha256(sibs) AS proof_sha256, folded AS folded_root, folded = h AS verified "
+            f"FROM rp{root_levels - 1}, r{root_levels}")
+
+
+@_query("op12_merkle_manifest", _manifest_sql())
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    told = [F.translate("text", upper, upper.lower()) if f == "text" else F.col(f) for f in _MANIFEST_FIELDS]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    built = merkle.manifest(table(spark, sf_dir, "documents"), _MANIFEST_FIELDS,
+                            carry={"told": F.when(tampered, merkle.leaf_digest(told))})
+    found = merkle.proofs(built).withColumn("folded_root", merkle.folded(F.coalesce("told", "leaf"), F.col("path")))
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"),
+                        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
