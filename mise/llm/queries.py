@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dart_minhash, decontaminate, filter_audit, license_scan, merkle, packing, quality, secret_scan, suffix_dedup, tokens, toxicity, unit_dedup
+from . import dart_minhash, decontaminate, filter_audit, license_scan, merkle, packing, quality, secret_scan, suffix_dedup, tokens, toxicity, unit_dedup, warc
+from ..session import ensure_checkpoint_dir
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -318,3 +320,20 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.proofs(built).withColumn("folded_root", merkle.folded(F.coalesce("told", "leaf"), F.col("path")))
     return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"),
                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+# ---------------------------------------------------------------------------------------- 13: WARC
+WARC_SQL = f"""
+WITH p AS (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS h FROM pages),
+r AS (SELECT *, row_number() OVER w AS nth, first_value(page_id) OVER w AS first FROM p
+      WINDOW w AS (PARTITION BY h ORDER BY page_id NULLS LAST, url NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest, CASE WHEN n >= {warc.LEAST_BYTES} AND nth > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= {warc.LEAST_BYTES} AND nth > 1 THEN first END AS refers_to, true AS intact FROM r"""
+
+
+@_query("op13_warc", WARC_SQL)
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    index = warc.write_bundles(warc.archive_records(table(spark, sf_dir, "pages")), folder)
+    return warc.read_bundles(warc.bundles(index), folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
