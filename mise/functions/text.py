@@ -78,6 +78,26 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+#: Lengths are summed block by block, so that an offset costs about the same at the end of a long text.
+OFFSET_BLOCK = 256
+
+
+def offsets(lengths: Column) -> Column:
+    """For an array of integers, what the elements before each one add up to."""
+    block = F.lit(OFFSET_BLOCK)
+
+    def total(xs: Column) -> Column:
+        return F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+
+    def of(xs: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / block).cast("int"))
+        sums = F.transform(blocks, lambda b: total(F.slice(xs, b * block + 1, block)))
+        return let(sums, lambda ss: let(F.transform(ss, lambda _, b: total(F.slice(ss, F.lit(1), b))), lambda before: F.transform(
+            xs, lambda _, i: before[F.floor(i / block).cast("int")] + total(F.slice(xs, i - i % block + 1, i % block)))))
+
+    return let(lengths, lambda xs: F.when(F.size(xs) > 0, of(xs)).otherwise(F.array().cast("array<int>")))
+
+
 def _segments(lines: Column, headers: Sequence[tuple[str, str]], marks: str) -> Column:
     """Runs of lines between headers as array of (name, start, len); 'general' before the first."""
     found = F.filter(F.transform(lines, lambda l, i: F.struct(i.alias("pos"), _header_tag(l, headers, marks).alias("name"))),

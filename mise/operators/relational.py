@@ -18,7 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.analysis import english
+from ..functions.analysis import Analyzer, english_porter
+from . import index as IX
 
 
 def _order(cols: Sequence) -> list[Column]:
@@ -166,18 +167,31 @@ def ilike_search(df: DataFrame, term: str, cols: Sequence[str] = ("name", "descr
     return df.filter(cond)
 
 
+#: What the weights 1 / j^2 of a term's occurrences add up to at most.
+RANK_SCALE = 1.64493406685
+
+
 def text_search(df: DataFrame, term: str, cols: Sequence[str] = ("title", "description"), limit: int = 50,
-                key: str = "id") -> DataFrame:
-    """Every analysed query term must occur in the analysed text of ``cols``; ranked by the
-    number of query-term occurrences (a plain-frequency stand-in for the database's rank), id
-    breaking ties.  Row-local: one scan, no shuffle, then a top-k."""
+                key: str = "id", weight: float = 0.1, normalization: int = 0, analyzer: Analyzer = english_porter) -> DataFrame:
+    """Every analysed query term must occur in the analysed text of ``cols``; best rank first, key breaking ties.
+
+    The rank is the database's frequency form: the j-th occurrence of a term adds ``weight`` / j^2, scaled to at most
+    ``weight``, averaged over the query's terms.  ``normalization`` 1 divides it by 1 + ln(length), 2 by the length
+    in terms (the database's flags of these numbers).  Only the query's terms reach the shuffle."""
+    if normalization not in (0, 1, 2):
+        raise ValueError("normalization is 0, 1 or 2")
     text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in cols])
-    q = english(F.lit(term))
-    toks = english(text)
-    matched = df.withColumn("_toks", toks).filter(
-        (F.size(q) > 0) & F.forall(q, lambda t: F.array_contains(F.col("_toks"), t)))
-    ranked = matched.withColumn("rank", F.size(F.filter("_toks", lambda t: F.array_contains(q, t))).cast("double"))
-    return page(ranked.drop("_toks"), [("rank", "desc"), key], limit)
+    source = IX.DocumentIndex(df.select(F.col(key).alias("id"), text.alias("text")), [IX.text_field("text", analyzer)])
+    terms = IX.query_terms(source, term, {"text": weight})
+    wanted = terms.select(F.count(F.lit(1))).scalar()
+    weights = F.aggregate(F.sequence(F.lit(1).cast("bigint"), F.col("tf")), F.lit(0.0), lambda a, j: a + F.lit(1.0) / (j * j))
+    length = {0: F.lit(1.0), 1: F.lit(1.0) + F.log(F.first("dl").cast("double")), 2: F.first("dl").cast("double")}[normalization]
+    ranked = source.lookup(terms).postings.groupBy("id").agg(
+        F.count(F.lit(1)).alias("_found"), (F.sum(F.lit(weight) * weights / F.lit(RANK_SCALE)) / F.count(F.lit(1)) / length).alias("rank"))
+    ranked = ranked.where(F.col("_found") == wanted).withColumn("rank", F.round("rank", 9))
+    best = ranked.orderBy(F.desc("rank"), F.asc("id")).limit(limit).select(F.col("id").alias("_id"), "rank")
+    # At most ``limit`` rows.
+    return df.join(F.broadcast(best), df[key] == best["_id"]).drop("_id").orderBy(F.desc("rank"), F.asc(key))
 
 
 # ------------------------------------------------------------------------------------ R12 - R17

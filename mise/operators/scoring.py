@@ -15,15 +15,13 @@ b = 0.75, idf = ln(1 + (N - df + 0.5) / (df + 0.5)), no (k1 + 1) factor) with ex
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
-from ..functions.analysis import english, minimal_stem, tokens_col
-
-Analyzer = Callable[[Column], Column]
+from ..functions.analysis import Analyzer, english, stem_of, unstemmed
 
 
 def query_terms(spark: SparkSession, text: str, analyzer: Analyzer = english) -> DataFrame:
@@ -41,12 +39,6 @@ def field_tokens(docs: DataFrame, fields: Mapping[str, Analyzer], key: Sequence[
     return out.withColumn("dl", F.size("tokens"))
 
 
-def _unstemmed(an: Analyzer) -> Analyzer:
-    if getattr(an, "stem", False):
-        return lambda c: tokens_col(c, an.stopwords, stem=False)
-    return an
-
-
 def build_postings(docs: DataFrame, fields: Mapping[str, Analyzer], key: Sequence[str] = ("id",),
                    terms: DataFrame | None = None) -> DataFrame:
     """(field, key..., term, tf, dl).
@@ -57,10 +49,10 @@ def build_postings(docs: DataFrame, fields: Mapping[str, Analyzer], key: Sequenc
     """
     parts = []
     for f, an in fields.items():
-        t = docs.select(F.lit(f).alias("field"), *key, _unstemmed(an)(F.col(f)).alias("tokens"))
+        t = docs.select(F.lit(f).alias("field"), *key, unstemmed(an)(F.col(f)).alias("tokens"))
         t = t.select("field", *key, F.size("tokens").alias("dl"), F.explode("tokens").alias("term"))
-        if getattr(an, "stem", False):
-            t = t.withColumn("term", minimal_stem(F.col("term")))
+        if stem_of(an) is not None:
+            t = t.withColumn("term", stem_of(an)(F.col("term")))
         parts.append(t)
     tok = parts[0]
     for p in parts[1:]:
@@ -75,7 +67,7 @@ def field_lengths(docs: DataFrame, fields: Mapping[str, Analyzer], key: Sequence
     """(field, key..., dl) per document (stemming does not change lengths, so it is skipped).
     Documents with an empty field keep dl = 0; statistics count only dl > 0, inside the
     aggregate, so the analyser is not pushed into a filter and evaluated twice."""
-    return field_tokens(docs, {f: _unstemmed(a) for f, a in fields.items()}, key).drop("tokens")
+    return field_tokens(docs, {f: unstemmed(a) for f, a in fields.items()}, key).drop("tokens")
 
 
 def field_stats(lengths: DataFrame, field: str) -> tuple[Column, Column]:

@@ -15,11 +15,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.analysis import english, ingredient_analyzer
+from ..functions.analysis import Analyzer, english, ingredient_analyzer, token_spans
+from ..functions.text import let
+from ..session import cut_lineage
+from . import fuzzy as FZ
+from . import index as IX
 from .relational import _order, page
-from .scoring import (Analyzer, bm25, build_postings, field_lengths, field_stats, query_terms, read_lengths,
-                      read_postings)
-
+from .scoring import bm25, query_terms, read_lengths, read_postings
 
 
 # ----------------------------------------------------------------------------------- helpers
@@ -45,35 +47,30 @@ def match_all(df: DataFrame, from_: int = 0, size: int = 10, order: Sequence = (
 
 
 # ------------------------------------------------------------------------------ S5 - S7, S33
-def _postings_and_lengths(docs: DataFrame, field: str, analyzer: Analyzer, terms: DataFrame,
-                          index: str | None):
-    """From a persisted index (only the buckets of the query terms are read) or, without one,
-    built from ``docs`` with the query terms filtered before the shuffle."""
-    if index is not None:
-        spark = docs.sparkSession
-        return read_postings(spark, index, terms, field), read_lengths(spark, index)
-    fields = {field: analyzer}
-    return build_postings(docs, fields, terms=terms), field_lengths(docs, fields)
+def _index_of(docs: DataFrame, fields: Mapping[str, float], analyzers: Mapping[str, Analyzer] | None,
+              index: str | IX.Index | None) -> IX.Index | str:
+    """What answers a query's questions: the index given, else the documents themselves, read once."""
+    return IX.DocumentIndex(docs, IX.document_fields(fields, analyzers)) if index is None else index
 
 
 def match(docs: DataFrame, field: str, text: str, analyzer: Analyzer = english, k: int = 10,
-          index: str | None = None) -> DataFrame:
-    """BM25 on one field, any term; top ``k`` documents with ``score``.  ``index`` is the
-    path of a persisted index (:func:`mise.operators.scoring.write_postings`)."""
-    terms = query_terms(docs.sparkSession, text, analyzer)
-    post, lens = _postings_and_lengths(docs, field, analyzer, terms, index)
-    return _attach(docs, bm25(post, lens, terms, field), k)
+          index: str | IX.Index | None = None) -> DataFrame:
+    """BM25 on one field, any term; top ``k`` documents with ``score``.  ``index`` is an index of
+    :mod:`mise.operators.index`, or the path of one written by :func:`mise.operators.scoring.write_postings`."""
+    scores = field_scores(docs, text, {field: 1.0}, {field: analyzer}, index)
+    return _attach(docs, scores.select("id", "score"), k)
 
 
 def field_scores(docs: DataFrame, text: str, fields: Mapping[str, float],
-                 analyzers: Mapping[str, Analyzer] | None = None, index: str | None = None) -> DataFrame:
-    """(id, field, score) for every field with a boost."""
-    analyzers = {f: (analyzers or {}).get(f, english) for f in fields}
-    out = None
+                 analyzers: Mapping[str, Analyzer] | None = None, index: str | IX.Index | None = None) -> DataFrame:
+    """(id, field, score) for every field with a boost, in one job."""
+    index = _index_of(docs, fields, analyzers, index)
+    if not isinstance(index, str):
+        return IX.field_scores(index, text, fields)
+    out, spark = None, docs.sparkSession
     for f, boost in fields.items():
-        terms = query_terms(docs.sparkSession, text, analyzers[f])
-        post, lens = _postings_and_lengths(docs, f, analyzers[f], terms, index)
-        s = bm25(post, lens, terms, f, boost=boost).withColumn("field", F.lit(f))
+        terms = query_terms(spark, text, (analyzers or {}).get(f, english))
+        s = bm25(read_postings(spark, index, terms, f), read_lengths(spark, index), terms, f, boost=boost).withColumn("field", F.lit(f))
         out = s if out is None else out.unionByName(s)
     return out
 
@@ -85,13 +82,15 @@ def combine_fields(scores: DataFrame, tie_breaker: float = 0.0) -> DataFrame:
 
 
 def multi_match(docs: DataFrame, text: str, fields: Mapping[str, float], tie_breaker: float = 0.0,
-                analyzers: Mapping[str, Analyzer] | None = None, k: int = 10, index: str | None = None) -> DataFrame:
-    """``{'title': 2, 'description': 1}`` boosts; best field plus tie breaker."""
+                analyzers: Mapping[str, Analyzer] | None = None, k: int = 10,
+                index: str | IX.Index | None = None) -> DataFrame:
+    """``{'title': 2, 'description': 1}`` boosts; best field plus tie breaker.  With an index the fields may be
+    of any kind it has: ``{'title': 5, 'cuisine_type': 3, 'ingredients.name': 1}``."""
     return _attach(docs, combine_fields(field_scores(docs, text, fields, analyzers, index), tie_breaker), k)
 
 
 def search(docs: DataFrame, text: str, filters: Mapping[str, object] | None = None, size: int = 20,
-           fields: Mapping[str, float] | None = None, index: str | None = None) -> DataFrame:
+           fields: Mapping[str, float] | None = None, index: str | IX.Index | None = None) -> DataFrame:
     """Multi-match (title^2, description by default) with exact-value filters, e.g.
     ``{'cuisine_type': 'Italian', 'difficulty': 'easy'}``; filters do not score."""
     fields = fields or {"title": 2.0, "description": 1.0}
@@ -178,15 +177,11 @@ def min_score(df: DataFrame, s: float, score: str = "score") -> DataFrame:
 
 # ------------------------------------------------------------------------------ S11, S22, S23
 def nested_scores(docs: DataFrame, text: str, score_mode: str = "sum", analyzer: Analyzer = ingredient_analyzer,
-                  path: str = "ingredients", field: str = "name") -> DataFrame:
+                  path: str = "ingredients", field: str = "name", index: IX.Index | None = None) -> DataFrame:
     """(id, score): BM25 of ``text`` on each nested entry, combined per document (sum/max/avg)."""
-    nested = docs.select("id", F.posexplode(path).alias("pos", "_e")).select("id", "pos", F.col("_e")[field].alias(field))
-    fields = {field: analyzer}
-    key = ("id", "pos")
-    terms = query_terms(docs.sparkSession, text, analyzer)
-    s = bm25(build_postings(nested, fields, key, terms), field_lengths(nested, fields, key), terms, field, key)
-    agg = {"sum": F.sum, "max": F.max, "avg": F.avg}[score_mode]
-    return s.groupBy("id").agg(agg("score").alias("score"))
+    nested = IX.nested_field(path, field, analyzer)
+    source = index if index is not None else IX.DocumentIndex(docs, [nested])
+    return IX.field_scores(source, text, {nested.name: 1.0}, score_mode).select("id", "score")
 
 
 def nested_scores_flat(mentions: DataFrame, text: str, score_mode: str = "sum",
@@ -199,7 +194,8 @@ def nested_scores_flat(mentions: DataFrame, text: str, score_mode: str = "sum",
     joined back to the mentions (AQE broadcasts the scored names when small and splits a hot
     name otherwise)."""
     terms = query_terms(mentions.sparkSession, text, analyzer)
-    names = mentions.groupBy("name").agg(F.count(F.lit(1)).alias("cnt"))
+    # Counted once, and read by four branches.
+    names = cut_lineage(mentions.groupBy("name").agg(F.count(F.lit(1)).alias("cnt")))
     toks = names.select("name", "cnt", analyzer(F.col("name")).alias("tokens")).withColumn("dl", F.size("tokens"))
     st = toks.agg(F.sum(F.when(F.col("dl") > 0, F.col("cnt"))).cast("double").alias("n"),
                   (F.sum(F.col("cnt") * F.col("dl")) / F.sum(F.when(F.col("dl") > 0, F.col("cnt")))).alias("a"))
@@ -218,17 +214,19 @@ def nested_scores_flat(mentions: DataFrame, text: str, score_mode: str = "sum",
 
 
 def nested_match(docs: DataFrame, text: str, score_mode: str = "sum", k: int = 10,
-                 analyzer: Analyzer = ingredient_analyzer, flat: DataFrame | None = None) -> DataFrame:
+                 analyzer: Analyzer = ingredient_analyzer, flat: DataFrame | None = None,
+                 index: IX.Index | None = None) -> DataFrame:
     """Documents with an ingredient matching any analysed term, scored by nested BM25
-    (from flat (id, name) mentions when ``flat`` is given)."""
+    (from flat (id, name) mentions when ``flat`` is given, from an index when ``index`` is)."""
     scores = (nested_scores_flat(flat, text, score_mode, analyzer) if flat is not None
-              else nested_scores(docs, text, score_mode, analyzer))
+              else nested_scores(docs, text, score_mode, analyzer, index=index))
     return _attach(docs, scores, k)
 
 
-def any_of_ingredients(docs: DataFrame, terms: Sequence[str], k: int = 10, flat: DataFrame | None = None) -> DataFrame:
+def any_of_ingredients(docs: DataFrame, terms: Sequence[str], k: int = 10, flat: DataFrame | None = None,
+                       index: IX.Index | None = None) -> DataFrame:
     """At least one of the terms, nested scores summed."""
-    return nested_match(docs, " ".join(terms), "sum", k, flat=flat)
+    return nested_match(docs, " ".join(terms), "sum", k, flat=flat, index=index)
 
 
 def nested_match_pred(text: str, analyzer: Analyzer = ingredient_analyzer, path: str = "ingredients") -> Column:
@@ -375,100 +373,55 @@ def discover(docs: DataFrame, ingredients: Sequence[str], cuisines: Sequence[str
 
 
 # ---------------------------------------------------------------------------------- S26
-def more_like(docs: DataFrame, seed_id, field: str = "title", max_terms: int = 12, min_term_freq: int = 1,
-              min_doc_freq: int = 5, k: int = 10, analyzer: Analyzer = english) -> DataFrame:
-    """The seed's ``max_terms`` best terms by tf-idf (classic idf), then BM25, seed excluded.
+def more_like(docs: DataFrame, seed_id, field: str | Sequence[str] = "title", max_terms: int = 12, min_term_freq: int = 1,
+              min_doc_freq: int = 5, k: int = 10, analyzer: Analyzer = english, index: IX.Index | None = None) -> DataFrame:
+    """The seed's ``max_terms`` best terms of one or several fields by tf-idf (classic idf of the term
+    in its field), then BM25 summed over them, seed excluded.
 
-    The seed document is analysed first; corpus postings are then built for the seed's terms
+    The seed document is analysed first; corpus postings are then read for the seed's terms
     only (filtered before the shuffle), so the cost does not grow with the vocabulary."""
-    fields = {field: analyzer}
-    seed_post = build_postings(docs.filter(F.col("id") == F.lit(seed_id)), fields)
-    seed_terms = seed_post.select("term")          # one document's vocabulary
-    post = build_postings(docs, fields, terms=seed_terms)
-    lens = field_lengths(docs, fields)
-    n_docs, _ = field_stats(lens, field)
-    seed = seed_post.filter(F.col("tf") >= min_term_freq).select("term", "tf")
-    dfs = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    ranked = (seed.join(dfs, "term").filter(F.col("df") >= min_doc_freq)
-                  .withColumn("tfidf", F.col("tf") * (F.lit(1.0) + F.log(n_docs / (F.col("df") + 1))))
-                  .orderBy(F.desc("tfidf"), F.asc("term")).limit(max_terms)
-                  .select("term", F.lit(1).cast("bigint").alias("qtf")))
-    s = bm25(post, lens, ranked, field).filter(F.col("id") != F.lit(seed_id))
-    return _attach(docs, s, k)
+    names = [field] if isinstance(field, str) else list(field)
+    source = index if index is not None else IX.DocumentIndex(docs, [IX.text_field(f, analyzer) for f in names])
+    # One document's vocabulary.
+    own = source.document_terms(seed_id).where(F.col("field").isin(names))
+    own = own.select("field", "term", "tf", F.lit(1.0).alias("boost"), F.lit(1).cast("bigint").alias("qtf"))
+    found = source.lookup(own)
+    best = (IX.figures_of(own, found).where((F.col("tf") >= min_term_freq) & (F.col("df") >= min_doc_freq))
+              .withColumn("tfidf", F.col("tf") * (F.lit(1.0) + F.log(F.col("n") / (F.col("df") + 1))))
+              .orderBy(F.desc("tfidf"), F.asc("term"), F.asc("field")).limit(max_terms).drop("tf", "tfidf"))
+    scores = IX.scored(source, found.postings, best).groupBy("id").agg(F.sum("score").alias("score"))
+    return _attach(docs, scores.where(F.col("id") != F.lit(seed_id)), k)
 
 
 # ---------------------------------------------------------------------------------- S27
-def auto_fuzziness(term_col: Column) -> Column:
-    """AUTO edit distance: 0 for 1-2 characters, 1 for 3-5, 2 above."""
-    n = F.length(term_col)
-    return F.when(n <= 2, 0).when(n <= 5, 1).otherwise(2)
-
-
-def _swapped(t: Column) -> Column:
-    """All texts with one pair of neighbouring characters swapped."""
-    return F.when(F.length(t) > 1, F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.concat(
-        t.substr(F.lit(1), i - 1), t.substr(i + 1, F.lit(1)), t.substr(i, F.lit(1)), t.substr(i + 2, F.length(t))))
-    ).otherwise(F.array().cast("array<string>"))
-
-
-def _deleted(t: Column) -> Column:
-    """All texts with one character left out."""
-    return F.transform(F.sequence(F.lit(1), F.length(t)), lambda i: F.concat(t.substr(F.lit(1), i - 1), t.substr(i + 1, F.length(t))))
-
-
-def fuzzy_expansions(docs: DataFrame, text: str, field: str, prefix_length: int = 2,
-                     analyzer: Analyzer = english, transpositions: bool = True) -> DataFrame:
-    """(qterm, term, distance): vocabulary terms within AUTO distance sharing the first
-    ``prefix_length`` characters.  The prefix is an equi-join key, so no term pairs outside a
-    prefix group are ever compared.
-
-    With ``transpositions`` a swap of neighbours is one edit (as in the search engine; characters
-    between the two may be edited as well, so "ca" is 2 from "abc").  The swaps are made on the
-    query's side before the join: a term is within d of the query if ``levenshtein`` puts it within
-    d - 1 of the query with one swap, or if it equals the query after two swaps or a deletion and a swap."""
-    vocab = (docs.select(F.explode(analyzer(F.col(field))).alias("term")).distinct()
-                 .withColumn("_p", F.substring("term", 1, prefix_length)))
-    q = query_terms(docs.sparkSession, text, analyzer).select(F.col("term").alias("qterm"))
-    q = q.withColumn("_p", F.substring("qterm", 1, prefix_length)).withColumn("_limit", auto_fuzziness(F.col("qterm")))
-    # Variants of the query's own terms: their number grows with the query, not with the data.
-    near = q.withColumn("_v", F.col("qterm")).withColumn("_cost", F.lit(0))
-    if transpositions:
-        one = q.where("_limit >= 1").withColumn("_v", F.explode(_swapped(F.col("qterm")))).withColumn("_cost", F.lit(1))
-        two = q.where("_limit = 2").withColumn("_v", F.explode(F.flatten(F.transform(
-            F.concat(_swapped(F.col("qterm")), _deleted(F.col("qterm"))), _swapped))))
-        near = near.unionByName(one)
-    pairs = (vocab.join(F.broadcast(near), "_p").where(F.abs(F.length("term") - F.length("qterm")) <= 2)
-                  .withColumn("distance", F.levenshtein("term", "_v") + F.col("_cost")).where("distance <= _limit")
-                  .select("qterm", "term", "distance"))
-    if transpositions:
-        equal = vocab.withColumnRenamed("term", "_v").join(F.broadcast(two.distinct()), ["_p", "_v"])
-        pairs = pairs.unionByName(equal.select("qterm", F.col("_v").alias("term"), F.lit(2).alias("distance")))
-    return pairs.groupBy("qterm", "term").agg(F.min("distance").alias("distance"))
+def fuzzy_expansions(docs: DataFrame, text: str, field: str, prefix_length: int = 2, analyzer: Analyzer = english,
+                     transpositions: bool = True) -> DataFrame:
+    """(qterm, term, distance): the field's terms within AUTO distance of a query's, sharing ``prefix_length`` characters."""
+    source = IX.DocumentIndex(docs, [IX.text_field(field, analyzer)])
+    query = IX.query_terms(source, text, {field: 1.0})
+    vocab = source.lookup_fuzzy(query, prefix_length)[1].frequencies.select("field", "term")
+    return FZ.fuzzy_expansions(vocab, query, prefix_length, transpositions).select("qterm", "term", "distance")
 
 
 def fuzzy_match(docs: DataFrame, text: str, fields: Mapping[str, float], prefix_length: int = 2, k: int = 10,
-                analyzer: Analyzer = english) -> DataFrame:
+                analyzer: Analyzer = english, index: IX.Index | None = None) -> DataFrame:
     """Each query term is replaced by its fuzzy expansions; a document's score for a query
     term is its best expansion's BM25; fields combine best-field-wins with boosts."""
-    return _attach(docs, fuzzy_scores(docs, text, fields, prefix_length, analyzer), k)
+    return _attach(docs, fuzzy_scores(docs, text, fields, prefix_length, analyzer, index), k)
 
 
 def fuzzy_scores(docs: DataFrame, text: str, fields: Mapping[str, float], prefix_length: int = 2,
-                 analyzer: Analyzer = english) -> DataFrame:
-    """(id, score) of :func:`fuzzy_match` before the top-k."""
-    out = None
-    for f, boost in fields.items():
-        exp = fuzzy_expansions(docs, text, f, prefix_length, analyzer)
-        fl = {f: analyzer}
-        terms = exp.select("term").distinct().withColumn("qtf", F.lit(1).cast("bigint"))
-        per_term = bm25(build_postings(docs, fl, terms=terms), field_lengths(docs, fl), terms, f, boost=boost,
-                        per_term=True)
-        # Expansions grow with the vocabulary: no broadcast is asked for.
-        s = (per_term.join(exp.select("term", "qterm"), "term")
-                     .groupBy("id", "qterm").agg(F.max("score").alias("score"))
-                     .groupBy("id").agg(F.sum("score").alias("score")))
-        out = s if out is None else out.unionByName(s)
-    return out.groupBy("id").agg(F.max("score").alias("score"))
+                 analyzer: Analyzer = english, index: IX.Index | None = None) -> DataFrame:
+    """(id, score) of :func:`fuzzy_match` before the top-k, all fields in one job."""
+    source = index if index is not None else IX.DocumentIndex(docs, [IX.text_field(f, analyzer) for f in fields])
+    query = IX.query_terms(source, text, fields)
+    expansions, found = source.lookup_fuzzy(query, prefix_length)
+    # Expansions grow with the vocabulary: no broadcast is asked for.
+    terms = expansions.select("field", "term", "boost").distinct().withColumn("qtf", F.lit(1).cast("bigint"))
+    per_term = IX.scored(source, found.postings, IX.figures_of(terms, found), small=False)
+    best = (per_term.join(expansions.select("field", "term", "qterm"), ["field", "term"])
+                    .groupBy("id", "field", "qterm").agg(F.max("score").alias("score")))
+    return best.groupBy("id", "field").agg(F.sum("score").alias("score")).groupBy("id").agg(F.max("score").alias("score"))
 
 
 # ------------------------------------------------------------------------------ S28 - S32
@@ -507,6 +460,33 @@ def highlight(df: DataFrame, cols: Sequence[str], terms: Sequence[str], pre: str
     return df
 
 
+def highlight_match_col(c: Column, terms: Sequence[str], analyzer: Analyzer = english, pre: str = "<em>", post: str = "</em>") -> Column:
+    """The text with every word marked whose analysed term is one of ``terms``: "cookies" marks "Cookie"."""
+    def marked(text: Column, spans: Column) -> Column:
+        hits = F.filter(spans, lambda x: x["term"].isin(list(terms)))
+
+        def of(xs: Column) -> Column:
+            def end_before(i: Column) -> Column:
+                return F.when(i > 0, xs[F.greatest(i - 1, F.lit(0))]["end"]).otherwise(0)
+
+            parts = F.transform(xs, lambda x, i: F.concat(text.substr(end_before(i) + 1, x["start"] - end_before(i)), F.lit(pre),
+                                                          text.substr(x["start"] + 1, x["end"] - x["start"]), F.lit(post)))
+            return F.concat(F.array_join(parts, ""), text.substr(F.element_at(xs, -1)["end"] + 1, F.length(text)))
+
+        return let(hits, lambda xs: F.when(F.size(xs) == 0, text).otherwise(of(xs)))
+
+    return F.when(c.isNotNull(), marked(c, token_spans(c, analyzer)))
+
+
+def highlight_match(df: DataFrame, cols: Sequence[str], text: str, analyzer: Analyzer = english, pre: str = "<em>",
+                    post: str = "</em>") -> DataFrame:
+    """Adds ``<col>_highlight`` with the words that match the query ``text`` as the analyser sees them
+    (a plural marks its singular, stop words are never marked)."""
+    # The query's own terms.
+    terms = [r["term"] for r in query_terms(df.sparkSession, text, analyzer).collect()]
+    return df.withColumns({f"{c}_highlight": highlight_match_col(F.col(c), terms, analyzer, pre, post) for c in cols})
+
+
 def with_post_filter(df: DataFrame, aggs: Callable[[DataFrame], DataFrame], pred: Column) -> tuple[DataFrame, DataFrame]:
     """Aggregations see every hit; the returned hits are filtered afterwards."""
     return df.filter(pred), aggs(df)
@@ -525,13 +505,19 @@ def suggest(df: DataFrame, prefix: str, n: int = 5, field: str = "title") -> Dat
 
 
 def any_field(docs: DataFrame, text: str, text_fields: Sequence[str] = ("title", "description"),
-              keyword_fields: Sequence[str] = ("cuisine_type", "difficulty", "meal_type"), k: int = 10) -> DataFrame:
-    """A word in any field: BM25 on text fields, exact equality (score 1) on keyword fields."""
-    s = field_scores(docs, text, {f: 1.0 for f in text_fields}).select("id", "score")
-    words = [w for w in re.split(r"\s+", text.strip()) if w]
-    kw = None
-    for f in keyword_fields:
-        hit = docs.filter(F.col(f).isin(words)).select("id", F.lit(1.0).alias("score"))
-        kw = hit if kw is None else kw.unionByName(hit)
-    allsc = s.unionByName(kw) if kw is not None else s
+              keyword_fields: Sequence[str] = ("cuisine_type", "difficulty", "meal_type"), k: int = 10,
+              index: IX.Index | None = None) -> DataFrame:
+    """A word in any field: BM25 on text fields, exact equality (score 1) on keyword fields.  An index answers for
+    both: its postings of the exact fields say which documents hold one of the words."""
+    words = sorted({w for w in re.split(r"\s+", text.strip()) if w})
+    allsc = field_scores(docs, text, {f: 1.0 for f in text_fields}, index=index).select("id", "score")
+    if keyword_fields and words and index is None:
+        hit = None
+        for f in keyword_fields:
+            hit = F.col(f).isin(words) if hit is None else hit | F.col(f).isin(words)
+        allsc = allsc.unionByName(docs.where(hit).select("id", F.lit(1.0).alias("score")))
+    elif keyword_fields and words:
+        pairs = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.lit(w).alias("term")) for f in keyword_fields for w in words]))
+        terms = index.spark.range(1).select(pairs.alias("p")).select("p.*")
+        allsc = allsc.unionByName(index.lookup(terms).postings.select("id", F.lit(1.0).alias("score")))
     return _attach(docs, allsc.groupBy("id").agg(F.max("score").alias("score")), k)

@@ -3,13 +3,20 @@ the star-table documents.  The SQL side spells out the analyser and BM25 in Duck
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
-from ..functions.analysis import english
+from ..functions import stemming as ST
+from ..functions.analysis import english, tokens_col
+from ..functions.stemming import porter2_rows
 from ..operators import aggregates as G
+from ..operators import index as IX
 from ..operators import scoring as SC
 from ..operators import search as S
+from ..operators.relational import RANK_SCALE, text_search
+from ..session import ensure_checkpoint_dir
 from . import bindings as B
 from .catalog import MENTIONS_CTE, DISHES_CTE, register, with_ctes
 
@@ -288,40 +295,179 @@ def project_dishes(spark, d):
 
 
 # ---------------------------------------------------------------------------- S26 - S35
-@register("more_like_document", with_ctes(TDOCS_CTE, f"""
-tok AS (SELECT id, {sql_tokens('description')} AS toks FROM tdocs),
-post AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(toks) AS term FROM tok) GROUP BY id, term),
-nd AS (SELECT count(*) AS n FROM tok WHERE len(toks) > 0),
-dfs AS (SELECT term, count(*) AS df FROM post GROUP BY term),
-seed AS (SELECT p.term, 1 AS qtf FROM post p JOIN dfs d ON p.term = d.term CROSS JOIN nd
-         WHERE p.id = 0 AND p.tf >= 1 AND d.df >= 5
-         ORDER BY p.tf * (1 + ln(nd.n / (d.df + 1))) DESC, p.term LIMIT 12)""",
-          *sql_bm25("ml", "tdocs", "description", None, terms_cte="seed")) + """
-SELECT id, round(score, 6) AS score FROM ml_sc WHERE id <> 0 ORDER BY score DESC, id LIMIT 10""")
+def _like_sql(fields: list[str], k: int = 10) -> str:
+    """More like document 0: the best 12 (field, term) pairs, then BM25 of each summed."""
+    ctes = [TDOCS_CTE]
+    for i, f in enumerate(fields):
+        ctes += [f"tok{i} AS (SELECT id, {sql_tokens(f)} AS toks FROM tdocs)",
+                 f"post{i} AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(toks) AS term FROM tok{i}) GROUP BY id, term)",
+                 f"st{i} AS (SELECT count(*) AS n, avg(len(toks)) AS avgdl FROM tok{i} WHERE len(toks) > 0)",
+                 f"dfs{i} AS (SELECT term, count(*) AS df FROM post{i} GROUP BY term)"]
+    ctes.append("seed AS (SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT {i} AS field, p.term, d.df, s.n, s.avgdl, p.tf * (1 + ln(s.n / (d.df + 1))) AS w FROM post{i} p JOIN dfs{i} d ON p.term = d.term "
+        f"CROSS JOIN st{i} s WHERE p.id = 0 AND p.tf >= 1 AND d.df >= 5" for i in range(len(fields)))
+        + f") ORDER BY w DESC, term, CASE field {' '.join(f'WHEN {i} THEN {chr(39)}{f}{chr(39)}' for i, f in enumerate(fields))} END LIMIT 12)")
+    ctes.append("sc AS (SELECT id, sum(score) AS score FROM (" + " UNION ALL ".join(
+        f"SELECT p.id, ln(1 + (q.n - q.df + 0.5) / (q.df + 0.5)) * (p.tf / (p.tf + 1.2 * (0.25 + 0.75 * len(t.toks) / q.avgdl))) AS score "
+        f"FROM post{i} p JOIN seed q ON q.field = {i} AND p.term = q.term JOIN tok{i} t ON p.id = t.id" for i in range(len(fields)))
+        + ") WHERE id <> 0 GROUP BY id)")
+    return with_ctes(*ctes) + "\n" + _TOP10.format(sc="sc", k=k)
+
+
+@register("more_like_document", _like_sql(["title", "description"]))
 def more_like_document(spark, d):
+    return _scores(S.more_like(B.text_documents(spark, d), 0, ["title", "description"], 12, 1, 5, k=10))
+
+
+@register("more_like_description", _like_sql(["description"]))
+def more_like_description(spark, d):
     return _scores(S.more_like(B.text_documents(spark, d), 0, "description", 12, 1, 5, k=10))
 
 
-@register("fuzzy_documents", with_ctes(TDOCS_CTE, f"""
-vocab AS (SELECT DISTINCT unnest({sql_tokens('title')}) AS term FROM tdocs),
-q AS (SELECT DISTINCT unnest({sql_tokens(sql_lit('dier unnd lees'))}) AS qterm),
-exp AS (SELECT q.qterm, v.term FROM vocab v JOIN q ON substr(v.term, 1, 2) = substr(q.qterm, 1, 2)
+def _fuzzy_sql(text: str, fields: dict[str, float], k: int = 10) -> str:
+    ctes = [TDOCS_CTE, f"q AS (SELECT DISTINCT unnest({sql_tokens(sql_lit(text))}) AS qterm)"]
+    for i, (f, boost) in enumerate(fields.items()):
+        ctes += [f"vocab{i} AS (SELECT DISTINCT unnest({sql_tokens(f)}) AS term FROM tdocs)", f"""
+exp{i} AS (SELECT q.qterm, v.term FROM vocab{i} v JOIN q ON substr(v.term, 1, 2) = substr(q.qterm, 1, 2)
         WHERE damerau_levenshtein(v.term, q.qterm) <= CASE WHEN length(q.qterm) <= 2 THEN 0
                                                    WHEN length(q.qterm) <= 5 THEN 1 ELSE 2 END
           AND abs(length(v.term) - length(q.qterm)) <= 2),
-eterms AS (SELECT DISTINCT term, 1 AS qtf FROM exp)""",
-          *sql_bm25("fz", "tdocs", "title", None, terms_cte="eterms"),
-          """
-fz_pt AS (SELECT p.id, p.term, sum(q.qtf * ln(1 + (s.n - d.df + 0.5) / (d.df + 0.5)) *
-                 (p.tf / (p.tf + 1.2 * (0.25 + 0.75 * l.dl / s.avgdl))) * 3.0) AS score
-          FROM fz_post p JOIN eterms q ON p.term = q.term JOIN fz_df d ON p.term = d.term
-          JOIN fz_len l ON p.id = l.id CROSS JOIN fz_st s GROUP BY p.id, p.term),
-per_q AS (SELECT t.id, e.qterm, max(t.score) AS score FROM fz_pt t JOIN exp e ON t.term = e.term
-          GROUP BY t.id, e.qterm),
-tot AS (SELECT id, sum(score) AS score FROM per_q GROUP BY id)""") + """
-SELECT id, round(score, 6) AS score FROM tot ORDER BY score DESC, id LIMIT 10""")
+eterms{i} AS (SELECT DISTINCT term, 1 AS qtf FROM exp{i})""", *sql_bm25(f"fz{i}", "tdocs", f, None, terms_cte=f"eterms{i}"), f"""
+fz{i}_pt AS (SELECT p.id, p.term, sum(q.qtf * ln(1 + (s.n - d.df + 0.5) / (d.df + 0.5)) *
+                 (p.tf / (p.tf + 1.2 * (0.25 + 0.75 * l.dl / s.avgdl))) * {boost}) AS score
+          FROM fz{i}_post p JOIN eterms{i} q ON p.term = q.term JOIN fz{i}_df d ON p.term = d.term
+          JOIN fz{i}_len l ON p.id = l.id CROSS JOIN fz{i}_st s GROUP BY p.id, p.term),
+per_q{i} AS (SELECT t.id, e.qterm, max(t.score) AS score FROM fz{i}_pt t JOIN exp{i} e ON t.term = e.term GROUP BY t.id, e.qterm),
+tot{i} AS (SELECT id, sum(score) AS score FROM per_q{i} GROUP BY id)"""]
+    ctes.append("tot AS (SELECT id, max(score) AS score FROM (" + " UNION ALL ".join(
+        f"SELECT * FROM tot{i}" for i in range(len(fields))) + ") GROUP BY id)")
+    return with_ctes(*ctes) + "\n" + _TOP10.format(sc="tot", k=k)
+
+
+_FUZZY = {"title": 3.0, "description": 1.0}
+
+
+@register("fuzzy_documents", _fuzzy_sql("dier unnd lees", _FUZZY))
 def fuzzy_documents(spark, d):
-    return _scores(S.fuzzy_match(B.text_documents(spark, d), "dier unnd lees", {"title": 3.0}, 2, k=10))
+    return _scores(S.fuzzy_match(B.text_documents(spark, d), "dier unnd lees", _FUZZY, 2, k=10))
+
+
+# -------------------------------------------------------- S2, S6, S26, S27, S30, S35 over several fields
+DISH_FIELDS = (IX.text_field("title"), IX.text_field("description"), IX.keyword_field("cuisine_type"), IX.nested_field("ingredients", "name"),
+               IX.nested_field("ingredients", "name", None, "ingredients.name.keyword"))
+TEXT_FIELDS = (IX.text_field("title"), IX.text_field("description"), IX.keyword_field("lang"), IX.keyword_field("source"))
+
+
+#: The stored indexes of this session by application and input: several queries read one.
+_STORED: dict[tuple, str] = {}
+
+
+def _stored(spark, d, name: str, docs, fields, column: str, first) -> IX.StoredIndex:
+    """An index of all documents in two batches, as they would come: those with one value of a column, and the others."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key in _STORED:
+        return IX.StoredIndex(spark, _STORED[key], fields)
+    path = f"{ensure_checkpoint_dir(spark)}/index-{uuid.uuid4().hex}"
+    index = IX.create_index(spark, path, fields, buckets=8)
+    index.add(docs.where(F.col(column).eqNullSafe(first)), "first")
+    index.add(docs.where(~F.col(column).eqNullSafe(first)), "others")
+    _STORED[key] = path
+    return index
+
+
+def stored_dishes(spark, d) -> IX.StoredIndex:
+    return _stored(spark, d, "dishes", B.documents(spark, d), DISH_FIELDS, "difficulty", "F")
+
+
+def stored_documents(spark, d) -> IX.StoredIndex:
+    return _stored(spark, d, "documents", B.text_documents(spark, d), TEXT_FIELDS, "lang", "en")
+
+
+def sql_exact(p: str, rel: str, column: str, value: str, boost: float) -> list[str]:
+    """CTEs ending in ``{p}_sc(id, score)``: an exact value, without length norm; a document's entries add up."""
+    return [f"{p}_st AS (SELECT count({column}) AS n, count(*) FILTER ({column} = {sql_lit(value)}) AS df FROM {rel})",
+            f"{p}_sc AS (SELECT r.id, sum(ln(1 + (s.n - s.df + 0.5) / (s.df + 0.5)) * (1 / (1 + 1.2)) * {boost}) AS score "
+            f"FROM {rel} r CROSS JOIN {p}_st s WHERE r.{column} = {sql_lit(value)} GROUP BY r.id)"]
+
+
+DISH_BOOSTS = {"title": 5.0, "description": 2.0, "cuisine_type": 3.0, "ingredients.name": 1.0, "ingredients.name.keyword": 2.0}
+
+
+def _dish_fields_sql(text: str, k: int = 10) -> str:
+    """Title, cuisine and ingredient names, analysed and exact; best field and 0.3 of the others (dishes have no description)."""
+    b = DISH_BOOSTS
+    ctes = [DISHES_CTE, MENTIONS_CTE, "ents AS (SELECT row_number() OVER () AS eid, id, name FROM mentions)",
+            *sql_bm25("t", "dishes", "title", text, boost=b["title"]), *sql_exact("c", "dishes", "cuisine_type", text, b["cuisine_type"]),
+            *sql_bm25("n", "ents", "name", text, stem=False, key="eid", boost=b["ingredients.name"]),
+            "nd_sc AS (SELECT e.id, sum(s.score) AS score FROM n_sc s JOIN ents e ON s.id = e.eid GROUP BY e.id)",
+            *sql_exact("x", "mentions", "name", text, b["ingredients.name.keyword"]),
+            "allsc AS (" + " UNION ALL ".join(f"SELECT id, score FROM {n}" for n in ("t_sc", "c_sc", "nd_sc", "x_sc")) + ")",
+            "comb AS (SELECT id, max(score) + 0.3 * (sum(score) - max(score)) AS score FROM allsc GROUP BY id)"]
+    return with_ctes(*ctes) + "\n" + _TOP10.format(sc="comb", k=k)
+
+
+@register("multi_match_all_fields", _dish_fields_sql("2-HIGH"))
+def multi_match_all_fields(spark, d):
+    """Text, exact and nested fields of the documents, in one job."""
+    docs = B.documents(spark, d)
+    return _scores(S.multi_match(docs, "2-HIGH", DISH_BOOSTS, 0.3, index=IX.DocumentIndex(docs, DISH_FIELDS)))
+
+
+@register("stored_multi_match_all_fields", _dish_fields_sql("small gear"))
+def stored_multi_match_all_fields(spark, d):
+    """The same from stored postings and statistics."""
+    return _scores(S.multi_match(B.documents(spark, d), "small gear", DISH_BOOSTS, 0.3, index=stored_dishes(spark, d)))
+
+
+@register("stored_nested_match", _nested_sql("widget hot", 10))
+def stored_nested_match(spark, d):
+    return _scores(S.nested_match(B.dishes(spark, d), "widget hot", "sum", k=10, index=stored_dishes(spark, d)))
+
+
+@register("stored_filtered_search", _mm_sql("les des que", {"title": 2.0, "description": 1.0}, 0.0, 20, "lang = 'fr' AND source = 'src3'"))
+def stored_filtered_search(spark, d):
+    return _scores(S.search(B.text_documents(spark, d), "les des que", {"lang": "fr", "source": "src3"}, size=20,
+                            index=stored_documents(spark, d)))
+
+
+@register("stored_more_like", _like_sql(["title", "description"]))
+def stored_more_like(spark, d):
+    return _scores(S.more_like(B.text_documents(spark, d), 0, ["title", "description"], 12, 1, 5, k=10, index=stored_documents(spark, d)))
+
+
+@register("stored_fuzzy", _fuzzy_sql("dier unnd lees", _FUZZY))
+def stored_fuzzy(spark, d):
+    """Expansions by stored deletion neighbourhoods: no vocabulary is listed."""
+    return _scores(S.fuzzy_match(B.text_documents(spark, d), "dier unnd lees", _FUZZY, 2, k=10, index=stored_documents(spark, d)))
+
+
+@register("stored_term_statistics", with_ctes(TDOCS_CTE) + "\n" + " UNION ALL ".join(f"""
+SELECT '{f}' AS field, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS cf FROM (
+  SELECT id, term, count(*) AS tf FROM (SELECT id, unnest({sql_tokens(f)}) AS term FROM tdocs) GROUP BY id, term) GROUP BY term"""
+                                                                       for f in ("title", "description")))
+def stored_term_statistics(spark, d):
+    """Document frequencies kept batch by batch and added up."""
+    return stored_documents(spark, d).frequencies().where("field IN ('title', 'description')")
+
+
+_MARKED = "ders les Thes of"
+
+
+@register("highlight_matches", with_ctes(TDOCS_CTE, f"""
+runs AS (SELECT id, {sql_tokens(sql_lit(_MARKED))} AS q, title, description, regexp_extract_all(title, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+') AS title_runs,
+                regexp_extract_all(description, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+') AS description_runs FROM tdocs),
+stems AS (SELECT *, list_transform(list_transform(title_runs, lambda r: lower(r)), lambda t: {_STEM}) AS title_stems,
+                 list_transform(list_transform(description_runs, lambda r: lower(r)), lambda t: {_STEM}) AS description_stems FROM runs)""") + """
+SELECT id, """ + ", ".join(f"""md5(CASE WHEN {c} IS NOT NULL THEN array_to_string(list_transform(range(1, len({c}_runs) + 1), lambda i:
+  CASE WHEN list_contains(q, {c}_stems[i]) AND NOT list_contains({_STOP}, lower({c}_runs[i])) THEN '<em>' || {c}_runs[i] || '</em>'
+       ELSE {c}_runs[i] END), '') END) AS {c}_md5, CAST(len(list_filter(range(1, len({c}_runs) + 1), lambda i: list_contains(q, {c}_stems[i]) AND NOT
+       list_contains({_STOP}, lower({c}_runs[i])))) AS INT) AS {c}_marks""" for c in ("title", "description")) + "\nFROM stems")
+def highlight_matches(spark, d):
+    """Words that match a query as analysed, marked in title and description: "ders" marks "Der"."""
+    out = S.highlight_match(B.text_documents(spark, d), ["title", "description"], _MARKED)
+    marks = [F.md5(F.col(f"{c}_highlight")).alias(f"{c}_md5") for c in ("title", "description")]
+    counts = [(F.size(F.split(f"{c}_highlight", "<em>", -1)) - 1).alias(f"{c}_marks") for c in ("title", "description")]
+    return out.select("id", *marks, *[F.when(F.col(f"{c}_highlight").isNotNull(), n).alias(f"{c}_marks") for c, n in zip(("title", "description"), counts)])
 
 
 @register("popular_dishes", with_ctes(DISHES_CTE) + """
@@ -390,15 +536,77 @@ def any_field_search(spark, d):
     return _scores(S.any_field(B.text_documents(spark, d), "fr des", ("title", "description"), ("lang", "source"), 10))
 
 
-_QT = sql_tokens(sql_lit("der und"))
+def sql_porter2(words: str) -> list[str]:
+    """CTEs from ``words(word)`` to ``stems(word, stem)``: the Porter2 steps, one after the other, on distinct words."""
+    vowel, other = ST.VOWEL, ST.OTHER
+
+    def rules(pairs, after, at) -> str:
+        cases = []
+        for s, new in sorted(pairs, key=lambda r: -len(r[0])):
+            more = f" AND regexp_matches(left(w, length(w) - {len(s)}), '{after[s]}')" if s in after else ""
+            cases.append(f"WHEN suffix(w, '{s}') THEN CASE WHEN length(w) - {len(s)} >= {at(s)}{more} THEN left(w, length(w) - {len(s)}) || '{new}' ELSE w END")
+        return f"CASE {' '.join(cases)} ELSE w END"
+
+    def cut(n: int) -> str:
+        return f"left(w, length(w) - {n})"
+
+    def without(s: str) -> str:
+        return f"WHEN suffix(w, '{s}') THEN CASE WHEN regexp_matches({cut(len(s))}, '{vowel}') THEN {cut(len(s))} || '|' ELSE w END"
+
+    def eed(s: str) -> str:
+        return f"WHEN suffix(w, '{s}') THEN CASE WHEN length(w) - {len(s)} >= r1 THEN {cut(len(s))} || 'ee' ELSE w END"
+
+    first = "|".join([*ST.R1_WORDS, f"{other}*{vowel}+{other}"])
+    steps = [
+        f"""CASE WHEN suffix(w, 'sses') THEN {cut(2)} WHEN suffix(w, 'ied') OR suffix(w, 'ies') THEN CASE WHEN length(w) > 4 THEN {cut(2)} ELSE {cut(1)} END
+            WHEN suffix(w, 'us') OR suffix(w, 'ss') OR NOT suffix(w, 's') THEN w WHEN regexp_matches({cut(2)}, '{vowel}') THEN {cut(1)} ELSE w END""",
+        f"CASE {eed('eedly')} {eed('eed')} {without('ingly')} {without('edly')} {without('ing')} {without('ed')} ELSE w END",
+        f"""CASE WHEN NOT suffix(w, '|') THEN w WHEN regexp_matches({cut(1)}, '(at|bl|iz)$') THEN {cut(1)} || 'e' WHEN regexp_matches({cut(1)}, '{ST.DOUBLES}') THEN {cut(2)}
+            WHEN length(w) - 1 <= r1 AND regexp_matches({cut(1)}, '{ST.SHORT}') THEN {cut(1)} || 'e' ELSE {cut(1)} END""",
+        f"CASE WHEN regexp_matches(w, '^.+{other}[yY]$') THEN {cut(1)} || 'i' ELSE w END",
+        rules(ST.STEP_2, ST.STEP_2_AFTER, lambda s: "r1"), rules(ST.STEP_3, {}, lambda s: "r2" if s == "ative" else "r1"),
+        rules([(s, "") for s in ST.STEP_4], ST.STEP_4_AFTER, lambda s: "r2"),
+        f"""CASE WHEN (suffix(w, 'e') AND (length(w) - 1 >= r2 OR (length(w) - 1 >= r1 AND NOT regexp_matches({cut(1)}, '{ST.SHORT}')))) OR
+            (suffix(w, 'll') AND length(w) - 1 >= r2) THEN {cut(1)} ELSE w END"""]
+    ctes = [f"p0 AS (SELECT word, regexp_replace(word, '(^|{vowel})y', '\\1Y', 'g') AS w FROM {words})",
+            f"p1 AS (SELECT word, w, CASE WHEN x = '' THEN length(w) ELSE length(x) END AS r1 FROM (SELECT *, regexp_extract(w, '^({first})', 1) AS x FROM p0))",
+            f"p2 AS (SELECT word, w, r1, CASE WHEN x = '' THEN length(w) ELSE r1 + length(x) END AS r2 "
+            f"FROM (SELECT *, regexp_extract(substr(w, r1 + 1), '^({other}*{vowel}+{other})', 1) AS x FROM p1))"]
+    for i, step in enumerate(steps):
+        kept = "w AS a" if i == 1 else "NULL AS a" if i == 0 else "a"
+        ctes.append(f"p{i + 3} AS (SELECT word, {step} AS w, r1, r2, {kept} FROM p{i + 2})")
+    special = " ".join(f"WHEN word = '{k}' THEN '{v}'" for k, v in ST.SPECIAL.items())
+    ctes.append(f"stems AS (SELECT word, CASE WHEN length(word) <= 2 THEN word {special} WHEN a IN ({', '.join(repr(x) for x in ST.SPECIAL_1A)}) THEN a "
+                f"ELSE replace(w, 'Y', 'y') END AS stem FROM p{len(steps) + 2})")
+    return ctes
+
+
+def _ranked_sql(query: str, normalization: int) -> str:
+    length = {0: "1", 1: "(1 + ln(any_value(dl)))", 2: "any_value(dl)"}[normalization]
+    text = "concat_ws(' ', coalesce(title, ''), coalesce(description, ''))"
+    return with_ctes(TDOCS_CTE, f"tk AS (SELECT id, {sql_tokens(text, False)} AS toks FROM tdocs)",
+                     f"qw AS (SELECT unnest({sql_tokens(sql_lit(query), False)}) AS word)",
+                     "words AS (SELECT DISTINCT word FROM (SELECT unnest(toks) AS word FROM tk UNION ALL SELECT word FROM qw))", *sql_porter2("words"),
+                     "q AS (SELECT DISTINCT stem FROM qw JOIN stems USING (word))", """
+tf AS (SELECT t.id, any_value(t.dl) AS dl, s.stem, count(*) AS tf FROM (SELECT id, len(toks) AS dl, unnest(toks) AS word FROM tk) t JOIN stems s USING (word)
+       WHERE s.stem IN (SELECT stem FROM q) GROUP BY t.id, s.stem)""") + f"""
+SELECT id, round(sum(0.1 * list_sum(list_transform(range(1, tf + 1), lambda j: 1.0 / (j * j))) / {RANK_SCALE}) / count(*) / {length}, 9) AS rank
+FROM tf GROUP BY id HAVING count(*) = (SELECT count(*) FROM q) ORDER BY rank DESC, id LIMIT 50"""
 
 
-@register("text_search_documents", with_ctes(TDOCS_CTE, f"""
-tk AS (SELECT id, {sql_tokens("concat_ws(' ', coalesce(title, ''), coalesce(description, ''))")} AS toks FROM tdocs)""")
-          + f"""
-SELECT id, CAST(len(list_filter(toks, lambda x: list_contains({_QT}, x))) AS DOUBLE) AS rank FROM tk
-WHERE len({_QT}) > 0 AND list_has_all(toks, {_QT})
-ORDER BY rank DESC, id LIMIT 50""")
+@register("text_search_documents", _ranked_sql("orantions hehely", 0))
 def text_search_documents(spark, d):
-    from ..operators.relational import text_search
-    return text_search(B.text_documents(spark, d), "der und", ("title", "description"), 50).select("id", "rank")
+    return text_search(B.text_documents(spark, d), "orantions hehely", ("title", "description"), 50).select("id", "rank")
+
+
+@register("text_search_by_length", _ranked_sql("pour ques", 1))
+def text_search_by_length(spark, d):
+    return text_search(B.text_documents(spark, d), "pour ques", ("title", "description"), 50, normalization=1).select("id", "rank")
+
+
+@register("stem_documents", with_ctes(TDOCS_CTE, f"words AS (SELECT DISTINCT unnest({sql_tokens('text', False)}) AS word FROM tdocs)", *sql_porter2("words"))
+          + "\nSELECT word, stem FROM stems")
+def stem_documents(spark, d):
+    """Every word of the documents and its Porter2 stem."""
+    words = B.text_documents(spark, d).select(F.explode(tokens_col("text")).alias("word")).distinct()
+    return porter2_rows(words.withColumn("stem", F.col("word")), "stem")

@@ -96,7 +96,13 @@ def test_text_search_all_terms(spark):
                                 (2, "Chocolate cake", None), (3, "Oat cookies", "no chocolate here, only oats")],
                                "id long, title string, description string")
     got = [(r.id, r["rank"]) for r in text_search(df, "chocolate cookies", limit=10).collect()]
-    assert got == [(1, 4.0), (3, 2.0)]
+    # One occurrence weighs 0.1, two 0.1 * (1 + 1/4), scaled by pi^2 / 6.
+    assert got == [(1, round(0.1 * 1.25 / 1.64493406685, 9)), (3, round(0.1 / 1.64493406685, 9))]
+    # Stems meet: "crisply baked cookie" finds nothing, "chocolates cookie" the same as above.
+    assert [r.id for r in text_search(df, "chocolates cookie").collect()] == [1, 3]
+    assert text_search(df, "").count() == text_search(df, "the of").count() == 0
+    flat = {r.id: r["rank"] for r in text_search(df, "chocolate", normalization=2).collect()}
+    assert flat == {1: round(0.1 * 1.25 / 1.64493406685 / 6, 9), 2: round(0.1 / 1.64493406685 / 2, 9), 3: round(0.1 / 1.64493406685 / 6, 9)}
 
 
 def test_corrupt_rows_become_failed_outcomes(spark, tmp_path):
