@@ -89,28 +89,34 @@ def _entropy_sql(cls: secret_scan.CharClass) -> str:
     runs = secret_scan.Form(cls.kind, cls.chars + "{" + str(w) + ",}", 0, 0, "")
     scaled = "[" + ", ".join(str(secret_scan.scaled(c)) for c in range(w + 1)) + "]"
     mixed = " AND ".join(f"regexp_matches(x.m, '{x}')" for x in _class_parts(cls))
-    # One row for each window of a candidate, and one for each of its characters.
+    allowed = _allowed_sql()
+    # The characters outside the allow-list's matches and their places, then one row for each window and character.
     return f"""
-  SELECT doc_row, '{cls.kind}' AS kind, {secret_scan.KINDS.index(cls.kind)} AS k, min(s + i) AS s, max(s + i) + {w} AS e
-  FROM (SELECT doc_row, s, i, sum({scaled}[n + 1]) AS total
-        FROM (SELECT doc_row, s, i, c, count(*) AS n
-              FROM (SELECT doc_row, s, i, unnest(string_split(substr(m, i + 1, {w}), '')) AS c
-                    FROM (SELECT doc_row, x.s AS s, x.m AS m, unnest(range(0, length(x.m) - {w} + 1)) AS i
-                          FROM ({_span_sql(runs)}) WHERE {mixed} AND NOT {_allow_sql()}))
-              GROUP BY doc_row, s, i, c)
-        GROUP BY doc_row, s, i)
-  WHERE total <= {secret_scan.most_scaled(cls)} GROUP BY doc_row, s"""
+  SELECT doc_row, '{cls.kind}' AS kind, {secret_scan.KINDS.index(cls.kind)} AS k, min(s) AS s, max(e) AS e
+  FROM (SELECT doc_row, run, i, s, e, sum({scaled}[n + 1]) AS total
+        FROM (SELECT doc_row, run, i, s, e, c, count(*) AS n
+              FROM (SELECT doc_row, run, i, run + spots[i + 1] AS s, run + spots[i + {w}] + 1 AS e, unnest(string_split(substr(m, i + 1, {w}), '')) AS c
+                    FROM (SELECT doc_row, run, spots, m, unnest(range(0, length(m) - {w} + 1)) AS i
+                          FROM (SELECT doc_row, run, array_to_string(p, '') AS m, flatten(list_transform(range(1, len(p) + 1), lambda j: range(
+                                  CAST(coalesce(list_sum(list_transform(p[1:j-1], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(h[1:j-1], lambda x: length(x))), 0) AS BIGINT),
+                                  CAST(coalesce(list_sum(list_transform(p[1:j], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(h[1:j-1], lambda x: length(x))), 0) AS BIGINT)))) AS spots
+                                FROM (SELECT doc_row, x.s AS run, string_split_regex(x.m, '{allowed}') AS p, regexp_extract_all(x.m, '{allowed}') AS h
+                                      FROM ({_span_sql(runs)}) WHERE {mixed}))
+                          WHERE length(m) >= {w}))
+              GROUP BY doc_row, run, i, s, e, c)
+        GROUP BY doc_row, run, i, s, e)
+  WHERE total <= {secret_scan.most_scaled(cls)} GROUP BY doc_row, run"""
 
 
 def _class_parts(cls: secret_scan.CharClass) -> list[str]:
     return [p.removesuffix(")") for p in cls.mixed.split("(?=.*")[1:]]
 
 
-def _allow_sql() -> str:
-    words, repeated = secret_scan.ALLOW.rsplit("|", 1)
-    assert repeated == r"(.)\1{7}"  # RE2 has no back references: eight equal characters are listed
-    runs = "|".join(c + "{8}" for c in "0123456789abcdefghijklmnopqrstuvwxyz") + r"|\+{8}|/{8}"
-    return f"regexp_matches(x.m, '{words}|{runs}')"
+def _allowed_sql() -> str:
+    words, repeated = secret_scan.ALLOWED.rsplit("|", 1)
+    assert repeated == r"(.)\1{7}\1*"  # RE2 has no back references: runs of each character are listed
+    runs = "|".join(c + "{8,}" for c in [*"0123456789abcdefghijklmnopqrstuvwxyz", r"\+", "/", "-", "_"])
+    return f"{words}|{runs}"
 
 
 def _base_sql(form: secret_scan.Form) -> str:
@@ -182,20 +188,29 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------------------ 7: substring dedup
 _NORM = "trim(regexp_replace(lower(unit), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
-# A private-use character marks the sentence ends; the space it replaces has the same length.
+# Private-use characters mark the ends: of sentences, in place of the space after them, and after signs of scripts without spaces.
+_CUT, _SIGN_CUT = 57344, 57345
 UNITS_SQL = f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+WITH d AS (SELECT DISTINCT doc_id, coalesce(text, '') AS t FROM documents),
 l AS (SELECT doc_id, t, unnest(string_split(t, chr(10))) AS line, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS i FROM d),
-lo AS (SELECT doc_id, t, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id, t ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s, i FROM l),
-p AS (SELECT doc_id, t, s, i, string_split(regexp_replace(line, '([.!?]) ', '\\1' || chr(57344), 'g'), chr(57344)) AS parts FROM lo),
+lo AS (SELECT *, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id, t ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM l),
+p AS (SELECT doc_id, t, s, i, string_split(regexp_replace(line, '([.!?]) ', '\\1' || chr({_CUT}), 'g'), chr({_CUT})) AS parts FROM lo),
 u AS (SELECT doc_id, t, s, i, unnest(parts) AS unit, unnest(range(1, len(parts) + 1)) AS j FROM p),
-o AS (SELECT doc_id, t, unit, s + coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id, t, i ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM u),
-n AS (SELECT doc_id, CAST(s AS BIGINT) AS s, CAST(s + length(unit) AS BIGINT) AS e, {_NORM} AS norm FROM o),
-k AS (SELECT * FROM n WHERE norm <> '' AND length(norm) - length(replace(norm, ' ', '')) >= {unit_dedup.MIN_WORDS - 1}),
-r AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, s) AS nth,
-             first_value(doc_id) OVER (PARTITION BY norm ORDER BY doc_id, s) AS first_doc_id,
-             first_value(s) OVER (PARTITION BY norm ORDER BY doc_id, s) AS first_start FROM k)
-SELECT doc_id, s AS "start", e AS "end", first_doc_id, first_start FROM r WHERE nth > 1"""
+o AS (SELECT doc_id, t, i, j, unit, s + coalesce(sum(length(unit) + 1) OVER (PARTITION BY doc_id, t, i ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM u),
+g AS (SELECT doc_id, t, i, j, s, string_split(regexp_replace(unit, '([。！？｡])([^。！？｡」』”’）]|$)', '\\1' || chr({_SIGN_CUT}) || '\\2', 'g'), chr({_SIGN_CUT})) AS parts FROM o),
+v AS (SELECT doc_id, t, i, j, s, unnest(parts) AS unit, unnest(range(1, len(parts) + 1)) AS k FROM g),
+w AS (SELECT doc_id, t, i, unit, s + coalesce(sum(length(unit)) OVER (PARTITION BY doc_id, t, i, j ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM v),
+n AS (SELECT doc_id, t, i, CAST(s AS BIGINT) AS s, CAST(s + length(unit) AS BIGINT) AS e, {_NORM} AS norm FROM w),
+m AS (SELECT *, count(*) OVER (PARTITION BY doc_id, t, i) = 1 AS line, lag(norm) OVER (PARTITION BY doc_id, t ORDER BY s) AS before,
+             lead(norm) OVER (PARTITION BY doc_id, t ORDER BY s) AS after,
+             length(norm) - length(replace(norm, ' ', '')) + 1 < {unit_dedup.MIN_WORDS} AND length(norm) < {unit_dedup.CHANCE_CHARS} AS chance
+      FROM n WHERE norm <> ''),
+k AS (SELECT doc_id, t, s, e, '0' || norm AS key FROM m WHERE NOT chance UNION ALL SELECT doc_id, t, s, e, '1' || norm FROM m WHERE chance AND line
+      UNION ALL SELECT doc_id, t, s, e, '2' || before || chr(10) || norm FROM m WHERE chance AND before IS NOT NULL
+      UNION ALL SELECT doc_id, t, s, e, '3' || norm || chr(10) || after FROM m WHERE chance AND after IS NOT NULL),
+r AS (SELECT doc_id, t, s, e, row_number() OVER x AS nth, first_value({{'d': doc_id, 't': t, 's': s}}) OVER x AS first
+      FROM k WINDOW x AS (PARTITION BY key ORDER BY doc_id NULLS FIRST, t, s))
+SELECT doc_id, s AS "start", e AS "end", min(first).d AS first_doc_id, min(first).s AS first_start FROM r WHERE nth > 1 GROUP BY doc_id, t, s, e"""
 
 
 @_query("op7_substring_dedup", UNITS_SQL)

@@ -81,3 +81,50 @@ def test_short_units(make):
 def test_short_units_of_edge_rows(clashing):
     found = U.repeated_units(clashing([*EDGE_ROWS, (9, "x")]), "sentence", None).collect()
     assert [(r["doc_id"], r["start"], r["end"], r["first_doc_id"]) for r in found] == [(9, 0, 1, 5)]
+
+
+def brute_all(rows):
+    """Units of any length with their neighbours, grouped by plain strings."""
+    keys = {}
+    for d, t in {(d, t or "") for d, t in rows}:
+        units, at = [], 0
+        for line in t.split("\n"):
+            found, start = [], at
+            for part in re.split(r"(?<=[.!?])\x20", line):
+                for u in re.split(U.SIGN_END, part):
+                    norm = re.sub(r"[\W_]+", " ", u.lower()).strip()
+                    if norm:
+                        found.append([start, start + len(u), norm, False])
+                    start += len(u)
+                start += 1
+            if len(found) == 1:
+                found[0][3] = True
+            units += found
+            at += len(line) + 1
+        for i, (s, e, norm, line) in enumerate(units):
+            place = (d is not None, d or 0, s, e, d)
+            if len(norm.split(" ")) >= U.MIN_WORDS or len(norm) >= U.CHANCE_CHARS:
+                keys.setdefault((0, norm), []).append(place)
+                continue
+            if line:
+                keys.setdefault((1, norm), []).append(place)
+            if i:
+                keys.setdefault((2, units[i - 1][2], norm), []).append(place)
+            if i + 1 < len(units):
+                keys.setdefault((3, norm, units[i + 1][2]), []).append(place)
+    removed = {}
+    for places in keys.values():
+        first, *others = sorted(places)
+        for p in others:
+            removed[p] = min(removed.get(p, first), first)
+    return sorted(str((p[4], p[2], p[3], f[4], f[2])) for p, f in removed.items())
+
+
+MIXED = [(1, "Yes. No. A short one. Yes. No.\nTable of contents\nYes."), (2, "Table of contents\nyes. no.\nA short one."), (3, "第一句。短！第二句很长很长的一句话也在这里出现。短！"),
+         (4, "短！第二句很长很长的一句话也在这里出现。”短！"), (5, "a b c d e f. g. a b c d e f. g. h"), (None, "Yes. No."), (6, "... !!! ?\n\n.  ."), (7, "A short one.\nYes")]
+
+
+@pytest.mark.parametrize("rows", [ROWS, EDGE_ROWS, MIXED, [*MIXED, *EDGE_ROWS], []])
+def test_any_length_against_grouping(clashing, rows):
+    found = U.repeated_units(clashing(rows), "sentence", None).drop("text_hash")
+    assert sorted({str(tuple(r)) for r in found.collect()}) == brute_all(rows)
