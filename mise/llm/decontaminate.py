@@ -8,10 +8,12 @@ the whole item to any passage there.
 
 Characters are compared in lower case, with tabs, feeds and returns as spaces; both keep offsets.
 The benchmark may be of any size: items are taken in blocks of bounded bytes, each sent to the
-executors by itself.
+executors by itself.  Items of fewer than MIN_CHARS characters, which edits would turn into other
+phrases, are met without edits and at word boundaries only.  After a passage is found, what lies on
+both sides of it is searched for further ones.
 
-Defined results: null texts and null items match nothing; items of fewer than MIN_CHARS characters
-match nothing, as they would match by chance; repeated rows of documents are reported each, repeated
+Defined results: null texts and null items match nothing, nor do items without a letter or digit;
+white space around a short item doesn't count; repeated rows of documents are reported each, repeated
 rows of the benchmark once; if two item ids have the same text, both are reported; an empty table on
 either side gives an empty result; filtering carries other columns through, whatever their names.
 """
@@ -89,7 +91,7 @@ class Matcher:
         import ahocorasick
 
         self.items = items
-        self.budgets = [int(len(t) * error_rate) for t, _ in items]
+        self.budgets = [int(len(t) * error_rate) if len(t) >= MIN_CHARS else 0 for t, _ in items]
         found: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for k, (t, _) in enumerate(items):
             for offset, piece in pieces(t, self.budgets[k]):
@@ -100,19 +102,40 @@ class Matcher:
         self.automaton.make_automaton()
 
     def matches(self, text: str) -> Iterator[tuple[int, int, int, int]]:
-        """(item, start, end, distance) of the best passage in each stretch with piece hits."""
+        """(item, start, end, distance) of the passages in each stretch with piece hits: the best one, then those beside it."""
         text = folded(text)
         around: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for last, (size, where) in self.automaton.iter(text):
             for k, offset in where:
                 start = last + 1 - size - offset
+                if len(self.items[k][0]) < MIN_CHARS:
+                    if _is_whole(text, start, last + 1):
+                        around[k].append((start, last + 1))
+                    continue
                 e = self.budgets[k]
                 around[k].append((max(0, start - e), start + len(self.items[k][0]) + e))
         for k in sorted(around):
+            if len(self.items[k][0]) < MIN_CHARS:
+                end = 0
+                for a, b in around[k]:
+                    if a >= end:
+                        end = b
+                        yield k, a, b, 0
+                continue
             for a, b in _joined(around[k]):
-                match = self._best(k, text, a, min(b, len(text)))
-                if match:
-                    yield match
+                yield from self._passages(k, text, a, min(b, len(text)))
+
+    def _passages(self, k: int, text: str, a: int, b: int) -> Iterator[tuple[int, int, int, int]]:
+        """All passages of a stretch that don't overlap a better one, from left to right."""
+        least = len(self.items[k][0]) - self.budgets[k]
+        found, todo = [], [(a, b)]
+        while todo:
+            a, b = todo.pop()
+            match = self._best(k, text, a, b) if b - a >= least else None
+            if match:
+                found.append(match)
+                todo += [(a, match[1]), (match[2], b)]
+        yield from sorted(found)
 
     def _best(self, k: int, text: str, a: int, b: int) -> tuple[int, int, int, int] | None:
         item = self.items[k][0]
@@ -127,6 +150,11 @@ class Matcher:
         return k, a + end - size, a + end, distance
 
 
+def _is_whole(text: str, a: int, b: int) -> bool:
+    """No word goes on beyond either end."""
+    return not (a > 0 and text[a - 1].isalnum() and text[a].isalnum()) and not (b < len(text) and text[b].isalnum() and text[b - 1].isalnum())
+
+
 def _joined(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -164,8 +192,9 @@ def item_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple[str,
         # Driver-side: one block.  Equal texts get the same block, so that each is searched once.
         by_text: dict[str, list] = defaultdict(list)
         for r in items.where(F.pmod(F.xxhash64("t"), F.lit(blocks)) == b).collect():
-            by_text[folded(r["t"])].append(r["item_id"])
-        known = sorted((t, sorted(ids, key=lambda x: (x is None, x))) for t, ids in by_text.items() if len(t) >= MIN_CHARS)
+            t = folded(r["t"])
+            by_text[t if len(t) >= MIN_CHARS else t.strip()].append(r["item_id"])
+        known = sorted((t, sorted(ids, key=lambda x: (x is None, x))) for t, ids in by_text.items() if any(c.isalnum() for c in t))
         if known:
             yield known
 

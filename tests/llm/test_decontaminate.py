@@ -56,7 +56,7 @@ def planted(spark, make):
 
 def test_all_pairs(spark, make, planted):
     rows, items = planted
-    bench = spark.createDataFrame([*items, (50, None), (51, "tiny"), (52, items[3][1])], "item_id long, text string")
+    bench = spark.createDataFrame([*items, (50, None), (51, "tiny"), (53, " ?! "), (52, items[3][1])], "item_id long, text string")
     want = set()
     for d, t in rows:
         for i, item in [*items, (52, items[3][1])]:
@@ -90,3 +90,29 @@ def test_empty(spark, make):
     assert D.find_passages(make(EDGE_ROWS), none).count() == 0
     assert D.find_passages(make([]), spark.createDataFrame([(1, "a long enough item of a benchmark")], none.schema)).count() == 0
     assert D.drop_contaminated(make(EDGE_ROWS), none).count() == len(EDGE_ROWS)
+
+
+def passages(spark, make, texts, items):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = D.find_passages(make(list(enumerate(texts))), bench).orderBy("doc_id", "item_id", "start").collect()
+    return [(r["doc_id"], r["item_id"], r["start"], r["end"], r["distance"]) for r in found]
+
+
+def test_short_items_stand_for_themselves(spark, make):
+    """Found word for word at word boundaries, in any case, and not inside words or with edits."""
+    texts = ["so: what is 2 plus 2? I ask. WHAT IS 2\nPLUS 2?", "somewhat is 2 plus 2?", "what is 2 plus 3?", "what is 2 plus 2?what", "cat catalogue (cat) CAT", "a?b"]
+    got = passages(spark, make, texts, [" What is 2 plus 2? ", "cat", "?", "", "   ", "capital of France"])
+    assert got == [(0, 0, 4, 21, 0), (0, 0, 29, 46, 0), (3, 0, 0, 17, 0), (4, 1, 0, 3, 0), (4, 1, 15, 18, 0), (4, 1, 20, 23, 0)]
+
+
+def test_every_passage_of_a_stretch(spark, make):
+    """Passages back to back, exact and with edits, are a row each."""
+    item = "the quick brown fox jumps over the lazy dog by the river bank"
+    near = item.replace("brown", "brawn")
+    texts = [item * 3, f"{item} {near} {item}", f"{near}{near}", f"{item[:-2]}{item}"]
+    got = passages(spark, make, texts, [item])
+    n = len(item)
+    assert [g[2:] for g in got if g[0] == 0] == [(0, n, 0), (n, 2 * n, 0), (2 * n, 3 * n, 0)]
+    assert [g[2:] for g in got if g[0] == 1] == [(0, n, 0), (n + 1, 2 * n + 1, 1), (2 * n + 2, 3 * n + 2, 0)]
+    assert [g[4] for g in got if g[0] == 2] == [1, 1]
+    assert [g[4] for g in got if g[0] == 3] == [2, 0]
