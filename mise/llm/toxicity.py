@@ -170,7 +170,8 @@ def _picker(wanted):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
-    """(y, t) of at most about ``most`` labelled rows that aren't held out."""
+    """(k, y, t) of at most about ``most`` labelled ids that aren't held out, one text each: of an id with several
+    the one with the least hash, so that an id on many rows is one of them."""
     known = labels.select(F.col(id_col).alias("k"), F.col("toxic").alias("y")).where("k is not null and y is not null")
     scratch = Scratch(docs.sparkSession)
     known = scratch.table(known.where(~held_out("k")).groupBy("k").agg(F.max("y").cast("int").alias("y")))
@@ -182,7 +183,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     chosen = scratch.table(known.where(F.pmod(F.xxhash64("k", F.lit(6)), F.lit(scale)) < share))
     # At most about ``most`` pairs of id and label: small enough to send to every executor.
     rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["k"])
-    return rows.select("y", F.coalesce(docs[text_col], F.lit("")).alias("t"), "k")
+    rows = rows.select("k", "y", F.coalesce(docs[text_col], F.lit("")).alias("t"))
+    one = rows.groupBy("k", "y").agg(F.min(F.struct(F.xxhash64("t"), F.col("t"))).alias("one"))
+    return one.select("k", "y", "one.t")
 
 
 def held_out(column: str) -> Column:

@@ -62,3 +62,13 @@ def test_edges(spark, make, clashing):
     all_toxic = spark.createDataFrame([(d, 0, 1) for d in ids] + [(None, 0, 1), (ids[0], 0, None), (ids[0], 0, 0)], schema)
     assert X.train(make([(d, "x") for d in ids]), all_toxic).constant > 0
     assert X.toxicity_scores(make([]), model).count() == 0
+
+
+def test_rows_are_bounded_with_an_id_on_many(spark):
+    """One labelled id on 2,000 rows, of equal and of different texts, is one row of the sample."""
+    from mise.llm import toxicity as X
+    docs = spark.createDataFrame([(1, f"text {i % 500}") for i in range(2000)] + [(i, f"other {i}") for i in range(2, 60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 60)], "doc_id long, toxic int")
+    rows = X.training_rows(docs, labels, "doc_id", "text", 100).collect()
+    ids = [r["k"] for r in rows]
+    assert len(ids) == len(set(ids)) <= 100 and 1 in ids
