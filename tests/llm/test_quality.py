@@ -64,3 +64,12 @@ def test_filter_carries_columns(clashing, rows):
     out = quality.keep_good(docs)
     assert out.schema == docs.schema
     assert out.count() == 0
+
+
+def test_sample_is_no_prefix(spark, make):
+    """What only later rows fail still moves its rule forward."""
+    from mise.llm import quality as Q
+    good = " ".join(f"word{i}" for i in range(80))
+    rows = [(i, f"{good} {i}") for i in range(300)] + [(1000 + i, f"{good} {i} " + "$ # % & " * 20) for i in range(900)]
+    order = Q.rule_order(make(rows).select("text"), Q.default_rules(Q.whole_text("text")))
+    assert order[0].name == "symbols"
