@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import dart_minhash, decontaminate, filter_audit, license_scan, merkle, packing, quality, secret_scan, suffix_dedup, tokens, toxicity, unit_dedup, warc
-from ..session import ensure_checkpoint_dir
-from .common import table
+from .common import own_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -348,7 +346,7 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, h AS payload_digest, CASE WH
 
 @_query("op13_warc", WARC_SQL)
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    folder = own_folder(spark, "warc")
     index = warc.write_bundles(warc.archive_records(table(spark, sf_dir, "pages")), folder)
     return warc.read_bundles(warc.bundles(index), folder).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")

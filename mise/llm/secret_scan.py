@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, running_sums, whole_text, without_spans
+from .common import let, running_max, running_sums, whole_text, without_spans
 
 
 @dataclass(frozen=True)
@@ -225,16 +225,19 @@ MASK = "[secret]"
 
 
 def _merged(spans: Column) -> Column:
-    """Sorted spans with overlapping or touching ones joined: array of (s, e)."""
-    def add(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        one = F.struct(x["s"].alias("s"), x["e"].alias("e"))
-        return (F.when(F.size(acc) == 0, F.array(one))
-                .when(x["s"] > last["e"], F.concat(acc, F.array(one)))
-                .otherwise(F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1),
-                                    F.array(F.struct(last["s"].alias("s"), F.greatest(last["e"], x["e"]).alias("e"))))))
-
-    return F.aggregate(spans, F.array().cast("array<struct<s:int,e:int>>"), add)
+    """Sorted spans with overlapping or touching ones joined: array of (s, e).  A span begins a joined one if it starts
+    behind all earlier ends."""
+    def of(xs: Column, before: Column) -> Column:
+        firsts = F.filter(F.sequence(F.lit(0), F.size(xs) - 1), lambda i: xs[i]["s"] > before[i])
+
+        def upto(fs: Column, g: Column) -> Column:
+            last = F.when(g + 1 < F.size(fs), fs[F.least(g + 1, F.size(fs) - 1)] - 1).otherwise(F.size(xs) - 1)
+            return F.greatest(before[last], xs[last]["e"])
+
+        return let(firsts, lambda fs: F.transform(fs, lambda i, g: F.struct(xs[i]["s"].alias("s"), upto(fs, g).alias("e"))))
+
+    return F.when(F.size(spans) == 0, F.array().cast("array<struct<s:int,e:int>>")).otherwise(
+        let(spans, lambda xs: let(running_max(F.transform(xs, lambda x: x["e"])), lambda before: of(xs, before))))
 
 
 def redacted(text: Column) -> Column:

@@ -12,7 +12,8 @@ Units of Latin letters, digits and ASCII signs are encoded by a faster library f
 file's vocabulary and merges, which gives the same ids; all others by the file's own library.
 
 Defined results: a null text is empty and has no tokens; repeated rows are counted each; a long
-text without any boundary is one unit and is encoded whole; an empty table gives an empty result.
+text without any boundary is one unit and is encoded whole, as is any text of a ``.model`` file, whose tokens may
+cross spaces; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,10 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows
+from .common import arrow_rows, portions
 
 #: Bytes of text encoded at once.
 BATCH_BYTES = 2_000_000
+#: Characters given to the encoder at once.
+PORTION_CHARS = 200_000
 #: Units a worker remembers at most, and the longest it remembers, in characters.
 MOST_UNITS, LONGEST_UNIT = 600_000, 48
 
@@ -124,7 +127,8 @@ class Encoder:
         self._after_space: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(x, "<u4").tobytes() for x in self._encode(texts)] if texts else []
+        # A long text comes as its units: the encoder gets them in portions.
+        return [np.asarray(x, "<u4").tobytes() for part in portions(texts, PORTION_CHARS) for x in self._encode(part)]
 
     def _known(self, kept: dict[str, bytes], words: set[str], before: str) -> dict[str, bytes]:
         """Ids by word; those short enough are kept for later batches."""

@@ -91,3 +91,22 @@ def test_sql_knows_the_allow_list(spark, make, tmp_path):
     found = con.execute(f"SELECT doc_id, n_assign, n_access, n_hex, base_sha256, spans FROM ({queries.SECRETS_SQL}) ORDER BY 1").fetchall()
     got = [tuple(r) for r in queries.op3_secret_scan(spark, str(tmp_path)).orderBy("doc_id").collect()]
     assert got == found and sum("base64" in r[-1] for r in got) >= 3
+
+
+def test_joined_spans(spark):
+    import random
+    from pyspark.sql import functions as F
+    rng = random.Random(2)
+    cases = []
+    for n in (0, 1, 2, 30, 3000):
+        starts = sorted(rng.randrange(0, 8 * n + 1) for _ in range(n))
+        cases.append([(s, rng.randrange(7), s + rng.randint(1, 12)) for s in starts])
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, x array<struct<s:int,k:int,e:int>>")
+    for r in df.select("i", S._merged(F.sort_array("x")).alias("m")).collect():
+        want = []
+        for s, _, e in sorted(cases[r["i"]]):
+            if want and s <= want[-1][1]:
+                want[-1][1] = max(want[-1][1], e)
+            else:
+                want.append([s, e])
+        assert [[x["s"], x["e"]] for x in r["m"]] == want

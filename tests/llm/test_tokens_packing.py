@@ -115,3 +115,18 @@ def test_assign_fills_sequences():
             assert sums.get(q, 0) == o
             sums[q] = o + n
         assert max(sums.values()) <= 1024 and len(sums) == -(-lengths.sum() // 1024) and sum(sums.values()) == lengths.sum()
+
+
+def test_slices_are_balanced_by_bytes():
+    """One very long text among short ones is a slice of its own, and no other is much over the bound."""
+    import pyarrow as pa
+
+    from mise.llm.common import arrow_rows, portions, row_bytes
+    texts = ["short text"] * 500 + ["x" * 1_000_000] + ["é" * 700] * 300 + [None, ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["i", "t"])
+    slices = list(arrow_rows([batch, batch.slice(0, 0), batch.slice(400, 200)], 10_000))
+    assert [x for s in slices for x in s.column(0).to_pylist()] == [*range(len(texts)), *range(400, 600)]
+    sizes = [int(row_bytes(s).sum()) for s in slices]
+    assert all(n <= 10_000 or s.num_rows == 1 for n, s in zip(sizes, slices)) and len(slices) < 90
+    parts = list(portions(["ab"] * 10 + ["c" * 50] + [""] * 3, 8))
+    assert [len(p) for p in parts] == [4, 4, 2, 1, 3] and sum(parts, []) == ["ab"] * 10 + ["c" * 50] + [""] * 3
