@@ -28,15 +28,49 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def extract_to_stage(spark: SparkSession, paths: Sequence[str], stage_dir: str, kind: str = "posts",
-                     chunk_size: int = 1000) -> DataFrame:
+#: Files whose names hold this are structured rows, others posts (A3).
+STRUCTURED_MARKER = "structured"
+
+
+def kind_of(path: str, marker: str = STRUCTURED_MARKER) -> str:
+    """A3 for a path: by its file name."""
+    return "structured" if marker in path.rstrip("/").rsplit("/", 1)[-1].lower() else "posts"
+
+
+def extract_to_stage(spark: SparkSession, paths: Sequence[str], stage_dir: str, kind: str | None = None,
+                     chunk_size: int = 1000, marker: str = STRUCTURED_MARKER) -> DataFrame:
     """Read CSV files, skip entries already staged, extract records and append them to the stage.
-    Returns one outcome row per entry (success, or failed for malformed rows / records without
-    ingredients and steps)."""
+    Each file is read as its name says (``kind`` overrides it).  What is staged is looked up in the stage's ledger, of
+    which the folders of these files alone are read.  Returns one outcome row per entry (success, or failed for malformed
+    rows / records without ingredients and steps)."""
+    out = None
+    for k in ("posts", "structured"):
+        mine = [p for p in paths if (kind or kind_of(p, marker)) == k]
+        if mine:
+            found = _extract_kind(spark, mine, stage_dir, k, chunk_size)
+            out = found if out is None else out.unionByName(found)
+    if out is None:
+        raise ValueError("no paths")
+    return out
+
+
+def _ledger(spark: SparkSession, stage_dir: str) -> DataFrame | None:
+    """The stage's ledger; a stage that was written without one gets it here."""
+    if not _exists(spark, stage_dir):
+        return None
+    if not _exists(spark, f"{stage_dir}/{ST.LEDGER}"):
+        ST.write_ledger(ST.read_stage(spark, stage_dir), stage_dir)
+    return ST.read_ledger(spark, stage_dir)
+
+
+def _extract_kind(spark: SparkSession, paths: Sequence[str], stage_dir: str, kind: str, chunk_size: int) -> DataFrame:
     raw = (RD.read_posts_csv(spark, list(paths), keep_corrupt=True) if kind == "posts"
            else RD.read_structured_csv(spark, list(paths), keep_corrupt=True))
-    if _exists(spark, stage_dir):
-        raw = ST.skip_existing(raw, ST.read_stage(spark, stage_dir))
+    ledger = _ledger(spark, stage_dir)
+    if ledger is not None:
+        # Plain file names prune the ledger; patterns and folders name no dataset.
+        names = [p.rsplit("/", 1)[-1] for p in paths]
+        raw = ST.skip_staged(raw, ledger, names if all(n.endswith(".csv") and "*" not in n for n in names) else None)
     rec = (extract_posts(raw, "comment", "title") if kind == "posts"
            else extract_structured(raw, "ingredients", "directions", "title"))
     empty = (F.size("dish.ingredients") == 0) & (F.size("dish.instructions") == 0)
@@ -45,10 +79,10 @@ def extract_to_stage(spark: SparkSession, paths: Sequence[str], stage_dir: str,
     rec = RD.with_chunk(rec, chunk_size)
     rec = cut_lineage(rec)       # extracted once: the stage write and the outcome report read it
     good = rec.filter(F.col("status") == "success")
-    ST.write_stage(ST.to_stage(good, POST_META if kind == "posts" else STRUCTURED_META, chunk_size=chunk_size),
-                   stage_dir)
-    out = rec.select("dataset", "entry_number", "chunk", "status", "error", F.current_timestamp().alias("ts"))
-    return out
+    stage = ST.to_stage(good, POST_META if kind == "posts" else STRUCTURED_META, chunk_size=chunk_size)
+    ST.write_stage(stage, stage_dir)
+    ST.write_ledger(stage, stage_dir)
+    return rec.select("dataset", "entry_number", "chunk", "status", "error", F.current_timestamp().alias("ts"))
 
 
 def load_stage_dir(spark: SparkSession, stage_dir: str, tables_dir: str) -> DataFrame:

@@ -13,6 +13,7 @@ from ..functions.analysis import english, tokens_col
 from ..functions.stemming import porter2_rows
 from ..operators import aggregates as G
 from ..operators import index as IX
+from ..operators import names as NM
 from ..operators import scoring as SC
 from ..operators import search as S
 from ..operators.relational import RANK_SCALE, text_search
@@ -244,6 +245,24 @@ def boolean_ingredients_sets(spark, d):
     return S.ingredient_filter_sets(B.dishes(spark, d).select("id"), m, _SPEC)
 
 
+@register("boolean_ingredients_names", with_ctes(DISHES_CTE, MENTIONS_CTE) + f"""
+SELECT id FROM dishes r WHERE {_SPEC_SQL}""")
+def boolean_ingredients_names(spark, d):
+    """The same by distinct names and their pieces: mentions are met by equality only."""
+    m = B.mentions(spark, d, ())
+    names = NM.name_table(B.ingredients(spark, d))
+    return NM.ingredient_filter_names(B.dishes(spark, d).select("id"), m, names, NM.gram_table(names), _SPEC)
+
+
+@register("ilike_ingredients_names", """
+SELECT p_partkey AS id, p_name AS name FROM part WHERE p_name ILIKE '%D W%' OR p_type ILIKE '%D W%'""")
+def ilike_ingredients_names(spark, d):
+    """R10 by pieces of the distinct names and categories."""
+    parts = B.ingredients(spark, d)
+    tables = {c: (n := NM.name_table(parts, c), NM.gram_table(n)) for c in ("name", "category")}
+    return NM.ilike_names(parts, "D W", ["name", "category"], tables).select("id", "name")
+
+
 # ---------------------------------------------------------------------------- S17 - S21
 @register("page_with_total", """
 SELECT doc_id AS id, (SELECT count(*) FROM documents WHERE lang = 'en') AS total_hits,
@@ -525,6 +544,15 @@ def suggest_titles(spark, d):
     return S.suggest(B.text_documents(spark, d), "th", 5).select("id", "title")
 
 
+@register("stored_suggest_titles", with_ctes(TDOCS_CTE) + """
+SELECT id, title FROM tdocs WHERE starts_with(lower(title), 'th') ORDER BY title, id LIMIT 5""")
+def stored_suggest_titles(spark, d):
+    """S34 from a table of the first titles of each prefix."""
+    path = f"{ensure_checkpoint_dir(spark)}/suggest-{uuid.uuid4().hex}"
+    NM.write_suggestions(NM.suggestions(B.text_documents(spark, d)), path)
+    return NM.suggest_stored(spark, path, "Th", 5)
+
+
 @register("any_field_search", with_ctes(TDOCS_CTE, *sql_bm25("a0", "tdocs", "title", "fr des"),
                                         *sql_bm25("a1", "tdocs", "description", "fr des"), """
 kw AS (SELECT id, 1.0 AS score FROM tdocs WHERE lang IN ('fr', 'des') UNION ALL

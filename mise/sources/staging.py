@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +40,31 @@ def read_stage(spark: SparkSession, path: str) -> DataFrame:
                  .option("pathGlobFilter", "*.json").option("basePath", path).json(path))
 
 
+LEDGER = "_staged"   # its name keeps it out of the stage's own files
+LEDGER_SCHEMA = "entryNumber long, dataset string, chunk long"
+
+
+def write_ledger(stage: DataFrame, path: str) -> None:
+    """The keys of a stage batch, partitioned as the stage is: what says which entries are staged without reading them.
+    Written after the batch; keys that are there twice do no harm."""
+    stage.select("entryNumber", "dataset", "chunk").write.mode("append").partitionBy("dataset", "chunk").parquet(f"{path}/{LEDGER}")
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """(entryNumber, dataset, chunk) of what is staged under ``path``."""
+    return spark.read.schema(LEDGER_SCHEMA).option("basePath", f"{path}/{LEDGER}").parquet(f"{path}/{LEDGER}")
+
+
+def skip_staged(new: DataFrame, ledger: DataFrame, datasets: Sequence[str] | None = None, lo: int | None = None,
+                hi: int | None = None, chunk_size: int = 1000) -> DataFrame:
+    """A8 from the ledger: entries that aren't staged yet.  Named datasets and an entry range prune its folders."""
+    if datasets is not None:
+        ledger = ledger.where(F.col("dataset").isin(list(datasets)))
+    if lo is not None and hi is not None:
+        ledger = ledger.where(F.col("chunk").between((lo - 1) // chunk_size, (hi - 1) // chunk_size))
+    return skip_existing(new, ledger)
+
+
 def read_entry_files(spark: SparkSession, path: str) -> DataFrame:
     """Staged files written one per entry (``..._entry_<n>.json``): entry number from the name."""
     df = spark.read.schema(STAGE_FILE_SCHEMA).option("pathGlobFilter", "*.json").json(path)
