@@ -58,4 +58,4 @@ def with_ctes(*ctes: str) -> str:
 
 
 # Importing the query modules fills the registries.
-from . import queries_extract, queries_load, queries_relational, queries_search, queries_sources  # noqa: E402,F401,I001
+from . import queries_extract, queries_load, queries_posts, queries_relational, queries_search, queries_sources  # noqa: E402,F401,I001
