@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.records import extract_posts, extract_structured
 from ..operators.relational import build_documents
@@ -38,16 +39,16 @@ def kind_of(path: str, marker: str = STRUCTURED_MARKER) -> str:
 
 
 def extract_to_stage(spark: SparkSession, paths: Sequence[str], stage_dir: str, kind: str | None = None,
-                     chunk_size: int = 1000, marker: str = STRUCTURED_MARKER) -> DataFrame:
+                     chunk_size: int = 1000, marker: str = STRUCTURED_MARKER, split: bool = False) -> DataFrame:
     """Read CSV files, skip entries already staged, extract records and append them to the stage.
-    Each file is read as its name says (``kind`` overrides it).  What is staged is looked up in the stage's ledger, of
+    Each file is read as its name says (``kind`` overrides it); ``split`` reads large files of posts in parallel.  What is staged is looked up in the stage's ledger, of
     which the folders of these files alone are read.  Returns one outcome row per entry (success, or failed for malformed
     rows / records without ingredients and steps)."""
     out = None
     for k in ("posts", "structured"):
         mine = [p for p in paths if (kind or kind_of(p, marker)) == k]
         if mine:
-            found = _extract_kind(spark, mine, stage_dir, k, chunk_size)
+            found = _extract_kind(spark, mine, stage_dir, k, chunk_size, split)
             out = found if out is None else out.unionByName(found)
     if out is None:
         raise ValueError("no paths")
@@ -63,8 +64,9 @@ def _ledger(spark: SparkSession, stage_dir: str) -> DataFrame | None:
     return ST.read_ledger(spark, stage_dir)
 
 
-def _extract_kind(spark: SparkSession, paths: Sequence[str], stage_dir: str, kind: str, chunk_size: int) -> DataFrame:
-    raw = (RD.read_posts_csv(spark, list(paths), keep_corrupt=True) if kind == "posts"
+def _extract_kind(spark: SparkSession, paths: Sequence[str], stage_dir: str, kind: str, chunk_size: int, split: bool) -> DataFrame:
+    posts = RD.read_posts_csv_split if split else RD.read_posts_csv
+    raw = (posts(spark, list(paths), keep_corrupt=True) if kind == "posts"
            else RD.read_structured_csv(spark, list(paths), keep_corrupt=True))
     ledger = _ledger(spark, stage_dir)
     if ledger is not None:
@@ -100,3 +102,23 @@ def export_documents(spark: SparkSession, tables_dir: str, out: str) -> DataFram
     docs = build_documents(t.dishes, t.dish_ingredients, t.ingredients, t.measurements, ("ingredient_id",))
     ST.write_documents(docs, out)
     return spark.read.parquet(out)
+
+
+def stream_extract_to_stage(spark: SparkSession, csv_dir: str, stage_dir: str, checkpoint: str, available_now: bool = True,
+                            files_per_batch: int = 100, split: bool = False) -> StreamingQuery:
+    """CSV files that arrive become staged JSON, which :func:`mise.streaming.incremental.stream_stage` loads.
+
+    The stream tells which files are new (their names alone are read, ``files_per_batch`` at a time), and each batch is
+    an :func:`extract_to_stage` of them: entry numbers are places in the file, so they are the same after a restart, and
+    the ledger keeps what a batch that is replayed had already staged from being staged again."""
+    files = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+                  .option("pathGlobFilter", "*.csv").option("maxFilesPerTrigger", files_per_batch).load(csv_dir).select("path"))
+
+    def extract(batch: DataFrame, _: int) -> None:
+        paths = sorted(r["path"] for r in batch.collect())
+        if paths:
+            extract_to_stage(spark, paths, stage_dir, split=split)
+
+    w = files.writeStream.foreachBatch(extract).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()

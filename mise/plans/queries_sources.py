@@ -6,8 +6,11 @@ Binding: an event is a staged entry (entry_number = event_id, arrival = ts); its
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from ..sources import readers as RD
 from ..sources import staging as ST
 from ..sources import status as STS
@@ -142,3 +145,26 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1
        count(*) AS count FROM events GROUP BY 1, 2""")
 def hourly_event_counts(spark, d):
     return INC.recent_counts(B.table(spark, d, "events"), "ts", "1 hour")
+
+
+_LAST_HOUR = """
+b AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS b FROM events),
+w AS (SELECT b + INTERVAL 15 MINUTE * k AS until FROM b, (SELECT unnest(range(1, 5)) AS k))"""
+
+
+@register("events_last_hour", with_ctes(_LAST_HOUR) + """
+SELECT until, count(*) AS count FROM w GROUP BY until""")
+def events_last_hour(spark, d):
+    """T5 in its batch form: the events of the hour before each quarter."""
+    return INC.last_interval_counts(B.table(spark, d, "events"))
+
+
+@register("events_last_hour_live", with_ctes(_LAST_HOUR) + """
+SELECT until, count(*) AS count FROM w WHERE until <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 MINUTE FROM events) GROUP BY until""")
+def events_last_hour_live(spark, d):
+    """The same as a stream over the table's files with a file sink: each point that the watermark has passed."""
+    base = f"{ensure_checkpoint_dir(spark)}/live-{uuid.uuid4().hex}"
+    events = spark.read.parquet(f"{d}/events.parquet").schema
+    # A stream takes a folder or a pattern; the table may be a file.
+    INC.stream_last_interval(spark, f"{d}/[e]vents.parquet", events, f"{base}/out", f"{base}/state").awaitTermination()
+    return spark.read.parquet(f"{base}/out")

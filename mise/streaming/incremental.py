@@ -150,6 +150,35 @@ def refresh_documents(docs: DataFrame, tables: L.Tables, since, tie_break=()) ->
     return docs.join(changed, "id", "left_anti").unionByName(rebuilt.select(*docs.columns))
 
 
+def document_digests(tables: L.Tables) -> DataFrame:
+    """(id, lines, d1, d2): what a document is made from, as sums of hashes over its dish, lines, ingredient names and
+    measurements, whatever their order."""
+    def two(*cols) -> list:
+        return [F.xxhash64(F.lit(k), *cols).cast("decimal(20,0)").alias(f"h{k}") for k in (1, 2)]
+
+    i = tables.ingredients.select(F.col("id").alias("ingredient_id"), F.xxhash64(F.struct(*[
+        c for c in tables.ingredients.columns if c not in ("created_at", "updated_at")])).alias("_i"))
+    m = tables.measurements.select(F.col("id").alias("measurement_id"), F.xxhash64(F.struct(*[
+        c for c in tables.measurements.columns if c not in ("created_at", "updated_at")])).alias("_m"))
+    own = [c for c in tables.dish_ingredients.columns if c not in ("id", "created_at")]
+    lines = tables.dish_ingredients.join(i, "ingredient_id", "left").join(m, "measurement_id", "left")
+    lines = lines.select(F.col("dish_id").alias("id"), F.lit(1).alias("n"), *two(F.struct(*own), "_i", "_m"))
+    dishes = tables.dishes.select("id", F.lit(0).alias("n"), *two(F.struct(*[c for c in tables.dishes.columns if c not in ("created_at", "updated_at")])))
+    found = dishes.unionByName(lines.join(tables.dishes.select("id"), "id", "left_semi"))
+    return found.groupBy("id").agg(F.sum("n").alias("lines"), F.sum("h1").alias("d1"), F.sum("h2").alias("d2"))
+
+
+def refresh_changed(docs: DataFrame, before: DataFrame, tables: L.Tables, tie_break=()) -> tuple[DataFrame, DataFrame]:
+    """T3 without time stamps: the documents, those rebuilt whose digest isn't that of ``before`` (lines taken away, names
+    changed, new dishes), those of deleted dishes gone; and the digests for the next time."""
+    now = document_digests(tables)
+    same = now.join(before, ["id", "lines", "d1", "d2"], "left_semi").select("id")
+    changed = now.select("id").join(same, "id", "left_anti")
+    rebuilt = build_documents(tables.dishes.join(changed, "id", "left_semi"), tables.dish_ingredients.join(
+        changed.select(F.col("id").alias("dish_id")), "dish_id", "left_semi"), tables.ingredients, tables.measurements, tie_break)
+    return docs.join(same, "id", "left_semi").unionByName(rebuilt.select(*docs.columns)), now
+
+
 def dedupe_stream(stream: DataFrame, ts: str, delay: str = "1 hour") -> DataFrame:
     """T4 inside a stream: drop repeated entries that arrive within the watermark delay."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["dataset", "entryNumber"])
@@ -172,3 +201,24 @@ def stream_recent(spark: SparkSession, path: str, schema, out: str, checkpoint:
     agg = recent_counts(src, ts, window, watermark)
     return (agg.writeStream.outputMode("append").format("parquet").option("path", out)
                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def last_interval_counts(df: DataFrame, ts: str = "ts", interval: str = "1 hour", every: str = "15 minutes",
+                         watermark: str | None = "10 minutes") -> DataFrame:
+    """T5: (until, count): how many rows lie in the ``interval`` before each point ``every`` so often.  On a stream a point is
+    given once, when the watermark has passed it.  Watermarks need an instant: a time without zone is read in the
+    session's zone, and given back without."""
+    kind = df.schema[ts].dataType
+    d = df.withColumn(ts, F.col(ts).cast("timestamp"))
+    d = d.withWatermark(ts, watermark) if (watermark and df.isStreaming) else d
+    g = d.groupBy(F.window(ts, interval, every).alias("w")).agg(F.count(F.lit(1)).alias("count"))
+    return g.select(F.col("w.end").cast(kind).alias("until"), "count")
+
+
+def stream_last_interval(spark: SparkSession, path: str, schema, out: str, checkpoint: str, ts: str = "ts", interval: str = "1 hour",
+                         every: str = "15 minutes", watermark: str = "10 minutes", available_now: bool = True) -> StreamingQuery:
+    """T5 as a running query: the counts are appended to a table under ``out`` as their points pass."""
+    src = spark.readStream.schema(schema).parquet(path)
+    w = last_interval_counts(src, ts, interval, every, watermark).writeStream.outputMode("append").format("parquet")
+    w = w.option("path", out).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
