@@ -8,19 +8,21 @@ columns of documents; the last returns packed pieces.
 3. decontamination: documents that hold a benchmark item go.
 4. secrets: secrets in the texts are masked, n_chars follows.
 5. packing: documents are cut and packed into sequences of tokens.
+
+Defined results are those of the operators: a null or empty text has no words and goes in the first stage, as do
+very short ones; of repeated rows one stays; long texts are worked on whole; an empty table gives an empty result;
+columns besides those of documents are carried through the stages before the last, whatever their names.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from mise.llm import dart_minhash, decontaminate, packing, quality, secret_scan
-from mise.llm.common import table
+from mise.llm.common import own_folder, table
 from mise.llm.queries import SEQUENCE_TOKENS, vocabulary
-from mise.session import ensure_checkpoint_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -60,7 +62,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``; what each keeps is a table in the shared
     checkpoint folder, so that the next one doesn't do its work again."""
-    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = own_folder(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
