@@ -118,11 +118,21 @@ def _lines_in(lines: Column, segments: Column, name: str) -> Column:
                                  lambda s: F.slice(lines, s["start"] + 1, s["len"])))
 
 
+def _with_tails(lines: Column, headers: Sequence[tuple[str, str]], marks: str) -> Column:
+    """Lines with a header line followed by what stands behind its colon, if anything does."""
+    def one(line: Column) -> Column:
+        tail = js_trim(F.regexp_replace(F.regexp_extract(line, r"(?s)^[^:]*:(.*)$", 1), r"^[*#_\s]+|[*#_\s]+$", ""))
+        return F.when(_header_tag(line, headers, marks).isNotNull() & (tail != ""), F.array(line, tail)).otherwise(F.array(line))
+
+    return F.flatten(F.transform(lines, one))
+
+
 def split_sections_col(text: ColumnOrName, headers: Sequence[tuple[str, str]] = DEFAULT_HEADERS,
-                       detect: bool = True, marks: str = lx.HEADER_MARKS) -> Column:
+                       detect: bool = True, marks: str = lx.HEADER_MARKS, keep_header_tail: bool = False) -> Column:
     """struct<general, ingredients, instructions> of line arrays (B2, with B3 when ``detect``).
 
-    A header line switches the section and is itself dropped.  Headers are found in one pass, and
+    A header line switches the section and is itself dropped; with ``keep_header_tail`` what follows
+    its colon ("Step 1: mix") is the section's next line.  Headers are found in one pass, and
     each section is cut out between them, so the work grows with the lines."""
     def of(lines: Column, segments: Column) -> Column:
         general, ingredients, instructions = (_lines_in(lines, segments, n) for n in ("general", "ingredients", "instructions"))
@@ -130,7 +140,8 @@ def split_sections_col(text: ColumnOrName, headers: Sequence[tuple[str, str]] =
             ingredients, instructions = detect_sections_cols(lines, ingredients, instructions)
         return F.struct(general.alias("general"), ingredients.alias("ingredients"), instructions.alias("instructions"))
 
-    return let(lines_of(text), lambda lines: let(_segments(lines, headers, marks), lambda segments: of(lines, segments)))
+    lines = _with_tails(lines_of(text), headers, marks) if keep_header_tail else lines_of(text)
+    return let(lines, lambda lines: let(_segments(lines, headers, marks), lambda segments: of(lines, segments)))
 
 
 def detect_sections_cols(lines: Column, ingredients: Column, instructions: Column):
@@ -143,8 +154,8 @@ def detect_sections_cols(lines: Column, ingredients: Column, instructions: Colum
 
 
 def split_sections(df: DataFrame, text: str, out: str = "sections",
-                   headers: Sequence[tuple[str, str]] = DEFAULT_HEADERS, detect: bool = True) -> DataFrame:
-    return df.withColumn(out, split_sections_col(text, headers, detect))
+                   headers: Sequence[tuple[str, str]] = DEFAULT_HEADERS, detect: bool = True, keep_header_tail: bool = False) -> DataFrame:
+    return df.withColumn(out, split_sections_col(text, headers, detect, keep_header_tail=keep_header_tail))
 
 
 def detect_sections(df: DataFrame, text: str, out: str = "sections") -> DataFrame:

@@ -165,3 +165,14 @@ def test_sections_of_many_lines(spark):
     got = spark.createDataFrame(rows, "t string").select(TX.split_sections_col("t").alias("s")).select("s.*").collect()
     assert got[0].asDict() == want
     assert tuple(got[1]) == (None, None, None) and tuple(got[2]) == ([""], [], [])
+
+
+def test_header_tails(spark):
+    """Q19: what stands behind a header's colon is dropped, or kept on request."""
+    text = "Hello\nIngredients: 2 eggs\n1 cup milk\n**Step 1:** mix it\nStep 2: bake: for an hour\nMethod:\nserve"
+    df = spark.createDataFrame([(1, text), (2, None), (3, "Steps")], "i int, t string")
+    plain = {r["i"]: r["sections"] for r in TX.split_sections(df, "t").collect()}
+    kept = {r["i"]: r["sections"] for r in TX.split_sections(df, "t", keep_header_tail=True).collect()}
+    assert (plain[1]["ingredients"], plain[1]["instructions"]) == (["1 cup milk"], ["serve"])
+    assert (kept[1]["ingredients"], kept[1]["instructions"]) == (["2 eggs", "1 cup milk"], ["mix it", "bake: for an hour", "serve"])
+    assert kept[1]["general"] == plain[1]["general"] == ["Hello"] and kept[3] == plain[3]
