@@ -93,3 +93,40 @@ def test_tables(spark):
 def test_empty(make):
     assert result(make([])) == []
     assert result(make([(1, None), (2, "")])) == brute([(1, None), (2, "")], S.SIZE)
+
+
+def test_all_strings_of_a_whole_table(spark):
+    """The query on sf0.1 against counting every 400-byte string by a rolling hash: all columns of all rows."""
+    import hashlib
+
+    import numpy as np
+
+    from mise.llm import queries
+    from mise.llm.common import table
+    sf, size = "/root/testdata/sf0.1", 400
+    texts = [(r["doc_id"], (r["text"] or "").encode()) for r in table(spark, sf, "documents").select("doc_id", "text").collect()]
+    base = np.uint64(0x9E3779B97F4A7C15)
+    powers = np.ones(size + 1, np.uint64)
+    for k in range(1, size + 1):
+        powers[k] = powers[k - 1] * base
+    hashes = []
+    for _, t in texts:
+        data = np.frombuffer(t, np.uint8).astype(np.uint64) + np.uint64(1)
+        h = np.zeros(max(0, len(t) - size + 1), np.uint64)
+        for k in range(size if len(h) else 0):
+            h += data[k:k + len(h)] * powers[size - 1 - k]
+        hashes.append(h)
+    every, inverse, counts = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+    twice, at, want = counts[inverse] > 1, 0, []
+    for (doc_id, t), h in zip(texts, hashes):
+        starts = np.flatnonzero(twice[at:at + len(h)])
+        at += len(h)
+        edge = np.zeros(len(t) + 1, np.int64)
+        np.add.at(edge, starts, 1)
+        np.add.at(edge, np.minimum(starts + size, len(t)), -1)
+        gone = np.cumsum(edge)[:len(t)] > 0
+        spans = int((np.diff(np.concatenate(([0], gone.astype(np.int8)))) == 1).sum())
+        kept = bytes(np.frombuffer(t, np.uint8)[~gone])
+        want.append((doc_id, len(t), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    got = [tuple(r) for r in queries.op9_suffix_dedup(spark, sf).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()]
+    assert sorted(got) == sorted(want) and sum(w[2] > 0 for w in want) > 100
