@@ -4,7 +4,6 @@ import contextlib
 import io
 
 import pytest
-from pyspark.sql import functions as F
 
 from mise.operators import names as NM
 from mise.operators import search as S
