@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,9 +70,11 @@ def clear_scratch(spark: SparkSession) -> None:
 
 @atexit.register
 def _clear_at_exit() -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is not None and spark.sparkContext._jsc is not None:
-        clear_scratch(spark)
+    # The virtual machine may be gone already; its folders are then the cluster's to clear.
+    with contextlib.suppress(Py4JError, ConnectionError):
+        spark = SparkSession.getActiveSession()
+        if spark is not None and spark.sparkContext._jsc is not None:
+            clear_scratch(spark)
 
 
 class Scratch:
