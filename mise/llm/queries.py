@@ -47,17 +47,33 @@ def _license_sql() -> str:
            't': p[i]}})) AS u
   FROM (SELECT doc_row, string_split_regex(t, '{pattern}') AS p, regexp_extract_all(t, '{pattern}') AS g FROM d)"""
 
+    fewest, most = license_scan.run_words(known)
+    words = "string_split(trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g')), ' ')".format
+    listed = sorted({b for t in known for b in t.bigrams})
+    bigrams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    paragraphs = units(1, r"\n[ \t\r]*\n")
+    # Runs of paragraphs: sums of words tell how many lie between two of them.
     return f"""
 WITH templates(place, license_id, low, high, bigrams) AS (VALUES {values}),
 d AS (SELECT row_number() OVER () AS doc_row, doc_id, text AS t FROM documents WHERE text IS NOT NULL),
-u AS ({units(0, chr(92) + "n")} UNION ALL {units(1, chr(92) + "n[ " + chr(92) + "t" + chr(92) + "r]*" + chr(92) + "n")} UNION ALL SELECT doc_row, 2 AS kind, {{'s': CAST(0 AS BIGINT), 't': t}} AS u FROM d),
-o AS (SELECT doc_row, u.s AS s, u.s + length(u.t) AS e, u.t AS t FROM u QUALIFY row_number() OVER (PARTITION BY doc_row, u.s, u.s + length(u.t) ORDER BY kind) = 1),
-w AS (SELECT doc_row, s, e, string_split(trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM o),
-b AS (SELECT doc_row, s, e, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM w WHERE len(w) > 1),
-m AS (SELECT doc_row, s, e, place, license_id, 2 * len(list_intersect(b, bigrams)) AS x, len(b) + len(bigrams) AS y
-      FROM b JOIN templates ON len(b) BETWEEN low AND high)
-SELECT doc_id, s AS "start", e AS "end", license_id, x / y AS dice FROM m JOIN d USING (doc_row)
-WHERE 100 * x >= {license_scan.LEAST_DICE} * y QUALIFY row_number() OVER (PARTITION BY doc_row, s, e ORDER BY x / y DESC, place) = 1"""
+pw AS (SELECT doc_row, u.s AS s, u.s + length(u.t) AS e, {words("u.t")} AS w FROM ({paragraphs})),
+pb AS (SELECT doc_row, s, e, len(w) AS n, {bigrams} AS b FROM pw WHERE w[1] <> ''),
+p AS (SELECT doc_row, s, e, n, len(b) > 0 AND 100 * len(list_intersect(b, {listed!r})) >= {license_scan.LEAST_SHARE} * len(b) AS good,
+             sum(n) OVER (PARTITION BY doc_row ORDER BY s) AS upto FROM pb),
+r AS (SELECT doc_row, 3 AS kind, {{'s': x.s, 't': substr(d.t, x.s + 1, y.e - x.s)}} AS u FROM p x JOIN p y USING (doc_row) JOIN d USING (doc_row)
+      WHERE x.good AND y.good AND x.s < y.s AND y.upto - x.upto + x.n BETWEEN {fewest} AND {most}),
+u AS ({units(0, chr(92) + "n")} UNION ALL {paragraphs} UNION ALL SELECT doc_row, 2 AS kind, {{'s': CAST(0 AS BIGINT), 't': t}} AS u FROM d UNION ALL FROM r),
+o AS (SELECT doc_row, u.s AS s, u.s + length(u.t) AS e, u.t AS t, kind,
+             max(kind) OVER (PARTITION BY doc_row, u.s, u.s + length(u.t)) AS top FROM u
+      QUALIFY row_number() OVER (PARTITION BY doc_row, u.s, u.s + length(u.t) ORDER BY kind) = 1),
+w AS (SELECT doc_row, s, e, kind, top, {words("t")} AS w FROM o),
+b AS (SELECT doc_row, s, e, kind, top, {bigrams} AS b FROM w WHERE len(w) > 1),
+m AS (SELECT doc_row, s, e, kind, top, place, license_id, 2 * len(list_intersect(b, bigrams)) AS x, len(b) + len(bigrams) AS y
+      FROM b JOIN templates ON len(b) BETWEEN low AND high),
+f AS (SELECT * FROM m WHERE 100 * x >= {license_scan.LEAST_DICE} * y QUALIFY row_number() OVER (PARTITION BY doc_row, s, e ORDER BY x / y DESC, place) = 1)
+SELECT doc_id, s AS "start", e AS "end", license_id, x / y AS dice FROM f JOIN d USING (doc_row)
+WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM f g WHERE g.doc_row = f.doc_row AND g.top > 0 AND g.s < f.e AND f.s < g.e AND (
+  g.x * f.y > f.x * g.y OR (g.x * f.y = f.x * g.y AND (g.kind < 3 OR (g.s, g.e) < (f.s, f.e)))))"""
 
 
 @_query("op1_license_scan", _license_sql())
