@@ -241,7 +241,8 @@ def op8_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------------------- 9: suffix arrays
 @_query("op9_suffix_dedup")
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.removed_bytes(table(spark, sf_dir, "documents"))
+    found = suffix_dedup.removed_bytes(table(spark, sf_dir, "documents"))
+    return found.withColumn("removed_from", F.when(F.col("n_removed") > 0, F.col("doc_id")))  # documents that lose bytes
 
 
 # ------------------------------------------------------------------------- 11: filter interaction
