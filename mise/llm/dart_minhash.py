@@ -14,11 +14,15 @@ is linked if its exact similarity reaches the threshold; classes are the compone
 
 Copies (the same words) are one node from the start.  Comparing all candidates of a large bucket is
 not needed to find its classes: in rounds, nodes are compared to a few leaders of their buckets,
-which joins most near copies.  Then what is left in several classes is compared completely: in
-buckets of up to SMALL nodes pair by pair, and in larger ones by blocks of nodes.  A block meets
-another in one task, which returns the links it finds and not the pairs; blocks within the largest
-class of a group of large buckets don't meet.  So no candidate pair of different classes goes
-unverified, no link is lost, and no row is written for each pair of a group.
+which joins most near copies.  Then what is left in several classes is compared completely.  In
+buckets of up to SMALL nodes that is pair by pair.  Larger ones with nodes in common form a group;
+there shingles are ordered by how many of the group's nodes have them, and two nodes as similar as
+the threshold must share one of their rarest (all but the share of the threshold, and one more).  So
+nodes meet in postings of rare shingles, of which those within one class are left out; what a group
+has in common costs nothing.  Postings of up to SMALL nodes are compared pair by pair, larger ones
+have rounds of leaders and then blocks of nodes: a block meets another in one task, which returns
+the links it finds and not the pairs; blocks within the largest class of a posting don't meet.  So
+no candidate pair of different classes can be lost, and no row is written for each pair of a group.
 
 Defined results: a null text is empty; all texts without words are copies of each other; the class
 id is the least document id of the class (null if it has none but null); repeated rows get a row
@@ -290,7 +294,18 @@ def duplicate_classes(docs: DataFrame, rows: DataFrame, settings: Settings, id_c
     dense = _dense_groups(members, labels, settings, scratch)
     groups = dense.withColumnRenamed("label", "group")
     if _some(groups):
-        labels, _ = joined(labels, _block_links(groups, labels, sets, settings, scratch))
+        rare = _rare_postings(groups, labels, sets, settings, scratch)
+        for turn in range(settings.rounds):
+            pairs = scratch.table(_leader_pairs(rare.where(F.col("n") > settings.small), labels, turn, settings.partners, scratch))
+            labels, more = joined(labels, _verified(pairs, sets, settings.threshold))
+            scratch.drop(pairs)
+            if not more:
+                break
+        labels, _ = joined(labels, _verified(_pairs_within(rare.where(F.col("n") <= settings.small), labels), sets, settings.threshold))
+        large = scratch.table(_several(rare.where(F.col("n") > settings.small), labels).select("node", F.col("key").alias("group")))
+        if _some(large):
+            labels, _ = joined(labels, _block_links(large, labels, sets, settings, scratch))
+        scratch.drop(rare, large)
     labels, _ = joined(labels, _verified(_small_pairs(members, labels, groups, settings), sets, settings.threshold))
     scratch.drop(members, sets, dense)
     return labels.withColumnRenamed("label", "class_node")
@@ -321,6 +336,38 @@ def _dense_groups(members: DataFrame, labels: DataFrame, settings: Settings, scr
     return connected_components(edges, scratch)
 
 
+def _several(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, key, n) of keys whose nodes are in several classes, with their number of nodes."""
+    placed = members.select("node", "key").join(labels, "node")
+    open_ = (placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("l1"), F.max("label").alias("l2"))
+             .where("l1 != l2").select("key", "n"))
+    return placed.select("node", "key").join(open_, "key").select("node", "key", "n")
+
+
+def _rare_postings(groups: DataFrame, labels: DataFrame, sets: DataFrame, settings: Settings, scratch: Scratch) -> DataFrame:
+    """(node, key, n): the nodes of each group by their rarest shingles, where several classes meet.
+    Any two nodes of a group whose similarity reaches the threshold have one in common."""
+    found = scratch.table(groups.join(sets, "node").select("group", "node", F.explode("shingles").alias("x")))
+    counted = found.groupBy("group", "x").agg(F.count(F.lit(1)).alias("f"))
+    # The shingles of one node at a time; the order (f, x) is the same for all of a group.
+    ranked = found.join(counted, ["group", "x"]).groupBy("group", "node").agg(F.sort_array(F.collect_list(F.struct("f", "x"))).alias("xs"))
+    size = F.size("xs")
+    first = F.slice("xs", F.lit(1), (size - F.ceil(settings.threshold * size - 1e-9) + 1).cast("int"))
+    placed = ranked.select("node", "group", F.explode(F.filter(first, lambda y: y["f"] > 1)).alias("y"))
+    placed = scratch.table(placed.select("node", F.xxhash64("group", "y.x").alias("key")))
+    rare = scratch.table(_several(placed, labels))
+    scratch.drop(found, placed)
+    return rare
+
+
+def _pairs_within(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of different classes with a key in common."""
+    placed = members.join(labels, "node")
+    mine = placed.select("key", F.col("node").alias("a"), F.col("label").alias("la"))
+    other = placed.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
+    return mine.join(other, "key").where("a < b and la != lb").select("a", "b").distinct()
+
+
 def _block_links(groups: DataFrame, labels: DataFrame, sets: DataFrame, settings: Settings, scratch: Scratch) -> DataFrame:
     """Links (a, b) between classes within each group, found block by block."""
     placed = groups.join(labels, "node")
