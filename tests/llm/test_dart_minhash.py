@@ -2,7 +2,6 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from mise.llm import dart_minhash as M
 from mise.llm.common import Scratch
@@ -122,22 +121,6 @@ def test_large_buckets_go_by_blocks(make):
     assert classes(M.near_duplicates(make(rows))) == want
 
 
-def test_groups_meet_in_rare_shingles_only(spark):
-    """20,000 nodes of different classes in one group: 75 shingles are everybody's, 25 their own; some have a near copy."""
-    scratch, n = Scratch(spark), 20_000
-    def shingles(i, changed):
-        return [*range(75), *(1000 + 100 * i + k + (50 if k < changed else 0) for k in range(25))]
-
-    nodes = [(b"%06d" % i, shingles(i, 0)) for i in range(n)] + [(b"x%05d" % i, shingles(i, 5)) for i in range(0, n, 1000)]
-    sets = scratch.table(spark.createDataFrame(nodes, "node binary, shingles array<long>"))
-    labels = scratch.table(sets.select("node", F.col("node").alias("label")))
-    rare = M._rare_postings(sets.select("node", F.lit(b"g").alias("group")), labels, sets, M.Settings(), scratch)
-    assert 0 < rare.count() <= 2 * 25 * 20 and rare.where(F.col("n") != 2).count() == 0
-    pairs = M._pairs_within(rare, labels)
-    assert pairs.count() == 20
-    assert M._verified(pairs, sets, 0.8).count() == 20
-
-
 def test_clean_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
