@@ -61,12 +61,14 @@ _FRACTION_ANY = r"(?s)^(.*?)" + _FRACTION + r"(.*)$"
 _NOTES_FIRST = r"(?s)^(.*?)" + _NOTES + r"(.*)$"
 
 
-def _groups(text: Column, pattern: str, n: int) -> Column:
+def _groups(text: Column, pattern: str, n: int, needed: str = "") -> Column:
     """All ``n`` groups of one match in a single regex pass (array of one when there is no match).
-    A text that holds SEP itself has its groups extracted one by one."""
+    A text that holds SEP itself has its groups extracted one by one; one without the character
+    ``needed`` can't match and isn't searched."""
     one_pass = F.split(F.regexp_replace(text, pattern, SEP.join(f"${i}" for i in range(1, n + 1))), SEP, -1)
     each = F.when(text.rlike(pattern), F.array(*[F.regexp_extract(text, pattern, i) for i in range(1, n + 1)])).otherwise(F.array(text))
-    return F.when(text.contains(SEP), each).otherwise(one_pass)
+    found = F.when(text.contains(SEP), each).otherwise(one_pass)
+    return F.when(~text.contains(needed), F.array(text)).otherwise(found) if needed else found
 
 
 def _stage(arr: Column, **fields) -> Column:
@@ -113,9 +115,9 @@ def _parse_array(lines: Column, style: str, unit_re: str) -> Column:
 
     a = F.transform(lines, lambda l: F.struct(
         F.regexp_replace(js_trim(l), r"^(?:[*\-•◦→]+\.?\s*|\d+[.)](?:\s+|$))", "").alias("c")))
-    a = _stage(a, c=lambda s: s["c"], r=lambda s: _groups(s["c"], _RANGE_ANY, 4))
+    a = _stage(a, c=lambda s: s["c"], r=lambda s: _groups(s["c"], _RANGE_ANY, 4, "-"))
     a = _stage(a, c=lambda s: s["c"], r=lambda s: s["r"],
-               f=lambda s: F.when(F.size(s["r"]) == 1, _groups(s["c"], _FRACTION_ANY, 3)))
+               f=lambda s: F.when(F.size(s["r"]) == 1, _groups(s["c"], _FRACTION_ANY, 3, "/")))
     a = _stage(a, c=lambda s: s["c"], r=lambda s: s["r"], f=lambda s: s["f"],
                n=lambda s: F.when((F.size(s["r"]) == 1) & (F.size(s["f"]) == 1),
                                   F.regexp_extract(s["c"], "^" + _NUMBER_POST, 0)))
@@ -131,7 +133,7 @@ def _parse_array(lines: Column, style: str, unit_re: str) -> Column:
                              .when(num(s), js_trim(s["c"].substr(F.length(s["n"]) + 1, F.length(s["c"]))))
                              .otherwise(s["c"])))
     a = _unit_stages(a, unit_re, "t2", ("quantity",))
-    a = _stage(a, **_keep("quantity", "unit", "t2"), nt=lambda s: _groups(s["t2"], _NOTES_FIRST, 3))
+    a = _stage(a, **_keep("quantity", "unit", "t2"), nt=lambda s: _groups(s["t2"], _NOTES_FIRST, 3, "("))
     return F.transform(a, lambda s: F.struct(
         js_trim(F.when(F.size(s["nt"]) > 1, js_trim(F.concat(s["nt"][0], s["nt"][2]))).otherwise(s["t2"])).alias("name"),
         s["quantity"].alias("quantity"), s["unit"].alias("unit"),
@@ -165,7 +167,7 @@ def parse_ingredient_lines_col(lines: ColumnOrName, style: str = "line", units=N
     unit_re = UNIT_RE if units is None else unit_pattern(units)
     if style == "line":
         return _parse_array(lines, "line", unit_re)
-    kept = F.filter(lines, lambda l: (F.length(js_trim(l)) >= 3) & ~js_trim(l).rlike(_POST_SKIP))
+    kept = F.filter(F.transform(lines, js_trim), lambda l: (F.length(l) >= 3) & ~l.rlike(_POST_SKIP))
     return F.filter(_parse_array(kept, "post", unit_re), lambda s: s["name"] != "")
 
 

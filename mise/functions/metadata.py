@@ -23,20 +23,24 @@ def _lower(text: ColumnOrName) -> Column:
 # ---------------------------------------------------------------------------------- B9 / B10
 def servings_col(text: ColumnOrName, patterns: Sequence[str] = lx.SERVINGS_PATTERNS, infer: bool = True) -> Column:
     """Servings as text: a range stays '4-6', a single number is normalised ('06' -> '6')."""
-    t = _lower(text)
-    m = first_match(t, patterns)
-    found = F.when(m.contains("-"), m).otherwise(m.try_cast("bigint").cast("string"))
-    if not infer:
-        return found
-    guess = None
-    for words, value in lx.SERVINGS_HINTS:
-        if value == "pieces":
-            v = F.nullif(F.regexp_extract(t, lx.PIECES_PATTERN, 1), F.lit("")).try_cast("bigint").cast("string")
-        else:
-            v = F.lit(str(value))
-        cond = contains_any(t, words)
-        guess = F.when(cond, v) if guess is None else guess.when(cond, v)
-    return F.when(m.isNotNull(), found).otherwise(guess)
+    def found(m: Column) -> Column:
+        return F.when(m.contains("-"), m).otherwise(m.try_cast("bigint").cast("string"))
+
+    def guess(t: Column) -> Column:
+        out = None
+        for words, value in lx.SERVINGS_HINTS:
+            if value == "pieces":
+                v = F.nullif(F.regexp_extract(t, lx.PIECES_PATTERN, 1), F.lit("")).try_cast("bigint").cast("string")
+            else:
+                v = F.lit(str(value))
+            cond = contains_any(t, words)
+            out = F.when(cond, v) if out is None else out.when(cond, v)
+        return out
+
+    def of(t: Column) -> Column:
+        return let(first_match(t, patterns), lambda m: F.when(m.isNotNull(), found(m)).otherwise(guess(t)) if infer else found(m))
+
+    return let(_lower(text), of)
 
 
 def extract_servings(df: DataFrame, text: str, out: str = "servings", infer: bool = True) -> DataFrame:
@@ -48,14 +52,19 @@ def times_col(text: ColumnOrName, prep=lx.PREP_PATTERNS, cook=lx.COOK_PATTERNS,
               infer: bool = True) -> Column:
     """struct<prepTime, cookTime, totalTime> as matched text ('30 min', '1-2 hours')."""
     t = _lower(text)
-    p = first_match(t, prep)
-    if infer:
+
+    def prepared(t: Column) -> Column:
+        p = first_match(t, prep)
+        if not infer:
+            return p
         guess = None
         for words, value in lx.PREP_HINTS:
             cond = contains_any(t, words)
             guess = F.when(cond, F.lit(value)) if guess is None else guess.when(cond, F.lit(value))
-        p = F.coalesce(p, guess)
-    return F.struct(p.alias("prepTime"), first_match(t, cook).alias("cookTime"),
+        return F.coalesce(p, guess)
+
+    # Each field by itself, so that one that isn't asked for costs nothing.
+    return F.struct(let(t, prepared).alias("prepTime"), first_match(t, cook).alias("cookTime"),
                     first_match(t, total).alias("totalTime"))
 
 
