@@ -115,14 +115,19 @@ def _num_or_str(v: Column) -> Column:
     return F.when((t == "STRING") | t.rlike(_NUMBER_TYPE), F.try_variant_get(v, "$", "string"))
 
 
-def coerce_records_col(json_text: ColumnOrName) -> Column:
+def _parsed(json: ColumnOrName, parsed: bool) -> Column:
+    return col(json) if parsed else F.try_parse_json(col(json))
+
+
+def coerce_records_col(json_text: ColumnOrName, parsed: bool = False) -> Column:
     """Tolerant parse of a JSON record into the canonical struct.
 
     A field of the wrong type takes its default (title 'Untitled Recipe', ingredient name
     'Unknown ingredient', others NULL; arrays that are not arrays of the right element kind
-    become empty); a missing field stays NULL; unknown keys are ignored.
+    become empty); a missing field stays NULL; unknown keys are ignored.  ``parsed``: the column is the
+    variant that ``try_parse_json`` makes of the text, so that a text is parsed once for all its fields.
     """
-    v = F.try_parse_json(col(json_text))
+    v = _parsed(json_text, parsed)
     ings = _field(v, "ingredients")
     ing_arr = F.try_variant_get(ings, "$", "array<variant>")
     ing_ok = _vtype(ings).startswith("ARRAY") & F.forall(ing_arr, lambda e: _vtype(e).startswith("OBJECT"))
@@ -166,9 +171,10 @@ def coerce_records(df: DataFrame, json_col: str, out: str = "recipeData") -> Dat
 
 
 # ---------------------------------------------------------------------------------------- B25
-def validation_errors_col(json_text: ColumnOrName) -> Column:
-    """Names of the strict-schema rules a JSON record breaks (empty array when valid)."""
-    v = F.try_parse_json(col(json_text))
+def validation_errors_col(json_text: ColumnOrName, parsed: bool = False) -> Column:
+    """Names of the strict-schema rules a JSON record breaks (empty array when valid); ``parsed`` as in
+    :func:`coerce_records_col`."""
+    v = _parsed(json_text, parsed)
 
     # Every check is NULL-safe: ``forall`` returns NULL when a predicate is NULL (a missing
     # field), and a NULL must count as a violation, not as a pass.

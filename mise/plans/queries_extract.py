@@ -425,9 +425,10 @@ SELECT r.id,
             ELSE CASE WHEN p.n IS NULL THEN 'ingredients.min' ELSE '' END END AS errors
 FROM dishes r LEFT JOIN per p ON r.id = p.id""")
 def coerce_json_records(spark, d):
-    j = _json_records(spark, d)
-    r = j.select("id", RC.coerce_records_col("json").alias("r"),
-                 F.array_join(RC.validation_errors_col("json"), ",").alias("errors"))
+    # Parsed in a projection of its own: every field and rule reads it.
+    j = _json_records(spark, d).select("id", F.try_parse_json("json").alias("v"))
+    r = j.select("id", RC.coerce_records_col("v", parsed=True).alias("r"),
+                 F.array_join(RC.validation_errors_col("v", parsed=True), ",").alias("errors"))
     return r.select("id", F.col("r.title").alias("title"), F.size("r.ingredients").cast("bigint").alias("n_ingredients"),
                     F.array_join(F.transform("r.ingredients", lambda e: e["quantity"]), "|").alias("quantities"),
                     F.size("r.instructions").alias("n_instructions"), F.col("r.prepTime").alias("prep_time"),
