@@ -10,6 +10,19 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+#: Rows of a table for each task, on average, where :func:`tasks_for` says how many parts to deal it into.
+ROWS_PER_TASK = 250_000
+
+
+def tasks_for(df: DataFrame) -> int:
+    """Parts to deal ``df`` into so that a task's share doesn't grow with the table.
+
+    For a join that groupings with its keys follow: they all run in the tasks of the join, where
+    each holds its rows in memory, and adaptive coalescing goes by compressed bytes alone.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_TASK))
+
+
 def dense_ids(df: DataFrame, order_cols: Sequence[str], start: Column | int = 0, id_col: str = "id",
               partitions: int | None = None) -> DataFrame:
     """Number rows 1..n (plus ``start``) in ``order_cols`` order, like a global ``row_number``.

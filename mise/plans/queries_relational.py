@@ -252,7 +252,7 @@ SELECT t.name, t.mentions, t.dishes,
          AS titles
 FROM top t""")
 def top_ingredients_with_titles(spark, d):
-    out = G.top_with_samples(B.dishes(spark, d), 50, 3, flat=B.mentions(spark, d, ("title",)))
+    out = G.top_with_samples(B.dishes(spark, d), 50, 3, flat=B.mentions(spark, d, ("title",), by_dish=True))
     return out.select("name", "mentions", "dishes", F.array_join("titles", "|").alias("titles"))
 
 
