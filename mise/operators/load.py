@@ -257,9 +257,11 @@ def load_stage(rows: DataFrame, tables: Tables, now: Column | None = None,
     unseen, present = insert_absent(tables.dishes, rows, "title")
     failed = unseen.where("error is not null")
     good = unseen.where("error is null")
-    first = first_per_key(good, "title", order)
-    dup = duplicates_of_first(good, "title", order)
+    # Whole rows are limited to the first of each title where they are read, before anything deals them
+    # out by title: few titles may own the batch.
+    first, _ = insert_absent(tables.dishes, first_per_key(rows.where("error is null"), "title", order), "title")
     numbered = dense_ids(first, order, start=max_id(tables.dishes))
+    dup = good.join(numbered.select(*order), order, "left_anti")
     rcols = []
     for f in tables.dishes.schema.fields:
         if f.name in numbered.columns:
