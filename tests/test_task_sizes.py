@@ -88,3 +88,31 @@ def test_rows_of_a_title_are_limited_before_they_are_dealt_out(spark, monkeypatc
     want += [(*key, t, ids[t], "inserted", None) for t, (key, _) in first.items()]
     assert got == sorted(map(str, want))
     assert loaded.dishes.count() == 5 and loaded.ingredients.count() == 3
+
+
+def test_load_tables_summary_deals_out_the_first_row_of_each_title_only(spark, tmp_path, monkeypatch):
+    orders = [(o, f"{o % 4}-P", 1000.0) for o in range(400)] + [(3, "3-P", 1000.0), (None, None, None)]
+    lines = [(o, 3 * o + k, k, k) for o in range(400) for k in range(3)] + [(None, 1, 1, 1), (5, None, None, 1), (999, 3, 1, 1)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderpriority string, o_totalprice double").withColumns({
+        "o_orderstatus": F.lit("F"), "o_custkey": F.lit(1), "o_orderdate": F.lit("2020-01-01").cast("timestamp")}).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int").withColumns({
+        "l_quantity": F.lit(1.0), "l_returnflag": F.lit("N"), "l_extendedprice": F.lit(1.0)}).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(p, f"n{p}", "t", "b") for p in range(1200)], "p_partkey long, p_name string, p_type string, p_brand string").write.parquet(
+        f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(s, f"s{s}", 1) for s in range(3)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    plans = []
+
+    def numbered(df, order, **how):
+        if "ingredients" in df.columns:
+            with contextlib.redirect_stdout(io.StringIO()) as plan:
+                df.explain()
+            plans.append(plan.getvalue().splitlines())
+        return keys.dense_ids(df, order, **how)
+
+    monkeypatch.setattr(L, "dense_ids", numbered)
+    got = E.queries()["load_tables_summary"](spark, str(tmp_path)).collect()
+    assert len(plans) == 1
+    at = max(i for i, line in enumerate(plans[0]) if "WindowGroupLimit" in line)
+    assert not any("Exchange" in line for line in plans[0][at + 1:] if _indent(line) > _indent(plans[0][at]))
+    # Orders 0 to 3 are the first of their titles; order 3 is there twice. The order without priority has the title "F".
+    assert [tuple(r) for r in got] == [(5, 12, 12, 3)]
