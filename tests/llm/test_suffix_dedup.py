@@ -130,3 +130,43 @@ def test_all_strings_of_a_whole_table(spark):
         want.append((doc_id, len(t), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
     got = [tuple(r) for r in queries.op9_suffix_dedup(spark, sf).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()]
     assert sorted(got) == sorted(want) and sum(w[2] > 0 for w in want) > 100
+
+
+def test_blocks_do_not_wait_for_long_prefixes(monkeypatch):
+    rng = random.Random(5)
+    parts = [strings(rng, 600) for _ in range(4)]
+    data = np.frombuffer("".join(rng.choice(parts)[rng.randint(0, 300):] for _ in range(40)).encode(), np.uint8)
+    at, rounds = A.words(data, 408), []
+    order = A.suffix_array(at, len(data))
+    same_bytes = A._same_bytes
+    monkeypatch.setattr(A, "_same_bytes", lambda a, b: rounds.append(len(a)) or same_bytes(a, b))
+    shared = A.common_prefixes(at, order, 400, block=64)
+    # A block shares 64 bytes less by its end, so it can gain 400 + 64 at most, a word in a round.
+    assert shared.max() == 400 and len(rounds) <= 64 + (400 + 64) / A.WORD + 1
+
+
+def test_memory_of_a_worker(monkeypatch):
+    """A few dozen MB for any table: two workers share an executor with its virtual machine."""
+    import tracemalloc
+
+    import pandas as pd
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(S, "_POWERS", {"up": np.zeros(0, np.uint64), "down": np.zeros(0, np.uint64)})
+
+    def peak(work):
+        tracemalloc.start()
+        try:
+            n = work()
+            return n, tracemalloc.get_traced_memory()[1] / 1e6
+        finally:
+            tracemalloc.stop()
+
+    texts = ["".join(map(chr, rng.integers(97, 123, 2000))) for _ in range(1500)]
+    batch = pa.RecordBatch.from_arrays([pa.array([t[:8].encode() for t in texts]), pa.array(texts)], names=["key", "text"])
+    n, mb = peak(lambda: sum(b.num_rows for b in S._item_rows(S.SIZE, S.GRAM)(iter([batch]))))
+    assert n > 1500 and mb < 60
+    data = [rng.integers(97, 123, 600).astype(np.uint8).tobytes() for _ in range(S.SHARD_BYTES // 600)]
+    shard = pd.DataFrame({"h": range(len(data)), "c": range(len(data)), "n": 1, "bytes": [*data[:-1], data[0]]})
+    found, mb = peak(lambda: S._sort_shard(S.SIZE, S.CHUNK_BYTES)(shard))
+    assert found["h"].tolist() == [0, len(data) - 1] and mb < 90
