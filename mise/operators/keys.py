@@ -14,13 +14,13 @@ from ..session import ensure_checkpoint_dir
 ROWS_PER_TASK = 250_000
 
 
-def tasks_for(df: DataFrame) -> int:
-    """Parts to deal ``df`` into so that a task's share doesn't grow with the table.
+def tasks_for(df: DataFrame, rows: int | None = None) -> int:
+    """Parts to deal ``df`` into so that a task's share, of ROWS_PER_TASK or ``rows``, doesn't grow with the table.
 
     For a join that groupings with its keys follow: they all run in the tasks of the join, where
     each holds its rows in memory, and adaptive coalescing goes by compressed bytes alone.
     """
-    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_TASK))
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // (rows or ROWS_PER_TASK)))
 
 
 def dense_ids(df: DataFrame, order_cols: Sequence[str], start: Column | int = 0, id_col: str = "id",

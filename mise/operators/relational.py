@@ -37,7 +37,7 @@ def _order(cols: Sequence) -> list[Column]:
 
 # ------------------------------------------------------------------------------------- R1 / R2
 def ingredient_lines(junction: DataFrame, ingredients: DataFrame, measurements: DataFrame,
-                     tie_break: Sequence[str] = ()) -> DataFrame:
+                     tie_break: Sequence[str] = (), units: bool = True) -> DataFrame:
     """Junction rows with ingredient and unit names resolved (left joins: unknown ids stay)."""
     i = ingredients.select(F.col("id").alias("ingredient_id"), F.col("name").alias("ingredient_name"),
                            F.col("id").alias("_iid"))
@@ -45,7 +45,13 @@ def ingredient_lines(junction: DataFrame, ingredients: DataFrame, measurements:
                             F.col("id").alias("_mid"))
     extra = [c for c in tie_break if c in junction.columns]
     j = junction.select("dish_id", "ingredient_id", "measurement_id", "amount", "notes", "order_index", *extra)
-    return (j.join(i, "ingredient_id", "left").join(m, "measurement_id", "left"))
+    named = j.join(i, "ingredient_id", "left")
+    return named.join(m, "measurement_id", "left") if units else named
+
+
+def _ids_once(df: DataFrame) -> bool:
+    """No two rows share an id (rows without one meet nothing in a join)."""
+    return df.where(F.col("id").isNotNull()).groupBy("id").count().where("count > 1").isEmpty()
 
 
 def dish_rows(dishes: DataFrame, junction: DataFrame, ingredients: DataFrame, measurements: DataFrame,
@@ -57,31 +63,46 @@ def dish_rows(dishes: DataFrame, junction: DataFrame, ingredients: DataFrame, me
              .select(*[r[c] for c in dish_cols], "order_index", "ingredient_name", "unit_name", "amount", "notes"))
 
 
-def _ingredient_struct(tie_break: Sequence[str]) -> Column:
+#: What an entry of a dish's nested ingredients holds, and its types.
+INGREDIENT_PARTS = {"name": "string", "quantity": "double", "unit": "string", "notes": "string"}
+
+
+def _ingredient_struct(tie_break: Sequence[str], parts: Sequence[str]) -> Column:
+    of = {"name": F.col("ingredient_name"), "quantity": F.col("amount").cast("double"), "unit": F.col("unit_name"), "notes": F.col("notes")}
     return F.struct(F.col("order_index").alias("_o"), *[F.col(c).alias(f"_t{k}") for k, c in enumerate(tie_break)],
-                    F.col("ingredient_name").alias("name"), F.col("amount").cast("double").alias("quantity"),
-                    F.col("unit_name").alias("unit"), F.col("notes").alias("notes"))
+                    *[of[p].alias(p) for p in parts])
 
 
 def nested_ingredients(junction: DataFrame, ingredients: DataFrame, measurements: DataFrame,
-                       tie_break: Sequence[str] = ()) -> DataFrame:
+                       tie_break: Sequence[str] = (), parts: Sequence[str] | None = None) -> DataFrame:
     """(dish_id, ingredients) with ingredients ordered by order_index (then ``tie_break``).
 
     Lines whose ingredient id does not resolve are left out (aggregate FILTER semantics).  The
-    grouping is by dish only, and the list of a dish is bounded by that dish's lines.
+    grouping is by dish only, and the list of a dish is bounded by that dish's lines.  ``parts``: the
+    entries hold no more than these.  Then columns that change nothing are left behind before the
+    shuffles, and lines are dealt out by dish as they are rather than as lists, which are wider where
+    a join has put the lines of a dish apart.
     """
-    lines = ingredient_lines(junction, ingredients, measurements, tie_break).filter(F.col("_iid").isNotNull())
-    agg = lines.groupBy("dish_id").agg(F.array_sort(F.collect_list(_ingredient_struct(tie_break))).alias("_l"))
-    return agg.select("dish_id", F.transform("_l", lambda s: F.struct(
-        s["name"].alias("name"), s["quantity"].alias("quantity"), s["unit"].alias("unit"),
-        s["notes"].alias("notes"))).alias("ingredients"))
+    units, tie_break = True, list(tie_break)
+    if parts is not None:
+        # A left join whose columns are not read does nothing but repeat lines, if ids do.
+        units = "unit" in parts or not _ids_once(measurements)
+        if list(parts) == ["name"] and "ingredient_id" in tie_break and _ids_once(ingredients):
+            # Lines that tie up to their ingredient have one name: what would order them orders equal entries.
+            tie_break = tie_break[:tie_break.index("ingredient_id") + 1]
+    lines = ingredient_lines(junction, ingredients, measurements, tie_break, units).filter(F.col("_iid").isNotNull())
+    if parts is not None:
+        lines = lines.repartition("dish_id")
+    parts = list(parts or INGREDIENT_PARTS)
+    agg = lines.groupBy("dish_id").agg(F.array_sort(F.collect_list(_ingredient_struct(tie_break, parts))).alias("_l"))
+    return agg.select("dish_id", F.transform("_l", lambda s: F.struct(*[s[p].alias(p) for p in parts])).alias("ingredients"))
 
 
 def nest_dishes(dishes: DataFrame, junction: DataFrame, ingredients: DataFrame, measurements: DataFrame,
-                 tie_break: Sequence[str] = ()) -> DataFrame:
+                 tie_break: Sequence[str] = (), parts: Sequence[str] | None = None) -> DataFrame:
     """R2: dishes with a nested, ordered ingredient array; a dish without lines gets ``[]``."""
-    nested = nested_ingredients(junction, ingredients, measurements, tie_break)
-    empty = F.array().cast("array<struct<name:string,quantity:double,unit:string,notes:string>>")
+    nested = nested_ingredients(junction, ingredients, measurements, tie_break, parts)
+    empty = F.array().cast(f"array<struct<{','.join(f'{p}:{INGREDIENT_PARTS[p]}' for p in parts or INGREDIENT_PARTS)}>>")
     return (dishes.join(nested, dishes["id"] == nested["dish_id"], "left")
                    .withColumn("ingredients", F.coalesce(F.col("ingredients"), empty))
                    .drop("dish_id"))
@@ -94,9 +115,10 @@ DOCUMENT_COLUMNS = ["id", "title", "description", "ingredients", "instructions",
 
 
 def build_documents(dishes: DataFrame, junction: DataFrame, ingredients: DataFrame, measurements: DataFrame,
-                    tie_break: Sequence[str] = ()) -> DataFrame:
-    """Search documents, one per dish, servings as double, missing columns as NULL."""
-    docs = nest_dishes(dishes, junction, ingredients, measurements, tie_break)
+                    tie_break: Sequence[str] = (), parts: Sequence[str] | None = None) -> DataFrame:
+    """Search documents, one per dish, servings as double, missing columns as NULL.  ``parts``: the parts of the nested
+    ingredients that will be read, if not all."""
+    docs = nest_dishes(dishes, junction, ingredients, measurements, tie_break, parts)
     cols = []
     for c in DOCUMENT_COLUMNS:
         if c in docs.columns:
